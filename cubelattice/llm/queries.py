@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from cubelattice.llm import exact_dedup, sharding, simhash
+from cubelattice.llm import bpe, exact_dedup, packing, sharding, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_packing": packing.op2_packing,
     "op3_simhash": simhash.op3_simhash,
     "op4_sharding": sharding.op4_sharding,
+    "op9_bpe": bpe.op9_bpe,
 }
 
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE}
