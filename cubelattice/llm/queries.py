@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from cubelattice.llm import bpe, exact_dedup, packing, sharding, simhash
+from cubelattice.llm import bpe, exact_dedup, licenses, packing, sharding, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_packing": packing.op2_packing,
     "op3_simhash": simhash.op3_simhash,
     "op4_sharding": sharding.op4_sharding,
+    "op8_licenses": licenses.op8_licenses,
     "op9_bpe": bpe.op9_bpe,
 }
 
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op8_licenses": licenses.ORACLE}
