@@ -1,25 +1,41 @@
-"""A corpus pipeline over ``documents``; part of the subpackage ``cubelattice.llm``."""
+"""A corpus pipeline over ``documents``; part of the subpackage ``cubelattice.llm``.
+
+Language identification (what it rejects goes), exact deduplication, near-duplicate removal (one document
+of each group stays), packing. Each stage works on all rows its predecessor kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from cubelattice.llm.common import table, written
 from cubelattice.llm.exact_dedup import drop_exact_duplicates
+from cubelattice.llm.language import keep_identified
+from cubelattice.llm.packing import pack_texts
 from cubelattice.llm.simhash import drop_near_duplicates
-from cubelattice.llm.common import table, written
 
 
-def exact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_id(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_identified(docs)
+
+
+def exact_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_duplicates(docs, keep="largest")
 
 
-def near(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+def simhash(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_duplicates(docs)
 
 
-STAGES = [("exact_dedup", exact), ("simhash", near)]
+def packing(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_texts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("simhash", simhash), ("packing", packing)]
 
-#: Language identification, fingerprints and packing have no SQL form.
+#: Language identification, fingerprints and packing have no SQL form; tests compare with plain Python.
 ORACLE_SQL = None
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cubelattice.llm import bpe, exact_dedup, licenses, packing, sharding, simhash
+from cubelattice.llm import bpe, exact_dedup, language, licenses, packing, sharding, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_sharding": sharding.op4_sharding,
     "op8_licenses": licenses.op8_licenses,
     "op9_bpe": bpe.op9_bpe,
+    "op10_language": language.op10_language,
 }
 
 ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op8_licenses": licenses.ORACLE}
