@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from cubelattice.llm import bpe, exact_dedup, language, licenses, packing, sharding, simhash
+from cubelattice.llm import bpe, exact_dedup, language, licenses, packing, scoring, sharding, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_packing": packing.op2_packing,
     "op3_simhash": simhash.op3_simhash,
     "op4_sharding": sharding.op4_sharding,
+    "op5_scoring": scoring.op5_scoring,
     "op8_licenses": licenses.op8_licenses,
     "op9_bpe": bpe.op9_bpe,
     "op10_language": language.op10_language,
