@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cubelattice.llm import bpe, exact_dedup, language, licenses, packing, scoring, sharding, simhash
+from cubelattice.llm import bpe, embedding, exact_dedup, language, licenses, packing, scoring, sharding, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op4_sharding": sharding.op4_sharding,
     "op5_scoring": scoring.op5_scoring,
+    "op6_embedding": embedding.op6_embedding,
     "op8_licenses": licenses.op8_licenses,
     "op9_bpe": bpe.op9_bpe,
     "op10_language": language.op10_language,
