@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cubelattice.llm import bpe, embedding, exact_dedup, language, licenses, packing, scoring, sharding, simhash
+from cubelattice.llm import bpe, embedding, exact_dedup, language, licenses, lines, packing, scoring, sharding, simhash
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -11,9 +11,10 @@ QUERIES = {
     "op4_sharding": sharding.op4_sharding,
     "op5_scoring": scoring.op5_scoring,
     "op6_embedding": embedding.op6_embedding,
+    "op7_lines": lines.op7_lines,
     "op8_licenses": licenses.op8_licenses,
     "op9_bpe": bpe.op9_bpe,
     "op10_language": language.op10_language,
 }
 
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op8_licenses": licenses.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_lines": lines.ORACLE, "op8_licenses": licenses.ORACLE}
