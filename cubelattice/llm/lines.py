@@ -33,7 +33,7 @@ def _keyed(rows: DataFrame) -> DataFrame:
     """One row per non-blank line: id, h, site, place, k1, k2."""
     lines = rows.select("id", "h", "site", F.posexplode(split_lines(F.col("text"))).alias("place", "line"))
     lines = lines.select("id", "h", "site", "place", F.trim("line", F.lit(BLANK)).alias("line")).filter("line != ''")
-    return lines.select("id", "h", "site", "place", F.xxhash64("line").alias("k1"), F.crc32(F.encode("line", "UTF-8")).cast("int").alias("k2"))
+    return lines.select("id", "h", "site", "place", F.xxhash64("line").alias("k1"), F.crc32(F.encode("line", "UTF-8")).alias("k2"))
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
