@@ -6,5 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from cubelattice.plans import queries_analytics, queries_catalog, queries_ingest, queries_statistics, queries_views
+from cubelattice.plans.cube_sql import over_cube
+from cubelattice.sources.overlay import cube
+from cubelattice.sources.warehouse import Warehouse
+
+_FAMILIES = (queries_statistics, queries_analytics, queries_catalog, queries_views, queries_ingest)
+
+
+def _on_cube(query: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(cube(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_cube(query) for family in _FAMILIES for name, (query, _) in family.PAIRS.items()}
+ORACLES: dict[str, str] = {name: over_cube(sql) for family in _FAMILIES for name, (_, sql) in family.PAIRS.items() if sql}
