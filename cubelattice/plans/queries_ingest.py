@@ -1 +1,139 @@
-PAIRS = {}
+"""Label, ingest and planner queries, each with its oracle over the cube's tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cubelattice.functions import expr, labels
+from cubelattice.operators import ingest as ing
+from cubelattice.plans.chunking import Dimension, Option, chunk_rows
+
+TIME_LABELS = [
+    ("Anul 2023", 2023, None, None, "ANNUAL"),
+    (" anul 1990 ", 1990, None, None, "ANNUAL"),
+    ("2030", 2030, None, None, "ANNUAL"),
+    ("2020-2024", 2020, None, None, "ANNUAL"),
+    ("2018–2022", 2018, None, None, "ANNUAL"),
+    ("Anii 2015-2020", 2020, None, None, "ANNUAL"),
+    ("Trimestrul IV 2024", 2024, 4, None, "QUARTERLY"),
+    ("trimestrul I 2001", 2001, 1, None, "QUARTERLY"),
+    ("Trimestrul iv 2024", None, None, None, None),
+    ("T3 2022", 2022, 3, None, "QUARTERLY"),
+    ("T5 2022", None, None, None, None),
+    ("Luna Mai 2020", 2020, None, 5, "MONTHLY"),
+    ("luna DECEMBRIE 1999", 1999, None, 12, "MONTHLY"),
+    ("Luna Brumar 1999", None, None, None, None),
+    ("Sep 2010", 2010, None, 9, "MONTHLY"),
+    ("Abc 2010", None, None, None, None),
+    ("Ianuarie", None, None, None, None),
+    ("Total", None, None, None, None),
+    ("", None, None, None, None),
+    ("text", None, None, None, None),
+]
+TERRITORY_LABELS = [
+    ("TOTAL", "RO"), ("Nivel National", "RO"), ("MACROREGIUNEA DOI", "RO2"), ("Regiunea NORD-VEST", "RO11"), ("Regiunea SUD-VEST OLTENIA", "RO41"), ("Regiunea VEST", "RO42"), ("Bucuresti - Ilfov", "RO32"),
+    ("Judetul Cluj", "CJ"), ("Bistrița-Năsăud", "BN"), ("Municipiul București", "B"), ("Bucuresti (incl. SAI)", "B"), ("38731 Ripiceni", "38731"), ("Extra-regiuni", "EXTRA"), ("Alba, Arad", None), ("Nowhere", None), ("Călărași", "CL"),
+]
+DIMENSION_LABELS = [
+    ("Judete", ["Total"], "TERRITORIAL", None), ("Macroregiuni, regiuni de dezvoltare si judete", ["Total"], "TERRITORIAL", None), ("Sexe", ["Total", "Masculin"], "CLASSIFICATION", "SEX"), ("Medii de rezidență", ["Urban"], "CLASSIFICATION", "RESIDENCE"),
+    ("Perioade", ["Anul 1990", "Anul 1991"], "TEMPORAL", None), ("Ani", ["1990"], "TEMPORAL", None), ("Luni", ["Luna Mai 2020"], "TEMPORAL", None), ("UM: Numar persoane", ["Numar"], "UNIT_OF_MEASURE", None), ("Unitate de masura", ["x"], "UNIT_OF_MEASURE", None),
+    ("Grupe de vârstă", ["0-4 ani"], "CLASSIFICATION", "AGE_GROUP"), ("CAEN Rev.2", ["A"], "CLASSIFICATION", "ECONOMIC_ACTIVITY"), ("Coduri", ["01011"], "CLASSIFICATION", None), ("Coduri scurte", ["0101"], "TEMPORAL", None), ("Altceva", ["a", "b", "c", "d", "e", "Anul 2000"], "CLASSIFICATION", None),
+]
+NAMES = [("  Bistrița\t Năsăud ", "BISTRITA NASAUD", "BISTRITA_NASAUD"), ("Şoseaua ţării", "SOSEAUA TARII", "SOSEAUA_TARII"), (None, "", ""), ("été - 2%", "ETE - 2%", "ETE_-_2"), ("ă" * 60, "A" * 60, "A" * 50)]
+
+
+def _sql(x) -> str:
+    return "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+
+
+def _values(rows: list[tuple], columns: str, kinds: list[str]) -> str:
+    body = ", ".join("(" + ", ".join(f"CAST({_sql(x)} AS {k})" for x, k in zip(r, kinds, strict=True)) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {body}) AS v({columns})"
+
+
+def _labels(wh, rows: list[tuple], schema: str):
+    return wh.spark.createDataFrame(rows, schema)
+
+
+def _time(wh):
+    parsed = labels.parse_time_label(F.col("label"))
+    return _labels(wh, [(r[0],) for r in TIME_LABELS], "label string").select("label", parsed.alias("p")).select("label", "p.year", "p.quarter", "p.month", "p.periodicity")
+
+
+def _round_trip(wh, code: str = "LIN101A", unit: int = 3):
+    parsed = ing.parse_lines(ing.write_lines(wh, code))
+    return ing.resolve(parsed, ing.options(wh, code), unit)
+
+
+_MARKS = [("12.5", 12.5, None), ("-3", -3.0, None), (":", None, "missing"), ("-", None, "no_data"), ("*", None, "confidential"), ("<0.5", None, "below_threshold"), ("", None, None), ("abc", None, None), ("1e3", 1000.0, None)]
+
+
+def _marks(wh):
+    value, status = ing.parse_value(F.col("cell"))
+    return _labels(wh, [(m[0],) for m in _MARKS], "cell string").select("cell", value.alias("value"), status.alias("value_status"))
+
+
+def _dedupe(wh):
+    staged = _round_trip(wh)
+    later = staged.filter("territory_id % 2 = 1").withColumns({"response": F.lit(2), "value": F.col("value") + 1})
+    return ing.last_wins(staged.unionByName(later)).select("natural_key", "value")
+
+
+def _upsert_stage(wh):
+    own = wh.facts("NUL101A")
+    changed = own.filter("territory_id < 120").withColumn("value", F.when(F.col("territory_id") % 2 == 0, F.col("value") + 1).otherwise(F.col("value")))
+    fresh = own.filter("territory_id = 110").withColumn("natural_key", F.concat(F.lit("new-"), "natural_key"))
+    return changed.unionByName(fresh)
+
+
+_LOOSE = [("Anul 1998 (provizoriu)", "ASIA regiune", 1, "TEMPORAL 19980000, TERRITORIAL 12"), ("1997", "NATION_1", 1, "TEMPORAL 19970000, TERRITORIAL 101"), ("???", "", 0, "")]
+
+
+def _loose(wh):
+    cells = _labels(wh, [(2, r[0]) for r in _LOOSE] + [(1, r[1]) for r in _LOOSE], "dim_index int, cell string")
+    return ing.match_labels(cells, ing.options(wh, "LIN101A")).select("dim_index", "cell", "kind", "member_id")
+
+
+_LOOSE_ROWS = [(2, "Anul 1998 (provizoriu)", "TEMPORAL", 19980000), (1, "ASIA regiune", "TERRITORIAL", 12), (2, "1997", "TEMPORAL", 19970000), (1, "NATION_1", "TERRITORIAL", 101)]
+
+_PLAN_DIMS = [
+    Dimension("TEMPORAL", [Option(n, f"Anul {1990 + n}") for n in range(30)]),
+    Dimension("TERRITORIAL", [Option(100 + n, f"Judet {n}") for n in range(43)]),
+    Dimension("CLASSIFICATION", [Option(1000 + n, f"Clasa {n}") for n in range(120)]),
+    Dimension("UNIT_OF_MEASURE", [Option(5000, "UM: Numar")]),
+]
+
+PAIRS = {
+    "parse_time_labels": (_time, _values(TIME_LABELS, "label, year, quarter, month, periodicity", ["VARCHAR", "INTEGER", "INTEGER", "INTEGER", "VARCHAR"])),
+    "parse_time_labels_round_trip": (
+        lambda wh: wh.time_periods.select("time_period_id", labels.parse_time_label(F.col("label_ro")).alias("p")).select("time_period_id", "p.year", "p.quarter", "p.month", "p.periodicity"),
+        "SELECT time_period_id, year, quarter, month, periodicity FROM time_periods",
+    ),
+    "resolve_territory_labels": (lambda wh: _labels(wh, [(r[0],) for r in TERRITORY_LABELS], "label string").select("label", labels.resolve_territory(F.col("label")).alias("code")), _values(TERRITORY_LABELS, "label, code", ["VARCHAR", "VARCHAR"])),
+    "infer_dimension_types": (
+        lambda wh: _labels(wh, [(r[0], r[1]) for r in DIMENSION_LABELS], "label string, options array<string>").select("label", labels.infer_dimension_type(F.col("label"), F.col("options")).alias("kind"), labels.infer_class_type(F.col("label")).alias("type_code")),
+        _values([(r[0], r[2], r[3]) for r in DIMENSION_LABELS], "label, kind, type_code", ["VARCHAR"] * 3),
+    ),
+    "normalize_labels": (
+        lambda wh: _labels(wh, [(n[0],) for n in NAMES], "label string").select("label", expr.normalize_label(F.col("label")).alias("normalized"), expr.code_from_label(F.col("label")).alias("code")),
+        _values([(n[0], n[1], n[2].replace("-", "")) for n in NAMES], "label, normalized, code", ["VARCHAR"] * 3),
+    ),
+    "content_hashes": (lambda wh: wh.territories.select("code", expr.content_hash(F.col("name")).alias("hash")), "SELECT code, sha256(upper(trim(name))) AS hash FROM territories"),
+    "parse_value_marks": (_marks, _values([(m[0], m[1] if m[1] is None else str(m[1]), m[2]) for m in _MARKS], "cell, value, value_status", ["VARCHAR", "DOUBLE", "VARCHAR"])),
+    "match_labels": (_loose, _values(_LOOSE_ROWS, "dim_index, cell, kind, member_id", ["INTEGER", "VARCHAR", "VARCHAR", "INTEGER"])),
+    "ingest_round_trip": (lambda wh: ing.last_wins(_round_trip(wh)).select("natural_key", "territory_id", "time_period_id", "value"), "SELECT natural_key, territory_id, time_period_id, value FROM statistics WHERE matrix_id = 3"),
+    "ingest_errors": (lambda wh: _round_trip(wh).groupBy("error").agg(F.count("*").alias("n")), "SELECT CAST(NULL AS VARCHAR) AS error, count(*) AS n FROM statistics WHERE matrix_id = 3"),
+    "ingest_last_wins": (_dedupe, "SELECT natural_key, CASE WHEN territory_id % 2 = 1 THEN value + 1 ELSE value END AS value FROM statistics WHERE matrix_id = 3"),
+    "upsert_classify": (
+        lambda wh: ing.classify(wh.facts("NUL101A"), _upsert_stage(wh)).groupBy("action").agg(F.count("*").alias("n")),
+        """SELECT action, count(*) AS n FROM (
+             SELECT CASE WHEN territory_id >= 120 THEN 'keep' WHEN territory_id % 2 = 0 AND value IS NOT NULL THEN 'update' ELSE 'unchanged' END AS action FROM statistics WHERE matrix_id = 5
+             UNION ALL SELECT 'insert' FROM statistics WHERE matrix_id = 5 AND territory_id = 110) GROUP BY action""",
+    ),
+    "upsert_merged": (
+        lambda wh: ing.merged(wh.facts("NUL101A"), _upsert_stage(wh)).select("natural_key", "territory_id", "value", "value_status"),
+        """SELECT natural_key, territory_id, CASE WHEN territory_id < 120 AND territory_id % 2 = 0 THEN value + 1 ELSE value END AS value, value_status FROM statistics WHERE matrix_id = 5
+           UNION ALL SELECT 'new-' || natural_key, territory_id, value, value_status FROM statistics WHERE matrix_id = 5 AND territory_id = 110""",
+    ),
+    "chunk_plan": (lambda wh: wh.spark.createDataFrame(chunk_rows("X", _PLAN_DIMS), "chunk_no int, chunk_hash string, cells long, query string"), None),
+}
