@@ -108,7 +108,7 @@ def linked(x: np.ndarray, y: np.ndarray, bits: int = BITS) -> np.ndarray:
     """Element-wise: enough equal bytes (the count filter), then few enough differing bits."""
     diff = x ^ y
     found = ((diff.view(np.uint8).reshape(*diff.shape, 8) == 0).sum(-1) >= 8 - bits).nonzero()
-    kept = np.bitwise_count(diff[found]) <= bits
+    kept = np.bitwise_count(diff[found].view(np.uint64)) <= bits  # of signed numbers it would count the absolute value
     return np.stack([f[kept] for f in found])
 
 
