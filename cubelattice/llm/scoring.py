@@ -51,6 +51,8 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def bucket(token: bytes) -> int:
+    if not token:  # the end, where no training text has shown one
+        return 0
     return (token[-1] * 7 + (token[-2] if len(token) > 1 else 0) * 31) % BUCKETS
 
 
@@ -170,7 +172,8 @@ def fit(training: DataFrame, text_col: str = "text", head: int = HEAD, known: in
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     short = counts.filter(F.octet_length("token") <= 64)
     top = short.orderBy(F.desc("c"), "token").limit(known).collect()  # at most ``known`` rows
-    top = {bytes(r[0]): r[1] for r in top}
+    ends = counts.filter(F.octet_length("token") == 0).first()  # a class of its own, however rare
+    top = ({END: ends["c"]} if ends else {}) | {bytes(r[0]): r[1] for r in top}
     heads = list(top)[:head]
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
