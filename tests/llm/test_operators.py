@@ -210,7 +210,7 @@ def test_simhash_links_across_blocks_of_long_lists(spark, monkeypatch):
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 62, 6).astype(np.int64)
     fps = sorted({int(b ^ np.bitwise_or.reduce(np.left_shift(np.int64(1), rng.choice(62, int(rng.integers(0, 6)), replace=False)), initial=np.int64(0))) for b in base for _ in range(120)})
-    df = spark.createDataFrame([(f, n) for n, f in enumerate(fps)], "fp long, rep long")
+    df = spark.createDataFrame([(f, n) for n, f in enumerate(fps)], "fp0 long, rep long")
     got = {r["node"]: r["component"] for r in components(simhash.links(df)).collect()}
     x = np.array(fps)
     pairs = [(i, j) for i in range(len(x)) for j in np.flatnonzero(np.bitwise_count((x[i] ^ x).view(np.uint64)) <= 4).tolist() if i < j]
@@ -219,6 +219,31 @@ def test_simhash_links_across_blocks_of_long_lists(spark, monkeypatch):
     assert got == {n: want[n] for n in touched}
 
 
+def similar(a, b):
+    sets = []
+    for t in (a, b):
+        w = low(t).split()
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_near_copies_go_and_clean_texts_stay(spark):
+    rng = np.random.default_rng(8)
+    words = np.array([f"w{k}" for k in range(5000)])
+    rows, copies = [], []
+    for n in range(150):
+        body = list(rng.choice(words, int(rng.integers(60, 400))))
+        rows.append((10 * n, " ".join(body)))
+        edited = list(body)
+        for k in rng.choice(len(body), max(1, len(body) // 100), replace=False):
+            edited[k] = "changed"
+        if similar(rows[-1][1], " ".join(edited)) >= 0.85:
+            copies.append((10 * n + 1, " ".join(edited)))
+    got = {r["doc_id"] for r in simhash.drop_near_duplicates(spark.createDataFrame(rows + copies, "doc_id long, text string")).collect()}
+    assert {k for k, _ in rows} <= got and len(copies) > 100
+    assert len(got - {k for k, _ in rows}) <= 0.03 * len(copies)
+
+
 def test_simhash_hard(spark, hard):
     rows = simhash.near_duplicates(hard).collect()
     assert len(rows) == len(HARD)

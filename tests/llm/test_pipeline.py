@@ -1,9 +1,11 @@
 """The pipeline against its stages in plain Python."""
 
 import corpus_pipeline
-from cubelattice.llm import language
+import numpy as np
+
+from cubelattice.llm import language, simhash
 from cubelattice.llm.common import table
-from tests.llm.test_operators import brute_components, brute_fingerprint, check_packing, low
+from tests.llm.test_operators import brute_components, check_packing, low, similar
 
 SF = "/root/testdata/sf0.01"
 
@@ -18,9 +20,16 @@ def test_pipeline(spark):
     for k, t in rows.items():
         owner[low(t)] = max(owner.get(low(t), k), k)
     rows = {k: rows[k] for k in owner.values()}
-    fps = {k: brute_fingerprint(t) for k, t in rows.items()}
-    ids = sorted(fps)
-    pairs = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if (fps[a] ^ fps[b]).bit_count() <= 4]
+    ids = sorted(rows)
+    x = np.array([simhash.fingerprint(rows[k], simhash.WIDE_SHINGLE, simhash.WIDE) for k in ids])
+    octets = x.view(np.uint8).reshape(len(x), -1)
+    pairs = []
+    for n in range(len(ids)):
+        far = np.bitwise_count(x[n] ^ x[n + 1 :]).sum(1)
+        for m in np.flatnonzero(far <= simhash.WIDE_BITS) + n + 1:
+            if any((octets[n, list(p)] == octets[m, list(p)]).all() for p in simhash.PAIRS):
+                pairs.append((ids[n], ids[m]))
+                assert similar(rows[ids[n]], rows[ids[m]]) > 0.5
     root = brute_components(ids, pairs)
     check_packing(got, {k: rows[k] for k in ids if root[k] == k})
 
