@@ -53,7 +53,8 @@ def clean_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     lines = _keyed(rows)
     cut = lines.select("id", "h", "place", "k1", "k2").join(written(boilerplate(lines, sites)), ["k1", "k2"], "left_semi")
     cut = written(cut.groupBy("id", "h").agg(F.collect_set("place").alias("cut")))
-    joined = rows.join(cut, rows["id"].eqNullSafe(cut["id"]) & (rows["h"] == cut["h"]), "left").select(rows["id"], "text", F.coalesce("cut", F.array().cast("array<int>")).alias("cut"))
+    # texts with cuts grow with the corpus, so the plan is the same at every size: a merge join, never a broadcast
+    joined = rows.join(cut.hint("merge"), rows["id"].eqNullSafe(cut["id"]) & (rows["h"] == cut["h"]), "left").select(rows["id"], "text", F.coalesce("cut", F.array().cast("array<int>")).alias("cut"))
     split = joined.select("id", split_lines(F.col("text")).alias("lines"), "cut")
     places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("cut"))
     return split.select(
