@@ -86,7 +86,7 @@ def _upsert_stage(wh):
     return changed.unionByName(fresh)
 
 
-_LOOSE = [("Anul 1998 (provizoriu)", "ASIA regiune", 1, "TEMPORAL 19980000, TERRITORIAL 12"), ("1997", "NATION_1", 1, "TEMPORAL 19970000, TERRITORIAL 101"), ("???", "", 0, "")]
+_LOOSE = [("Anul 1998 (provizoriu)", "ASIA regiune", 1, "TEMPORAL 19980000, TERRITORIAL 12"), ("1997", "Macro 1", 1, "TEMPORAL 19970000, TERRITORIAL 3"), ("???", "", 0, "")]
 
 
 def _loose(wh):
@@ -94,7 +94,7 @@ def _loose(wh):
     return ing.match_labels(cells, ing.options(wh, "LIN101A")).select("dim_index", "cell", "kind", "member_id")
 
 
-_LOOSE_ROWS = [(2, "Anul 1998 (provizoriu)", "TEMPORAL", 19980000), (1, "ASIA regiune", "TERRITORIAL", 12), (2, "1997", "TEMPORAL", 19970000), (1, "NATION_1", "TERRITORIAL", 101)]
+_LOOSE_ROWS = [(2, "Anul 1998 (provizoriu)", "TEMPORAL", 19980000), (1, "ASIA regiune", "TERRITORIAL", 12), (2, "1997", "TEMPORAL", 19970000), (1, "Macro 1", "TERRITORIAL", 3)]
 
 _PLAN_DIMS = [
     Dimension("TEMPORAL", [Option(n, f"Anul {1990 + n}") for n in range(30)]),
