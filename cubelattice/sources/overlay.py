@@ -22,11 +22,24 @@ MONEY = "decimal(18,2)"
 
 def cube(spark: SparkSession, sf_dir: str) -> Warehouse:
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    tables = {name: spark.createDataFrame(rows, schema) for name, (rows, schema) in STATIC.items()}
-    tables["territories"] = territories(read)
-    tables["time_periods"] = time_periods(read)
-    tables["statistics"] = statistics(read)
-    return Warehouse(spark, tables)
+    tables = {name: lambda rows=rows, schema=schema: inline(spark, rows, schema) for name, (rows, schema) in STATIC.items()}
+    return Warehouse(spark, tables | {"territories": lambda: territories(read), "time_periods": lambda: time_periods(read), "statistics": lambda: statistics(read)})
+
+
+def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few literal rows as an inline table, which needs no Python worker."""
+
+    def literal(x) -> str:
+        if isinstance(x, list):
+            return f"array({', '.join(map(literal, x))})"
+        if isinstance(x, str):
+            return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return "NULL" if x is None else str(x)
+
+    columns = [c.split(" ") for c in schema.split(", ")]
+    values = ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
+    shown = ", ".join(f"CAST({n} AS {k}) AS {n}" for n, k in columns)
+    return spark.sql(f"SELECT {shown} FROM VALUES {values} AS t({', '.join(n for n, _ in columns)})")
 
 
 def territories(read) -> DataFrame:

@@ -12,6 +12,8 @@ anti join over the bridge (tests hold both against each other).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,21 +28,27 @@ class NotFoundError(LookupError):
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame]):
-        self.spark, self._tables = spark, tables
+    """Tables are frames, or functions that make one at its first use."""
+
+    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]]):
+        self.spark, self._tables, self._made = spark, tables, {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self._tables:
             raise AttributeError(name)
-        return self._tables[name]
+        if name not in self._made:
+            found = self._tables[name]
+            self._made[name] = found if isinstance(found, DataFrame) else found()
+        return self._made[name]
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> Warehouse:
-        return cls(spark, {t: spark.read.parquet(f"{path}/{t}") for t in TABLES})
+        return cls(spark, {t: lambda t=t: spark.read.parquet(f"{path}/{t}") for t in TABLES})
 
     def save(self, path: str) -> None:
         """Facts go into one folder per matrix, sorted so that row groups skip by period and territory."""
-        for name, df in self._tables.items():
+        for name in self._tables:
+            df = getattr(self, name)
             if name == "statistics":
                 df.repartition("matrix_id").sortWithinPartitions("matrix_id", "time_period_id", "territory_id").write.partitionBy("matrix_id").parquet(f"{path}/{name}")
             else:
@@ -63,6 +71,6 @@ class Warehouse:
 
     def register_views(self) -> None:
         """Temporary views of all tables for ad-hoc SQL."""
-        for name, df in self._tables.items():
-            df.createOrReplaceTempView(name)
+        for name in self._tables:
+            getattr(self, name).createOrReplaceTempView(name)
         self.bridge.createOrReplaceTempView("statistic_classifications")
