@@ -9,11 +9,15 @@ spanning forest of the links (never the pairs). Posting lists over ``BLOCK`` ent
 blocks, and every pair of blocks becomes a list of its own, so no task holds an unbounded list and no
 pair is lost. Connected components of the forests give the groups.
 
-``drop_near_duplicates`` looks for a shingle similarity of 0.8 instead of a few bits. It takes five-word
-shingles and fingerprints of four 64-bit words; at similarity 0.8 about 39 of 256 bits differ, and texts
-within ``WIDE_BITS`` link. The index then holds pairs of positions: the 32 positions form six classes and
-every pair inside a class is a key, so 7 equal bytes guarantee a common list. Such pairs of texts have 8.5
-equal bytes in the mean at 0.8 and more above it: about 97 % of them meet at 0.8, 99.5 % at 0.85.
+``drop_near_duplicates`` looks for a shingle similarity (shared over all distinct shingles) of 0.8 or more
+instead of a few bits. It takes five-word shingles, without repeats, and fingerprints of four 64-bit words;
+at similarity 0.8 about 39 of 256 bits differ (deviation 6), and texts within ``WIDE_BITS`` are candidates.
+The index then holds pairs of positions: the 32 positions form ``CLASSES`` classes and every pair inside a
+class is a key. Pairs of texts have 8.6 equal bytes in the mean at 0.8 and more above it: about 97 % of them
+meet at 0.8, 99.5 % at 0.85. Candidates form coarse groups; the distinct texts of a coarse group then meet in
+one task (or, beyond ``BLOCK_BYTES`` of text, in one task per pair of blocks), where every pair within
+``WIDE_BITS`` that is not connected yet is verified by its shingle sets (64-bit hashes). Only verified links
+make groups.
 
 Words are runs of anything but space and the ASCII controls 9-13; A-Z is lower-cased; shingles repeat.
 A text of fewer words than a shingle is one shingle; a text without words (null, empty, blank) has
@@ -30,7 +34,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cubelattice.llm.common import table, written
@@ -53,17 +57,23 @@ def _triples() -> list[tuple[int, int, int]]:
     return found
 
 
+CLASSES = 6
+
+
 def _pairs() -> list[tuple[int, int]]:
-    """All pairs inside six classes of 32 positions."""
-    part = [p * 6 // 32 for p in range(32)]
+    """All pairs inside the classes of 32 positions."""
+    part = [p * CLASSES // 32 for p in range(32)]
     return [(a, b) for a, b in combinations(range(32), 2) if part[a] == part[b]]
 
 
 TRIPLES = _triples()
 PAIRS = _pairs()
 WIDE = 4
-WIDE_BITS = 47
+WIDE_BITS = 60
 WIDE_SHINGLE = 5
+#: Similarity of shingle sets from which texts are near copies, as a fraction.
+SIMILAR = (4, 5)
+BLOCK_BYTES = 16 << 20
 #: Odd constants that turn one hash into further ones.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -80,11 +90,11 @@ def spread(h: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str | None, shingle: int = 4, width: int = 1) -> np.ndarray:
-    """``width`` words of 64 bits, unsigned."""
+def hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Unsigned hash of every shingle, repeats included; none for a text without words."""
     words = (text or "").encode().lower().split()
     if not words:
-        return np.zeros(width, np.uint64)
+        return np.empty(0, np.uint64)
     flat = b" ".join(words)
     if len(words) <= shingle:
         grams = [flat]
@@ -92,14 +102,32 @@ def fingerprint(text: str | None, shingle: int = 4, width: int = 1) -> np.ndarra
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes + 1) - 1
         grams = [flat[i:j] for i, j in zip((ends - sizes)[: 1 - shingle].tolist(), ends[shingle - 1 :].tolist(), strict=True)]
+    return np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(42)), np.uint64, len(grams))
+
+
+def fingerprint(text: str | None, shingle: int = 4, width: int = 1) -> np.ndarray:
+    """``width`` words of 64 bits, unsigned; several words count every shingle once."""
+    grams = hashes(text, shingle)
+    if width > 1:
+        grams = np.unique(grams)
     total = np.zeros(64 * width, np.int64)
     for at in range(0, len(grams), 1 << 14):
-        part = grams[at : at + (1 << 14)]
-        h = spread(np.fromiter(map(xxhash.xxh64_intdigest, part, repeat(42)), np.uint64, len(part)), width)
-        total += np.unpackbits(h.view(np.uint8).reshape(len(part), -1), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        h = spread(grams[at : at + (1 << 14)], width)
+        total += np.unpackbits(h.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little").sum(0, dtype=np.int64)
     return np.packbits(total * 2 > len(grams), bitorder="little").view(np.uint64)
 
 
+def alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets of shingle hashes (distinct, sorted) are at least SIMILAR."""
+    few, many = sorted((len(x), len(y)))
+    if few * SIMILAR[1] < many * SIMILAR[0]:
+        return False
+    both = np.concatenate((x, y))
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared * SIMILAR[1] >= (few + many - shared) * SIMILAR[0]
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, width: int = 1) -> DataFrame:
     """(id, fp0, fp1, ..): the fingerprint's words as signed longs."""
     names = [f"fp{k}" for k in range(width)]
@@ -213,8 +241,17 @@ def links(fps: DataFrame, width: int = 1, bits: int = BITS, keys: list[tuple[int
         return found
 
     posted = rows.select(F.explode(F.array(*[key(n, places) for n, places in enumerate(keys)])).alias("key"), "rep", *names)
-    long_lists = posted.groupBy("key").count().filter(F.col("count") > BLOCK).select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    posted = posted.join(long_lists, "key", "left")
+    dealt = deal(posted, F.lit(1), BLOCK, "rep", *names)
+    return dealt.mapInArrow(_tally(bits, shared), "a long, b long").filter("a != b")
+
+
+def deal(posted: DataFrame, weight: Column, block: int, *columns: str) -> DataFrame:
+    """Rows (key, rep, ..) -> (list, side, ..) sorted by list: a key's rows are one list; where they weigh more
+    than ``block`` they are cut into blocks, and every pair of blocks is a list. The weighty keys are stored, so
+    Spark knows their size: it broadcasts them where they are few and merge-joins them beyond."""
+    weights = posted.groupBy("key").agg(F.sum(weight).alias("weight"))
+    long_lists = weights.filter(F.col("weight") > block).select("key", F.ceil(F.col("weight") / block).cast("int").alias("blocks"))
+    posted = posted.join(written(long_lists), "key", "left")
     own = F.pmod(F.xxhash64("rep"), F.coalesce("blocks", F.lit(1))).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1),
@@ -224,17 +261,85 @@ def links(fps: DataFrame, width: int = 1, bits: int = BITS, keys: list[tuple[int
         ),
     )
     whole = F.array(F.struct(F.col("key").alias("list"), F.lit(0).alias("side")))
-    dealt = posted.select("rep", *names, F.explode(F.when(F.col("blocks").isNull(), whole).otherwise(pairs)).alias("x"))
-    dealt = dealt.select("x.list", "x.side", "rep", *names).repartition("list").sortWithinPartitions("list")
-    return dealt.mapInArrow(_tally(bits, shared), "a long, b long").filter("a != b")
+    dealt = posted.select(*columns, F.explode(F.when(F.col("blocks").isNull(), whole).otherwise(pairs)).alias("x"))
+    return dealt.select("x.list", "x.side", *columns).repartition("list").sortWithinPartitions("list")
 
 
-def grouped(df: DataFrame, id_col: str, text_col: str, shingle: int, width: int, bits: int, keys: list[tuple[int, ...]]) -> DataFrame:
-    """(id, fp0, .., component) of every row."""
-    names = [f"fp{k}" for k in range(width)]
+def _verify(bits: int, shingle: int):
+    """Rows (list, side, rep, fp0, .., text) sorted by list -> spanning edges of the pairs whose shingle sets
+    are alike. Rows are taken in growing steps, so a large group is connected early and its other pairs
+    need no look."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for (lists, side, rep, *words, text), last in _whole_lists(batches):
+            fp = np.ascontiguousarray(np.stack(words, axis=1)).view(np.uint64)
+            starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]]).tolist()
+            for s, e in zip(starts, [*starts[1:], len(lists)], strict=True):
+                own = np.arange(s, e)
+                left = own[side[s:e] <= 1]
+                right = left if side[s] == 0 else own[side[s:e] == 2]
+                _connect(forest, left, right, fp, rep, text, bits, shingle)
+            if len(forest.up) > FOREST or last:
+                if forest.up:
+                    yield forest.edges()
+                forest = Forest()
+
+    return run
+
+
+def _connect(forest: Forest, left: np.ndarray, right: np.ndarray, fp: np.ndarray, rep: np.ndarray, text: np.ndarray, bits: int, shingle: int) -> None:
+    sets: dict[int, np.ndarray] = {}
+
+    def of(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = np.unique(hashes(text[k], shingle))
+        return sets[k]
+
+    def roots(rows: np.ndarray) -> np.ndarray:
+        return np.array([forest.find(x) for x in rep[rows].tolist()], np.int64)
+
+    same, at, step = left is right, 0, 1
+    ends = roots(right)
+    while at < len(left):
+        rows = left[at : at + step]
+        others = right[at + 1 :] if same else right
+        starts = roots(rows)
+        far = np.bitwise_count(fp[rows][:, None] ^ fp[others][None, :]).sum(-1, dtype=np.int64)
+        found = (far <= bits) & (starts[:, None] != (ends[at + 1 :] if same else ends)[None, :])
+        i, j = found.nonzero()
+        changed = False
+        for n in np.argsort(far[i, j], kind="stable").tolist():
+            x, y = int(rows[i[n]]), int(others[j[n]])
+            a, b = int(rep[x]), int(rep[y])
+            if forest.find(a) != forest.find(b) and alike(of(x), of(y)):
+                forest.link(a, b)
+                changed = True
+        if changed:
+            ends = roots(right)
+        at, step = at + step, min(step * 2, 128)
+
+
+def verified(df: DataFrame, distinct: DataFrame, coarse: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Coarse groups (node, component) of representatives -> (a, b) edges that span all their links of texts
+    with alike shingle sets."""
+    names = [f"fp{k}" for k in range(WIDE)]
+    nodes = written(coarse.join(distinct, coarse["node"] == distinct["rep"]).select(F.col("component").alias("key"), "rep", *names))
+    texts = df.select(F.col(id_col).cast("long").alias("rep"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    members = written(nodes.join(texts, "rep"))
+    dealt = deal(members, F.octet_length("text") + 64, BLOCK_BYTES, "rep", *names, "text")
+    return dealt.mapInArrow(_verify(WIDE_BITS, WIDE_SHINGLE), "a long, b long").filter("a != b")
+
+
+def nodes_of(df: DataFrame, id_col: str, text_col: str, shingle: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """(id, fp0, ..) of every row, and (fp0, .., rep, n) of every distinct fingerprint."""
     fps = written(fingerprints(df, id_col, text_col, shingle, width))
-    distinct = written(fps.groupBy(*names).agg(F.min("id").alias("rep"), F.count("*").alias("n")))
-    found = components(links(distinct, width, bits, keys))
+    return fps, written(fps.groupBy(*[f"fp{k}" for k in range(width)]).agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+
+
+def grouped(fps: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, fp0, .., component) of every row."""
+    names = fps.columns[1:]
     known = distinct.join(found, distinct["rep"] == found["node"], "left").filter("n > 1 or node is not null or rep is null")
     known = written(known.select(*names, "rep", F.coalesce("component", "rep").alias("component")))
     joined = fps.join(known, names, "left")
@@ -243,14 +348,18 @@ def grouped(df: DataFrame, id_col: str, text_col: str, shingle: int, width: int,
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
     """One row per input row: identifier, fingerprint (16 hex digits), component_id."""
-    found = grouped(df, id_col, text_col, shingle, 1, BITS, TRIPLES)
+    fps, distinct = nodes_of(df, id_col, text_col, shingle, 1)
+    found = grouped(fps, distinct, components(links(distinct)))
     return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of similar texts stays: the one with the smallest identifier. Rows without
     identifier stay."""
-    lost = grouped(df, id_col, text_col, WIDE_SHINGLE, WIDE, WIDE_BITS, PAIRS).filter("component != id").select(F.col("id").alias(id_col))
+    fps, distinct = nodes_of(df, id_col, text_col, WIDE_SHINGLE, WIDE)
+    coarse = components(links(distinct, WIDE, WIDE_BITS, PAIRS))
+    found = components(verified(df, distinct, coarse, id_col, text_col))
+    lost = grouped(fps, distinct, found).filter("component != id").select(F.col("id").alias(id_col))
     return df.join(lost.distinct(), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
 
 

@@ -244,6 +244,30 @@ def test_near_copies_go_and_clean_texts_stay(spark):
     assert len(got - {k for k, _ in rows}) <= 0.03 * len(copies)
 
 
+def test_verified_links_are_those_of_alike_sets(spark, monkeypatch):
+    """One coarse group of texts in chains of edits, whole and cut into blocks: components of all pairs at 0.8."""
+    rng = np.random.default_rng(3)
+    words, rows = np.array([f"w{k}" for k in range(900)]), []
+    for n in range(6):
+        body = list(rng.choice(words, 120))
+        for k in range(40):
+            rows.append((len(rows), " ".join(body)))
+            for at in rng.choice(120, 1 + k % 5, replace=False):
+                body[at] = f"v{n}x{k}"
+    rows += [(len(rows) + k, t) for k, t in enumerate(["", "one", "one two"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    fps, distinct = simhash.nodes_of(df, "doc_id", "text", simhash.WIDE_SHINGLE, simhash.WIDE)
+    coarse = distinct.selectExpr("rep as node", "0L as component")
+    pairs = [(a, b) for a, s in rows for b, t in rows if a < b and similar(s, t) >= 0.8]
+    want = brute_components([k for k, _ in rows], pairs)
+    touched = {n for p in pairs for n in p}
+    assert 20 < len(touched) and len(set(want.values())) > 20
+    for block in (simhash.BLOCK_BYTES, 20_000):
+        monkeypatch.setattr(simhash, "BLOCK_BYTES", block)
+        found = components(simhash.verified(df, distinct, coarse, "doc_id", "text")).collect()
+        assert {r["node"]: r["component"] for r in found} == {n: want[n] for n in touched}
+
+
 def test_simhash_hard(spark, hard):
     rows = simhash.near_duplicates(hard).collect()
     assert len(rows) == len(HARD)

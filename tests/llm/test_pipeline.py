@@ -23,13 +23,12 @@ def test_pipeline(spark):
     ids = sorted(rows)
     x = np.array([simhash.fingerprint(rows[k], simhash.WIDE_SHINGLE, simhash.WIDE) for k in ids])
     octets = x.view(np.uint8).reshape(len(x), -1)
-    pairs = []
-    for n in range(len(ids)):
-        far = np.bitwise_count(x[n] ^ x[n + 1 :]).sum(1)
-        for m in np.flatnonzero(far <= simhash.WIDE_BITS) + n + 1:
-            if any((octets[n, list(p)] == octets[m, list(p)]).all() for p in simhash.PAIRS):
-                pairs.append((ids[n], ids[m]))
-                assert similar(rows[ids[n]], rows[ids[m]]) > 0.5
+    near = [(n, int(m)) for n in range(len(ids)) for m in np.flatnonzero(np.bitwise_count(x[n] ^ x[n + 1 :]).sum(1) <= simhash.WIDE_BITS) + n + 1]
+    meet = [(n, m) for n, m in near if any((octets[n, list(p)] == octets[m, list(p)]).all() for p in simhash.PAIRS)]
+    coarse = brute_components(range(len(ids)), meet)
+    pairs = [(ids[n], ids[m]) for n, m in near if coarse[n] == coarse[m] and similar(rows[ids[n]], rows[ids[m]]) >= 0.8]
+    alike = sum(similar(rows[ids[n]], rows[ids[m]]) >= 0.8 for n, m in near)
+    assert pairs and len(pairs) >= 0.97 * alike
     root = brute_components(ids, pairs)
     check_packing(got, {k: rows[k] for k in ids if root[k] == k})
 
