@@ -326,7 +326,7 @@ def verified(df: DataFrame, distinct: DataFrame, coarse: DataFrame, id_col: str,
     names = [f"fp{k}" for k in range(WIDE)]
     nodes = written(coarse.join(distinct, coarse["node"] == distinct["rep"]).select(F.col("component").alias("key"), "rep", *names))
     texts = df.select(F.col(id_col).cast("long").alias("rep"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    members = written(nodes.join(texts, "rep"))
+    members = written(nodes.hint("merge").join(texts, "rep"))
     dealt = deal(members, F.octet_length("text") + 64, BLOCK_BYTES, "rep", *names, "text")
     return dealt.mapInArrow(_verify(WIDE_BITS, WIDE_SHINGLE), "a long, b long").filter("a != b")
 
@@ -355,12 +355,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of similar texts stays: the one with the smallest identifier. Rows without
-    identifier stay."""
+    identifier stay. Texts are always merge-joined, so the plan is the same at every size."""
     fps, distinct = nodes_of(df, id_col, text_col, WIDE_SHINGLE, WIDE)
     coarse = components(links(distinct, WIDE, WIDE_BITS, PAIRS))
     found = components(verified(df, distinct, coarse, id_col, text_col))
     lost = grouped(fps, distinct, found).filter("component != id").select(F.col("id").alias(id_col))
-    return df.join(lost.distinct(), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    return df.join(lost.distinct().hint("merge"), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
