@@ -17,7 +17,11 @@ class is a key. Pairs of texts have 8.6 equal bytes in the mean at 0.8 and more
 meet at 0.8, 99.5 % at 0.85. Candidates form coarse groups; the distinct texts of a coarse group then meet in
 one task (or, beyond ``BLOCK_BYTES`` of text, in one task per pair of blocks), where every pair within
 ``WIDE_BITS`` that is not connected yet is verified by its shingle sets (64-bit hashes). Only verified links
-make groups.
+make groups. What this way loses, an exact one finds (``missed``): of n shingles in one order for all texts, two
+texts at 0.8 or more share one among their first n - ceil(0.8 n) + 1. Texts of different groups that share such
+a shingle are compared by bounds that no pair at 0.8 breaks (sizes, place of the shingle, parities and counts of
+shingles per class), and what is left is verified like the others, without ``WIDE_BITS``. The order puts shingles
+that are frequent in a sample last; it decides the cost, never the result.
 
 Words are runs of anything but space and the ASCII controls 9-13; A-Z is lower-cased; shingles repeat.
 A text of fewer words than a shingle is one shingle; a text without words (null, empty, blank) has
@@ -74,6 +78,10 @@ WIDE_SHINGLE = 5
 #: Similarity of shingle sets from which texts are near copies, as a fraction.
 SIMILAR = (4, 5)
 BLOCK_BYTES = 16 << 20
+#: The frequent shingles of one row in ``SAMPLED`` come last in the order of prefixes; ``COMMON`` of them at most.
+SAMPLED = 16
+COMMON = 1 << 16
+COUNTS = 256
 #: Odd constants that turn one hash into further ones.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -320,15 +328,133 @@ def _connect(forest: Forest, left: np.ndarray, right: np.ndarray, fp: np.ndarray
         at, step = at + step, min(step * 2, 128)
 
 
-def verified(df: DataFrame, distinct: DataFrame, coarse: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def verified(df: DataFrame, distinct: DataFrame, coarse: DataFrame, id_col: str, text_col: str, bits: int = WIDE_BITS) -> DataFrame:
     """Coarse groups (node, component) of representatives -> (a, b) edges that span all their links of texts
-    with alike shingle sets."""
+    with alike shingle sets and at most ``bits`` differing bits."""
     names = [f"fp{k}" for k in range(WIDE)]
     nodes = written(coarse.join(distinct, coarse["node"] == distinct["rep"]).select(F.col("component").alias("key"), "rep", *names))
     texts = df.select(F.col(id_col).cast("long").alias("rep"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     members = written(nodes.hint("merge").join(texts, "rep"))
     dealt = deal(members, F.octet_length("text") + 64, BLOCK_BYTES, "rep", *names, "text")
-    return dealt.mapInArrow(_verify(WIDE_BITS, WIDE_SHINGLE), "a long, b long").filter("a != b")
+    return dealt.mapInArrow(_verify(bits, WIDE_SHINGLE), "a long, b long").filter("a != b")
+
+
+def common_shingles(df: DataFrame, text_col: str, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) of shingles that are frequent in a sample of the rows, and their counts there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(hashes(x, shingle)) for x in batch.column(0).to_pylist()]
+            h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    text = F.col(text_col).cast("string")
+    counts = df.select(text.alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).mapInArrow(run, "h long, n long")
+    rows = counts.groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 4").orderBy(F.desc("n"), "h").limit(COMMON).collect()
+    h, n = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
+    return h[np.argsort(h)], n[np.argsort(h)]
+
+
+def prefix(grams: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first n - ceil(SIMILAR n) + 1 of n distinct hashes: the rare ones first, ties by hash."""
+    rank = np.zeros(len(grams), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, grams), len(common) - 1)
+        rank = np.where(common[at] == grams, often[at], 0)
+    n = len(grams)
+    return grams[np.lexsort((grams, rank))[: n + SIMILAR[0] * -n // SIMILAR[1] + 1]] if n else grams
+
+
+def prefixes(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(rep, n, parity, counts, prefix) of every text with words: the number of distinct shingles, the parity of
+    64 classes of them as bits, the numbers (up to 255) in ``COUNTS`` classes as bytes, and the prefix."""
+    common, often = common_shingles(df, text_col, shingle)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                rows = []
+                for rep, text in zip(batch.column(0)[at : at + 512].to_pylist(), batch.column(1)[at : at + 512].to_pylist(), strict=True):
+                    if len(grams := np.unique(hashes(text, shingle))):
+                        counts = np.bincount((grams >> np.uint64(48)).astype(np.int64) % COUNTS, minlength=COUNTS)
+                        odd = np.packbits(counts.reshape(-1, 64).sum(0) % 2 == 1, bitorder="little").view(np.int64)
+                        rows.append((rep, len(grams), int(odd[0]), np.minimum(counts, 255).astype(np.uint8).tobytes(), prefix(grams, common, often).view(np.int64)))
+                columns = list(zip(*rows, strict=True)) or [[]] * 5
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["rep", "n", "parity", "counts", "prefix"])
+
+    texts = df.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string")).filter("rep is not null")
+    return texts.mapInArrow(run, "rep long, n int, parity long, counts binary, prefix array<long>")
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (list, side, rep, component, n, pos, parity) sorted by list -> pairs of different components that may
+    be alike. The bounds hold at the first shingle that two prefixes share, so each alike pair passes there."""
+    few, many = SIMILAR
+    for (lists, side, rep, component, n, pos, parity), _ in _whole_lists(batches):
+        n, pos, parity = n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64)
+        left_over = n - pos
+        starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]]).tolist()
+        out: list[np.ndarray] = []
+        held = 0
+
+        def drain(out: list[np.ndarray]) -> pa.RecordBatch:
+            pairs = np.unique(np.concatenate(out), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        for s, e in zip(starts, [*starts[1:], len(lists)], strict=True):
+            own = np.arange(s, e)
+            left = own[side[s:e] <= 1]
+            right = left if side[s] == 0 else own[side[s:e] == 2]
+            for at in range(0, len(left), 128):
+                x, y = left[at : at + 128][:, None], right[None, :]
+                both = n[x] + n[y]
+                # shared >= few / (few + many) of both; so at most (many - few) / (few + many) of both differ
+                found = (component[x] != component[y]) & (np.minimum(n[x], n[y]) * many >= np.maximum(n[x], n[y]) * few)
+                found &= np.minimum(left_over[x], left_over[y]) * (few + many) >= both * few
+                found &= np.bitwise_count(parity[x] ^ parity[y]).astype(np.int64) * (few + many) <= both * (many - few)
+                if side[s] == 0:
+                    found &= x < y
+                i, j = found.nonzero()
+                if len(i):
+                    a, b = rep[x[i, 0]], rep[y[0, j]]
+                    out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+                    held += len(i)
+                    if held > FOREST:
+                        yield drain(out)
+                        out, held = [], 0
+        if out:
+            yield drain(out)
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, n, m, counts, others) -> the pairs (a, b) that the counts per class leave."""
+    few, many = SIMILAR
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, COUNTS).astype(np.int16) for k in (4, 5))
+        both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
+        kept = np.abs(x - y).sum(1, dtype=np.int64) * (few + many) <= both * (many - few)
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(kept)) for c in batch.columns[:2]], names=["a", "b"])
+
+
+def candidates(df: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, component) of every row -> pairs (a, b) of identifiers in different components, among them all whose
+    texts are alike."""
+    placed = written(prefixes(df, id_col, text_col, WIDE_SHINGLE).join(first.hint("merge"), F.col("rep") == F.col("id")).drop("id"))
+    posted = placed.select(F.posexplode("prefix").alias("pos", "key"), "rep", "component", "n", "parity")
+    mixed = posted.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    shared = written(posted.join(mixed.hint("merge"), "key"))
+    pairs = deal(shared, F.lit(1), BLOCK, "rep", "component", "n", "pos", "parity").mapInArrow(_candidates, "a long, b long").distinct()
+    of = placed.select("rep", "n", "counts")
+    pairs = pairs.join(of.toDF("a", "n", "counts").hint("merge"), "a").join(of.toDF("b", "m", "others").hint("merge"), "b")
+    return written(pairs.select("a", "b", "n", "m", "counts", "others").mapInArrow(_near, "a long, b long"))
+
+
+def missed(df: DataFrame, fps: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(a, b) edges that span the links of alike texts in different components of ``first`` (id, component)."""
+    nodes = fps.filter("id is not null").withColumnRenamed("id", "rep")
+    coarse = components(candidates(df, first, id_col, text_col))
+    return verified(df, nodes, coarse, id_col, text_col, 64 * WIDE)
 
 
 def nodes_of(df: DataFrame, id_col: str, text_col: str, shingle: int, width: int) -> tuple[DataFrame, DataFrame]:
@@ -359,7 +485,9 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     fps, distinct = nodes_of(df, id_col, text_col, WIDE_SHINGLE, WIDE)
     coarse = components(links(distinct, WIDE, WIDE_BITS, PAIRS))
     found = components(verified(df, distinct, coarse, id_col, text_col))
-    lost = grouped(fps, distinct, found).filter("component != id").select(F.col("id").alias(id_col))
+    first = written(grouped(fps, distinct, found).filter("id is not null").select("id", "component"))
+    found = components(first.toDF("a", "b").union(missed(df, fps, first, id_col, text_col)))
+    lost = found.filter("component != node").select(F.col("node").alias(id_col))
     return df.join(lost.distinct().hint("merge"), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
 
 

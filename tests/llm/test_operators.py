@@ -244,6 +244,28 @@ def test_near_copies_go_and_clean_texts_stay(spark):
     assert len(got - {k for k, _ in rows}) <= 0.03 * len(copies)
 
 
+def test_no_link_at_the_least_similarity_is_lost(spark):
+    """Pairs at 0.8 or little more, short and long: the groups are those of all pairs by shingle sets."""
+    rng = np.random.default_rng(11)
+    words, rows = np.array([f"w{k}" for k in range(4000)]), []
+    for n in range(400):
+        body = list(rng.choice(words, (8, 9, 13, 49, 58)[n % 5]))
+        rows.append((len(rows), " ".join(body)))
+        # one shingle more; or the edges of the text changed until similarity is just 0.8
+        if n % 5 < 2:
+            rows.append((len(rows), " ".join([*body, f"x{n}"])))
+        else:
+            k = {13: 1, 49: 5, 58: 6}[len(body)]
+            rows.append((len(rows), " ".join([*body[k:], *[f"x{n}y{i}" for i in range(k)]])))
+    rows += [(len(rows) + k, t) for k, t in enumerate(["", "one", "one two", "One  two"])]
+    pairs = [(a, b) for a, s in rows for b, t in rows[a + 1 :] if set(s.lower().split()) & set(t.lower().split()) and similar(s, t) >= 0.8]
+    root = brute_components([k for k, _ in rows], pairs)
+    want = {k for k, _ in rows if root[k] == k}
+    assert len(rows) - len(want) > 300
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.drop_near_duplicates(df).collect()} == want
+
+
 def test_verified_links_are_those_of_alike_sets(spark, monkeypatch):
     """One coarse group of texts in chains of edits, whole and cut into blocks: components of all pairs at 0.8."""
     rng = np.random.default_rng(3)
