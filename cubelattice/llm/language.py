@@ -130,6 +130,13 @@ class Classifier:
         return out, score
 
 
+class Unlearned:
+    """Stands in where no language was learned: tells texts with a letter from others."""
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        return ["any" if x and LETTER.search(x) else UNKNOWN for x in texts], np.zeros(len(texts))
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Classifier:
     """Learn from rows with a text and a language."""
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
@@ -151,7 +158,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     return Classifier(texts, langs)
 
 
-def identify(df: DataFrame, model: Classifier, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def identify(df: DataFrame, model: Classifier | Unlearned, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Identifier, lang_pred, score, and the columns of ``keep`` unchanged."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +186,9 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows whose text has an identified language, all columns unchanged; texts without a letter go.
 
     It learns from the rows that op10 learns from. No score is too low to stay: a document in a language
-    that the labels lack is not junk."""
+    that the labels lack is not junk. Where no language was learned, texts with a letter stay."""
     model = fit(docs.filter(~held_out()))
+    model = model if model.langs else Unlearned()
     others = tuple(c for c in docs.columns if c != "doc_id")
     found = identify(docs, model, keep=others)
     kept = found.toDF("doc_id", "pred", "share", *others) if "lang_pred" in others or "score" in others else found

@@ -507,3 +507,9 @@ def test_language_hard(spark, hard):
     assert language.identify(empty(spark), model).count() == 0
     kept = language.keep_identified(hard)
     assert kept.columns == hard.columns and {r["doc_id"] for r in kept.collect()} == {4, 5, 8, 9, 10, 11, None}
+
+
+def test_texts_with_letters_stay_where_no_language_was_learned(spark):
+    rows = [(1, "some words", None), (2, "12 34", None), (3, None, None), (4, "și încă", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in language.keep_identified(docs).collect()} == {1, 4}
