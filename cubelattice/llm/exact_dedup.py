@@ -23,7 +23,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cubelattice.llm.common import lower_ascii, table
@@ -235,9 +235,15 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """The input's rows that own their text, all columns; rows without identifier stay."""
-    lost = exact_duplicates(df, id_col, text_col, keep).filter(f"not kept and `{id_col}` is not null").select(id_col)
-    return df.join(lost.distinct(), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    """The input's rows that own their text, all columns; rows without identifier stay. Rows are told by identifier
+    and text, and of rows that repeat both one stays."""
+    lost = exact_duplicates(df, id_col, text_col, keep).filter(f"not kept and `{id_col}` is not null").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_text"))
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    rows = df.select(own, F.col(f"`{id_col}`").cast("long").alias("_id"), F.sha2(F.encode(lower_ascii(F.col(text_col)), "UTF-8"), 256).alias("_text"))
+    left = rows.join(lost.distinct().hint("merge"), ["_id", "_text"], "left_anti")
+    # the merge join has dealt the rows by these columns, so the window shuffles nothing
+    nth = F.row_number().over(Window.partitionBy("_id", "_text").orderBy(F.lit(0)))
+    return left.withColumn("_nth", nth).filter("_nth = 1 or _id is null").select("_row.*")
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:

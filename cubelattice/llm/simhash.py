@@ -481,7 +481,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group of similar texts stays: the one with the smallest identifier. Rows without
-    identifier stay. Texts are always merge-joined, so the plan is the same at every size."""
+    identifier stay. Texts are always merge-joined, so the plan is the same at every size. Where identifiers repeat,
+    rows are told by numbers in the order of the identifiers, so each row has a fate of its own."""
+    if not df.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").isEmpty():
+        rows = df.repartitionByRange(id_col).sortWithinPartitions(id_col)
+        rows = written(rows.withColumn("_row", F.when(F.col(id_col).isNotNull(), F.monotonically_increasing_id())))
+        return drop_near_duplicates(rows, "_row", text_col).drop("_row")
     fps, distinct = nodes_of(df, id_col, text_col, WIDE_SHINGLE, WIDE)
     coarse = components(links(distinct, WIDE, WIDE_BITS, PAIRS))
     found = components(verified(df, distinct, coarse, id_col, text_col))

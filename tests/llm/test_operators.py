@@ -513,3 +513,15 @@ def test_texts_with_letters_stay_where_no_language_was_learned(spark):
     rows = [(1, "some words", None), (2, "12 34", None), (3, None, None), (4, "și încă", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {r["doc_id"] for r in language.keep_identified(docs).collect()} == {1, 4}
+
+
+def test_dropping_stages_tell_rows_by_identifier_and_text(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = " ".join([*words, "more"])
+    rows = [(1, "a b"), (5, "a b"), (5, "own text"), (7, "twice"), (7, "twice"), (None, "twice"), (8, " ".join(words)), (9, near), (9, "own of nine"), (9, "own of nine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = [r for r in rows if r not in {(5, "a b"), (7, "twice"), (9, "own of nine")}] + [(7, "twice"), (9, "own of nine")]
+    order = lambda found: sorted(map(str, found))
+    assert order(tuple(r) for r in exact_dedup.drop_exact_duplicates(docs, keep="largest").collect()) == order([r for r in known if r != (1, "a b")] + [(5, "a b")])
+    assert order(tuple(r) for r in exact_dedup.drop_exact_duplicates(docs, keep="smallest").collect()) == order(known)
+    assert order(tuple(r) for r in simhash.drop_near_duplicates(docs).collect()) == order([r for r in known if r != (9, near)])
