@@ -7,7 +7,7 @@ of ``sample`` labelled texts per language gives one weight vector per language.
 a 0/1 matrix, then kernel values with every landmark, then one decision value per language: two matrix
 products. Whole texts are read, in blocks.
 
-The sample is taken by a hash of the identifier, with a rate per language from counts over all training
+The sample is taken by a hash of identifier and text, with a rate per language from counts over all training
 rows, and is read by the driver (at most about 2 x ``sample`` rows per language). The model (landmark
 n-grams and weights, some hundred kilobytes) travels with the tasks.
 
@@ -143,11 +143,11 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).alias("lang")).count().collect()}  # a row per language
     if not counts:
         return Classifier([], [])
-    at = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30))
+    at = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30))
     limit: Column = F.lit(0)
     for lang, n in counts.items():
         limit = F.when(F.col(lang_col) == lang, int(min(1.0, 2 * sample / n) * (1 << 30))).otherwise(limit)
-    found = rows.filter(at < limit).select(F.col(lang_col), F.col(text_col), at.alias("at")).collect()
+    found = rows.filter(at < limit).select(F.col(lang_col), F.col(text_col), at.alias("at")).distinct().collect()
     found = sorted({(r[0], r[1]): r for r in found}.values(), key=lambda r: (r[2], r[0], r[1]))
     texts, langs, taken = [], [], dict.fromkeys(counts, 0)
     for lang, text, _ in found:

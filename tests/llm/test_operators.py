@@ -525,3 +525,11 @@ def test_dropping_stages_tell_rows_by_identifier_and_text(spark):
     assert order(tuple(r) for r in exact_dedup.drop_exact_duplicates(docs, keep="largest").collect()) == order([r for r in known if r != (1, "a b")] + [(5, "a b")])
     assert order(tuple(r) for r in exact_dedup.drop_exact_duplicates(docs, keep="smallest").collect()) == order(known)
     assert order(tuple(r) for r in simhash.drop_near_duplicates(docs).collect()) == order([r for r in known if r != (9, near)])
+
+
+def test_sample_is_not_all_rows_without_identifier(spark, monkeypatch):
+    rows = [(n if n % 2 else None, f"text number {n}", "en") for n in range(2000)] + [(None, "repeated text", "en")] * 100
+    monkeypatch.setattr(language, "Classifier", lambda texts, langs: texts)
+    found = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=30)
+    odd = sum(int(t.split()[-1]) % 2 for t in found if t != "repeated text")
+    assert 0 < odd < len(found) and len(set(found)) == len(found)
