@@ -2,42 +2,83 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Folders of the intermediate tables that this process has written and not removed yet.
+_TABLES: list[str] = []
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """A top-level column by its name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only; a null counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir. Only a
-    session without one (a test in local mode) gets a temporary folder, which it then keeps."""
+    """The folder that driver and executors share: the session's spark.checkpoint.dir. A session in local mode
+    that has none (a test) gets a temporary folder, which it then keeps; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cubelattice-"))
         found = spark.sparkContext.getCheckpointDir()
     return found
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a Parquet table in the shared folder: compressed and columnar, for wide rows."""
+    """Cut the lineage with a Parquet table in the shared folder. It stays until ``intermediate`` or ``release``
+    removes it."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Remove the intermediate tables written after the first ``since``; frames that read them end with them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    gone = [p for p in _TABLES[since:] if p not in keep]
+    for path in gone:
+        place = hadoop(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _TABLES[since:] = [p for p in _TABLES[since:] if p in keep]
+
+
+@contextmanager
+def intermediate(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A scope for tables that only its inside needs. It gives a function that writes a frame to a table which
+    outlives the scope; all others written inside are removed at its end."""
+    since, kept = len(_TABLES), []
+
+    def keep(df: DataFrame) -> DataFrame:
+        found = written(df)
+        kept.append(_TABLES[-1])
+        return found
+
+    try:
+        yield keep
+    finally:
+        release(spark, since, tuple(kept))
+
+
+def task_dir() -> str | None:
+    """A folder for a task's private files: the first of Spark's local folders, else Python's default."""
+    return next((d for d in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if os.path.isdir(d)), None)
