@@ -1,15 +1,20 @@
 """Line deduplication by distinct-site spread.
 
 A line (trimmed of spaces, tabs and returns; blank lines take no part) is boilerplate when it stands on
-``sites`` or more distinct sites, here the documents' sources. Each line hash gets a HyperLogLog sketch
-of its sites by aggregation: sketches are built per task and merged, so a line in a third of all rows
-crosses the shuffle once per task. Estimates clearly away from the threshold decide at once; lines near
-it get an exact distinct count of their sites. The margin is over six standard errors of the sketch, so
-decisions are those of exact counts. Boilerplate lines are then cut from every document that has them.
-
-A line's hash is a pair of independent hashes, 96 bits. A null text counts as empty, a null site as no
-site. Rows that repeat identifier and text are treated alike. A document whose lines all go becomes
-empty. An empty table gives an empty result; other columns take no part.
+``sites`` or more distinct sites, here the documents' sources. Exact copies of a text count once, with the
+smallest of their sites: copies are left to exact deduplication, so a text is not emptied because it was
+copied. Each line hash gets a HyperLogLog sketch of its sites by aggregation: sketches are built per task
+and merged, so a line in a third of all rows crosses the shuffle once per task. Estimates clearly away from
+the threshold decide at once; lines near it get an exact distinct count of their sites. The margin is over
+six standard errors of the sketch, so decisions are those of exact counts. Boilerplate lines are then cut
+from every document that has them.
+
+The lines' hashes are stored once, and the sketches, the exact counts and the cuts read that table. A
+line's hash is a pair of independent hashes, 96 bits; a row is told by its identifier and the MD5 of its
+text, so only rows that repeat both are treated alike. A null text counts as empty, a null site as no site,
+a null identifier is one like any other. A document whose lines all go becomes empty. Texts are split
+whole, however long; a row's lines must fit in memory. An empty table gives an empty result; other columns,
+whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import table, written
+from cubelattice.llm.common import quoted, table, written
 
 SITES = 10
 LG_K = 12
@@ -38,19 +43,21 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
     """(k1, k2) of the lines on at least ``sites`` sites."""
-    spread = lines.groupBy("k1", "k2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("about"))
+    placed = lines.groupBy("k1", "k2", "h").agg(F.min("site").alias("site"))
+    spread = placed.groupBy("k1", "k2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", LG_K)).alias("about"))
     low, high = sites * (1 - MARGIN) - 1, sites * (1 + MARGIN) + 1
     spread = written(spread.filter(F.col("about") >= low))
     near = spread.filter(F.col("about") <= high).select("k1", "k2")
-    exact = lines.select("k1", "k2", "site").join(near, ["k1", "k2"], "left_semi").filter("site is not null").distinct()
+    exact = placed.select("k1", "k2", "site").join(near, ["k1", "k2"], "left_semi").filter("site is not null").distinct()
     exact = exact.groupBy("k1", "k2").count().filter(F.col("count") >= sites).select("k1", "k2")
     return spread.filter(F.col("about") > high).select("k1", "k2").union(exact)
 
 
 def clean_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source", sites: int = SITES) -> DataFrame:
     """One row per input row: identifier, n_lines (not blank), n_removed, clean_text."""
-    rows = df.select(F.col(id_col).alias("id"), F.hash(F.col(text_col)).alias("h"), F.col(site_col).alias("site"), F.col(text_col).cast("string").alias("text"))
-    lines = _keyed(rows)
+    text = quoted(text_col).cast("string")
+    rows = df.select(quoted(id_col).alias("id"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("h"), quoted(site_col).alias("site"), text.alias("text"))
+    lines = written(_keyed(rows))
     cut = lines.select("id", "h", "place", "k1", "k2").join(written(boilerplate(lines, sites)), ["k1", "k2"], "left_semi")
     cut = written(cut.groupBy("id", "h").agg(F.collect_set("place").alias("cut")))
     # texts with cuts grow with the corpus, so the plan is the same at every size: a merge join, never a broadcast
@@ -71,15 +78,16 @@ def op7_lines(spark, sf_dir: str) -> DataFrame:
 
 
 ORACLE = f"""
-WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-lines AS (SELECT r, source, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM docs),
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS body, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT r, source, body, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM docs),
 keyed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS k FROM lines),
-wide AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {SITES}),
+placed AS (SELECT k, body, min(source) AS source FROM keyed WHERE k <> '' GROUP BY k, body),
+wide AS (SELECT k FROM placed GROUP BY k HAVING count(DISTINCT source) >= {SITES}),
 marked AS (SELECT *, k IN (SELECT k FROM wide) AS gone FROM keyed),
 clean AS (
   SELECT r, count(*) FILTER (k <> '') AS n_lines, count(*) FILTER (gone) AS n_removed,
          coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS body
   FROM marked GROUP BY r
 )
-SELECT doc_id, n_lines, n_removed, length(body) AS clean_chars, sha256(body) AS clean_sha256 FROM docs JOIN clean USING (r)
+SELECT doc_id, n_lines, n_removed, length(clean.body) AS clean_chars, sha256(clean.body) AS clean_sha256 FROM docs JOIN clean USING (r)
 """
