@@ -17,4 +17,4 @@ QUERIES = {
     "op10_language": language.op10_language,
 }
 
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op7_lines": lines.ORACLE, "op8_licenses": licenses.ORACLE}
+ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_sharding": sharding.ORACLE, "op7_lines": lines.ORACLE, "op8_licenses": licenses.ORACLE}

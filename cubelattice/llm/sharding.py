@@ -5,11 +5,12 @@ moves into the new one. No ring table exists: the jumps are computed from the ke
 congruential generator, for a whole Arrow batch at once.
 
 Slots number each shard's rows from 0 in order of the key (then size, then checksum). Rows are range
-partitioned by key; each task counts its own rows per shard in one pass, and the counts of earlier
-partitions (partitions x shards numbers, the proven bound of what is broadcast) are added.
+partitioned by key (then size, then checksum, so rows that repeat a key or have none can still be split);
+each task counts its own rows per shard in one pass, and the counts of earlier partitions are added.
 
 A null text has no bytes; a null key takes the jumps of the constant -1 and sorts first. Rows that
-repeat a key go to one shard and get a slot each. An empty table gives an empty result.
+repeat a key go to one shard and get a slot each. Texts, however long, are only measured: sizes and
+checksums are shuffled. An empty table gives an empty result; other columns take no part.
 """
 
 from __future__ import annotations
@@ -76,8 +77,9 @@ def shard_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     numbered = written(rows.mapInArrow(_number, "id long, size long, crc long, part int, shard int, grown int, place long"))
     counts = numbered.groupBy("shard", "part").count()
     before = F.coalesce(F.sum("count").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select("shard", "part", before.alias("offset"))  # at most partitions x shards rows
-    joined = numbered.join(F.broadcast(offsets), ["shard", "part"])
+    # stored, so its size (partitions x shards rows) decides between a broadcast and a merge join
+    offsets = written(counts.select("shard", "part", before.alias("offset")))
+    joined = numbered.join(offsets, ["shard", "part"])
     return joined.select(
         F.col("id").alias(id_col),
         "size",
@@ -89,11 +91,45 @@ def shard_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     )
 
 
-def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", shards: int = SHARDS) -> None:
-    """Write the rows, all columns, as one Parquet folder per shard; a column named shard is replaced."""
-    df.withColumn("shard", jump_shard(F.col(id_col), shards)).write.partitionBy("shard").parquet(path)
+def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", shards: int = SHARDS, folder: str = "shard") -> None:
+    """Write the rows, all columns, as one Parquet folder per shard, named after ``folder``, which must be no column."""
+    if folder in df.columns:
+        raise ValueError(f"the rows have a column {folder}; name another folder")
+    df.withColumn(folder, jump_shard(F.col(id_col), shards)).write.partitionBy(folder).parquet(path)
 
 
 def op4_sharding(spark, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
+
+def _oracle(shards: int = SHARDS) -> str:
+    """Jumps as a recursive query over 128-bit numbers; checksums by folding a text's bytes, four bits a step."""
+    steps = [0]
+    for n in range(1, 16):  # the checksum's table of half bytes, by its rule
+        x = n
+        for _ in range(4):
+            x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
+        steps.append(x)
+    half = lambda x, b: f"xor({x} >> 4, list_extract({steps}, (xor({x}, {b}) & 15) + 1))"
+    return f"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS body FROM documents
+), sums AS (
+  SELECT r, doc_id, size, xor(list_reduce([4294967295] || list_transform(regexp_extract_all(body, '..'), lambda b: ('0x' || b)::BIGINT),
+         lambda x, b: {half(half("x", "b"), "(b >> 4)")}), 4294967295) AS crc
+  FROM docs
+), jumps AS (
+  SELECT r, (coalesce(doc_id, -1)::HUGEINT + 18446744073709551616) % 18446744073709551616 AS state, 0::BIGINT AS at, 0::BIGINT AS "to" FROM docs
+  UNION ALL
+  SELECT r, next, "to", floor(("to" + 1) * (2147483648.0::DOUBLE / ((next // 8589934592)::DOUBLE + 1)))::BIGINT
+  FROM (SELECT *, (state * {LCG}::HUGEINT + 1) % 18446744073709551616 AS next FROM jumps WHERE "to" <= {shards})
+), placed AS (
+  SELECT r, max("to") FILTER ("to" < {shards}) AS shard, max("to") FILTER ("to" <= {shards}) AS grown FROM jumps GROUP BY r
+)
+SELECT doc_id, size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, crc) - 1 AS slot, grown::INTEGER AS grown_shard
+FROM sums JOIN placed USING (r)
+"""
+
+
+ORACLE = _oracle()
