@@ -1,25 +1,35 @@
 """Embedding near-duplicates by navigable small-world graphs.
 
-Vectors are compared inside a label only. Equal vectors of a label are one class with a multiplicity.
-Classes are dealt into shards of about ``SHARD``; each shard builds a hierarchical navigable small-world
-graph, and every class of the label queries every shard of the label, in blocks of ``QUERIES``, so a task
-holds one shard and one batch of queries whatever the label's share of the rows. A query's beam widens
-until its worst member is below the threshold (a beam over an eighth of the shard takes in all of it, by
-one matrix product); a shard's beam doubles until an audit of evenly spaced
-queries against brute force reaches ``RECALL`` (a beam as wide as the shard ends it). Links are verified
-by cosine in double precision. A task passes on a number of links per query and a spanning forest, never
-the pairs; components of the forests give the groups. One shard per label makes the cost n log n; beyond
-that every shard is still queried, so it grows with classes times shards.
+Vectors are compared inside a label only. Equal vectors of a label are one class with a multiplicity. Classes are
+dealt into shards of at most about ``SHARD``; each shard's hierarchical navigable small-world graph is built once
+and stored, with its vectors, in the shared folder. Classes of a label are also dealt into blocks of about
+``QUERIES``; a task holds the vectors of one block, and the graphs of all shards of the label pass by one after
+the other, so every class queries every shard while a task holds one block and one graph, whatever the label's
+share of the rows. Graphs search in single precision.
+
+A query's beam widens until its worst member is below the threshold (a beam over an eighth of the shard takes in
+all of it, by one matrix product). For every block and shard an audit compares evenly spaced queries with brute
+force, a query's own class left out on both sides: the links found and, since there may be few, whether the
+nearest other class is found. More queries are audited until ``LINKS`` links are seen or ``AUDITS`` queries are
+taken; the beam doubles until both shares reach ``RECALL`` (a beam as wide as the shard ends it). The audits' sums
+are in the column ``recall``: links found by the first beams that passed, over the links there are (1 without any).
+
+Links are verified by cosine in double precision, over vectors scaled by a power of two so that no square over- or
+underflows. A task passes on a number of links per query and a spanning forest, never the pairs; components of the
+forests give the groups. One shard per label makes the cost n log n; beyond that every shard is still queried, so
+it grows with classes times shards, and graphs are copied once per block.
 
 Vectors that are null, zero, or hold null or non-finite components, and vectors without label, link with
 nothing and are their own component. Vectors of unlike lengths do not link. Null identifiers: such rows
 count as copies and links, but represent nothing unless a class has no other (then its component is
-null). Repeated rows are copies of each other. An empty table gives an empty result.
+null). Repeated rows are copies of each other; rows that repeat an identifier with other vectors are vectors of
+their own. An empty table gives an empty result; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,17 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import table, written
+from cubelattice.llm.common import intermediate, quoted, table, written
 from cubelattice.llm.components import components
 from cubelattice.llm.simhash import Forest
 
 COSINE = 0.98
 SHARD = 8192
-QUERIES = 65_536
+QUERIES = 16_384
 DEGREE = 12
 BEAM = 48
 RECALL = 0.99
-AUDIT = 48
+AUDIT, AUDITS, LINKS = 64, 1024, 64
 STRIDE = 4  # beam members expanded at once
 
 
@@ -56,6 +66,11 @@ class SmallWorld:
             members = members[np.argsort(-level[members], kind="stable")]
             self.layers.append((members, self._build(members, degree * (2 if height == 0 else 1))))
 
+    def nearest(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """The beam (places, cosines) of each query."""
+        place, value = self._descend(queries.astype(np.float32), min(beam, len(self.unit)))
+        return np.where(place >= 0, self.layers[-1][0][place], -1), value
+
     def _build(self, members: np.ndarray, most: int) -> np.ndarray:
         n = len(members)
         links = np.full((n, most), -1, np.int32)
@@ -217,36 +232,55 @@ class SmallWorld:
 
 
 class Shard:
-    """One shard: classes (representative, copies, vector), its graph, and the audited beam."""
+    """One shard: classes (representative, copies, vector) and their graph."""
 
-    def __init__(self, rep: np.ndarray, copies: np.ndarray, vectors: np.ndarray, least: float):
-        self.rep, self.copies, self.vectors, self.least = rep, copies, vectors, least
+    def __init__(self, rep: np.ndarray, copies: np.ndarray, vectors: np.ndarray):
+        self.rep, self.copies, self.vectors = rep, copies, vectors
         self.norm = np.sqrt(np.einsum("nd,nd->n", vectors, vectors))
         self.graph = SmallWorld(vectors / self.norm[:, None])
-        self.beam, self.recall = BEAM, 0.0
-        sample = np.unique(np.linspace(0, len(rep) - 1, min(AUDIT, len(rep))).astype(int))
-        truth = int((self.cosine(self.vectors[sample]) >= least).sum())
-        while True:
-            q, _ = self.links(self.vectors[sample])
-            self.recall = len(q) / truth if truth else 1.0
-            if self.recall >= RECALL or self.beam >= len(rep):
-                break
-            self.beam *= 2
 
     def cosine(self, queries: np.ndarray) -> np.ndarray:
         return (queries @ self.vectors.T) / (np.sqrt(np.einsum("nd,nd->n", queries, queries))[:, None] * self.norm[None, :])
 
-    def links(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def links(self, queries: np.ndarray, least: float, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
         """Verified (query, class) places, a class with itself included."""
         norm = np.sqrt(np.einsum("nd,nd->n", queries, queries))
-        q, v = self.graph.within(queries / norm[:, None], self.least - 1e-5, self.beam)
+        q, v = self.graph.within(queries / norm[:, None], least - 1e-5, beam)
         keep = []
         for at in range(0, len(q), 1 << 16):
             a, b = q[at : at + (1 << 16)], v[at : at + (1 << 16)]
-            keep.append(np.einsum("nd,nd->n", queries[a], self.vectors[b]) / (norm[a] * self.norm[b]) >= self.least)
+            keep.append(np.einsum("nd,nd->n", queries[a], self.vectors[b]) / (norm[a] * self.norm[b]) >= least)
         kept = np.concatenate(keep) if keep else np.empty(0, bool)
         return q[kept], v[kept]
 
+    def audited(self, rep: np.ndarray, queries: np.ndarray, least: float) -> tuple[int, int, int]:
+        """(beam, links, links found) of the narrowest beam that passes the audit for these queries."""
+        most = min(AUDITS, len(rep))
+        order = np.unique(np.linspace(0, len(rep) - 1, most).astype(int))
+        order = order[np.argsort(np.arange(len(order)) * 37 % max(len(order), 1), kind="stable")]  # early ones are spread, too
+        sample, truth, closest = order[:0], 0, []
+        while len(sample) < len(order) and (len(sample) < AUDIT or truth < LINKS):
+            more = order[len(sample) : max(AUDIT, 2 * len(sample))]
+            near = self.cosine(queries[more])
+            near[rep[more][:, None] == self.rep[None, :]] = -2
+            truth += int((near >= least).sum())
+            closest.append(near.max(1))
+            sample = order[: len(sample) + len(more)]
+        closest = np.concatenate(closest)
+        unit = queries[sample] / np.sqrt(np.einsum("nd,nd->n", queries[sample], queries[sample]))[:, None]
+        beam = BEAM
+        while True:
+            q, v = self.links(queries[sample], least, beam)
+            found = int((rep[sample][q] != self.rep[v]).sum())
+            if beam >= len(self.rep):
+                return beam, truth, found
+            place, value = self.graph.nearest(unit, beam)
+            value[(place < 0) | (self.rep[place] == rep[sample][:, None])] = -2
+            met = (value.max(1) >= closest - 1e-5).mean()
+            if found >= RECALL * truth and met >= RECALL:
+                return beam, truth, found
+            beam *= 2
+
 
 def _vectors(bodies: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(bodies), np.float64).reshape(len(bodies), -1)
@@ -261,48 +295,80 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             good = None
             if values is not None and len(values) and not values.null_count:
                 x = values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0
-                norm = np.dot(x, x) if np.isfinite(x).all() else 0.0
-                good = x if 0 < norm < np.inf else None
+                most = np.abs(x).max()
+                if 0 < most < np.inf:
+                    good = np.ldexp(x, -np.frexp(most)[1])
             dims.append(None if good is None else len(good))
             bodies.append(None if good is None else good.tobytes())
             digests.append(None if good is None else hashlib.md5(bodies[-1]).digest())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dims, pa.int32()), pa.array(digests, pa.binary()), pa.array(bodies, pa.binary())], names=["id", "label", "dim", "digest", "body"])
 
 
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, rep, copies, body) sorted by shard -> (shard, graph): one pickled ``Shard`` each."""
+    held: list[pa.RecordBatch] = []
+
+    def out() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        found = Shard(rows.column("node").to_numpy(), rows.column("copies").to_numpy(), _vectors(rows.column("body").to_pylist()))
+        return pa.RecordBatch.from_arrays([pa.array([held[0].column(0)[0].as_py()], pa.int64()), pa.array([pickle.dumps(found, 5)], pa.large_binary()).cast(pa.binary())], names=["shard", "graph"])
+
+    for part in _runs(batches):
+        if held and held[0].column(0)[0] != part.column(0)[0]:
+            yield out()
+            held = []
+        held.append(part)
+    if held:
+        yield out()
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices whose first column has one value."""
+    for batch in batches:
+        keys = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)] if len(keys) else []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            yield batch.slice(a, b - a)
+
+
 def _query(least: float):
-    """Rows (task, query, rep, copies, body) sorted by task, index rows first -> link counts and forests."""
+    """Rows (block, part, node, copies, body) sorted by block and part, queries first (part -1), then the graphs
+    -> link counts (a, null, n), forests (a, b, null) and audits (null, links, found)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, shard, forest = None, None, Forest()
-        index: list[tuple[np.ndarray, ...]] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tasks = batch.column(0).to_numpy()
-            query = batch.column(1).to_numpy()
-            change = np.flatnonzero((tasks[1:] != tasks[:-1]) | (query[1:] != query[:-1])) + 1
-            for rows in np.split(np.arange(len(tasks)), change):
-                part = batch.slice(int(rows[0]), len(rows))
-                rep, copies, vectors = part.column(2).to_numpy(), part.column(3).to_numpy(), _vectors(part.column(4).to_pylist())
-                if tasks[rows[0]] != task:
-                    task, shard, index = tasks[rows[0]], None, []
-                if not query[rows[0]]:
-                    index.append((rep, copies, vectors))
-                    continue
-                shard = shard or Shard(*[np.concatenate(x) for x in zip(*index, strict=True)], least)
+        block, forest = None, Forest()
+        held: list[pa.RecordBatch] = []
+        rep = vectors = links = None
+        for part in _runs(batches):
+            if part.column(0)[0] != block:
+                if links is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(rep), pa.nulls(len(rep), pa.int64()), pa.array(links)], schema=schema)
+                block, held, links = part.column(0)[0], [], None
+            first = int(np.searchsorted(part.column("part").to_numpy(), 0))
+            if first:
+                held.append(part.slice(0, first))
+            for row in range(first, part.num_rows):
+                if links is None:
+                    rows = pa.Table.from_batches(held)
+                    rep, vectors = rows.column("node").to_numpy(), _vectors(rows.column("body").to_pylist())
+                    links, held = np.zeros(len(rep), np.int64), []
+                shard = pickle.loads(part.column("body")[row].as_buffer())
+                beam, truth, found = shard.audited(rep, vectors, least)
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([truth], pa.int64()), pa.array([found], pa.int64())], schema=schema)
                 for at in range(0, len(rep), 4096):
                     own = rep[at : at + 4096]
-                    q, v = shard.links(vectors[at : at + 4096])
+                    q, v = shard.links(vectors[at : at + 4096], least, beam)
                     other = own[q] != shard.rep[v]
                     q, v = q[other], v[other]
-                    n = np.bincount(q, weights=shard.copies[v], minlength=len(own)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.nulls(len(own), pa.int64()), pa.array(n)], schema=schema)
+                    links[at : at + len(own)] += np.bincount(q, weights=shard.copies[v], minlength=len(own)).astype(np.int64)
                     for a, b in zip(own[q].tolist(), shard.rep[v].tolist(), strict=True):
                         forest.link(a, b)
                     if len(forest.up) > 200_000:
                         yield from _edges(forest, schema)
                         forest = Forest()
+        if links is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(rep), pa.nulls(len(rep), pa.int64()), pa.array(links)], schema=schema)
         yield from _edges(forest, schema)
 
     return run
@@ -314,38 +380,43 @@ def _edges(forest: Forest, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*edges.columns, pa.nulls(edges.num_rows, pa.int64())], schema=schema)
 
 
-def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = COSINE, shard: int = SHARD) -> DataFrame:
-    """One row per vector: identifier, n_links, component_id, kept."""
-    raw = df.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
-    rows = written(raw.mapInArrow(_prepare, "id long, label string, dim int, digest binary, body binary"))
-    valid = rows.filter("digest is not null")
-    classes = valid.groupBy("label", "dim", "digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("body").alias("body"))
-    # a class without identifier takes part under a negative number of its own
-    classes = classes.withColumn("node", F.coalesce("rep", -1 - F.abs(F.xxhash64("label", "digest").bitwiseAND(F.lit((1 << 62) - 1)))))
-    classes = written(classes)
-    sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"), F.ceil(F.count("*") / QUERIES).cast("int").alias("blocks"))
-    dealt = classes.join(sizes, ["label", "dim"])
-    own = F.pmod(F.xxhash64("node"), "shards").cast("int")
-    block = F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int")
-    as_index = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(own.alias("s"), b.alias("b"), F.lit(0).alias("query")))
-    as_query = F.transform(F.sequence(F.lit(0), F.col("shards") - 1), lambda s: F.struct(s.alias("s"), block.alias("b"), F.lit(1).alias("query")))
-    tasks = dealt.select("label", "dim", "node", "copies", "body", F.explode(F.concat(as_index, as_query)).alias("x"))
-    tasks = tasks.select(F.xxhash64("label", "dim", "x.s", "x.b").alias("task"), "x.query", "node", "copies", "body")
-    tasks = tasks.repartition("task").sortWithinPartitions("task", "query")
-    found = written(tasks.mapInArrow(_query(least), "a long, b long, n long"))
-    counts = found.filter("n is not null").groupBy("a").agg(F.sum("n").alias("n"))
-    groups = components(found.filter("n is null").select("a", "b"))
-    known = classes.select("label", "dim", "digest", "rep", "node", "copies")
-    known = known.join(counts, known["node"] == counts["a"], "left").drop("a").join(groups.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
-    root = F.coalesce("component", "node")
-    known = written(known.select("label", "dim", "digest", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"), F.when(root >= 0, root).otherwise(F.col("rep")).alias("root")))
+def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = COSINE, shard: int = SHARD, queries: int = QUERIES) -> DataFrame:
+    """One row per vector: identifier, n_links, component_id, kept, recall."""
+    raw = df.select(quoted(id_col).cast("long").alias("id"), quoted(label_col).cast("string").alias("label"), quoted(vector_col).cast("array<double>").alias("vector"))
+    with intermediate(df.sparkSession) as keep:
+        rows = keep(raw.mapInArrow(_prepare, "id long, label string, dim int, digest binary, body binary"))
+        classes = rows.filter("digest is not null").groupBy("label", "dim", "digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("body").alias("body"))
+        # classes go by numbers of their own, stored with them: identifiers may be null or repeat
+        classes = written(classes.withColumn("node", F.monotonically_increasing_id()))
+        sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"), F.ceil(F.count("*") / queries).cast("int").alias("blocks"))
+        dealt = classes.join(written(sizes), ["label", "dim"])
+        part = F.pmod(F.xxhash64("node"), "shards").cast("int")
+        block = F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int")
+        index = dealt.select(F.xxhash64("label", "dim", part).alias("shard"), "node", "copies", "body").repartition("shard").sortWithinPartitions("shard")
+        graphs = written(index.mapInArrow(_build, "shard long, graph binary"))
+        every = sizes.select("label", "dim", "blocks", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("part"))
+        every = every.select(F.xxhash64("label", "dim", "part").alias("shard"), "label", "dim", "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        copied = graphs.join(written(every), "shard").select(F.xxhash64("label", "dim", "block").alias("block"), "part", F.lit(0).cast("long").alias("node"), F.lit(0).cast("long").alias("copies"), F.col("graph").alias("body"))
+        asked = dealt.select(F.xxhash64("label", "dim", block).alias("block"), F.lit(-1).alias("part"), "node", "copies", "body")
+        tasks = asked.unionByName(copied).repartition("block").sortWithinPartitions("block", "part")
+        found = written(tasks.mapInArrow(_query(least), "a long, b long, n long"))
+        seen = found.filter("a is null").agg(F.sum("b"), F.sum("n")).first()
+        counts = found.filter("a is not null and b is null").groupBy("a").agg(F.sum("n").alias("n"))
+        groups = components(found.filter("a is not null and b is not null").select("a", "b"))
+        known = classes.select("label", "dim", "digest", "rep", "node", "copies")
+        known = known.join(counts, known["node"] == counts["a"], "left").drop("a").join(groups.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
+        known = known.select("label", "dim", "digest", "rep", F.coalesce("component", "node").alias("root"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n"))
+        least_of = known.groupBy("root").agg(F.min("rep").alias("component"))
+        known = keep(known.join(least_of, "root").select("label", "dim", "digest", "n", "component"))
     joined = rows.select("id", "label", "dim", "digest").join(known, ["label", "dim", "digest"], "left")
-    component = F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("root"))
+    component = F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("component"))
+    recall = seen[1] / seen[0] if seen[0] else 1.0
     return joined.select(
         F.col("id").alias(id_col),
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"),
+        F.lit(float(recall)).alias("recall"),
     )
 
 
