@@ -1,16 +1,22 @@
 """Licence scan by a positional rare-token index, with DataFrame functions only.
 
-A template is a sentence with a mandatory key phrase inside. Its postings are its words with their places.
-Document frequencies of the template words over the whole corpus (one counter per word, so what reaches
-the driver is bounded by the templates) give each key phrase its two rarest words, the highest IDF ones.
-A file's words are read once to keep the places of such words; the places that the two words' postings
-give for a key phrase's start are intersected, and the phrase is verified word by word there. Every place
-of a phrase holds both of its rare words, so none is lost.
+A template is the wording of a licence notice with a mandatory key phrase inside. The index maps each template
+word to its postings: the templates that have it in their key phrase, and how far before the word the phrase
+starts. Document frequencies of the template words over the whole corpus (one counter per word, so what reaches
+the driver is bounded by the templates) give their IDF.
+
+A file's words are read once. Its licence words of highest IDF, down to the floor, are looked up in the index:
+the floor is the lowest IDF that the two rarest words of every key phrase reach, so each place of a phrase
+holds two looked-up words at least and none is lost. Every looked-up word votes, by its postings, for (template,
+start of the phrase); the votes are sorted, and those that two words agree on are intersections of postings by
+relative position. The phrase is then verified word by word there. A file's cost follows its own licence words
+and not the number of templates.
 
 The score of a place is the share of the template's IDF mass that stands at the right relative places; a
 file's score is its best place's, 0 without one (rounded to 6 digits). Null, empty and wordless texts have
-no words and no labels. Ties between words go to the first of the phrase. Repeated rows get equal results;
-an empty table gives an empty one. Other columns take no part.
+no words and no labels. Words of equal IDF are looked up alike. Repeated rows get equal results; an empty table
+gives an empty one, and where no file has a template word all labels are empty. Texts are read whole; a row's
+words must fit in memory. Other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -20,25 +26,35 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import LOWER, UPPER, lower_ascii, table
+from cubelattice.llm.common import LOWER, UPPER, lower_ascii, quoted, table
 
 #: Runs of these separate words (A-Z are lower-cased before).
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: (label, sentence, key phrase, whether it counts for the base columns)
+#: Fixed values: (label, wording of a notice as words, key phrase, whether it counts for the base columns).
 TEMPLATES = [
     ("mit", "released under the mit license", "under the mit license", True),
     ("apache-2", "licensed under the apache license version 2 0", "apache license version 2", True),
     ("cc-by-nc", "licensed under cc by nc", "cc by nc", True),
+    ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "you may not use this file except in compliance with the license", False),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction", "free of charge to any person obtaining a copy of this software", False),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", "redistribution and use in source and binary forms", False),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "for any purpose with or without fee is hereby granted", False),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "will the authors be held liable", False),
     ("gpl", "this work is licensed under the gnu general public license version", "gnu general public license", False),
-    ("lgpl", "licensed under the gnu lesser general public license version", "gnu lesser general public license", False),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", "terms of the gnu general public license as published", False),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", "gnu lesser general public license", False),
     ("agpl", "licensed under the gnu affero general public license version", "gnu affero general public license", False),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution and use in source and binary forms", False),
-    ("mpl", "subject to the terms of the mozilla public license version", "mozilla public license", False),
-    ("epl", "made available under the eclipse public license version", "eclipse public license", False),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license", False),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse public license", False),
+    ("bsl", "distributed under the boost software license version 1 0", "boost software license", False),
+    ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered software released into the public domain", False),
     ("cc-by-sa", "licensed under cc by sa", "cc by sa", False),
+    ("cc-by-nd", "licensed under cc by nd", "cc by nd", False),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license", "creative commons attribution 4 0 international", False),
     ("cc0", "dedicated to the public domain under cc0 1 0 universal", "cc0 1 0 universal", False),
+    ("reserved", "copyright all rights reserved", "all rights reserved", False),
 ]
 
 
@@ -49,7 +65,7 @@ def words_of(text: Column) -> Column:
 
 def idf(words: DataFrame) -> dict[str, float]:
     """ln((files + 1) / (files with the word + 1)) of each template word, over all files; ``words`` has a column words."""
-    vocabulary = sorted({w for _, sentence, _, _ in TEMPLATES for w in sentence.split()})
+    vocabulary = sorted({w for _, notice, _, _ in TEMPLATES for w in notice.split()})
     hits = F.array_distinct(F.filter("words", lambda w: w.isin(vocabulary)))
     found = words.select(F.explode(F.concat(F.array(F.lit("")), hits)).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     rows = found.select("w", "n").collect()  # at most one row per template word, and "" for the number of files
@@ -58,59 +74,85 @@ def idf(words: DataFrame) -> dict[str, float]:
     return {r["w"]: r["idf"] for r in logs.select("w", F.log((F.col("files") + 1) / (F.col("n") + 1)).alias("idf")).collect()}
 
 
-def rarest(phrase: list[str], weights: dict[str, float]) -> tuple[int, int]:
-    """Places in the phrase of its two words of highest IDF."""
-    first, second = sorted(range(len(phrase)), key=lambda k: (-weights[phrase[k]], k))[:2]
-    return first, second
+def index(weights: dict[str, float]) -> dict[str, list[tuple[int, int]]]:
+    """Postings (template, place in its key phrase) of every word at or above the floor."""
+    phrases = [phrase.split() for _, _, phrase, _ in TEMPLATES]
+    floor = min(sorted(weights[w] for w in p)[-2] for p in phrases)
+    found: dict[str, list[tuple[int, int]]] = {}
+    for t, p in enumerate(phrases):
+        for k, w in enumerate(p):
+            if weights[w] >= floor:
+                found.setdefault(w, []).append((t, k))
+    return found
+
+
+def _pair(template: Column, start: Column) -> Column:
+    """A vote as one number, which sorts by template and start."""
+    return F.shiftleft(template.cast("long"), 32).bitwiseOR(start.cast("long"))
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: identifier, n_words, n_base, first_word, last_word, base_labels, labels, score and
     places (label, first word) of all verified key phrases; ``keep`` names further columns to carry along."""
-    words = df.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("words"), *[F.col(c).alias(f"own_{k}") for k, c in enumerate(keep)])
+    words = df.select(quoted(id_col).alias("id"), words_of(quoted(text_col)).alias("words"), *[quoted(c).alias(f"own_{k}") for k, c in enumerate(keep)])
     weights = idf(words)
-    phrases = [(label, sentence.split(), phrase.split(), base) for label, sentence, phrase, base in TEMPLATES]
-    looked_up = sorted({p[k] for _, _, p, _ in phrases for k in rarest(p, weights)})
+    postings = index(weights)
     own = [f"own_{k}" for k in range(len(keep))]
-    hits = words.select(
+    looked_up = sorted(postings)
+    hits = words.select("id", "words", F.filter(F.transform("words", lambda w, i: F.when(w.isin(looked_up), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull()).alias("hits"), *own)
+    table_of = F.create_map(*[c for w in looked_up for c in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(k).alias("k")) for t, k in postings[w]]))])
+    given = F.flatten(F.transform("hits", lambda h: F.transform(F.filter(F.element_at(table_of, h["w"]), lambda p: p["k"] <= h["i"]), lambda p: _pair(p["t"], h["i"] - p["k"]))))
+    votes = hits.select("id", "words", F.when(F.size("hits") > 1, F.array_sort(given)).otherwise(F.array().cast("array<long>")).alias("votes"), *own)
+    # sorted, so a vote that equals the one before it stands for a second word
+    agreed = F.array_distinct(F.filter("votes", lambda v, n: v == F.get("votes", n - 1)))
+    phrases = F.array(*[F.array(*map(F.lit, phrase.split())) for _, _, phrase, _ in TEMPLATES])
+
+    def template(v: Column) -> Column:
+        return F.shiftright(v, 32).cast("int")
+
+    def start(v: Column) -> Column:
+        return v.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+    stated = lambda v: F.get(phrases, template(v))
+    agreed = votes.select("id", "words", F.when(F.size("votes") > 1, agreed).otherwise(F.array().cast("array<long>")).alias("agreed"), *own)
+    found = agreed.select("id", "words", F.filter("agreed", lambda v: F.slice("words", start(v) + 1, F.size(stated(v))) == stated(v)).alias("found"), *own)
+
+    leads, masses = [], []
+    for _, notice, phrase, _ in TEMPLATES:
+        n, p = notice.split(), phrase.split()
+        leads.append(next(k for k in range(len(n)) if n[k : k + len(p)] == p))
+        masses.append(reduce(lambda a, w: a + weights[w], n, 0.0))
+    notices = F.array(*[F.array(*[F.struct(F.lit(w).alias("w"), F.lit(float(weights[w])).alias("x"), F.lit(k - lead).alias("k")) for k, w in enumerate(notice.split())]) for (_, notice, _, _), lead in zip(TEMPLATES, leads, strict=True)])
+
+    def share(v: Column) -> Column:
+        met = F.aggregate(F.get(notices, template(v)), F.lit(0.0), lambda a, x: a + F.when(F.get("words", start(v) + x["k"]) == x["w"], x["x"]).otherwise(0.0))
+        mass = F.get(F.array(*map(F.lit, masses)), template(v))
+        return F.when(mass > 0, met / mass).otherwise(1.0)
+
+    based = [n for n, t in enumerate(TEMPLATES) if t[3]]
+    names = F.array(*[F.lit(label) for label, _, _, _ in TEMPLATES])
+    placed = found.select(
         "id",
-        "words",
-        F.filter(F.transform("words", lambda w, i: F.when(w.isin(looked_up), F.struct(w.alias("w"), i.alias("i")))), lambda x: x.isNotNull()).alias("hits"),
+        F.size("words").cast("long").alias("n_words"),
+        F.transform("found", lambda v: F.struct(F.get(names, template(v)).alias("label"), start(v).alias("word"))).alias("places"),
+        F.transform(F.filter("found", lambda v: template(v).isin(based)), lambda v: F.struct(F.get(names, template(v)).alias("label"), start(v).alias("word"))).alias("base"),
+        F.when(F.size("found") > 0, F.array_max(F.transform("found", share))).alias("best"),
         *own,
     )
 
-    def starts(phrase: list[str]) -> Column:
-        def given(k: int) -> Column:
-            return F.transform(F.filter("hits", lambda h: h["w"] == phrase[k]), lambda h: h["i"] - k)
-
-        first, second = rarest(phrase, weights)
-        both = F.filter(F.array_intersect(given(first), given(second)), lambda s: s >= 0)
-        return F.filter(both, lambda s: F.slice("words", s + 1, F.lit(len(phrase))) == F.array(*map(F.lit, phrase)))
-
-    found = hits.select("id", "words", *own, *[F.when(F.size("hits") > 1, starts(p)).alias(f"t{n}") for n, (_, _, p, _) in enumerate(phrases)])
+    def labels(places: str) -> Column:
+        return F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(places, lambda x: x["label"]))))
 
-    def best(n: int, sentence: list[str], phrase: list[str]) -> Column:
-        lead = next(k for k in range(len(sentence)) if sentence[k : k + len(phrase)] == phrase)
-        mass = sum(weights[w] for w in sentence)
-        at = lambda s: reduce(lambda a, b: a + b, [F.when(F.get("words", s + (k - lead)) == w, F.lit(weights[w])).otherwise(F.lit(0.0)) for k, w in enumerate(sentence)])
-        return F.array_max(F.transform(f"t{n}", lambda s: at(s) / F.lit(mass) if mass > 0 else F.lit(1.0)))
-
-    places = F.concat(*[F.transform(F.coalesce(f"t{n}", F.array().cast("array<int>")), lambda s, label=label: F.struct(F.lit(label).alias("label"), s.alias("word"))) for n, (label, _, _, _) in enumerate(phrases)])
-    base = F.concat(*[F.coalesce(f"t{n}", F.array().cast("array<int>")) for n, x in enumerate(phrases) if x[3]])
-
-    def labels(base_only: bool) -> Column:
-        return F.concat_ws(",", F.array_sort(F.array_distinct(F.filter(F.array(*[F.when(F.size(f"t{n}") > 0, x[0]) for n, x in enumerate(phrases) if x[3] or not base_only]), lambda x: x.isNotNull()))))
-
-    return found.select(
+    return placed.select(
         F.col("id").alias(id_col),
-        F.size("words").cast("long").alias("n_words"),
-        F.size(base).cast("long").alias("n_base"),
-        F.array_min(base).cast("long").alias("first_word"),
-        F.array_max(base).cast("long").alias("last_word"),
-        labels(True).alias("base_labels"),
-        labels(False).alias("labels"),
-        F.round(F.coalesce(F.greatest(*[best(n, s, p) for n, (_, s, p, _) in enumerate(phrases)]), F.lit(0.0)), 6).alias("score"),
-        places.alias("places"),
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(F.transform("base", lambda x: x["word"])).cast("long").alias("first_word"),
+        F.array_max(F.transform("base", lambda x: x["word"])).cast("long").alias("last_word"),
+        labels("base").alias("base_labels"),
+        labels("places").alias("labels"),
+        F.round(F.coalesce("best", F.lit(0.0)), 6).alias("score"),
+        "places",
         *[F.col(o).alias(c) for o, c in zip(own, keep, strict=True)],
     )
 
@@ -121,8 +163,8 @@ def op8_licenses(spark, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     rows = []
-    for n, (label, sentence, phrase, base) in enumerate(TEMPLATES):
-        s, p = sentence.split(), phrase.split()
+    for n, (label, notice, phrase, base) in enumerate(TEMPLATES):
+        s, p = notice.split(), phrase.split()
         lead = next(k for k in range(len(s)) if s[k : k + len(p)] == p)
         rows.append(f"({n}, '{label}', {s!r}, {p!r}, {lead}, {str(base).lower()})")
     return f"""
@@ -141,7 +183,7 @@ idf AS (
   SELECT r, n, label, base, i, CASE WHEN i - lead + k >= 1 THEN words[i - lead + k] END AS w, sentence[k] AS wanted
   FROM (SELECT *, unnest(range(1, len(sentence) + 1)) AS k FROM places)
 ), scored AS (
-  SELECT r, n, label, base, i, sum(CASE WHEN s.w = wanted THEN idf ELSE 0 END) / sum(idf) AS score
+  SELECT r, n, label, base, i, CASE WHEN sum(idf) > 0 THEN sum(CASE WHEN s.w = wanted THEN idf ELSE 0 END) / sum(idf) ELSE 1 END AS score
   FROM spelled s JOIN idf ON idf.w = wanted GROUP BY r, n, label, base, i
 )
 SELECT doc_id, len(words)::BIGINT AS n_words,
