@@ -1,18 +1,25 @@
 """Byte-level BPE by a tokenization automaton.
 
-Compilation adds one merge gadget after another, in rank order, to the automaton that reads single
-bytes. The gadget of (u, v) -> t adds a state for t, an arc labelled t that spells u then v, and removes
-the arc v after u wherever the merge would have fired. The result is deterministic over token labels: a
-state is the last token, and the arc b after a survives unless some merge joins a right constituent of
-a with a left constituent of b before either is absorbed. A state keeps those constituents with the
-ranks that absorb them; the arcs of 50,000 states are too many to spell out, so each is computed from
-the two states at its first use and kept in the transition table, which starts anew at a size limit.
-
-Words from the vocabulary's own splitter run through the table: the automaton has exactly one path for
-the bytes of each prefix, so one pass from left to right finds the last token of every prefix. Decoding
-emits the labels of the arcs. Strings of special tokens inside a text become their ids, as the library
-does by default. Null and empty texts have no ids and decode to an empty text. Long texts take memory
-in proportion to one text. Repeated rows are encoded alike; other columns take no part.
+A state is the last token read, an arc the token that may follow it. The automaton of single bytes, where every
+byte may follow every byte, is compiled merge by merge. The gadget of the merge u v -> t (``_gadget``):
+
+1. state t gets the arcs that state v has now (after t stands what stood after v);
+2. state u loses its arc v (there the merge has fired);
+3. every state that now has an arc u gets an arc t (t stands where u stood before a v).
+
+That order settles repeated tokens as well: of u u u the first two merge. The result is deterministic over token
+labels and has exactly one path for the bytes of a text: its tokens. The ``TABLE`` earliest states, which take most
+steps, have their arcs spelled out in a transition table, on which the gadgets work as written. For 50,000 states the
+whole table would have 2.5 billion arcs, so a later gadget keeps what it copies from as a reference, and its arcs
+are read through the references, down to the table, at the time of the gadget (arcs are only ever lost, so one that
+is in the table was always there); what was read once is kept up to a size limit.
+
+Words from the vocabulary's own splitter run through the tables: from every reached place, the labels of the arcs are
+read along a trie, and one pass from left to right finds the last token of every prefix. Decoding emits the
+labels of the arcs. Strings of special tokens inside a text become their ids, as the library does by default. Null
+and empty texts have no ids and decode to an empty text. Long texts take memory in proportion to one text. Repeated
+rows are encoded alike; null and repeated identifiers are carried along; other columns, whatever their names, take no
+part. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,18 +30,20 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import table
+from cubelattice.llm.common import quoted, table
 
 #: Fixed value: the public splitter of byte-level BPE vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORDS_KEPT = 400_000
 LONGEST_KEPT = 64
 ARCS_KEPT = 2_000_000
+TABLE = 4096
 NEVER = 1 << 40
 
 
@@ -59,58 +68,84 @@ class Automaton:
             self.labels[n] = word.encode()
         self.decimals = [str(n) for n in range(len(self.labels))]
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        self.rank: dict[tuple[int, int], int] = {}
-        # constituents at the right and left edge of a token, outermost first, with the rank that absorbs each
-        self.right: dict[int, list[tuple[int, int]]] = {vocab[c]: [(vocab[c], NEVER)] for c in letters if c in vocab}
-        self.left = {n: [(n, NEVER)] for n in self.right}
-        for r, (u, v) in enumerate(pairs):
-            self._gadget(r, vocab[u], vocab[v], vocab[u + v])
+        # states are numbered as they are made: the single bytes, then one per merge
+        self.ids = [vocab[c] for c in letters if c in vocab] + [vocab[u + v] for u, v in pairs]
+        if len(set(self.ids)) != len(self.ids):
+            raise ValueError("two merges make the same token")
+        self.singles = len(self.ids) - len(pairs)
+        self.state = {n: k for k, n in enumerate(self.ids)}
+        self.parts: list[tuple[int, int] | None] = [None] * self.singles
+        self.lost: dict[int, int] = {}  # arc -> the gadget that took it away
+        self.reached = [True] * self.singles
+        size = min(TABLE, len(self.ids))
+        self.table = np.zeros((size, size), bool)
+        self.table[: self.singles, : self.singles] = True
+        self.rows: list[bytes] = []
+        for u, v in pairs:
+            self._gadget(self.state[vocab[u]], self.state[vocab[v]])
+        self.rows = [row.tobytes() for row in self.table]
+        del self.table
         self.trie: list[dict[int, int]] = [{}]
         self.token: list[int] = [-1]
-        for n in self.right:
-            self._spell(n)
+        for k, n in enumerate(self.ids):
+            if self.reached[k]:
+                self._spell(k, self.labels[n])
         self.arcs: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.find = regex.compile(SPLIT).findall
         self.cut = regex.compile("(" + "|".join(regex.escape(x) for x in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
 
-    def _gadget(self, r: int, u: int, v: int, t: int) -> None:
-        self.rank[u, v] = r
-        if t not in self.right:
-            self.right[t] = [(t, NEVER), (v, r), *self.right[v][1:]]
-            self.left[t] = [(t, NEVER), (u, r), *self.left[u][1:]]
-
-    def _spell(self, n: int) -> None:
+    def _gadget(self, u: int, v: int) -> None:
+        """Add the state of the next merge, of u and v."""
+        t, size = len(self.parts), len(self.table)
+        fires = self.arc(u, v)
+        if t < size and fires:
+            self.table[t] = self.table[v]
+        if u < size and v < size:
+            self.table[u, v] = False
+        if t < size and fires:
+            self.table[:, t] = self.table[:, u]
+        self.parts.append((u, v))
+        self.reached.append(fires)
+        self.lost.setdefault(u << 32 | v, t)
+
+    def _spell(self, state: int, label: bytes) -> None:
         node = 0
-        for b in self.labels[n]:
+        for b in label:
             to = self.trie[node].get(b)
             if to is None:
                 to = self.trie[node][b] = len(self.trie)
                 self.trie.append({})
                 self.token.append(-1)
             node = to
-        self.token[node] = n
-
-    def arc(self, a: int, b: int) -> bool:
-        """Whether token b may follow token a."""
-        rank = self.rank
-        for x, absorbed in self.right[a]:
-            for y, taken in self.left[b]:
-                r = rank.get((x, y))
-                # of equal ranks the leftmost merge fires first: a's inner one before, b's inner one after this
-                if r is not None and r < absorbed and r <= taken and r > self._born(x) and r > self._born(y):
-                    return False
-        return True
-
-    def _born(self, n: int) -> int:
-        parts = self.right[n]
-        return parts[1][1] if len(parts) > 1 else -1
+        self.token[node] = state
+
+    def arc(self, a: int, b: int, before: int = NEVER) -> bool:
+        """Whether state a has the arc b before the gadget of state ``before`` works."""
+        while True:
+            gone = self.lost.get(a << 32 | b)
+            if gone is not None and gone < before:
+                return False
+            most = max(a, b)
+            if most < self.singles:
+                return True
+            if most < TABLE and (self.rows[a][b] if self.rows else self.table[a, b]):
+                return True
+            if not self.reached[most]:
+                return False
+            u, v = self.parts[most]
+            if a == b:  # step 3 finds u among the arcs of the new state, which are those of v
+                a, b, before = v, u, most
+            elif a > b:
+                a, before = v, most
+            else:
+                b, before = u, most + 1
 
     def word(self, body: bytes) -> tuple[int, ...]:
         """Ids of one pre-split word."""
-        n = len(body)
+        n, size = len(body), len(self.rows)
         last = [-1] * (n + 1)
-        trie, token, arcs, labels = self.trie, self.token, self.arcs, self.labels
+        trie, token, arcs, rows = self.trie, self.token, self.arcs, self.rows
         for j in range(n):
             a = last[j]
             if j and a < 0:
@@ -124,19 +159,22 @@ class Automaton:
                 if b < 0 or last[i + 1] >= 0:
                     continue
                 if j:
-                    key = a << 32 | b
-                    ok = arcs.get(key)
-                    if ok is None:
-                        if len(arcs) >= ARCS_KEPT:
-                            arcs.clear()
-                        ok = arcs[key] = self.arc(a, b)
+                    if a < size and b < size:
+                        ok = rows[a][b]
+                    else:
+                        key = a << 32 | b
+                        ok = arcs.get(key)
+                        if ok is None:
+                            if len(arcs) >= ARCS_KEPT:
+                                arcs.clear()
+                            ok = arcs[key] = self.arc(a, b)
                     if not ok:
                         continue
                 last[i + 1] = b
         out = []
         while n:
-            out.append(last[n])
-            n -= len(labels[last[n]])
+            out.append(self.ids[last[n]])
+            n -= len(self.labels[out[-1]])
         return tuple(reversed(out))
 
     def _plain(self, text: str) -> list[int]:
@@ -190,7 +228,7 @@ def encode_texts(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             ids = [machine.encode(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([machine.decode(x) for x in ids], pa.string())], names=["id", "ids", "decoded"])
 
-    found = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string")).mapInArrow(run, "id long, ids array<int>, decoded string")
+    found = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text")).mapInArrow(run, "id long, ids array<int>, decoded string")
     return found.withColumnRenamed("id", id_col)
 
 
@@ -209,7 +247,7 @@ def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                 text_sha.append(hashlib.sha256(machine.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    found = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string")).mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    found = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
     return found.withColumnRenamed("id", id_col)
 
 
