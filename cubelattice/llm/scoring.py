@@ -1,29 +1,35 @@
 """Language-model scoring with a log-bilinear neural model.
 
-Counts of every token of every training text are taken by partial counting and one aggregation. The
-model predicts a token's class from the class before it: the ``head`` most frequent tokens are classes
-of their own, all others fall into ``buckets`` by their last two bytes. Inside a bucket a token has the
-add-one share of its count, an unseen token that of a zero count, so probabilities sum to one:
-
-    log P(text) = sum log P(class | class before) + sum over bucket tokens log (c + 1) / (mass + 1)
-
-The log-bilinear model (vectors of contexts, a transition matrix, vectors and biases of targets) is
-trained in numpy by noise-contrastive estimation. Counts of class pairs over all training texts are the
-data, and since pairs are few the estimation objective is taken in expectation over data and unigram
-noise instead of by drawing. Scoring normalises exactly: products of the context and target matrices,
-minus the log of their summed exponentials.
-
-Bounds: class pairs are at most (head + buckets + 1) squared; the exact counts of the ``known`` most
-frequent tokens of at most 64 bytes travel with the tasks; all other tokens meet their counts in a
-shuffle join, whose inputs are plain exchanges. Counts, vocabulary and pairs cover all training rows.
-
-Tokens are runs of anything but space and the ASCII controls 9-13, A-Z lower-cased, then one end per
-text. Null and empty texts are an end alone. Rows that repeat identifier and text get equal scores.
-Without training rows every base probability is 1 and the model is uniform over classes.
+Counts of every token of every training text are taken by partial counting and one aggregation. The model
+predicts a token's class from the classes of the ``BEFORE`` tokens before it: the ``head`` most frequent
+tokens are classes of their own, all others fall into ``BUCKETS`` by their last two bytes. Inside a bucket a
+token has the add-one share of its count, an unseen token that of a zero count, so probabilities sum to one:
+
+    log P(text) = sum log P(class | classes before) + sum over bucket tokens log (c + 1) / (mass + 1)
+
+The log-bilinear model adds the vectors of the classes before, each through the matrix of its place, and
+multiplies the sum with the target's vector. It is trained in numpy by noise-contrastive estimation over all
+training texts: in each of ``ROUNDS`` rounds every task takes its rows of that round (dealt by text hash) in
+batches, with noise classes drawn from the unigram distribution, and the tasks' parameters (with their sums of
+squared gradients, which set the step sizes) are averaged by tokens (the sums are taken on executors, so the driver reads one set of parameters). A task with few texts
+repeats them until it has taken ``LEAST_STEPS`` steps. Scoring normalises exactly: per batch of texts, the new
+contexts are multiplied with all targets, and the log of the summed exponentials is kept per context.
+
+Bounds: the exact counts of the ``known`` most frequent tokens travel with the tasks (a token over 64 bytes is
+told by its SHA-512, so they are at most 65,536 x 65 bytes) with some 1.4 MB of parameters; all other tokens
+meet their counts in a shuffle join, whose inputs are plain exchanges. What the driver reads has the same
+bounds. A row is told by a number that is stored with it.
+
+Tokens are runs of anything but space and the ASCII controls 9-13, A-Z lower-cased, then one end per text.
+Null and empty texts are an end alone. Null and repeated identifiers are carried along and tell nothing; rows
+that repeat a text get equal scores. Texts are read whole; one row's tokens must fit in memory. Without
+training rows every base probability is 1 and the model is uniform over classes. An empty table gives an empty
+result; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -33,21 +39,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import table, written
+from cubelattice.llm.common import quoted, table, written
 
-HEAD = 1024
+HEAD = 768
 BUCKETS = 256
 KNOWN = 65_536
-WIDTH = 48
+LONGEST = 64
+BEFORE = 2
+WIDTH = 32
 NOISE = 25.0
-STEPS = 100
-RATE = 0.05
+DRAWN = 48
+BATCH = 1024
+ROUNDS = 4
+LEAST_STEPS = 240
+RATE = 0.1
 FLUSH = 300_000
+SLICE = 1024
 END = b""  # no token is empty
 
 
 def tokens(text: str | None) -> list[bytes]:
-    return [*(text or "").encode().lower().split(), END]
+    words = (text or "").encode().lower().split()
+    if words and max(map(len, words)) > LONGEST:
+        words = [w if len(w) <= LONGEST else hashlib.sha512(w).digest() + b"+" for w in words]
+    words.append(END)
+    return words
 
 
 def bucket(token: bytes) -> int:
@@ -56,6 +72,14 @@ def bucket(token: bytes) -> int:
     return (token[-1] * 7 + (token[-2] if len(token) > 1 else 0) * 31) % BUCKETS
 
 
+def buckets(words: list[bytes]) -> np.ndarray:
+    """``bucket`` of tokens that are not empty."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    lone = np.diff(ends, prepend=0) == 1
+    return (flat[ends - 1] * 7 + np.where(lone, 0, flat[ends - 2]) * 31) % BUCKETS
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
@@ -79,185 +103,273 @@ def count_tokens(df: DataFrame, text_col: str = "text") -> DataFrame:
                     yield from drain()
         yield from drain()
 
-    return df.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    return df.select(quoted(text_col).cast("string").alias("text")).mapInArrow(run, "token binary, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
 class Model:
     """Classes, exact counts of known tokens, and the log-bilinear parameters; a few megabytes."""
 
-    def __init__(self, known: dict[bytes, int], head: list[bytes], mass: np.ndarray, total: int, distinct: int):
-        self.counts, self.total, self.distinct = known, total, distinct
-        self.head = {w: n for n, w in enumerate(head)}
-        self.classes = len(head) + BUCKETS
-        self.mass = mass  # of each bucket: sum of (c + 1) over its tokens
-        self.classed: dict[bytes, int] = {}
-        self.table: np.ndarray | None = None
+    def __init__(self, known: dict[bytes, int], head: list[bytes], mass: np.ndarray, seen: np.ndarray, total: int, distinct: int):
+        self.slot = {w: n for n, w in enumerate(known)}
+        self.count = np.array([*known.values(), 0], np.int64)
+        self.head, self.classes = len(head), len(head) + BUCKETS
+        own = {w: n for n, w in enumerate(head)}
+        self.kind = np.array([own[w] if w in own else len(head) + bucket(w) for w in known] + [0], np.int32)
+        self.own = own
+        self.mass, self.total, self.distinct = mass, total, distinct  # mass of a bucket: sum of (c + 1) over its tokens
+        unigram = np.concatenate([[known[w] for w in head], seen]) + 0.5
+        self.noise = unigram / unigram.sum()
+        draw = np.random.default_rng(7)
+        self.parameters = {
+            "context": draw.normal(0, 0.3, (self.classes + 1, WIDTH)),  # the last one: before the text
+            "through": np.stack([np.eye(WIDTH) / (k + 1) for k in range(BEFORE)]),
+            "target": np.zeros((self.classes, WIDTH)),
+            "bias": np.log(self.noise),
+        }
+        self.squares = {k: np.full(x.shape, 1e-8) for k, x in self.parameters.items()}  # of the steps' gradients, summed
+        self._ready: tuple | None = None
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"table": None, "classed": {}}
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        """Class of each token."""
-        classed = self.classed
-        try:
-            return np.fromiter(map(classed.__getitem__, words), np.int32, len(words))
-        except KeyError:
-            if len(classed) > FLUSH:
-                classed.clear()
-            for w in words:
-                if w not in classed:
-                    n = self.head.get(w)
-                    classed[w] = len(self.head) + bucket(w) if n is None else n
-            return np.fromiter(map(classed.__getitem__, words), np.int32, len(words))
-
-    def train(self, pairs: np.ndarray, width: int = WIDTH, steps: int = STEPS) -> None:
-        """pairs[context, target]: how often; the last context is the start of a text."""
-        contexts, targets = pairs.shape
-        draw = np.random.default_rng(7)
-        p = {
-            "context": draw.normal(0, 0.3, (contexts, width)).astype(np.float32),
-            "through": (np.eye(width) + draw.normal(0, 0.02, (width, width))).astype(np.float32),
-            "target": draw.normal(0, 0.3, (targets, width)).astype(np.float32),
+        return self.__dict__ | {"_ready": None}
+
+    def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Place among the known tokens (-1: none) and class of each token, and the tokens that are not known."""
+        words = tokens(text)
+        at = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int32, len(words))
+        kinds = self.kind[at]
+        rare = np.flatnonzero(at < 0)
+        others = [words[n] for n in rare.tolist()]
+        if others and not others[-1]:  # an end that no training text has shown
+            kinds[rare[-1]], rare = self.head + bucket(END), rare[:-1]
+            others.pop()
+        if others:
+            kinds[rare] = self.head + buckets(others)
+        return at, kinds, others
+
+    # training
+
+    def take(self, body: np.ndarray) -> None:
+        """Parameters and squares out of one array (see ``flat``)."""
+        at = 0
+        for group in (self.parameters, self.squares):
+            for k, x in group.items():
+                group[k] = body[at : at + x.size].reshape(x.shape)
+                at += x.size
+        self._ready = None
+
+    def step(self, p: dict, sums: dict, before: np.ndarray, target: np.ndarray, draw: np.random.Generator) -> None:
+        """One step of noise-contrastive estimation: every position against its own class and drawn classes."""
+        drawn = draw.choice(self.classes, DRAWN, p=self.noise)
+        logs = np.log(NOISE * self.noise).astype(np.float32)
+        inputs = [p["context"][c] for c in before]
+        predicted = sum(x @ m for x, m in zip(inputs, p["through"], strict=True))
+        own = 1 - _sigmoid(np.einsum("nd,nd->n", predicted, p["target"][target]) + p["bias"][target] - logs[target])
+        other = _sigmoid(predicted @ p["target"][drawn].T + p["bias"][drawn] - logs[drawn]) * np.float32(-NOISE / DRAWN)
+        back = own[:, None] * p["target"][target] + other @ p["target"][drawn]
+        pulled = [(target, own[:, None] * predicted), (drawn, other.T @ predicted)]
+        grads = {
+            "context": _gathered([(c, back @ m.T) for c, m in zip(before, p["through"], strict=True)], self.classes + 1),
+            "through": np.stack([x.T @ back for x in inputs]),
+            "target": _gathered(pulled, self.classes),
+            "bias": np.bincount(target, own, self.classes) + np.bincount(drawn, other.sum(0), self.classes),
         }
-        seen = pairs.sum(0) + 0.5
-        noise = (seen / seen.sum()).astype(np.float32)
-        p["bias"] = np.log(noise)
-        total = max(float(pairs.sum()), 1.0)
-        data = (pairs / total).astype(np.float32)
-        load = data.sum(1, keepdims=True)
-        blend = NOISE * load * noise[None, :]
-        first, second = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}
-        offset = np.log(NOISE * noise)[None, :]
-        for t in range(1, steps + 1):
-            predicted = p["context"] @ p["through"]
-            share = 1 / (1 + np.exp(np.clip(offset - predicted @ p["target"].T - p["bias"], -30, 30)))  # P(data | pair)
-            pull = data - (data + blend) * share
-            grads = {"target": pull.T @ predicted, "bias": pull.sum(0)}
-            back = pull @ p["target"]
-            grads["through"], grads["context"] = p["context"].T @ back, back @ p["through"].T
-            rate = RATE * min(1.0, 2 * (1 - t / (steps + 1)))
-            for k, g in grads.items():
-                g = g * 1e3
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.99 * second[k] + 0.01 * g * g
-                p[k] = p[k] + rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-6)
-        self.parameters = p
-
-    def log10(self) -> np.ndarray:
-        """log10 P(target | context), rows sum to one."""
-        if self.table is None:
+        for k, g in grads.items():
+            g = (g / len(target)).astype(np.float32)
+            sums[k] += g * g
+            p[k] += np.float32(RATE) * g / (np.sqrt(sums[k]) + np.float32(1e-6))
+
+    def train(self, batches: Iterator[pa.RecordBatch], seed: int) -> tuple[np.ndarray, int]:
+        """Parameters and squares after all texts, as one array, and the number of tokens."""
+        p, sums = ({k: x.astype(np.float32) for k, x in group.items()} for group in (self.parameters, self.squares))
+        draw = np.random.default_rng(seed)
+        steps = seen = 0
+        held: list[np.ndarray] | None = []
+        waiting: list[np.ndarray] = []
+
+        def pass_over(parts: list[np.ndarray]) -> int:
+            a, place = _padded(parts, self.classes)
+            place = draw.permutation(place)
+            cuts = np.array_split(place, -(-len(place) // BATCH))
+            for at in cuts:
+                self.step(p, sums, [a[at - k] for k in range(1, BEFORE + 1)], a[at], draw)
+            return len(cuts)
+
+        for batch in batches:
+            for text in batch.column(0):
+                kinds = self.read(text.as_py())[1]
+                waiting.append(kinds)
+                seen += len(kinds)
+                if seen % (128 * BATCH) < len(kinds):
+                    steps += pass_over(waiting)
+                    held = [*held, *waiting] if held is not None and steps < LEAST_STEPS else None
+                    waiting = []
+        if waiting:
+            steps += pass_over(waiting)
+            held = [*held, *waiting] if held is not None else None
+        while held and steps < LEAST_STEPS:
+            steps += pass_over(held)
+        return np.concatenate([x.ravel() for group in (p, sums) for x in group.values()]), seen
+
+    # scoring
+
+    def ready(self) -> tuple:
+        """Context vectors through the matrix of each place, targets, and the log of each context's sum (none yet)."""
+        if self._ready is None:
             p = self.parameters
-            s = ((p["context"] @ p["through"]) @ p["target"].T + p["bias"]).astype(np.float64)
-            s -= s.max(1, keepdims=True)
-            self.table = (s - np.log(np.exp(s).sum(1, keepdims=True))) / np.log(10)
-        return self.table
-
-    def local(self, words: list[bytes]) -> tuple[float, float, int]:
-        """Of one text: the model's part that needs no counts of rare tokens; sum of log10 (c + 1) of known
-        tokens; their number."""
-        ids = self.ids(words)
-        before = np.r_[np.int32(self.classes), ids[:-1]]
-        score = self.log10()[before, ids].sum()
-        h = len(self.head)
-        rare = ids >= h
-        score -= np.log10(self.mass[ids[rare] - h] + 1.0).sum()
-        c = np.fromiter(map(self.counts.get, words, repeat(-1)), np.int64, len(words))
-        logs = np.log10(np.maximum(c, 0) + 1.0)
-        return float(score + logs[rare & (c > 0)].sum()), float(logs.sum()), int((c > 0).sum())
+            self._ready = (
+                [(p["context"] @ m).astype(np.float32) for m in p["through"]],
+                np.ascontiguousarray(p["target"].T.astype(np.float32)),
+                p["bias"].astype(np.float32),
+                np.full((self.classes + 1) ** BEFORE, np.nan, np.float32),
+            )
+        return self._ready
+
+    def log10(self, kinds: list[np.ndarray]) -> np.ndarray:
+        """Of each text: the sum of log10 P(class | classes before)."""
+        through, target, bias, norm = self.ready()
+        a, place = _padded(kinds, self.classes)
+        out = np.empty(len(place))
+        for at in range(0, len(place), 1 << 16):
+            own = place[at : at + (1 << 16)]
+            before = [a[own - k] for k in range(1, BEFORE + 1)]
+            context = np.zeros(len(own), np.int64)
+            for c in before:
+                context = context * (self.classes + 1) + c
+            fresh = np.unique(context[np.isnan(norm[context])])
+            for n in range(0, len(fresh), 256):
+                part = fresh[n : n + 256]
+                vectors, rest = np.zeros((len(part), WIDTH), np.float32), part
+                for m in reversed(through):
+                    vectors += m[rest % (self.classes + 1)]
+                    rest = rest // (self.classes + 1)
+                scores = vectors @ target
+                scores += bias
+                most = scores.max(1, keepdims=True)
+                scores -= most
+                norm[part] = np.log(np.exp(scores, out=scores).sum(1)) + most[:, 0]
+            vectors = sum(m[c] for m, c in zip(through, before, strict=True))
+            out[at : at + len(own)] = np.einsum("nd,nd->n", vectors, target.T[a[own]]) + bias[a[own]] - norm[context]
+        sizes = np.fromiter(map(len, kinds), np.int64, len(kinds))
+        return np.add.reduceat(out, np.cumsum(sizes) - sizes) / np.log(10) if len(kinds) else np.empty(0)
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _padded(kinds: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in one array, ``BEFORE`` starts ahead of each; the places of the tokens."""
+    sizes = np.fromiter(map(len, kinds), np.int64, len(kinds))
+    place = np.arange(int(sizes.sum())) + np.repeat(np.arange(1, len(kinds) + 1) * BEFORE, sizes)
+    a = np.full(len(place) + BEFORE * len(kinds), start, np.int32)
+    a[place] = np.concatenate(kinds) if kinds else 0
+    return a, place
+
+
+def _gathered(parts: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    """Sums of the rows of each class."""
+    kinds, rows = np.concatenate([c for c, _ in parts]).astype(np.int16), np.concatenate([g for _, g in parts])
+    order = np.argsort(kinds, kind="stable")
+    kinds = kinds[order]
+    starts = np.flatnonzero(np.r_[True, kinds[1:] != kinds[:-1]])
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    out[kinds[starts]] = np.add.reduceat(rows[order], starts, axis=0)
+    return out
 
 
 def fit(training: DataFrame, text_col: str = "text", head: int = HEAD, known: int = KNOWN) -> tuple[Model, DataFrame]:
     """The model, and the stored table of all token counts."""
     counts = written(count_tokens(training, text_col))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    short = counts.filter(F.octet_length("token") <= 64)
-    top = short.orderBy(F.desc("c"), "token").limit(known).collect()  # at most ``known`` rows
+    top = counts.orderBy(F.desc("c"), "token").limit(known).collect()  # at most ``known`` rows of at most 65 bytes
     ends = counts.filter(F.octet_length("token") == 0).first()  # a class of its own, however rare
     top = ({END: ends["c"]} if ends else {}) | {bytes(r[0]): r[1] for r in top}
     heads = list(top)[:head]
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, sums = set(heads), np.zeros(BUCKETS, np.int64)
+        own, sums, rows = set(heads), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for token, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if token not in own:
-                    sums[bucket(token)] += c + 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS), pa.int64()), pa.array(sums)], names=["b", "mass"])
-
-    mass = np.zeros(BUCKETS, np.int64)
-    for b, m in counts.mapInArrow(masses, "b long, mass long").groupBy("b").agg(F.sum("mass")).collect():
-        mass[b] = m
-    model = Model(top, heads, mass, total, distinct)
-    model.train(pair_counts(training, model, text_col))
+                    sums[bucket(token)] += c
+                    rows[bucket(token)] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS), pa.int64()), pa.array(sums), pa.array(rows)], names=["b", "c", "n"])
+
+    seen, tokens_of = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for b, c, n in counts.mapInArrow(masses, "b long, c long, n long").groupBy("b").agg(F.sum("c"), F.sum("n")).collect():
+        seen[b], tokens_of[b] = c, n
+    model = Model(top, heads, seen + tokens_of, seen, total, distinct)
+    texts = training.select(quoted(text_col).cast("string").alias("text"))
+    for r in range(ROUNDS if total else 0):
+        train_round(texts.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == r), model, r)
     return model, counts
 
 
-def pair_counts(training: DataFrame, model: Model, text_col: str = "text") -> np.ndarray:
-    """Counts of (class before, class) over all rows; the matrix has a fixed size."""
-    shape = (model.classes + 1, model.classes)
+def train_round(texts: DataFrame, model: Model, seed: int) -> None:
+    """Train on all rows, from the model's parameters, and give it the tasks' mean parameters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(shape[0] * shape[1], np.int32)
+        body, seen = model.train(batches, seed)
+        if seen:
+            parts = [body[at : at + SLICE].astype("<f8") * seen for at in range(0, len(body), SLICE)]
+            yield _slices(range(len(parts)), [seen] * len(parts), parts)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights: Counter = Counter()
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            codes, held = [], 0
-            for text in batch.column(0):
-                ids = model.ids(tokens(text.as_py()))
-                codes.append(np.r_[np.int64(model.classes), ids[:-1].astype(np.int64)] * shape[1] + ids)
-                held += len(ids)
-                if held > 1 << 19:
-                    np.add.at(sums, np.concatenate(codes), 1)
-                    codes, held = [], 0
-            if codes:
-                np.add.at(sums, np.concatenate(codes), 1)
-        found = np.flatnonzero(sums)
-        for at in range(0, len(found), 100_000):
-            part = found[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(sums[part].astype(np.int64))], names=["pair", "n"])
-
-    found = training.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    out = np.zeros(shape[0] * shape[1], np.int64)
-    rows = found.toArrow()  # at most (classes + 1) x classes rows
-    out[rows.column("pair").to_numpy()] = rows.column("n").to_numpy()
-    return out.reshape(shape)
+            for at, weight, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                weights[at] += weight
+                sums[at] = sums.get(at, 0.0) + np.frombuffer(body, "<f8")
+        yield _slices(list(sums), [weights[k] for k in sums], list(sums.values()))
+
+    schema = "part int, weight long, body binary"
+    found = texts.mapInArrow(run, schema).repartition("part").mapInArrow(summed, schema).collect()  # one set of parameters
+    if found:
+        mean = np.concatenate([np.frombuffer(r["body"], "<f8") / r["weight"] for r in sorted(found, key=lambda r: r["part"])])
+        model.take(mean)
+
+
+def _slices(part, weight, bodies: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(weight, pa.int64()), pa.array([b.tobytes() for b in bodies], pa.binary())], names=["part", "weight", "body"])
 
 
 def score(df: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Identifier, n_tokens, n_known, train_tokens, base_score, score per input row."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.hash(F.col(text_col)).alias("h"), F.col(text_col).cast("string").alias("text"))
+    texts = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        logs = np.log10(model.count + 1.0)
+        inside = np.log10(model.mass + 1.0)
+
+        def part(idents: pa.Array, bodies: pa.Array) -> pa.RecordBatch:
+            at, kinds, others = zip(*[model.read(text.as_py()) for text in bodies], strict=True)
+            own = model.log10(list(kinds))
+            n, known, base, ends = [], [], [], [0]
+            for k, (a, c, words) in enumerate(zip(at, kinds, others, strict=True)):
+                rare = c >= model.head
+                own[k] += logs[a[rare]].sum() - inside[c[rare] - model.head].sum()
+                n.append(len(a))
+                known.append(int((a >= 0).sum()))
+                base.append(float(logs[a].sum()))
+                ends.append(ends[-1] + len(words))
+            rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array([w for words in others for w in words], pa.binary()))
+            return pa.RecordBatch.from_arrays([idents, pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64()), rest], names=["id", "n", "k", "logs", "own", "rare"])
 
-    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text in batch.column(2):
-                words = tokens(text.as_py())
-                found.append((len(words), *shared.value.local(words)))
-            n, own, logs, k = zip(*found, strict=True) if found else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(own, pa.float64()), pa.array(logs, pa.float64()), pa.array(k, pa.int64())], names=["id", "h", "n", "own", "logs", "k"])
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value.counts
         for batch in batches:
-            at, found = [], []
-            for k, text in enumerate(batch.column(2)):
-                mine = [w for w in (text.as_py() or "").encode().lower().split() if w not in counts]
-                found += mine
-                at.append(np.full(len(mine), k, np.int64))
-                if len(found) > 50_000:
-                    yield _tokens(batch, at, found)
-                    at, found = [], []
-            if found:
-                yield _tokens(batch, at, found)
-
-    local = rows.mapInArrow(parts, "id long, h int, n long, own double, logs double, k long")
-    # rows that repeat identifier and text are told apart by neither; their sums are shared out among them
-    met = rows.mapInArrow(rare, "id long, h int, token binary").join(counts, "token")
-    sums = met.groupBy("id", "h").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("more"), F.count("*").alias("met"))
-    copies = local.groupBy("id", "h").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "own", "logs", "k")])
-    joined = copies.join(sums, copies["id"].eqNullSafe(sums["id"]) & (copies["h"] == sums["h"]), "left").select(copies["id"], "copies", "n", "own", "logs", "k", (F.coalesce("more", F.lit(0.0)) / F.col("copies")).alias("more"), (F.coalesce("met", F.lit(0)) / F.col("copies")).cast("long").alias("met"))
-    each = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+            for at in range(0, batch.num_rows, 512):
+                rows = batch.slice(at, 512)
+                yield part(rows.column(0), rows.column(1))
+
+    local = texts.mapInArrow(run, "id long, n long, k long, logs double, own double, rare array<binary>")
+    local = written(local.withColumn("row", F.monotonically_increasing_id()))
+    met = local.select("row", F.explode("rare").alias("token")).join(counts, "token")
+    sums = met.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("more"), F.count("*").alias("met"))
+    joined = local.drop("rare").join(sums, "row", "left").withColumns({"more": F.coalesce("more", F.lit(0.0)), "met": F.coalesce("met", F.lit(0))})
     base = float(np.log10(model.total + model.distinct + 1.0))
-    return each.select(
+    return joined.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_tokens"),
         (F.col("k") + F.col("met")).alias("n_known"),
@@ -267,11 +379,6 @@ def score(df: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id"
     )
 
 
-def _tokens(batch: pa.RecordBatch, at: list[np.ndarray], found: list[bytes]) -> pa.RecordBatch:
-    rows = pa.array(np.concatenate(at))
-    return pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(found, pa.binary())], names=["id", "h", "token"])
-
-
 def op5_scoring(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model, counts = fit(docs.filter(~held_out()))
