@@ -8,13 +8,15 @@ a 0/1 matrix, then kernel values with every landmark, then one decision value pe
 products. Whole texts are read, in blocks.
 
 The sample is taken by a hash of identifier and text, with a rate per language from counts over all training
-rows, and is read by the driver (at most about 2 x ``sample`` rows per language). The model (landmark
-n-grams and weights, some hundred kilobytes) travels with the tasks.
+rows, each different row once; the driver reads at most 4 x ``SAMPLE`` rows per language, of at most ``LANGS``
+languages (the most frequent ones; all rows are still scored), and the first ``SAMPLE_CHARS`` characters of a
+sampled text. The model (landmark n-grams and weights, some hundred kilobytes) travels with the tasks.
 
 A null text or one without a letter is ``und`` with score 0, and so is every text if no training row has
 a language and a letter. The score is the softmax share of the best decision value. Ties go to the
-language that sorts first. Empty tables give empty results; repeated rows get equal results; the
-columns lang, source and doc_id are read for training only.
+language that sorts first. Texts are predicted from all their bytes, in blocks, however long. Empty tables give
+empty results; repeated rows, and rows with null or repeated identifiers, get equal results for equal texts; the
+columns lang, source and doc_id are read for training only, and other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -27,17 +29,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import table
+from cubelattice.llm.common import quoted, table
 
 ORDERS = (1, 2, 3)
 LANDMARKS = 24
 SAMPLE = 160
+SAMPLE_CHARS = 1 << 16
+LANGS = 1000
 RIDGE = 1e-2
 SHARPNESS = 6.0
 BLOCK = 1 << 20
 ROWS = 128
 LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
+#: A stage that filters by language rejects a text of which no language has this share.
+SHARE = 0.5
 
 
 def grams(body: np.ndarray, n: int) -> np.ndarray:
@@ -139,15 +145,17 @@ class Unlearned:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Classifier:
     """Learn from rows with a text and a language."""
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).alias("lang")).count().collect()}  # a row per language
+    lang, text = quoted(lang_col), quoted(text_col).cast("string")
+    rows = labelled.select(quoted(id_col).alias("id"), text.alias("text"), lang.alias("lang")).filter("lang is not null and text is not null")
+    counts = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect())
     if not counts:
         return Classifier([], [])
-    at = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30))
+    rows = rows.withColumn("at", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)))
     limit: Column = F.lit(0)
-    for lang, n in counts.items():
-        limit = F.when(F.col(lang_col) == lang, int(min(1.0, 2 * sample / n) * (1 << 30))).otherwise(limit)
-    found = rows.filter(at < limit).select(F.col(lang_col), F.col(text_col), at.alias("at")).distinct().collect()
+    for name, n in counts.items():
+        limit = F.when(F.col("lang") == name, int(min(1.0, 2 * sample / n) * (1 << 30))).otherwise(limit)
+    drawn = rows.filter(F.col("at") < limit).select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "at").distinct()
+    found = drawn.orderBy("at", "lang", "text").limit(4 * sample * len(counts)).collect()
     found = sorted({(r[0], r[1]): r for r in found}.values(), key=lambda r: (r[2], r[0], r[1]))
     texts, langs, taken = [], [], dict.fromkeys(counts, 0)
     for lang, text, _ in found:
@@ -166,7 +174,7 @@ def identify(df: DataFrame, model: Classifier | Unlearned, id_col: str = "doc_id
             langs, scores = model.predict(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(langs, pa.string()), pa.array(scores)], names=["id", *[f"own_{k}" for k in range(len(keep))], "lang_pred", "score"])
 
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(f"own_{k}") for k, c in enumerate(keep)])
+    rows = df.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"), *[quoted(c).alias(f"own_{k}") for k, c in enumerate(keep)])
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes if n != "text") + ", lang_pred string, score double"
     found = rows.mapInArrow(run, schema)
     return found.select(F.col("id").alias(id_col), "lang_pred", "score", *[F.col(f"own_{k}").alias(c) for k, c in enumerate(keep)])
@@ -182,14 +190,16 @@ def op10_language(spark, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """The rows whose text has an identified language, all columns unchanged; texts without a letter go.
+def keep_identified(docs: DataFrame, share: float = SHARE) -> DataFrame:
+    """The rows whose text has an identified language, all columns unchanged.
 
-    It learns from the rows that op10 learns from. No score is too low to stay: a document in a language
-    that the labels lack is not junk. Where no language was learned, texts with a letter stay."""
+    Rejected are texts without a letter, and texts of which no learned language has ``share`` (the model is at
+    odds with itself: a word or two that fit several languages, or a language that the labels lack and that
+    looks like no other). It learns from the rows that op10 learns from. Where no language was learned, texts
+    with a letter stay. Columns may have any names."""
     model = fit(docs.filter(~held_out()))
-    model = model if model.langs else Unlearned()
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    found = identify(docs, model, keep=others)
-    kept = found.toDF("doc_id", "pred", "share", *others) if "lang_pred" in others or "score" in others else found
-    return kept.filter(F.col(kept.columns[1]) != UNKNOWN).select(*docs.columns)
+    known = bool(model.langs)
+    # the whole row travels as it is, under its place, so no name of it meets the model's
+    found = identify(docs, model if known else Unlearned(), keep=tuple(docs.columns)).toDF("_id", "_pred", "_share", *[f"_{k}" for k in range(len(docs.columns))])
+    kept = found.filter((F.col("_pred") != UNKNOWN) & (F.col("_share") >= (share if known else 0.0)))
+    return kept.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(docs.columns)])
