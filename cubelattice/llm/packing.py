@@ -1,16 +1,19 @@
 """Best-fit packing by sums of squares.
 
 Texts are tokenized and cut into pieces of at most ``size`` tokens; of a longer document all pieces but
-the first are full. Pieces are dealt at random into groups of about ``GROUP`` pieces, and each group is
-packed on its own, largest piece first: a piece goes to the open sequence whose use makes the sum of the
-squared counts of open sequences per residual gap smallest (of equals, to the smallest gap), and a new
-sequence opens only where no open one fits. A group's state is one counter and one stack per gap. Groups
-of this size have the whole corpus's length distribution, so dealing costs a fraction of a sequence each.
+the first are full. Pieces are dealt at random into groups of about ``GROUP`` pieces, by their number in the
+stored table, so that null or repeated identifiers do not gather in one group. Each group is packed on its own,
+largest piece first: a piece goes to the open sequence whose use makes the sum of the squared counts of open
+sequences per residual gap smallest (of equals, to the smallest gap). Two departures from the online rule, for
+fewer sequences: pieces come largest first, and a new sequence is no candidate while an open one fits. A group's
+state is one counter and one stack per gap. Groups of this size have the whole corpus's length distribution, so
+dealing costs a fraction of a sequence each.
 
 The ids are those of the ``tokenizers`` file; they are computed by the ``tiktoken`` library over the same
 ranks, which gives the same ids several times faster (tests compare both), where the file's ids follow
 its merge order, else by ``tokenizers`` itself. Null and empty texts have the end id alone. Rows that
-repeat an identifier are packed separately. An empty table gives an empty result.
+repeat an identifier are packed separately. A text's ids must fit in memory, however long it is. An empty table
+gives an empty result; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -127,7 +130,7 @@ def pack(cut: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
         if held:
             yield from out()
 
-    dealt = cut.select(F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("g"), "*")
+    dealt = cut.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("g"), "*")
     dealt = dealt.repartitionById(tasks, F.pmod("g", F.lit(tasks)).cast("int")).sortWithinPartitions("g")
     return dealt.mapInArrow(run, PACKED)
 
