@@ -5,8 +5,9 @@
    distinct text it has seen, so a text with a third of all rows crosses the shuffle once per task.
 2. Those rows are dealt by (byte length, content hash) and folded into the owning tries, which compare
    whole byte strings. A trie over its memory budget spills its heaviest subtree to an unnamed
-   temporary file that only this task reads and that goes with it; spilled subtrees are folded again,
-   one at a time, so memory stays bounded by the budget and the longest text.
+   temporary file in Spark's local folder that only this task reads and that goes with it (at most the
+   bytes of the task's distinct texts); spilled subtrees are folded again, one at a time, so memory stays
+   bounded by the budget and the longest text. A lost executor's task starts anew on another one.
 3. The owners of repeated texts are joined back by digest to (identifier, digest) rows. Both inputs of
    that join are plain exchanges, so adaptive execution splits a hot digest.
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import lower_ascii, table
+from cubelattice.llm.common import lower_ascii, quoted, table, task_dir
 
 FOLD_BYTES = 48 << 20
 TRIE_BYTES = 160 << 20
@@ -112,7 +113,7 @@ class RadixTrie:
         if not weights or node is self.root and len(node.children) == 1:
             return
         weight, k = max(weights)
-        child, file = node.children[k], tempfile.TemporaryFile()
+        child, file = node.children[k], tempfile.TemporaryFile(dir=task_dir())
         for path, x in self._subtree(child):
             if x.terminal is not None:
                 pickle.dump((path, *x.terminal), file)
@@ -238,7 +239,7 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """The input's rows that own their text, all columns; rows without identifier stay. Rows are told by identifier
     and text, and of rows that repeat both one stays."""
     lost = exact_duplicates(df, id_col, text_col, keep).filter(f"not kept and `{id_col}` is not null").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_text"))
-    own = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+    own = F.struct(*[quoted(c) for c in df.columns]).alias("_row")
     rows = df.select(own, F.col(f"`{id_col}`").cast("long").alias("_id"), F.sha2(F.encode(lower_ascii(F.col(text_col)), "UTF-8"), 256).alias("_text"))
     left = rows.join(lost.distinct().hint("merge"), ["_id", "_text"], "left_anti")
     # the merge join has dealt the rows by these columns, so the window shuffles nothing

@@ -11,23 +11,25 @@ pair is lost. Connected components of the forests give the groups.
 
 ``drop_near_duplicates`` looks for a shingle similarity (shared over all distinct shingles) of 0.8 or more
 instead of a few bits. It takes five-word shingles, without repeats, and fingerprints of four 64-bit words;
-at similarity 0.8 about 39 of 256 bits differ (deviation 6), and texts within ``WIDE_BITS`` are candidates.
-The index then holds pairs of positions: the 32 positions form ``CLASSES`` classes and every pair inside a
-class is a key. Pairs of texts have 8.6 equal bytes in the mean at 0.8 and more above it: about 97 % of them
-meet at 0.8, 99.5 % at 0.85. Candidates form coarse groups; the distinct texts of a coarse group then meet in
-one task (or, beyond ``BLOCK_BYTES`` of text, in one task per pair of blocks), where every pair within
-``WIDE_BITS`` that is not connected yet is verified by its shingle sets (64-bit hashes). Only verified links
-make groups. What this way loses, an exact one finds (``missed``): of n shingles in one order for all texts, two
-texts at 0.8 or more share one among their first n - ceil(0.8 n) + 1. Texts of different groups that share such
-a shingle are compared by bounds that no pair at 0.8 breaks (sizes, place of the shingle, parities and counts of
-shingles per class), and what is left is verified like the others, without ``WIDE_BITS``. The order puts shingles
-that are frequent in a sample last; it decides the cost, never the result.
+at similarity 0.8 about 39 of 256 bits differ (deviation 6). The index then holds pairs of positions: the 32
+positions form ``CLASSES`` classes and every pair inside a class is a key. Texts that share a list are tallied:
+``WIDE_SHARED`` equal bytes and at most ``WIDE_BITS`` differing bits make them candidates (at 0.8 there are 8.6
+equal bytes in the mean; two unlike texts have one or two). Candidates form coarse groups; the distinct texts of a
+coarse group then meet in one task (or, beyond ``BLOCK_BYTES`` of text or ``BLOCK_TEXTS`` texts, in one task per
+pair of blocks), where every pair within ``WIDE_BITS`` that is not connected yet is verified by its shingle sets
+(64-bit hashes). Only verified links make groups. A similarity of 0.8 guarantees no number of equal bytes, so what
+this way loses, an exact one finds (``missed``): of n shingles in one order for all texts, two texts at 0.8 or more
+share one among their first n - ceil(0.8 n) + 1. Texts of different groups that share such a shingle are compared
+by bounds that no pair at 0.8 breaks (sizes, place of the shingle, parities and counts of shingles per class), and
+what is left is verified like the others, without ``WIDE_BITS``. The order puts shingles that are frequent in a
+sample last; it decides the cost, never the result.
 
 Words are runs of anything but space and the ASCII controls 9-13; A-Z is lower-cased; shingles repeat.
 A text of fewer words than a shingle is one shingle; a text without words (null, empty, blank) has
 fingerprint 0 and links like any other. Equal fingerprints are one node, represented by the smallest
 identifier. Rows whose fingerprint no identified row has get a null component. Repeated rows and ties
-share a component. An empty table gives an empty result. Other columns take no part.
+share a component. An empty table gives an empty result. Texts are read whole, one row of a batch at a time,
+however long. Other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import table, written
+from cubelattice.llm.common import intermediate, quoted, table, written
 from cubelattice.llm.components import components
 
 BITS = 4
@@ -74,10 +76,12 @@ TRIPLES = _triples()
 PAIRS = _pairs()
 WIDE = 4
 WIDE_BITS = 60
+WIDE_SHARED = 4
 WIDE_SHINGLE = 5
 #: Similarity of shingle sets from which texts are near copies, as a fraction.
 SIMILAR = (4, 5)
 BLOCK_BYTES = 16 << 20
+BLOCK_TEXTS = 512
 #: The frequent shingles of one row in ``SAMPLED`` come last in the order of prefixes; ``COMMON`` of them at most.
 SAMPLED = 16
 COMMON = 1 << 16
@@ -113,11 +117,8 @@ def hashes(text: str | None, shingle: int) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(42)), np.uint64, len(grams))
 
 
-def fingerprint(text: str | None, shingle: int = 4, width: int = 1) -> np.ndarray:
-    """``width`` words of 64 bits, unsigned; several words count every shingle once."""
-    grams = hashes(text, shingle)
-    if width > 1:
-        grams = np.unique(grams)
+def fold(grams: np.ndarray, width: int) -> np.ndarray:
+    """Fingerprint of shingle hashes: ``width`` words of 64 bits, unsigned."""
     total = np.zeros(64 * width, np.int64)
     for at in range(0, len(grams), 1 << 14):
         h = spread(grams[at : at + (1 << 14)], width)
@@ -125,6 +126,12 @@ def fingerprint(text: str | None, shingle: int = 4, width: int = 1) -> np.ndarra
     return np.packbits(total * 2 > len(grams), bitorder="little").view(np.uint64)
 
 
+def fingerprint(text: str | None, shingle: int = 4, width: int = 1) -> np.ndarray:
+    """Of a text; several words count every shingle once."""
+    grams = hashes(text, shingle)
+    return fold(np.unique(grams) if width > 1 else grams, width)
+
+
 def alike(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether two sets of shingle hashes (distinct, sorted) are at least SIMILAR."""
     few, many = sorted((len(x), len(y)))
@@ -145,7 +152,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             fps = np.array([fingerprint(x, shingle, width) for x in batch.column(1).to_pylist()], np.uint64).reshape(-1, width).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(fps[:, k])) for k in range(width)]], names=["id", *names])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string")).mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in names))
+    return df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text")).mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in names))
 
 
 class Forest:
@@ -238,7 +245,7 @@ def links(fps: DataFrame, width: int = 1, bits: int = BITS, keys: list[tuple[int
     """(fp0, .., rep) of distinct fingerprints -> (a, b) edges between representatives that span all links
     of pairs that share a list; one 64-bit word at up to 4 bits by default, then no link is lost."""
     keys, names = keys or TRIPLES, [f"fp{k}" for k in range(width)]
-    shared = len(keys[0]) if width > 1 else 8 - bits
+    shared = WIDE_SHARED if width > 1 else 8 - bits
     rows = fps.filter("rep is not null").select("rep", *names)
     byte = [F.shiftrightunsigned(f"fp{p // 8}", 8 * (p % 8)).bitwiseAND(F.lit(255)) for p in range(8 * width)]
 
@@ -333,9 +340,9 @@ def verified(df: DataFrame, distinct: DataFrame, coarse: DataFrame, id_col: str,
     with alike shingle sets and at most ``bits`` differing bits."""
     names = [f"fp{k}" for k in range(WIDE)]
     nodes = written(coarse.join(distinct, coarse["node"] == distinct["rep"]).select(F.col("component").alias("key"), "rep", *names))
-    texts = df.select(F.col(id_col).cast("long").alias("rep"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = df.select(quoted(id_col).cast("long").alias("rep"), F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"))
     members = written(nodes.hint("merge").join(texts, "rep"))
-    dealt = deal(members, F.octet_length("text") + 64, BLOCK_BYTES, "rep", *names, "text")
+    dealt = deal(members, F.greatest(F.octet_length("text") + 64, F.lit(BLOCK_BYTES // BLOCK_TEXTS)), BLOCK_BYTES, "rep", *names, "text")
     return dealt.mapInArrow(_verify(bits, WIDE_SHINGLE), "a long, b long").filter("a != b")
 
 
@@ -348,7 +355,7 @@ def common_shingles(df: DataFrame, text_col: str, shingle: int) -> tuple[np.ndar
             h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
-    text = F.col(text_col).cast("string")
+    text = quoted(text_col).cast("string")
     counts = df.select(text.alias("text")).filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).mapInArrow(run, "h long, n long")
     rows = counts.groupBy("h").agg(F.sum("n").alias("n")).filter("n >= 4").orderBy(F.desc("n"), "h").limit(COMMON).collect()
     h, n = np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64)
@@ -365,26 +372,29 @@ def prefix(grams: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndarr
     return grams[np.lexsort((grams, rank))[: n + SIMILAR[0] * -n // SIMILAR[1] + 1]] if n else grams
 
 
-def prefixes(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(rep, n, parity, counts, prefix) of every text with words: the number of distinct shingles, the parity of
-    64 classes of them as bits, the numbers (up to 255) in ``COUNTS`` classes as bytes, and the prefix."""
+def profiles(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(id, fp0, .., n, parity, counts, prefix) of every row, in one pass over the texts: the wide fingerprint, the
+    number of distinct shingles, the parity of 64 classes of them as bits, the numbers (up to 255) in ``COUNTS``
+    classes as bytes, and the prefix."""
     common, often = common_shingles(df, text_col, shingle)
+    names = [f"fp{k}" for k in range(WIDE)]
+    kinds = [*[pa.int64()] * WIDE, pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+
+    def row(text: str | None) -> tuple:
+        grams = np.unique(hashes(text, shingle))
+        counts = np.bincount((grams >> np.uint64(48)).astype(np.int64) % COUNTS, minlength=COUNTS)
+        odd = np.packbits(counts.reshape(-1, 64).sum(0) % 2 == 1, bitorder="little").view(np.int64)
+        return *fold(grams, WIDE).view(np.int64).tolist(), len(grams), int(odd[0]), np.minimum(counts, 255).astype(np.uint8).tobytes(), prefix(grams, common, often).view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                rows = []
-                for rep, text in zip(batch.column(0)[at : at + 512].to_pylist(), batch.column(1)[at : at + 512].to_pylist(), strict=True):
-                    if len(grams := np.unique(hashes(text, shingle))):
-                        counts = np.bincount((grams >> np.uint64(48)).astype(np.int64) % COUNTS, minlength=COUNTS)
-                        odd = np.packbits(counts.reshape(-1, 64).sum(0) % 2 == 1, bitorder="little").view(np.int64)
-                        rows.append((rep, len(grams), int(odd[0]), np.minimum(counts, 255).astype(np.uint8).tobytes(), prefix(grams, common, often).view(np.int64)))
-                columns = list(zip(*rows, strict=True)) or [[]] * 5
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["rep", "n", "parity", "counts", "prefix"])
+                part = batch.slice(at, 512)
+                columns = zip(*[row(text.as_py()) for text in part.column(1)], strict=True)
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["id", *names, "n", "parity", "counts", "prefix"])
 
-    texts = df.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string")).filter("rep is not null")
-    return texts.mapInArrow(run, "rep long, n int, parity long, counts binary, prefix array<long>")
+    texts = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
+    return texts.mapInArrow(run, "id long, " + ", ".join(f"{n} long" for n in names) + ", n int, parity long, counts binary, prefix array<long>")
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,7 +404,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (lists, side, rep, component, n, pos, parity), _ in _whole_lists(batches):
         n, pos, parity = n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64)
         left_over = n - pos
-        starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]]).tolist()
+        starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]])
+        ends = np.r_[starts[1:], len(lists)]
+        # most shingles stand in one group only
+        mixed = np.minimum.reduceat(component, starts) < np.maximum.reduceat(component, starts)
         out: list[np.ndarray] = []
         held = 0
 
@@ -402,7 +415,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pairs = np.unique(np.concatenate(out), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-        for s, e in zip(starts, [*starts[1:], len(lists)], strict=True):
+        for s, e in zip(starts[mixed].tolist(), ends[mixed].tolist(), strict=True):
             own = np.arange(s, e)
             left = own[side[s:e] <= 1]
             right = left if side[s] == 0 else own[side[s:e] == 2]
@@ -437,30 +450,28 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c.filter(pa.array(kept)) for c in batch.columns[:2]], names=["a", "b"])
 
 
-def candidates(df: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, component) of every row -> pairs (a, b) of identifiers in different components, among them all whose
-    texts are alike."""
-    placed = written(prefixes(df, id_col, text_col, WIDE_SHINGLE).join(first.hint("merge"), F.col("rep") == F.col("id")).drop("id"))
+def candidates(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """Profiles and (id, component) of every row -> pairs (a, b) of identifiers in different components, among them
+    all whose texts are alike."""
+    own = rows.filter("id is not null and n > 0").select("id", "n", "parity", "counts", "prefix")
+    placed = written(own.join(first.hint("merge"), "id").withColumnRenamed("id", "rep"))
     posted = placed.select(F.posexplode("prefix").alias("pos", "key"), "rep", "component", "n", "parity")
-    mixed = posted.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    shared = written(posted.join(mixed.hint("merge"), "key"))
-    pairs = deal(shared, F.lit(1), BLOCK, "rep", "component", "n", "pos", "parity").mapInArrow(_candidates, "a long, b long").distinct()
+    pairs = deal(posted, F.lit(1), BLOCK, "rep", "component", "n", "pos", "parity").mapInArrow(_candidates, "a long, b long").distinct()
     of = placed.select("rep", "n", "counts")
     pairs = pairs.join(of.toDF("a", "n", "counts").hint("merge"), "a").join(of.toDF("b", "m", "others").hint("merge"), "b")
-    return written(pairs.select("a", "b", "n", "m", "counts", "others").mapInArrow(_near, "a long, b long"))
+    return pairs.select("a", "b", "n", "m", "counts", "others").mapInArrow(_near, "a long, b long")
 
 
-def missed(df: DataFrame, fps: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def missed(df: DataFrame, rows: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(a, b) edges that span the links of alike texts in different components of ``first`` (id, component)."""
-    nodes = fps.filter("id is not null").withColumnRenamed("id", "rep")
-    coarse = components(candidates(df, first, id_col, text_col))
+    nodes = rows.filter("id is not null").select(F.col("id").alias("rep"), *[f"fp{k}" for k in range(WIDE)])
+    coarse = components(candidates(rows, first))
     return verified(df, nodes, coarse, id_col, text_col, 64 * WIDE)
 
 
-def nodes_of(df: DataFrame, id_col: str, text_col: str, shingle: int, width: int) -> tuple[DataFrame, DataFrame]:
-    """(id, fp0, ..) of every row, and (fp0, .., rep, n) of every distinct fingerprint."""
-    fps = written(fingerprints(df, id_col, text_col, shingle, width))
-    return fps, written(fps.groupBy(*[f"fp{k}" for k in range(width)]).agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+def distinct_of(fps: DataFrame, width: int) -> DataFrame:
+    """(fp0, .., rep, n) of every distinct fingerprint."""
+    return written(fps.groupBy(*[f"fp{k}" for k in range(width)]).agg(F.min("id").alias("rep"), F.count("*").alias("n")))
 
 
 def grouped(fps: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFrame:
@@ -474,7 +485,8 @@ def grouped(fps: DataFrame, distinct: DataFrame, found: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
     """One row per input row: identifier, fingerprint (16 hex digits), component_id."""
-    fps, distinct = nodes_of(df, id_col, text_col, shingle, 1)
+    fps = written(fingerprints(df, id_col, text_col, shingle, 1))
+    distinct = distinct_of(fps, 1)
     found = grouped(fps, distinct, components(links(distinct)))
     return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
@@ -483,17 +495,24 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row of each group of similar texts stays: the one with the smallest identifier. Rows without
     identifier stay. Texts are always merge-joined, so the plan is the same at every size. Where identifiers repeat,
     rows are told by numbers in the order of the identifiers, so each row has a fate of its own."""
-    if not df.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").isEmpty():
-        rows = df.repartitionByRange(id_col).sortWithinPartitions(id_col)
-        rows = written(rows.withColumn("_row", F.when(F.col(id_col).isNotNull(), F.monotonically_increasing_id())))
-        return drop_near_duplicates(rows, "_row", text_col).drop("_row")
-    fps, distinct = nodes_of(df, id_col, text_col, WIDE_SHINGLE, WIDE)
-    coarse = components(links(distinct, WIDE, WIDE_BITS, PAIRS))
-    found = components(verified(df, distinct, coarse, id_col, text_col))
-    first = written(grouped(fps, distinct, found).filter("id is not null").select("id", "component"))
-    found = components(first.toDF("a", "b").union(missed(df, fps, first, id_col, text_col)))
-    lost = found.filter("component != node").select(F.col("node").alias(id_col))
-    return df.join(lost.distinct().hint("merge"), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    key = quoted(id_col)
+    if not df.filter(key.isNotNull()).groupBy(key.alias("id")).count().filter("count > 1").isEmpty():
+        rows = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("row"), key.alias("id"), quoted(text_col).alias("text"))
+        rows = rows.repartitionByRange("id").sortWithinPartitions("id")
+        rows = written(rows.withColumn("id", F.when(F.col("id").isNotNull(), F.monotonically_increasing_id())))
+        return drop_near_duplicates(rows, "id", "text").select("row.*")
+    with intermediate(df.sparkSession) as keep:
+        names = [f"fp{k}" for k in range(WIDE)]
+        rows = written(profiles(df, id_col, text_col, WIDE_SHINGLE))
+        fps = rows.select("id", *names)
+        distinct = distinct_of(fps, WIDE)
+        coarse = components(links(distinct, WIDE, WIDE_BITS, PAIRS))
+        found = components(verified(df, distinct, coarse, id_col, text_col))
+        first = written(grouped(fps, distinct, found).filter("id is not null").select("id", "component"))
+        found = components(first.toDF("a", "b").union(missed(df, rows, first, id_col, text_col)))
+        lost = keep(found.filter("component != node").select(F.col("node").alias("lost")).distinct())
+    rows = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("row"), key.cast("long").alias("id"))
+    return rows.join(lost.hint("merge"), F.col("id") == F.col("lost"), "left_anti").select("row.*")
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:
