@@ -146,11 +146,19 @@ def test_packing_hard(spark):
     texts = {n: r[1] for n, r in enumerate(HARD)}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     check_packing(packing.pack_texts(df, VOCAB).collect(), texts)
+    # rows without identifier and rows that repeat one are packed row by row
+    rows = packing.pack_texts(spark.createDataFrame(HARD, SCHEMA), VOCAB).collect()
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert Counter(r["doc_id"] for r in rows if r["piece"] == 0) == Counter(r[0] for r in HARD)
+    assert all(b == a + n for own in map(sorted, bins.values()) for (a, n), (b, _) in zip(own, own[1:], strict=False))
     assert packing.pack_texts(empty(spark), VOCAB).count() == 0
 
 
 def test_groups_are_packed_apart(spark):
-    df = spark.createDataFrame([(n, 0, 0, 1 + n * 7919 % 1024, 0) for n in range(5000)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    # one identifier, or none, for all: the groups are dealt by row
+    df = spark.createDataFrame([(None if n % 2 else 1, 0, 0, 1 + n * 7919 % 1024, 0) for n in range(5000)], "doc_id long, piece int, start long, length long, ids_crc32 long")
     rows = packing.pack(df, group=500).collect()
     fill = defaultdict(int)
     for r in rows:
@@ -278,14 +286,14 @@ def test_verified_links_are_those_of_alike_sets(spark, monkeypatch):
                 body[at] = f"v{n}x{k}"
     rows += [(len(rows) + k, t) for k, t in enumerate(["", "one", "one two"])]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    fps, distinct = simhash.nodes_of(df, "doc_id", "text", simhash.WIDE_SHINGLE, simhash.WIDE)
+    distinct = simhash.distinct_of(simhash.fingerprints(df, "doc_id", "text", simhash.WIDE_SHINGLE, simhash.WIDE), simhash.WIDE)
     coarse = distinct.selectExpr("rep as node", "0L as component")
     pairs = [(a, b) for a, s in rows for b, t in rows if a < b and similar(s, t) >= 0.8]
     want = brute_components([k for k, _ in rows], pairs)
     touched = {n for p in pairs for n in p}
     assert 20 < len(touched) and len(set(want.values())) > 20
-    for block in (simhash.BLOCK_BYTES, 20_000):
-        monkeypatch.setattr(simhash, "BLOCK_BYTES", block)
+    for name, value in (("BLOCK_BYTES", simhash.BLOCK_BYTES), ("BLOCK_TEXTS", 50), ("BLOCK_BYTES", 20_000)):
+        monkeypatch.setattr(simhash, name, value)
         found = components(simhash.verified(df, distinct, coarse, "doc_id", "text")).collect()
         assert {r["node"]: r["component"] for r in found} == {n: want[n] for n in touched}
 
@@ -334,6 +342,11 @@ def test_sharding_hard(spark, hard, tmp_path):
     assert sharding.shard_rows(empty(spark)).count() == 0
     sharding.write_shards(hard, str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == len(HARD)
+    clash = hard.withColumn("shard", F.lit("own"))
+    with pytest.raises(ValueError, match="column shard"):
+        sharding.write_shards(clash, str(tmp_path / "clash"))
+    sharding.write_shards(clash, str(tmp_path / "clash"), folder="part")
+    assert {r["shard"] for r in spark.read.parquet(str(tmp_path / "clash")).collect()} == {"own"}
     with pytest.raises(ValueError, match="shard"):
         sharding.jump(np.array([1]), 0)
 
@@ -362,16 +375,36 @@ def test_scoring(spark, docs, monkeypatch):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 0.02 * abs(sum(r["base_score"] for r in held))
 
 
-def test_model_is_normalised(spark):
-    docs = table(spark, SMALL, "documents")
-    model, counts = scoring.fit(docs, known=500)
-    assert np.allclose((10 ** model.log10()).sum(1), 1)
+def brute_score(model, c, text):
+    """log10 P(text) token by token: the model's softmax over all classes, then the token's share of its bucket."""
+    p, found = model.parameters, 0.0
+    before = [model.classes] * scoring.BEFORE
+    for w in scoring.tokens(text):
+        kind = model.own.get(w, model.head + scoring.bucket(w))
+        q = sum(p["context"][k] @ m for k, m in zip(before, p["through"], strict=True))
+        logits = p["target"] @ q + p["bias"]
+        chances = np.exp(logits - logits.max())
+        found += math.log10(chances[kind] / chances.sum())
+        if kind >= model.head:
+            found += math.log10((c.get(w, 0) + 1) / (model.mass[kind - model.head] + 1))
+        before = [kind, *before[:-1]]
+    return found
+
+
+def test_scores_are_those_of_brute_force(spark, docs):
+    df = table(spark, SMALL, "documents")
+    model, counts = scoring.fit(df.filter(~scoring.held_out()), known=500)
     c = {bytes(r["token"]): r["c"] for r in counts.collect()}
     inside = np.zeros(scoring.BUCKETS)
     for w, n in c.items():
-        if w not in model.head:
+        if w not in model.own:
             inside[scoring.bucket(w)] += n + 1
     assert (inside == model.mass).all()  # so the shares (c + 1) / (mass + 1), unseen included, sum to one
+    texts = {r["doc_id"]: r["text"] for r in df.collect()}
+    for r in scoring.score(df, model, counts).collect()[:60]:
+        assert r["score"] == pytest.approx(brute_score(model, c, texts[r["doc_id"]]), rel=1e-5)
+    words = [b"a", b"xyz", b"\xc3\xa9", b"q" * 65]
+    assert scoring.buckets(words).tolist() == [scoring.bucket(w) for w in words]
 
 
 def test_scoring_hard(spark, hard):
@@ -384,9 +417,28 @@ def test_scoring_hard(spark, hard):
     model, counts = scoring.fit(empty(spark))
     rows = scoring.score(hard, model, counts).collect()
     assert all(r["base_score"] == 0 and r["n_known"] == 0 for r in rows) and len(rows) == len(HARD)
+    context = model.log10([np.array([0, 1, 2]), np.array([5])])
+    assert context == pytest.approx(-np.log10(model.classes) * np.array([3, 1]), rel=1e-6)
     assert scoring.score(empty(spark), model, counts).count() == 0
 
 
+def test_rows_are_told_apart_without_identifier(spark):
+    """Texts of equal 32-bit hash, long tokens, and repeated rows, all without identifier."""
+    texts = ["t t t t t 23949", "t t t t 285768", "z" * 300, "z" * 300, "z" * 301, "a"]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    assert df.select(F.hash("text")).distinct().count() < 5
+    model, counts = scoring.fit(df.limit(3), known=2)
+    c = {bytes(r["token"]): r["c"] for r in counts.collect()}
+    rows = scoring.score(df, model, counts).collect()
+    assert sorted(r["n_tokens"] for r in rows) == [2, 2, 2, 2, 6, 7]
+    want = sorted((len(w), sum(w in c for w in ws), round(brute_score(model, c, t), 4)) for t in texts for ws in [scoring.tokens(t)] for w in [ws])
+    assert sorted((r["n_tokens"], r["n_known"], round(r["score"], 4)) for r in rows) == want
+    rows = [(None, "y541996\nkeep\nz"), (None, "common\nown")] + [(n, "common\nmine") for n in range(3)]
+    df = spark.createDataFrame([(*r, f"s{n}") for n, r in enumerate(rows)], "doc_id long, text string, source string")
+    got = sorted((str(r["doc_id"]), r["n_removed"], r["clean_text"]) for r in lines.clean_lines(df, sites=2).collect())
+    assert got == sorted([("None", 0, "y541996\nkeep\nz"), ("None", 1, "own")] + [(str(n), 1, "mine") for n in range(3)])
+
+
 # 6
 
 
@@ -415,19 +467,33 @@ def test_vectors_hard(spark):
     centre = rng.normal(size=16)
     near = [(100 + k, (centre + 0.02 * rng.normal(size=16)).tolist(), 1) for k in range(150)]
     odd = [(1, None, 1), (2, [], 1), (3, [0.0] * 16, 1), (4, [float("nan")] + [1.0] * 15, 1), (5, [float("inf")] + [1.0] * 15, 1), (6, [None] + [1.0] * 15, 1), (7, near[0][1], None), (8, near[0][1], 2), (9, near[0][1], 1), (10, near[0][1], 1), (11, near[0][1][:8], 1), (12, (-np.array(near[0][1])).tolist(), 1)]
-    df = spark.createDataFrame(near + odd, "vec_id long, embedding array<double>, label int").withColumns({"n": F.lit(1), "digest": F.lit("x")})
+    df = spark.createDataFrame(near + odd, "vec_id long, embedding array<double>, label int").withColumns({"n": F.lit(1), "digest": F.lit("x"), "recall": F.lit("own")})
     want = brute_vectors(near + odd)
-    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding.near_vectors(df).collect()} == want
-    sharded = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding.near_vectors(df, shard=40).collect()}
-    assert sharded == want
+    for options in ({}, {"shard": 40}, {"shard": 40, "queries": 30}):
+        rows = embedding.near_vectors(df, **options).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in rows} == want
+        assert {r["recall"] for r in rows} == {1.0}
     assert embedding.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_of_any_length_and_rows_without_or_with_repeated_identifier(spark):
+    rows = [(1, [1e-200, 1e-200], 1), (2, [1.0, 1.0], 1), (3, [2.0, 2.0], 1), (4, [1e300, 1.1e300], 1), (None, [3.0, 3.0], 1), (None, [-1.0, 0.0], 1), (7, [0.0, -1.0], 1), (7, [0.0, -2.0], 1), (7, [1.0, -1.0], 1)]
+    got = sorted((str(r["vec_id"]), r["n_links"], r["component_id"]) for r in embedding.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == sorted([("1", 4, 1), ("2", 4, 1), ("3", 4, 1), ("4", 4, 1), ("None", 4, 1), ("None", 0, None), ("7", 1, 7), ("7", 1, 7), ("7", 0, 7)])
+
+
 def test_graph_recall(spark):
     x = np.array([r["embedding"] for r in table(spark, "/root/testdata/sf0.1", "embeddings").collect()], float)
-    shard = embedding.Shard(np.arange(len(x)), np.ones(len(x), int), x, 0.98)
-    q, _ = shard.links(x)
+    rep = np.arange(len(x))
+    shard = embedding.Shard(rep, np.ones(len(x), int), x)
+    q, _ = shard.links(x, 0.98)
     assert len(q) >= 0.99 * (shard.cosine(x) >= 0.98).sum()
+    # queries from elsewhere, and an audit that widens a beam which finds too little
+    other = x[:300] + 1e-3
+    beam, links, found = shard.audited(rep[:300] + 10**6, other, 0.98)
+    assert embedding.LINKS <= links <= (shard.cosine(other) >= 0.98).sum() and found >= embedding.RECALL * links
+    shard.graph.layers[-1][1][:] = -1
+    assert shard.audited(rep[:300] + 10**6, other, 0.98)[0] > beam
 
 
 # 7
@@ -443,16 +509,57 @@ def test_lines(spark):
     assert lines.clean_lines(empty(spark)).count() == 0
 
 
+def test_lines_hard(spark, hard):
+    """Exact copies count once; null identifiers, repeated rows, blank and very long texts stay whole."""
+    got = sorted((str(r["doc_id"]), r["n_removed"], r["clean_text"]) for r in lines.clean_lines(hard, sites=2).collect())
+    assert got == sorted((str(r[0]), 0, r[1] or "") for r in HARD)
+    long = "\n".join(f"line {n}" for n in range(50_000))
+    rows = [(n, "copied\nshared", f"s{n}") for n in range(5)] + [(7, "other\nshared", "s9"), (8, long, "s1"), (8, long, "s2"), (9, "line 49999", "s3")]
+    got = sorted((r["doc_id"], r["n_removed"]) for r in lines.clean_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"), sites=2).collect())
+    assert got == [*[(n, 1) for n in range(5)], (7, 1), (8, 1), (8, 1), (9, 1)]
+
+
 # 8
 
 
+def brute_licenses(texts):
+    """n_words, n_base, first, last, base labels, labels, score of each text, place by place."""
+    every = [[w for w in regex.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(t)) if w] for t in texts]
+    sets = [set(w) for w in every]
+    weight = {w: math.log((len(every) + 1) / (sum(w in s for s in sets) + 1)) for _, notice, _, _ in licenses.TEMPLATES for w in notice.split()}
+    out = []
+    for words in every:
+        base, labels, based, score = set(), set(), set(), 0.0
+        for label, notice, phrase, counts in licenses.TEMPLATES:
+            n, p = notice.split(), phrase.split()
+            lead = next(k for k in range(len(n)) if n[k : k + len(p)] == p)
+            for i in range(len(words) - len(p) + 1):
+                if words[i : i + len(p)] == p:
+                    labels.add(label)
+                    met = sum(weight[w] for k, w in enumerate(n) if 0 <= i - lead + k < len(words) and words[i - lead + k] == w)
+                    mass = sum(weight[w] for w in n)
+                    score = max(score, met / mass if mass > 0 else 1.0)
+                    if counts:
+                        base.add((label, i))
+                        based.add(label)
+        starts = sorted(i for _, i in base)
+        out.append((len(words), len(base), starts[0] if starts else None, starts[-1] if starts else None, ",".join(sorted(based)), ",".join(sorted(labels)), round(score, 5)))
+    return out
+
+
 def test_licenses_hard(spark, hard):
-    rows = [r for r in licenses.scan(hard).collect()]
-    by = {r["doc_id"]: r for r in rows}
-    assert len(rows) == len(HARD)
-    assert (by[4]["n_words"], by[4]["n_base"], by[4]["first_word"], by[4]["last_word"], by[4]["base_labels"]) == (8, 2, 0, 4, "mit")
-    assert by[1]["n_words"] == by[2]["n_words"] == by[3]["n_words"] == 0 and by[1]["labels"] == "" and by[1]["score"] == 0.0
-    assert by[8]["n_words"] == 30_000 and by[9]["n_words"] == 1
+    def check(df, rows):
+        got = [(r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], round(r["score"], 5)) for r in licenses.scan(df).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, brute_licenses([r[1] for r in rows])))
+
+    check(hard, HARD)
+    notices = [(n, f"x{n} {notice.upper().replace(' ', '--', 2)}, {notice}") for n, (_, notice, _, _) in enumerate(licenses.TEMPLATES)]
+    notices += [(100, "under the mit"), (101, "the the mit license under the mit license mit license"), (102, "apache license version 2 apache license version 2"), (103, "cc by nc sa nc by cc by by nc"), (104, "cc by nc"), (105, None)]
+    check(spark.createDataFrame(notices, "doc_id long, text string").withColumns({"words": F.lit("own"), "found": F.lit(1)}), notices)
+    plain = [(n, f"nothing here {n}") for n in range(5)]  # no template word at all: every IDF is a tie
+    check(spark.createDataFrame(plain, "doc_id long, text string"), plain)
+    same = [(n, "under the mit license") for n in range(5)]  # words in every file weigh nothing
+    check(spark.createDataFrame(same, "doc_id long, text string"), same)
     assert licenses.scan(empty(spark)).count() == 0
 
 
@@ -483,9 +590,20 @@ def test_bpe_hard(spark, hard):
         assert machine.decode(want) == whole.decode(want, skip_special_tokens=False)
     full = bpe.encode_texts(hard, VOCAB).collect()
     assert len(full) == len(HARD) and all(len(r["ids"]) == 0 and r["decoded"] == "" for r in full if r["doc_id"] in (1, 2))
+    assert sorted((str(r["doc_id"]), r["ids"]) for r in full) == sorted((str(r[0]), whole.encode(r[1] or "", add_special_tokens=False).ids) for r in HARD)
     assert bpe.digests(empty(spark), VOCAB).count() == 0
 
 
+def test_gadgets_with_and_without_table(monkeypatch):
+    """The transition table, on which gadgets work as written, has the arcs that the references give."""
+    whole = bpe.Automaton(VOCAB)
+    rng = np.random.default_rng(4)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, bpe.TABLE, (20_000, 2))] + [(k, k) for k in range(bpe.TABLE)]
+    monkeypatch.setattr(bpe, "TABLE", 256)
+    small = bpe.Automaton(VOCAB)
+    assert [bool(whole.rows[a][b]) for a, b in pairs] == [small.arc(a, b) for a, b in pairs]
+
+
 # 10
 
 
@@ -506,7 +624,28 @@ def test_language_hard(spark, hard):
     assert {r["lang_pred"] for r in language.identify(hard, nothing).collect()} == {"und"}
     assert language.identify(empty(spark), model).count() == 0
     kept = language.keep_identified(hard)
-    assert kept.columns == hard.columns and {r["doc_id"] for r in kept.collect()} == {4, 5, 8, 9, 10, 11, None}
+    learned = language.fit(hard.filter(~language.held_out()))
+    want = sorted(str(r[0]) for r in HARD for lang, share in [learned.predict([r[1]])] if lang[0] != "und" and share[0] >= language.SHARE)
+    assert kept.columns == hard.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == want and "4" in want
+
+
+def test_a_text_that_no_language_claims_is_rejected(spark):
+    rows = [(n, f"der die das und {n}" if n % 2 else f"le la les et {n}", "de" if n % 2 else "fr") for n in range(60)] + [(100, "der la die les das le und et", None), (101, "und die", None), (102, "7", "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as score", "2 as pred", "3 as lang_pred", "4 as `a.b`", "5 as id")
+    model = language.fit(docs.filter(~language.held_out()))
+    shares = {n: model.predict([t]) for n, t, _ in rows}
+    order = sorted(float(s[0]) for _, s in shares.values())
+    middle = next((a + b) / 2 for a, b in zip(order[1:], order[2:], strict=False) if b - a > 1e-4)
+    kept = language.keep_identified(docs, middle)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.collect()} == {n for n, (lang, s) in shares.items() if lang[0] != "und" and s[0] >= middle} < {r[0] for r in rows} - {102}
+
+
+def test_equal_languages_go_to_the_first_and_equal_rows_alike(spark):
+    rows = [(None, "abc abc", "xx"), (1, "abc abc", "aa"), (1, "abc abc", "aa"), (None, "abc abc", "xx")]
+    model = language.Classifier(["abc abc", "abc abc"], ["xx", "aa"])
+    got = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), model).collect()
+    assert {(r["lang_pred"], r["score"]) for r in got} == {("aa", 0.5)} and len(got) == 4
 
 
 def test_texts_with_letters_stay_where_no_language_was_learned(spark):
@@ -533,3 +672,9 @@ def test_sample_is_not_all_rows_without_identifier(spark, monkeypatch):
     found = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=30)
     odd = sum(int(t.split()[-1]) % 2 for t in found if t != "repeated text")
     assert 0 < odd < len(found) and len(set(found)) == len(found)
+    taken = []
+    kind = type(spark.range(1))
+    monkeypatch.setattr(kind, "collect", lambda self, f=kind.collect: taken.append(f(self)) or taken[-1])
+    many = spark.range(30_000).selectExpr("cast(null as long) as doc_id", "concat('text ', id, repeat('x', 100000 * int(id % 5000 = 0))) as text", "'en' as lang")
+    language.fit(many, sample=30)
+    assert 30 <= len(taken[-1]) <= 120 and max(len(r["text"]) for r in taken[-1]) <= language.SAMPLE_CHARS
