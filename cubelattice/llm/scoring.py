@@ -30,9 +30,10 @@ result; other columns, whatever their names, take no part.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,20 +49,25 @@ LONGEST = 64
 BEFORE = 2
 WIDTH = 32
 NOISE = 25.0
-DRAWN = 48
+DRAWN = 32
 BATCH = 1024
-ROUNDS = 4
+ROUNDS = 2
 LEAST_STEPS = 240
 RATE = 0.1
-FLUSH = 300_000
+FLUSH = 500_000
 SLICE = 1024
 END = b""  # no token is empty
 
 
+def shortened(word: bytes) -> bytes:
+    """A word, or what stands for a long one."""
+    return word if len(word) <= LONGEST else hashlib.sha512(word).digest() + b"+"
+
+
 def tokens(text: str | None) -> list[bytes]:
     words = (text or "").encode().lower().split()
     if words and max(map(len, words)) > LONGEST:
-        words = [w if len(w) <= LONGEST else hashlib.sha512(w).digest() + b"+" for w in words]
+        words = [*map(shortened, words)]
     words.append(END)
     return words
 
@@ -134,11 +140,17 @@ class Model:
 
     def read(self, text: str | None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Place among the known tokens (-1: none) and class of each token, and the tokens that are not known."""
-        words = tokens(text)
+        words = (text or "").encode().lower().split()
+        words.append(END)
         at = np.fromiter(map(self.slot.get, words, repeat(-1)), np.int32, len(words))
-        kinds = self.kind[at]
         rare = np.flatnonzero(at < 0)
         others = [words[n] for n in rare.tolist()]
+        if others and max(map(len, others)) > LONGEST:
+            others = [*map(shortened, others)]
+            at[rare] = [self.slot.get(w, -1) for w in others]
+            others = [w for w in others if w not in self.slot]
+            rare = np.flatnonzero(at < 0)
+        kinds = self.kind[at]
         if others and not others[-1]:  # an end that no training text has shown
             kinds[rare[-1]], rare = self.head + bucket(END), rare[:-1]
             others.pop()
@@ -162,10 +174,12 @@ class Model:
         drawn = draw.choice(self.classes, DRAWN, p=self.noise)
         logs = np.log(NOISE * self.noise).astype(np.float32)
         inputs = [p["context"][c] for c in before]
+        wanted, unwanted = p["target"][target], p["target"][drawn]
+        shift = p["bias"] - logs
         predicted = sum(x @ m for x, m in zip(inputs, p["through"], strict=True))
-        own = 1 - _sigmoid(np.einsum("nd,nd->n", predicted, p["target"][target]) + p["bias"][target] - logs[target])
-        other = _sigmoid(predicted @ p["target"][drawn].T + p["bias"][drawn] - logs[drawn]) * np.float32(-NOISE / DRAWN)
-        back = own[:, None] * p["target"][target] + other @ p["target"][drawn]
+        own = 1 - _sigmoid(np.einsum("nd,nd->n", predicted, wanted) + shift[target])
+        other = _sigmoid(predicted @ unwanted.T + shift[drawn]) * np.float32(-NOISE / DRAWN)
+        back = own[:, None] * wanted + other @ unwanted
         pulled = [(target, own[:, None] * predicted), (drawn, other.T @ predicted)]
         grads = {
             "context": _gathered([(c, back @ m.T) for c, m in zip(before, p["through"], strict=True)], self.classes + 1),
@@ -174,9 +188,15 @@ class Model:
             "bias": np.bincount(target, own, self.classes) + np.bincount(drawn, other.sum(0), self.classes),
         }
         for k, g in grads.items():
-            g = (g / len(target)).astype(np.float32)
-            sums[k] += g * g
-            p[k] += np.float32(RATE) * g / (np.sqrt(sums[k]) + np.float32(1e-6))
+            g = g.astype(np.float32, copy=False)
+            g *= np.float32(1 / len(target))
+            size = g * g
+            sums[k] += size
+            np.sqrt(sums[k], out=size)
+            size += np.float32(1e-6)
+            np.divide(g, size, out=g)
+            g *= np.float32(RATE)
+            p[k] += g
 
     def train(self, batches: Iterator[pa.RecordBatch], seed: int) -> tuple[np.ndarray, int]:
         """Parameters and squares after all texts, as one array, and the number of tokens."""
@@ -254,7 +274,9 @@ class Model:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    x = np.exp(np.minimum(-x, 30))
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _padded(kinds: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,12 +300,19 @@ def _gathered(parts: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
 
 
 def fit(training: DataFrame, text_col: str = "text", head: int = HEAD, known: int = KNOWN) -> tuple[Model, DataFrame]:
-    """The model, and the stored table of all token counts."""
+    """The model, and the stored table of all token counts. Known are the most frequent tokens, down to a count that
+    leaves at most ``known`` of them."""
     counts = written(count_tokens(training, text_col))
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("c"), "token").limit(known).collect()  # at most ``known`` rows of at most 65 bytes
+    # tokens per step of their count (64 steps from one power of two to the next): at most some thousand rows
+    step = F.floor(F.log2("c") * 64)
+    steps = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
+    taken = [n for n, size in enumerate(accumulate(r["count"] for r in steps)) if size <= known]
+    least = steps[taken[-1]]["step"] if taken else math.inf
+    top = counts.filter(step >= F.lit(float(least))).collect()  # at most ``known`` rows of at most 65 bytes
+    top = sorted(((bytes(r[0]), r[1]) for r in top), key=lambda x: (-x[1], x[0]))
     ends = counts.filter(F.octet_length("token") == 0).first()  # a class of its own, however rare
-    top = ({END: ends["c"]} if ends else {}) | {bytes(r[0]): r[1] for r in top}
+    top = ({END: ends["c"]} if ends else {}) | dict(top)
     heads = list(top)[:head]
 
     def masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
