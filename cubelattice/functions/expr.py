@@ -82,9 +82,6 @@ def strength(r: Column) -> Column:
     return F.when(a >= 0.7, "strong").when(a >= 0.4, "moderate").when(a >= 0.2, "weak").when(a.isNotNull(), "negligible")
 
 
-def level_rank(level: Column) -> Column:
-    """Levels sort by their declaration."""
-    found = F.lit(9)
-    for n, name in enumerate(("NATIONAL", "NUTS1", "NUTS2", "NUTS3", "LAU", "EXTRA")):
-        found = F.when(level == name, n).otherwise(found)
-    return found
+def append_absent(items: Column, item: Column) -> Column:
+    """The array with the item at its end, unless it has it."""
+    return F.when(F.array_contains(items, item), items).otherwise(F.array_append(items, item))

@@ -83,21 +83,59 @@ def overall_trend(wh: Warehouse, code: str, value_id: int | None = None, level:
     )
 
 
+BOUNDS = 200
+
+
 def rankings(wh: Warehouse, code: str, year: int, level: str | None = None, value_id: int | None = None, descending: bool = True, after_rank: int | None = None, limit: int | None = None) -> DataFrame:
     """Rank, percentile and quartile over the whole year; pages are cut by rank afterwards."""
     rows = annual(wh, code, value_id).filter(F.col("year") == year)
     if level is not None:
         rows = rows.filter(F.col("level") == level)
-    by = Window.orderBy(F.desc_nulls_last("value") if descending else F.asc_nulls_last("value"), "natural_key")
-    ties = Window.orderBy(F.desc_nulls_last("value") if descending else F.asc_nulls_last("value"))
-    ranked = rows.select("natural_key", "territory_code", "value", F.row_number().over(by).alias("rank"), js_round(F.percent_rank().over(ties) * 100, 2).alias("percentile"), F.ntile(4).over(by).alias("quartile"))
+    ranked = ranked_rows(rows.select("natural_key", "territory_code", "value"), descending)
     if after_rank is not None:
         ranked = ranked.filter(F.col("rank") > after_rank)
     return ranked if limit is None else ranked.orderBy("rank").limit(limit)
 
 
+def ranked_rows(rows: DataFrame, descending: bool = True) -> DataFrame:
+    """natural_key, territory_code, value -> the same with rank, percentile and quartile; nulls come last.
+
+    Approximate quantiles (at most ``BOUNDS``) cut the values into buckets: those between two bounds, and one for
+    each bound itself, whose rows are equal and may be many, so these (and the nulls) are cut further by the first
+    two hex digits of the key. Rows are numbered inside their bucket and the sizes of earlier buckets are added: the
+    one window over all buckets sees at most some 50,000 of them."""
+    share = [k / BOUNDS for k in range(BOUNDS + 1)]
+    bounds = sorted(set(rows.agg(F.approx_percentile("value", share, 10_000)).first()[0] or []))
+    at = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<double>")
+    below = F.size(F.filter(at, lambda b: b < F.col("value")))
+    equal = F.array_contains(at, F.col("value"))
+    bucket = (2 * below + equal.cast("int")) * (-1 if descending else 1)
+    bucket = F.coalesce(bucket, F.lit(2 * BOUNDS + 9))
+    cut = F.when(F.col("value").isNull() | equal, F.conv(F.substring("natural_key", 1, 2), 16, 10).cast("int")).otherwise(0)
+    dealt = rows.withColumns({"bucket": bucket, "cut": F.coalesce(cut, F.lit(-1))})
+    sizes = dealt.groupBy("bucket", "cut").agg(F.count("*").alias("size"))
+    before = Window.orderBy("bucket", "cut").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("bucket", "cut", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"), F.sum("size").over(Window.partitionBy()).alias("all"))
+    # rows of one value have one percentile: that of the first of them
+    first = F.min("before").over(Window.partitionBy("bucket"))
+    sizes = sizes.withColumn("first", first)
+    value = F.desc_nulls_last("value") if descending else F.asc_nulls_last("value")
+    own = Window.partitionBy("bucket", "cut")
+    placed = dealt.withColumns({"nth": F.row_number().over(own.orderBy(value, "natural_key")), "tied": F.rank().over(own.orderBy(value))})
+    placed = placed.join(sizes, ["bucket", "cut"])
+    lone = F.col("value").isNull() | F.array_contains(at, F.col("value"))
+    place, n = F.col("before") + F.col("nth"), F.col("all")
+    ahead = F.when(lone, F.col("first")).otherwise(F.col("before") + F.col("tied") - 1)
+    quarter, more = F.floor(n / 4), n % 4
+    high = more * (quarter + 1)
+    quartile = F.when(place <= high, F.ceil(place / (quarter + 1))).otherwise(more + F.ceil((place - high) / F.greatest(quarter, F.lit(1))))
+    percentile = F.when(n > 1, ahead / (n - 1)).otherwise(0.0)
+    return placed.select("natural_key", "territory_code", "value", place.cast("long").alias("rank"), js_round(percentile * 100, 2).alias("percentile"), quartile.cast("long").alias("quartile"))
+
+
 def distribution(wh: Warehouse, code: str, year: int, level: str | None = None, value_id: int | None = None) -> DataFrame:
-    """Counts, mean, sample deviation, range and exact percentiles of a year's values."""
+    """Counts, mean, sample deviation, range and exact percentiles of a year's values (whose distinct values meet in
+    one task, with their counts)."""
     rows = annual(wh, code, value_id).filter(F.col("year") == year)
     if level is not None:
         rows = rows.filter(F.col("level") == level)
@@ -155,18 +193,30 @@ def correlate(wh: Warehouse, x: str, y: str, year: int, level: str = "NUTS3", to
     )
 
 
-def pivot(wh: Warehouse, code: str, rows: str, columns: str, path: str | None = None, year_from: int | None = None, year_to: int | None = None, totals_only: bool = False, headers: list[str] | None = None) -> DataFrame:
-    """A table of two axes out of territory, time and classification; of several facts in a cell, the one of
-    the largest key counts. Column headers are found by one small aggregation unless given."""
-    if rows == columns:
-        raise ValueError("rows and columns must be two axes")
+HEADERS = 1000
+
+
+def cells(wh: Warehouse, code: str, rows: str, columns: str, path: str | None = None, year_from: int | None = None, year_to: int | None = None, totals_only: bool = False) -> DataFrame:
+    """The cells of a pivot table in long form: row_key, column_key, value, natural_key."""
     facts = flt.years(annual(wh, code, totals_only=totals_only), year_from, year_to)
     if path is not None:
         facts = facts.filter(is_descendant(F.col("path"), path))
     axis = {"territory": F.col("territory_code"), "time": F.col("year").cast("string"), "classification": F.array_join("class_ids", "_")}
-    cells = facts.select(axis[rows].alias("row_key"), axis[columns].alias("column_key"), "value", "natural_key")
-    headers = headers or sorted(r[0] for r in cells.select("column_key").distinct().collect())
-    return cells.groupBy("row_key").pivot("column_key", headers).agg(F.max_by("value", "natural_key")).select("row_key", *[F.col(f"`{h}`").alias(f"c_{h}") for h in headers])
+    return facts.select(axis[rows].alias("row_key"), axis[columns].alias("column_key"), "value", "natural_key")
+
+
+def pivot(wh: Warehouse, code: str, rows: str, columns: str, path: str | None = None, year_from: int | None = None, year_to: int | None = None, totals_only: bool = False, headers: list[str] | None = None) -> DataFrame:
+    """A table of two axes out of territory, time and classification; of several facts in a cell, the one of
+    the largest key counts. Column headers are found by one small aggregation unless given, ``HEADERS`` at most: a
+    wider table is better left long (``cells``)."""
+    if rows == columns:
+        raise ValueError("rows and columns must be two axes")
+    found = cells(wh, code, rows, columns, path, year_from, year_to, totals_only)
+    if not headers:
+        headers = sorted(r[0] for r in found.select("column_key").distinct().limit(HEADERS + 1).collect())
+        if len(headers) > HEADERS:
+            raise ValueError(f"over {HEADERS} columns; give the headers, or take the cells")
+    return found.groupBy("row_key").pivot("column_key", headers).agg(F.max_by("value", "natural_key")).select("row_key", *[F.col(f"`{h}`").alias(f"c_{h}") for h in headers])
 
 
 def indicators(wh: Warehouse, active_only: bool = True, category: str | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cubelattice.functions.expr import natural_key, normalize_label
-from cubelattice.sources.warehouse import Warehouse
+from cubelattice.sources.warehouse import Warehouse, settled
 
 
 def parse_lines(lines: DataFrame, keep_header: bool = False, trim: bool = True) -> DataFrame:
@@ -29,10 +29,12 @@ def parse_value(cell: Column) -> tuple[Column, Column]:
 
 def options(wh: Warehouse, code: str) -> DataFrame:
     """(dim_index, offset, label, kind, member_id): what each dimension's labels stand for."""
-    own = wh.facts(code)
+    # one pass over the facts; members are as many as the catalog has entries
+    own = settled(wh.facts(code).agg(F.collect_set("territory_id").alias("places"), F.collect_set("time_period_id").alias("periods")))
+    used = lambda members, key: own.select(F.explode(members).alias(key))
     kinds = {
-        "TERRITORIAL": own.select("territory_id").distinct().join(wh.territories, "territory_id").select(F.col("name").alias("label"), F.col("territory_id").alias("member_id"), F.lit(None).cast("string").alias("t")),
-        "TEMPORAL": own.select("time_period_id").distinct().join(wh.time_periods, "time_period_id").select(F.col("label_ro").alias("label"), F.col("time_period_id").alias("member_id"), F.lit(None).cast("string").alias("t")),
+        "TERRITORIAL": used("places", "territory_id").join(wh.territories, "territory_id").select(F.col("name").alias("label"), F.col("territory_id").alias("member_id"), F.lit(None).cast("string").alias("t")),
+        "TEMPORAL": used("periods", "time_period_id").join(wh.time_periods, "time_period_id").select(F.col("label_ro").alias("label"), F.col("time_period_id").alias("member_id"), F.lit(None).cast("string").alias("t")),
         "CLASSIFICATION": wh.class_values.select(F.col("name_ro").alias("label"), F.col("value_id").alias("member_id"), F.col("type_code").alias("t")),
     }
     dims = wh.dimensions.join(wh.matrices.filter(F.col("matrix_code") == code).select("matrix_id"), "matrix_id").select("dim_index", "dimension_type", "type_code")
@@ -44,19 +46,24 @@ def options(wh: Warehouse, code: str) -> DataFrame:
     return found.withColumn("offset", place)
 
 
+OPTIONS = 200_000
+
+
 def match_labels(cells: DataFrame, opts: DataFrame) -> DataFrame:
     """(dim_index, label) pairs of the rows -> (dim_index, cell, kind, member_id, ambiguous).
 
-    Only distinct pairs are matched. Equal normalised labels come first; for the rest, an option inside the
-    label or the label inside an option, the first in option order; an empty label matches nothing.
-    ``ambiguous`` counts the options that fitted."""
-    wanted = cells.select("dim_index", "cell").distinct().withColumn("n", normalize_label(F.col("cell"))).filter("n != ''")
-    opts = opts.select(F.col("dim_index").alias("d"), "offset", "kind", "member_id", normalize_label(F.col("label")).alias("o"))
-    exact = wanted.join(opts, (F.col("dim_index") == F.col("d")) & (F.col("n") == F.col("o")))
+    Only distinct pairs are matched, and pairs and options are stored before. Equal normalised labels come first;
+    for the rest, an option inside the label or the label inside an option, the first in option order; an empty
+    label matches nothing. ``ambiguous`` counts the options that fitted. Up to ``OPTIONS`` options are broadcast to
+    the rest, however few dimensions it has; more are joined by dimension."""
+    wanted = settled(cells.select("dim_index", "cell").distinct().withColumn("n", normalize_label(F.col("cell"))).filter("n != ''"))
+    opts = settled(opts.select(F.col("dim_index").alias("d"), "offset", "kind", "member_id", normalize_label(F.col("label")).alias("o")))
+    exact = settled(wanted.join(opts, (F.col("dim_index") == F.col("d")) & (F.col("n") == F.col("o"))))
     rest = wanted.join(exact.select("dim_index", "cell"), ["dim_index", "cell"], "left_anti")
-    loose = rest.join(opts, (F.col("dim_index") == F.col("d")) & (F.col("n").contains(F.col("o")) | F.col("o").contains(F.col("n"))))
+    few = F.broadcast(opts) if opts.count() <= OPTIONS else opts
+    loose = rest.join(few, (F.col("dim_index") == F.col("d")) & (F.col("n").contains(F.col("o")) | F.col("o").contains(F.col("n"))))
     both = exact.unionByName(loose)
-    return both.groupBy("dim_index", "cell").agg(F.min_by(F.struct("kind", "member_id"), "offset").alias("m"), F.count("*").alias("ambiguous")).select("dim_index", "cell", "m.kind", "m.member_id", "ambiguous")
+    return settled(both.groupBy("dim_index", "cell").agg(F.min_by(F.struct("kind", "member_id"), "offset").alias("m"), F.count("*").alias("ambiguous")).select("dim_index", "cell", "m.kind", "m.member_id", "ambiguous"))
 
 
 def resolve(parsed: DataFrame, opts: DataFrame, unit_id: int) -> DataFrame:

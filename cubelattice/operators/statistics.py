@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cubelattice.functions.expr import is_descendant, iso_period, js_round, percent
 from cubelattice.operators import filters as flt
-from cubelattice.sources.warehouse import Warehouse
+from cubelattice.sources.warehouse import NotFoundError, Warehouse
 
 ORDER = ("year", "quarter", "month", "natural_key")
 
@@ -19,6 +19,7 @@ def series(
     territory_id: int | None = None,
     territory_code: str | None = None,
     path_prefix: str | None = None,
+    siruta: str | None = None,
     level: str | None = None,
     year_from: int | None = None,
     year_to: int | None = None,
@@ -31,11 +32,12 @@ def series(
     periods = flt.years(wh.time_periods, year_from, year_to)
     if periodicity is not None:
         periods = periods.filter(F.col("periodicity") == periodicity)
-    places = wh.territories.select("territory_id", F.col("code").alias("territory_code"), F.col("name").alias("territory_name"), "level", "path")
+    places = wh.territories.select("territory_id", F.col("code").alias("territory_code"), F.col("name").alias("territory_name"), "level", "path", "siruta_code")
     asked = [
         None if territory_id is None else F.col("territory_id") == territory_id,
         None if territory_code is None else F.col("territory_code") == territory_code,
         None if path_prefix is None else flt.text_prefix(F.col("path"), path_prefix),
+        None if siruta is None else F.col("siruta_code") == siruta,
         None if level is None else F.col("level") == level,
     ]
     asked = [a for a in asked if a is not None]
@@ -111,9 +113,12 @@ def completeness(wh: Warehouse) -> DataFrame:
     return wh.statistics.groupBy("matrix_id").agg(F.count("*").alias("total"), F.count("value").alias("with_value"), percent(F.count("value"), F.count("*"), 2).alias("completeness"))
 
 
-def saved(wh: Warehouse, query_id: int) -> DataFrame:
-    """Run a stored filter: path below, level, any of the values, years and periodicity."""
+def saved(wh: Warehouse, query_id: int, limit: int | None = None) -> DataFrame:
+    """Run a stored filter: path below, level, any of the values, years and periodicity; at most ``limit`` rows, in
+    order of period and key."""
     spec = wh.saved.filter(F.col("query_id") == query_id).first()
+    if spec is None:
+        raise NotFoundError(f"no saved query {query_id}")
     facts = wh.facts(spec["matrix_code"])
     if spec["value_ids"]:
         facts = flt.any_class(facts, spec["value_ids"])
@@ -126,8 +131,6 @@ def saved(wh: Warehouse, query_id: int) -> DataFrame:
     if spec["territory_level"]:
         places, how = places.filter(F.col("level") == spec["territory_level"]), "inner"
     rows = facts.join(periods, "time_period_id").join(places.select("territory_id", F.col("code").alias("territory_code")), "territory_id", how)
+    rows = rows if limit is None else rows.orderBy(*[F.asc_nulls_last(c) for c in ORDER]).limit(limit)
     return rows.select("natural_key", "territory_code", iso_period(F.col("year"), F.col("quarter"), F.col("month")).alias("x"), F.col("value").alias("y"), "value_status")
 
-
-def rounded_mean(column: str):
-    return js_round(F.avg(column), 2)

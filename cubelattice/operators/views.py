@@ -30,6 +30,34 @@ def v_time_periods(wh: Warehouse) -> DataFrame:
     return wh.time_periods.select("time_period_id", iso_period(F.col("year"), F.col("quarter"), F.col("month")).alias("iso_period"), "periodicity", "label_ro", "label_en")
 
 
+def v_units(wh: Warehouse) -> DataFrame:
+    return wh.units.select("unit_id", "code", "symbol", "name_ro", "name_en", normalize_label(F.col("name_ro")).alias("name_normalized"))
+
+
+def v_unresolved_labels(wh: Warehouse) -> DataFrame:
+    """Labels that nothing could be found for, the newest first."""
+    return wh.label_mappings.filter("target is null").orderBy(F.desc("created_at")).select("label_original", "label_normalized", "context_type", "context_hint", "reason", "created_at")
+
+
+def v_sync_checkpoints(wh: Warehouse, now: str) -> DataFrame:
+    """Chunks with their matrix, and whether their retry is due."""
+    rows = wh.chunks.join(wh.matrices.select("matrix_id", "matrix_code"), "matrix_id")
+    waiting = F.coalesce(F.to_timestamp("next_retry_at") > F.to_timestamp(F.lit(now)), F.lit(False))
+    return rows.select("chunk_id", "matrix_code", "chunk_hash", "status", "cells_returned", "error_message", "retry_count", "next_retry_at", waiting.alias("is_waiting"))
+
+
+def tasks_page(wh: Warehouse, limit: int, offset: int = 0) -> DataFrame:
+    """Tasks, the newest first."""
+    return wh.tasks.orderBy(F.desc("created_at"), F.desc("task_id")).offset(offset).limit(limit).select("task_id", "matrix_id", "status", "created_at")
+
+
+def tasks_by_status(wh: Warehouse) -> DataFrame:
+    """Tasks per status with the oldest and newest: running, pending, then the others."""
+    found = wh.tasks.groupBy("status").agg(F.count("*").alias("task_count"), F.min("created_at").alias("oldest"), F.max("created_at").alias("newest"))
+    rank = F.when(F.col("status") == "RUNNING", 1).when(F.col("status") == "PENDING", 2).otherwise(3)
+    return found.select(rank.alias("status_rank"), "status", "task_count", "oldest", "newest").orderBy("status_rank", "status")
+
+
 def v_sync_tasks(wh: Warehouse, now: str) -> DataFrame:
     rows = wh.tasks.join(wh.matrices.select("matrix_id", "matrix_code"), "matrix_id")
     locked = F.coalesce(F.to_timestamp("locked_until") > F.to_timestamp(F.lit(now)), F.lit(False))
@@ -108,3 +136,8 @@ def mv_matrix_stats(wh: Warehouse) -> DataFrame:
     return rows.groupBy("matrix_code").agg(
         F.count("natural_key").alias("fact_count"), F.countDistinct("territory_id").alias("territory_count"), F.countDistinct("time_period_id").alias("period_count"), F.min("year").alias("min_year"), F.max("year").alias("max_year"), F.count_if(F.col("value").isNull()).alias("null_count")
     )
+
+
+def stored_views(wh: Warehouse) -> dict[str, DataFrame]:
+    """The aggregates that ``sinks.refresh`` stores, by name."""
+    return {"mv_national_timeseries": mv_national(wh), "mv_annual_nuts2": mv_nuts2(wh), "mv_matrix_stats": mv_matrix_stats(wh)}

@@ -11,6 +11,7 @@ import hashlib
 from dataclasses import dataclass, field
 from math import prod
 
+# Cells per request, and the order in which kinds of axes are split.
 CELLS = 30_000
 PRIORITY = {"TEMPORAL": 1, "PAIR": 2, "TERRITORIAL": 3, "CLASSIFICATION": 4, "UNIT_OF_MEASURE": 5}
 
@@ -55,6 +56,20 @@ def select(dimensions: list[Dimension], years: tuple[int, int] | None = None, to
     return out
 
 
+def select_whole(dimensions: list[Dimension], years: tuple[int, int], totals: bool = False) -> list[list[Option]]:
+    """Options per dimension of one request for a whole matrix: years in range (labels without a year go; the first
+    option where none is left), the one total of a classification (its first option where none is called so)."""
+    out = []
+    for d in dimensions:
+        options = d.options
+        if d.kind == "TEMPORAL":
+            options = [o for o in options if (y := first_year(o.label)) is not None and years[0] <= y <= years[1]] or options[:1]
+        elif d.kind == "CLASSIFICATION" and totals:
+            options = [o for o in options if o.label.lower().startswith("total")][:1] or options[:1]
+        out.append(options)
+    return out
+
+
 def first_year(label: str) -> int | None:
     digits = ""
     for c in label:
@@ -73,11 +88,12 @@ def balanced(items: list, parts: int) -> list[list]:
     return [items[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-def plan(kinds: list[str], selection: list[list], limit: int = CELLS) -> list[list[list]]:
-    """Chunks that tile the selection exactly, none over the limit."""
+def plan(kinds: list[str], selection: list[list], limit: int = CELLS, whole: frozenset[int] = frozenset()) -> list[list[list]]:
+    """Chunks that tile the selection exactly, none over the limit. Axes in ``whole`` are split only where the others
+    cannot be split any more."""
     if not cell_count(selection):
         return []
-    order = sorted(range(len(kinds)), key=lambda k: (PRIORITY[kinds[k]], k))
+    order = sorted(range(len(kinds)), key=lambda k: (k in whole, PRIORITY[kinds[k]], k))
     done, work = [], [selection]
     while work:
         chunk = work.pop()
@@ -86,7 +102,8 @@ def plan(kinds: list[str], selection: list[list], limit: int = CELLS) -> list[li
             done.append(chunk)
             continue
         splittable = [k for k in order if len(chunk[k]) > 1]
-        axis = next((k for k in splittable if cells // len(chunk[k]) <= limit), splittable[0])
+        free = [k for k in splittable if k not in whole] or splittable
+        axis = next((k for k in free if cells // len(chunk[k]) <= limit), free[0])
         rest = cells // len(chunk[axis])
         parts = len(chunk[axis]) if rest > limit else -(-len(chunk[axis]) // (limit // rest))
         work += [[*chunk[:axis], part, *chunk[axis + 1 :]] for part in reversed(balanced(chunk[axis], parts))]
@@ -101,6 +118,23 @@ def county_pairs(counties: list[Option], localities: list[Option]) -> list[tuple
     return [(c, own[c.ident]) for c in counties if c.ident in own]
 
 
+def plan_pairs(kinds: list[str], selection: list[list[Option]], county: int, locality: int, limit: int = CELLS) -> list[list[list[Option]]]:
+    """Chunks of a matrix by localities: each county alone with its own localities, which stay together; the other
+    axes are split as in ``plan``. Localities of no selected county stay out."""
+    out = []
+    for one, own in county_pairs(selection[county], selection[locality]):
+        chunk = [[one] if k == county else own if k == locality else axis for k, axis in enumerate(selection)]
+        out += plan(kinds, chunk, limit, frozenset({county, locality}))
+    return out
+
+
+def display_name(level: str, county: str | None = None, years: tuple[int, int] | None = None) -> str:
+    """A chunk's name in logs: NAT, COUNTIES or the county; its years; its territory level."""
+    place = "NAT" if level == "national" else county or ("COUNTIES" if level == "county" else "NAT")
+    span = "ALL" if years is None else str(years[0]) if years[0] == years[1] else f"{years[0]}-{years[1]}"
+    return f"{place}-{span}-{level}"
+
+
 def signature(matrix: str, chunk: list[list[int]]) -> str:
     return hashlib.md5(f"v2|{matrix}|{enc_query(chunk)}".encode()).hexdigest()[:16]
 

@@ -53,12 +53,12 @@ _PLACED = """placed AS (
 
 _CHAIN = "1, 2 + r % 2, 10 + r, 100 + n_nationkey"
 
-_TERRITORIES = """territories AS (
+_TERRITORIES = """territories AS (SELECT *, CASE WHEN level = 'LAU' THEN substr(code, 2) END AS siruta_code FROM (
   SELECT 1 AS territory_id, 'W' AS code, 'World' AS name, 'NATIONAL' AS level, CAST(NULL AS INTEGER) AS parent_id, 'W' AS path
   UNION ALL SELECT DISTINCT 2 + r_regionkey % 2, 'M' || (r_regionkey % 2), 'Macro ' || (r_regionkey % 2), 'NUTS1', 1, 'W.M' || (r_regionkey % 2) FROM region
   UNION ALL SELECT 10 + r_regionkey, 'R' || r_regionkey, r_name, 'NUTS2', 2 + r_regionkey % 2, 'W.M' || (r_regionkey % 2) || '.R' || r_regionkey FROM region
   UNION ALL SELECT 100 + n_nationkey, 'N' || n_nationkey, n_name, 'NUTS3', 10 + n_regionkey, 'W.M' || (n_regionkey % 2) || '.R' || n_regionkey || '.N' || n_nationkey FROM nation
-  UNION ALL SELECT CAST(100000 + c_custkey AS INTEGER), 'C' || c_custkey, c_name, 'LAU', 100 + n_nationkey, 'W.M' || (n_regionkey % 2) || '.R' || n_regionkey || '.N' || n_nationkey || '.C' || c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey)"""
+  UNION ALL SELECT CAST(100000 + c_custkey AS INTEGER), 'C' || c_custkey, c_name, 'LAU', 100 + n_nationkey, 'W.M' || (n_regionkey % 2) || '.R' || n_regionkey || '.N' || n_nationkey || '.C' || c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey))"""
 
 _PERIODS = f"""months AS (
   SELECT DISTINCT CAST(year(d) AS INTEGER) AS y, CAST(month(d) AS INTEGER) AS m FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem UNION ALL SELECT ts FROM events)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cubelattice.operators import catalog as cat
+from cubelattice.sources.catalog_rows import NOW
 
 EN = "CASE WHEN coalesce(name_en, '') <> '' THEN name_en ELSE name_ro END AS name"
 DEPTH = "len(string_split(path, '.'))"
@@ -30,7 +31,47 @@ def _periods(where: str) -> str:
     return f"SELECT year, quarter, month, periodicity, CAST(period_start AS VARCHAR) AS period_start, CAST(period_end AS VARCHAR) AS period_end, label_ro, label_en FROM time_periods WHERE {where}"
 
 
+_DETAIL = """SELECT m.matrix_id, matrix_code, {name} AS name, c.path AS context_path, {context} AS context_name, array_to_string(periodicity, ',') AS periodicities, has_uat, has_county,
+  (SELECT CAST(count(*) AS INTEGER) FROM dimensions d WHERE d.matrix_id = m.matrix_id) AS dimension_count, year_from, year_to, CAST({update} AS VARCHAR) AS last_update, sync_status,
+  (SELECT count(*) FROM statistics s WHERE s.matrix_id = m.matrix_id) AS row_count, 0 AS view_count, 0 AS download_count,
+  coalesce((SELECT string_agg(dim_index || ':' || dimension_type || ':' || {label} || ':' || option_count, '; ' ORDER BY dim_index) FROM dimensions d WHERE d.matrix_id = m.matrix_id), '') AS dimensions
+  FROM matrices m LEFT JOIN contexts c USING (context_id) WHERE matrix_code = '{code}'"""
+_TREE = "class_values JOIN class_tree USING (value_id)"
+_EITHER = "CASE WHEN coalesce({0}_en, '') <> '' THEN {0}_en ELSE {0}_ro END"
+_SYNCED = "SELECT matrix_code, sync_status, last_sync_at FROM matrices LEFT JOIN (SELECT matrix_id, max(created_at) AS last_sync_at FROM tasks WHERE status = 'COMPLETED' GROUP BY 1) USING (matrix_id) WHERE matrix_id IN (SELECT matrix_id FROM statistics)"
+
 PAIRS = {
+    "contexts_page": (lambda wh: cat.contexts_page(wh, 2, ("Comenzi", 1010)), "SELECT context_id, code, name_ro, path FROM contexts WHERE (name_ro, context_id) > ('Comenzi', 1010) ORDER BY name_ro, context_id LIMIT 3"),
+    "contexts_tree": (lambda wh: cat.contexts_tree(wh), "SELECT CAST(row_number() OVER (ORDER BY string_split(path, '.')) AS INTEGER) AS place, repeat('  ', level) || '[' || code || '] ' || name_ro AS line FROM contexts"),
+    "matrices_context": (lambda wh: cat.matrices(wh, context_id=1010), _matrices("m.context_id = 1010")),
+    "matrices_page_update": (
+        lambda wh: cat.matrices_page(wh, 3, "lastUpdate", True, ("2024-03-15", 1)),
+        f"SELECT matrix_id, matrix_code, sort_value FROM (SELECT *, CAST({_UPDATE} AS VARCHAR) AS sort_value FROM matrices) WHERE sort_value < '2024-03-15' OR (sort_value = '2024-03-15' AND matrix_id > 1) ORDER BY sort_value DESC NULLS LAST, matrix_id LIMIT 4",
+    ),
+    "matrices_offset": (lambda wh: cat.matrices_page(wh, 2, offset=3), "SELECT matrix_id, matrix_code, name_ro AS sort_value FROM matrices ORDER BY name_ro, matrix_id LIMIT 3 OFFSET 3"),
+    "matrix_detail": (lambda wh: cat.matrix_detail(wh, "ORD101A"), _DETAIL.format(name="m.name_ro", context="c.name_ro", update=_UPDATE, label="label_ro", code="ORD101A")),
+    "matrix_detail_en": (lambda wh: cat.matrix_detail(wh, "LIN101A", "en"), _DETAIL.format(name=_EITHER.format("m.name"), context=_EITHER.format("c.name"), update=_UPDATE, label=_EITHER.format("label"), code="LIN101A")),
+    "matrix_dimension": (lambda wh: cat.matrix_dimension(wh, "LIN101A", 0), f", {_OPTIONS} SELECT 'Retur' AS label_ro, dimension_type, option_code, option_name FROM taken WHERE dim_index = 0"),
+    "options_search": (lambda wh: cat.find_options(wh, "LIN101A", "ASIA"), f", {_OPTIONS} SELECT * FROM taken WHERE contains(lower(option_name), 'asia')"),
+    "breakdowns_last": (lambda wh: cat.option_samples(wh, "LIN101A", 3, True), f", {_OPTIONS} SELECT *, row_number() OVER (PARTITION BY dim_index ORDER BY option_code DESC) AS place FROM taken QUALIFY place <= 3"),
+    "pending_domains": (lambda wh: cat.domains(wh), "SELECT left(matrix_code, 3) AS domain, count(*) AS matrix_count FROM matrices WHERE sync_status = 'PENDING' GROUP BY 1"),
+    "dimension_labels": (lambda wh: cat.dimension_labels(wh), "SELECT label_ro, label_en, count(*) AS matrix_count FROM dimensions WHERE dimension_type = 'TERRITORIAL' GROUP BY 1, 2"),
+    "dimensions_search": (lambda wh: cat.search_dimensions(wh, "judete"), "SELECT matrix_code, name_ro FROM matrices m WHERE EXISTS (SELECT 1 FROM dimensions d WHERE d.matrix_id = m.matrix_id AND contains(lower(label_ro), 'judete'))"),
+    "catalog_search": (lambda wh: cat.find(wh, "COM"), "SELECT 'context' AS kind, code, name_ro FROM contexts WHERE contains(lower(code), 'com') OR contains(lower(name_ro), 'com') UNION ALL SELECT 'matrix', matrix_code, name_ro FROM matrices WHERE contains(lower(matrix_code), 'com') OR contains(lower(name_ro), 'com')"),
+    "refresh_selection": (lambda wh: cat.to_refresh(wh, NOW, older_than_days=30), f"{_SYNCED} AND sync_status IN ('SYNCED', 'STALE') AND CAST(last_sync_at AS TIMESTAMP) < TIMESTAMP '{NOW}' - INTERVAL 30 DAY"),
+    "refresh_selection_stale": (lambda wh: cat.to_refresh(wh, NOW, True), f"{_SYNCED} AND sync_status = 'STALE'"),
+    "territories_siruta": (lambda wh: cat.territories(wh, siruta="12"), "SELECT code, name, level, path FROM territories WHERE siruta_code = '12'"),
+    "territories_label": (lambda wh: cat.territories(wh, label="R1"), "SELECT code, name, level, path FROM territories WHERE list_contains(string_split(path, '.'), 'R1')"),
+    "available_data_page": (
+        lambda wh: cat.available_data(wh, 105, "LIN101A", 2),
+        "SELECT matrix_code, name_ro, count(*) AS fact_count, count(DISTINCT time_period_id) AS period_count, min(year) AS min_year, max(year) AS max_year FROM statistics JOIN time_periods USING (time_period_id) JOIN matrices USING (matrix_id) WHERE territory_id = 105 GROUP BY 1, 2 HAVING matrix_code > 'LIN101A' ORDER BY matrix_code LIMIT 3",
+    ),
+    "class_values_roots": (lambda wh: cat.class_values(wh, "EVENT_TYPE", roots_only=True), f"SELECT code, name_ro, sort_order FROM {_TREE} WHERE type_code = 'EVENT_TYPE' AND parent_id IS NULL"),
+    "class_values_below": (lambda wh: cat.class_values(wh, "SEGMENT", parent_id=11, level=1), f"SELECT code, name_ro, sort_order FROM {_TREE} WHERE type_code = 'SEGMENT' AND parent_id = 11 AND level = 1"),
+    "class_values_plain": (lambda wh: cat.class_values(wh, "SEGMENT", "constructii"), "SELECT code, name_ro, sort_order FROM class_values WHERE code = 'BUILDING'"),
+    "class_value": (lambda wh: cat.class_value(wh, "EVENT_TYPE", 31), f"SELECT CASE WHEN value_id = 31 THEN 'value' ELSE 'child' END AS kind, value_id, code, name_ro, parent_id, level, sort_order FROM {_TREE} WHERE type_code = 'EVENT_TYPE' AND (value_id = 31 OR parent_id = 31)"),
+    "class_value_flat": (lambda wh: cat.class_value(wh, "SEGMENT", 11), f"SELECT 'value' AS kind, value_id, code, name_ro, parent_id, level, sort_order FROM {_TREE} WHERE value_id = 11"),
+    "table_row_counts": (lambda wh: wh.row_counts().filter("table_name IN ('statistics', 'territories', 'units')"), "SELECT 'statistics' AS table_name, count(*) AS row_count FROM statistics UNION ALL SELECT 'territories', count(*) FROM territories UNION ALL SELECT 'units', count(*) FROM units"),
     "contexts_list_en": (lambda wh: cat.contexts(wh, "en"), f"SELECT code, {EN}, level, path, children_type FROM contexts"),
     "contexts_filtered": (lambda wh: cat.contexts(wh, level=2, path_prefix="1.10"), "SELECT code, name_ro AS name, level, path, children_type FROM contexts WHERE level = 2 AND starts_with(path, '1.10')"),
     "context_ancestors": (lambda wh: cat.context_ancestors(wh, "1.10.1010"), "SELECT code, name_ro, level, path FROM contexts WHERE starts_with('1.10.1010', path || '.')"),

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from cubelattice.functions import expr, labels
 from cubelattice.operators import ingest as ing
+from cubelattice.operators import resolve as res
 from cubelattice.plans.chunking import Dimension, Option, chunk_rows
+from cubelattice.sources.landing import MATRIX_JSON
 
 TIME_LABELS = [
     ("Anul 2023", 2023, None, None, "ANNUAL"),
@@ -103,7 +105,117 @@ _PLAN_DIMS = [
     Dimension("UNIT_OF_MEASURE", [Option(5000, "UM: Numar")]),
 ]
 
+#: label, English label, code, symbol, name_ro, name_en, name_normalized
+UNIT_LABELS = [
+    ("UM: Numar persoane", None, "PERSONS", "pers.", "Numar persoane", "Persons", "NUMAR PERSOANE"),
+    ("um:  Lei / kg", None, "LEI__KG", "lei/kg", "Lei / kg", "Lei per kilogram", "LEI / KG"),
+    ("Mii tone", "Thousand tons", "THOUSAND_TONS", "mii t", "Mii tone", "Thousand tons", "MII TONE"),
+    ("UM: Găini ouătoare", None, "GAINI_OUATOARE", None, "Găini ouătoare", "Găini ouătoare", "GAINI OUATOARE"),
+    ("%", None, "PERCENT", "%", "%", "Percent", "%"),
+]
+
+
+def _units(wh):
+    return res.units(_labels(wh, [u[:2] for u in UNIT_LABELS] + [("UM: ", None), ("  ", None)], "label string, label_en string"))
+
+
+def _unit_table(wh):
+    known = wh.units.select("unit_id", "code", "symbol", "name_ro", "name_en", F.array(F.concat(F.lit("UM: "), "name_ro")).alias("patterns"))
+    found = res.find_or_create_units(known, _labels(wh, [("UM: Lei", None), ("Lei", None), ("UM: Ore", None), ("ore", None), ("UM: Bucăți", None)], "label string, label_en string"))
+    return found.select("unit_id", "code", "symbol", F.array_join("patterns", "|").alias("patterns"))
+
+
+_UNIT_TABLE = [(1, "LEI", "lei", "UM: Lei|Lei"), (2, "NUMBER", "nr.", "UM: Număr"), (3, "BUCATI", "buc.", "UM: Bucăți"), (4, "ORE", "ore", "UM: Ore|ore")]
+
+
+def _found_periods(wh):
+    """Two new periods in several spellings, known ones, and labels of none."""
+    return res.periods(wh.time_periods, _labels(wh, [(x,) for x in ("Anul 1998", "1998", "Anul 2050", "2050-2055", "Luna Mai 2050", "Mai 2050", "Total", "Trimestrul II 1996")], "label string"))
+
+
+_NEW = "(SELECT max(time_period_id) FROM time_periods)"
+_PERIODS = f"""SELECT label, year, CAST(quarter AS INTEGER) AS quarter, CAST(month AS INTEGER) AS month, periodicity, CAST(id AS INTEGER) AS time_period_id FROM (VALUES
+  ('Anul 1998', 1998, NULL, NULL, 'ANNUAL', 19980000), ('1998', 1998, NULL, NULL, 'ANNUAL', 19980000), ('Anul 2050', 2050, NULL, NULL, 'ANNUAL', {_NEW} + 1), ('2050-2055', 2050, NULL, NULL, 'ANNUAL', {_NEW} + 1),
+  ('Luna Mai 2050', 2050, NULL, 5, 'MONTHLY', {_NEW} + 2), ('Mai 2050', 2050, NULL, 5, 'MONTHLY', {_NEW} + 2), ('Total', NULL, NULL, NULL, NULL, NULL), ('Trimestrul II 1996', 1996, 2, NULL, 'QUARTERLY', 19960200)) AS v(label, year, quarter, month, periodicity, id)"""
+
+_PLACES = [("TOTAL", "RO"), ("1234 Satul Nou", "C7"), ("54321 Nicaieri", None), ("Judetul Cluj", "CJ"), ("Nowhere", None)]
+
+
+def _places(wh):
+    rows = [(1, "RO", None), (2, "CJ", None), (3, "C7", "1234"), (4, "54320", None)]
+    known = _labels(wh, rows, "territory_id int, code string, siruta_code string")
+    return res.territories(known, _labels(wh, [(p[0],) for p in _PLACES] + [("54320 Dupa cod", )], "label string"))
+
+
+def _class_values(wh):
+    known = wh.class_values.select("value_id", "type_code", "code", expr.content_hash(F.col("name_ro")).alias("content_hash"), F.col("code").alias("path"), F.lit(None).cast("int").alias("parent_id"), F.lit(0).alias("level"), "name_ro", "sort_order")
+    rows = [("SEGMENT", "  constructii", None, 0, 9), ("SEGMENT", "Aviație", "Total", 1, 7), ("SEGMENT", "AVIATIE ", "Total", 1, 8), ("SEGMENT", "Avioane mici", "Aviatie", 2, 9), ("EVENT_TYPE", "Aviație", None, 0, 7)]
+    found = res.class_values(known, _labels(wh, rows, "type_code string, label string, parent_label string, level int, sort_order int"))
+    return found.filter(F.col("value_id") > 36).select("value_id", "type_code", "code", "path", "parent_id", "level", "name_ro")
+
+
+_CLASS_VALUES = [(37, "EVENT_TYPE", "AVIATIE", "AVIATIE", None, 0, "Aviație"), (38, "SEGMENT", "AVIATIE", "TOTAL.AVIATIE", 11, 1, "Aviație"), (39, "SEGMENT", "AVIOANE_MICI", "AVIATIE.AVIOANE_MICI", 38, 2, "Avioane mici")]
+
+
+def _mapped(wh):
+    labels = _labels(wh, [("Anul 1998", None), ("anul  1998", None), ("Anul 1997", ""), ("Luna Brumar 1999", None)], "label string, hint string")
+    found = res.periods(wh.time_periods, labels.select("label")).select("label", F.col("time_period_id").alias("target"))
+    rows = res.mapped(labels, wh.label_mappings, found, "TIME_PERIOD", "no period", "2024-02-01 00:00:00")
+    return res.remembered(wh.label_mappings, rows).drop("context_hint")
+
+
+_MAPPED = [
+    ("ANUL 1998", "Anul 1998", "TIME_PERIOD", "19980000", "EXACT", None, "2024-02-01 00:00:00"),
+    ("ANUL 1997", "Anul 1997", "TIME_PERIOD", "19970000", "PATTERN", None, "2024-02-01 00:00:00"),
+    ("LUNA BRUMAR 1999", "Luna Brumar 1999", "TIME_PERIOD", None, None, "no period", "2024-02-01 00:00:00"),
+    ("ATLANTIDA", "Atlantida", "TERRITORY", None, None, "no territory", "2024-01-03 08:00:01"),
+]
+
+_RESPONSES = {
+    "ro": """{"matrixName": "Populatia", "periodicitati": ["Anuala", "Trimestriala"], "surseDeDate": [{"nume": "Ancheta"}, {"nume": "Registru"}], "ultimaActualizare": "01-02-2024",
+      "dimensionsMap": [{"dimCode": 7, "label": "Sexe", "options": [{"label": "Total", "nomItemId": 1, "offset": 1}, {"label": "Masculin", "nomItemId": 2, "offset": 2, "parentId": 1}]},
+        {"dimCode": 8, "label": "Coduri", "options": [{"label": "Alba", "nomItemId": 3, "offset": 1}]}, {"dimCode": 9, "label": "Perioade", "options": [{"label": "Anul 1990", "nomItemId": 4, "offset": 1}, {"label": "Anul 2024", "nomItemId": 5, "offset": 2}]},
+        {"dimCode": 6, "label": "UM: Numar persoane", "options": [{"label": "Numar persoane", "nomItemId": 6, "offset": 1}]}], "details": {"nomJud": 2, "nomLoc": 0, "matSiruta": 1, "matTime": 3, "matRegJ": 0}}""",
+    "en": """{"matrixName": "Population", "surseDeDate": [{"nume": "Survey"}], "dimensionsMap": [{"dimCode": 9, "label": "Periods", "options": []}, {"dimCode": 7, "label": "Sexes", "options": []}]}""",
+}
+
+
+def _metadata(wh):
+    read = lambda lang: _labels(wh, [("POP101A", _RESPONSES[lang])], "code string, body string").select("code", F.from_json("body", MATRIX_JSON).alias("r")).select("code", "r.*")
+    dims = F.array_join(F.transform("dimensions", lambda d: F.concat_ws(":", d["dim_index"].cast("string"), d["label_ro"], F.coalesce(d["label_en"], F.lit("-")), d["dimension_type"], d["option_count"].cast("string"), d["is_hierarchical"].cast("string"))), "; ")
+    sources = F.array_join(F.transform("sources", lambda x: F.concat_ws("/", x["name"], x["name_en"])), ",")
+    return res.metadata(read("ro"), read("en")).select("code", "name_ro", "name_en", F.array_join("periodicity", ",").alias("periodicities"), "year_from", "year_to", "has_uat", "has_county", "has_siruta", "last_update", sources.alias("sources"), dims.alias("dimensions"))
+
+
+_METADATA = """SELECT 'POP101A' AS code, 'Populatia' AS name_ro, 'Population' AS name_en, 'ANNUAL,QUARTERLY' AS periodicities, 1990 AS year_from, 2024 AS year_to, false AS has_uat, true AS has_county, true AS has_siruta, '01-02-2024' AS last_update,
+  'Ancheta/Survey,Registru' AS sources, '0:Sexe:Sexes:CLASSIFICATION:2:true; 1:Coduri:-:TERRITORIAL:1:false; 2:Perioade:Periods:TEMPORAL:2:false; 3:UM: Numar persoane:-:UNIT_OF_MEASURE:1:false' AS dimensions"""
+
+
+def _counties(wh):
+    side = lambda level: wh.territories.filter(F.col("level").isin(*level)).select(F.col("code").alias("id"), "path")
+    return res.counties_of(side(["LAU"]), side(["NUTS3", "NUTS2"]))
+
+
+_PLAN = """SELECT CAST(n AS INTEGER) AS chunk_no, substr(md5('v2|X|' || query), 1, 16) AS chunk_hash, CAST(5 * 43 * 120 AS BIGINT) AS cells, query FROM (
+  SELECT n, array_to_string(range(5 * n, 5 * n + 5), ',') || ':' || array_to_string(range(100, 143), ',') || ':' || array_to_string(range(1000, 1120), ',') || ':5000' AS query FROM range(6) AS t(n))"""
+
 PAIRS = {
+    "resolve_units": (_units, _values([u[:1] + u[2:] for u in UNIT_LABELS], "label, code, symbol, name_ro, name_en, name_normalized", ["VARCHAR"] * 6)),
+    "find_or_create_units": (_unit_table, _values(_UNIT_TABLE, "unit_id, code, symbol, patterns", ["INTEGER", "VARCHAR", "VARCHAR", "VARCHAR"])),
+    "find_or_create_periods": (_found_periods, _PERIODS),
+    "new_period_rows": (
+        lambda wh: res.period_rows(_found_periods(wh)).filter("year = 2050").select(F.col("period_start").cast("string"), F.col("period_end").cast("string"), "label_ro", "label_en"),
+        _values([("2050-01-01", "2050-12-31", "Anul 2050", "Year 2050"), ("2050-05-01", "2050-05-31", "Luna Mai 2050", "Month May 2050")], "period_start, period_end, label_ro, label_en", ["VARCHAR"] * 4),
+    ),
+    "find_territories": (_places, _values([(x, {"RO": 1, "CJ": 2, "C7": 3, None: None}[c], c) for x, c in _PLACES] + [("54320 Dupa cod", 4, "54320")], "label, territory_id, code", ["VARCHAR", "INTEGER", "VARCHAR"])),
+    "find_or_create_class_values": (_class_values, _values(_CLASS_VALUES, "value_id, type_code, code, path, parent_id, level, name_ro", ["INTEGER", "VARCHAR", "VARCHAR", "VARCHAR", "INTEGER", "INTEGER", "VARCHAR"])),
+    "map_labels": (_mapped, _values(_MAPPED, "label_normalized, label_original, context_type, target, method, reason, created_at", ["VARCHAR"] * 7)),
+    "build_metadata": (_metadata, _METADATA),
+    "counties_of_localities": (_counties, "SELECT l.code AS locality, p.code AS county FROM territories l JOIN territories p ON p.territory_id = l.parent_id WHERE l.level = 'LAU'"),
+    "class_type_fallback": (
+        lambda wh: wh.dimensions.filter("dimension_type = 'CLASSIFICATION'").join(wh.matrices.select("matrix_id", "matrix_code"), "matrix_id").select("matrix_code", "dim_index", labels.infer_class_type(F.col("label_ro"), F.concat("matrix_code", F.lit("_DIM"), "dim_index")).alias("type_code")),
+        "SELECT matrix_code, dim_index, matrix_code || '_DIM' || dim_index AS type_code FROM dimensions JOIN matrices USING (matrix_id) WHERE dimension_type = 'CLASSIFICATION'",
+    ),
     "parse_time_labels": (_time, _values(TIME_LABELS, "label, year, quarter, month, periodicity", ["VARCHAR", "INTEGER", "INTEGER", "INTEGER", "VARCHAR"])),
     "parse_time_labels_round_trip": (
         lambda wh: wh.time_periods.select("time_period_id", labels.parse_time_label(F.col("label_ro")).alias("p")).select("time_period_id", "p.year", "p.quarter", "p.month", "p.periodicity"),
@@ -135,5 +247,5 @@ PAIRS = {
         """SELECT natural_key, territory_id, CASE WHEN territory_id < 120 AND territory_id % 2 = 0 THEN value + 1 ELSE value END AS value, value_status FROM statistics WHERE matrix_id = 5
            UNION ALL SELECT 'new-' || natural_key, territory_id, value, value_status FROM statistics WHERE matrix_id = 5 AND territory_id = 110""",
     ),
-    "chunk_plan": (lambda wh: wh.spark.createDataFrame(chunk_rows("X", _PLAN_DIMS), "chunk_no int, chunk_hash string, cells long, query string"), None),
+    "chunk_plan": (lambda wh: wh.spark.createDataFrame(chunk_rows("X", _PLAN_DIMS), "chunk_no int, chunk_hash string, cells long, query string"), _PLAN),
 }

@@ -34,6 +34,7 @@ PAIRS = {
     "statistics_missing_values": (lambda wh: st.series(wh, "NUL101A").select(*COLUMNS), _series("matrix_id = 5", "LEFT JOIN")),
     "statistics_territory_id": (lambda wh: st.series(wh, "LIN101A", territory_id=106, year_from=1996, year_to=1998).select(*COLUMNS), _series("matrix_id = 3 AND territory_id = 106 AND year BETWEEN 1996 AND 1998")),
     "statistics_territory_code": (lambda wh: st.series(wh, "ORD101A", territory_code="W", periodicity="MONTHLY").select(*COLUMNS), _series("matrix_id = 1 AND t.code = 'W' AND periodicity = 'MONTHLY'")),
+    "statistics_siruta": (lambda wh: st.series(wh, "ORD101A", siruta="7").select(*COLUMNS), _series("matrix_id = 1 AND siruta_code = '7'")),
     "statistics_path_prefix": (lambda wh: st.series(wh, "ORD101A", path_prefix="W.M1.R1.N1", year_from=1999).select(*COLUMNS), _series("matrix_id = 1 AND starts_with(t.path, 'W.M1.R1.N1') AND year >= 1999")),
     "statistics_class_filter": (
         lambda wh: st.series(wh, "ORD102A", level="NATIONAL", classes='{"ORDER_STATUS": ["F", "O"], "SEGMENT": ["TOTAL"], "NO_TYPE": ["X"]}').select(*COLUMNS),
@@ -63,11 +64,11 @@ PAIRS = {
     ),
     "filter_bridge_anti": (
         lambda wh: flt.bridge_all_classes_in(wh, wh.facts("ORD102A"), [1, 11]).select("natural_key", "value"),
-        "SELECT natural_key, value FROM statistics s WHERE matrix_id = 2 AND NOT EXISTS (SELECT 1 FROM bridge b WHERE b.natural_key = s.natural_key AND b.value_id NOT IN (1, 11))",
+        "SELECT natural_key, value FROM f2 ANTI JOIN (SELECT DISTINCT natural_key FROM (SELECT natural_key, unnest(class_ids) AS value_id FROM f2) WHERE value_id NOT IN (1, 11)) AS other USING (natural_key)",
     ),
     "filter_bridge_semi": (
         lambda wh: flt.bridge_any_class(wh, wh.facts("LIN101A"), [22, 24]).select("natural_key", "value"),
-        "SELECT natural_key, value FROM statistics s WHERE matrix_id = 3 AND EXISTS (SELECT 1 FROM bridge b WHERE b.natural_key = s.natural_key AND b.value_id IN (22, 24))",
+        "SELECT natural_key, value FROM f3 SEMI JOIN (SELECT DISTINCT natural_key FROM (SELECT natural_key, unnest(class_ids) AS value_id FROM f3) WHERE value_id IN (22, 24)) AS other USING (natural_key)",
     ),
     "summary": (
         lambda wh: st.summary(wh, "NUL101A"),
@@ -88,4 +89,5 @@ PAIRS = {
     ),
     "saved_execute_values": (lambda wh: st.saved(wh, 2), _series("matrix_id = 3 AND t.level = 'NATIONAL' AND periodicity = 'QUARTERLY'", classes="list_has_any(class_ids, [22, 24])")),
     "saved_execute_all": (lambda wh: st.saved(wh, 3), _series("matrix_id = 5", "LEFT JOIN", "true")),
+    "saved_execute_limit": (lambda wh: st.saved(wh, 2, 7), _series("matrix_id = 3 AND t.level = 'NATIONAL' AND periodicity = 'QUARTERLY'", classes="list_has_any(class_ids, [22, 24])") + " ORDER BY year, quarter, month, natural_key LIMIT 7"),
 }

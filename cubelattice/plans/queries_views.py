@@ -10,6 +10,14 @@ _PCT = "floor(chunks_completed * 100.0::DOUBLE / chunks_total * 10 + 0.5) / 10"
 _SUM = "CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE)"
 
 PAIRS = {
+    "v_units": (lambda wh: v.v_units(wh), "SELECT unit_id, code, symbol, name_ro, name_en, upper(strip_accents(name_ro)) AS name_normalized FROM units"),
+    "v_unresolved_labels": (lambda wh: v.v_unresolved_labels(wh), "SELECT label_original, label_normalized, context_type, context_hint, reason, created_at FROM label_mappings WHERE target IS NULL"),
+    "v_sync_checkpoints": (
+        lambda wh: v.v_sync_checkpoints(wh, NOW),
+        f"SELECT chunk_id, matrix_code, chunk_hash, status, cells_returned, error_message, retry_count, next_retry_at, coalesce(CAST(next_retry_at AS TIMESTAMP) > TIMESTAMP '{NOW}', false) AS is_waiting FROM chunks JOIN matrices USING (matrix_id)",
+    ),
+    "sync_tasks_page": (lambda wh: v.tasks_page(wh, 3, 2), "SELECT task_id, matrix_id, status, created_at FROM tasks ORDER BY created_at DESC, task_id DESC LIMIT 3 OFFSET 2"),
+    "sync_tasks_by_status": (lambda wh: v.tasks_by_status(wh), "SELECT CASE status WHEN 'RUNNING' THEN 1 WHEN 'PENDING' THEN 2 ELSE 3 END AS status_rank, status, count(*) AS task_count, min(created_at) AS oldest, max(created_at) AS newest FROM tasks GROUP BY status"),
     "v_matrices": (lambda wh: v.v_matrices(wh), "SELECT matrix_code, m.name_ro, m.name_en, c.code AS context_code, c.path AS context_path, periodicity[1] AS first_periodicity, year_from, year_to, has_uat, has_county, sync_status FROM matrices m LEFT JOIN contexts c USING (context_id)"),
     "v_territories": (lambda wh: v.v_territories(wh), "SELECT t.code, t.name, upper(t.name) AS name_normalized, t.level, t.path, p.code AS parent_code, p.name AS parent_name FROM territories t LEFT JOIN territories p ON p.territory_id = t.parent_id"),
     "v_contexts": (lambda wh: v.v_contexts(wh), "SELECT code, name_ro, level, (SELECT count(*) FROM contexts d WHERE d.parent_id = c.context_id) AS child_count, (SELECT count(*) FROM matrices m WHERE m.context_id = c.context_id) AS matrix_count FROM contexts c"),

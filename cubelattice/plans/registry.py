@@ -18,5 +18,7 @@ def _on_cube(query: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession,
     return lambda spark, sf_dir: query(cube(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_cube(query) for family in _FAMILIES for name, (query, _) in family.PAIRS.items()}
+#: The same queries over any warehouse, for instance a stored one.
+ON_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {name: query for family in _FAMILIES for name, (query, _) in family.PAIRS.items()}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _on_cube(query) for name, query in ON_WAREHOUSE.items()}
 ORACLES: dict[str, str] = {name: over_cube(sql) for family in _FAMILIES for name, (_, sql) in family.PAIRS.items() if sql}

@@ -30,6 +30,10 @@ CLASS_VALUES = [
 ]
 CLASS_VALUES_SCHEMA = "value_id int, type_code string, code string, name_ro string, sort_order int"
 
+#: value_id, parent_id, level: every type's values lie below its total
+CLASS_TREE = [(v, None if code == "TOTAL" else next(x for x, y, c, _, _ in CLASS_VALUES if y == t and c == "TOTAL"), int(code != "TOTAL")) for v, t, code, _, _ in CLASS_VALUES]
+CLASS_TREE_SCHEMA = "value_id int, parent_id int, level int"
+
 CLASS_TYPES = [
     ("ORDER_STATUS", "Stare comandă", "Order status", False),
     ("SEGMENT", "Segment de piață", "", False),
@@ -151,8 +155,18 @@ SAVED = [
 ]
 SAVED_SCHEMA = "query_id int, name string, matrix_code string, territory_path string, territory_level string, value_ids array<int>, year_from int, year_to int, periodicity string"
 
+#: label_normalized, label_original, context_type, context_hint, target (null: none), method, reason, created_at
+LABEL_MAPPINGS = [
+    ("ANUL 1998", "Anul 1998", "TIME_PERIOD", "", "19980000", "PATTERN", None, "2024-01-03 08:00:00"),
+    ("ATLANTIDA", "Atlantida", "TERRITORY", "ORD101A", None, None, "no territory", "2024-01-03 08:00:01"),
+    ("LUNA BRUMAR 1999", "Luna Brumar 1999", "TIME_PERIOD", "", None, None, "no period", "2024-01-04 08:00:00"),
+]
+LABEL_MAPPINGS_SCHEMA = "label_normalized string, label_original string, context_type string, context_hint string, target string, method string, reason string, created_at string"
+
 STATIC = {
     "class_values": (CLASS_VALUES, CLASS_VALUES_SCHEMA),
+    "class_tree": (CLASS_TREE, CLASS_TREE_SCHEMA),
+    "label_mappings": (LABEL_MAPPINGS, LABEL_MAPPINGS_SCHEMA),
     "class_types": (CLASS_TYPES, CLASS_TYPES_SCHEMA),
     "units": (UNITS, UNITS_SCHEMA),
     "contexts": (CONTEXTS, CONTEXTS_SCHEMA),

@@ -49,7 +49,7 @@ def territories(read) -> DataFrame:
     path = F.concat(F.lit("W.M"), macro.cast("string"), F.lit(".R"), F.col("r").cast("string"))
 
     def rows(df: DataFrame, ident: Column, code: Column, name: Column, level: str, parent: Column, at: Column) -> DataFrame:
-        return df.select(ident.cast("int").alias("territory_id"), code.alias("code"), name.alias("name"), F.lit(level).alias("level"), parent.cast("int").alias("parent_id"), at.alias("path"))
+        return df.select(ident.cast("int").alias("territory_id"), code.alias("code"), name.alias("name"), F.lit(level).alias("level"), parent.cast("int").alias("parent_id"), at.alias("path"), F.when(F.lit(level == "LAU"), code.substr(2, 10)).alias("siruta_code"))
 
     def coded(letter: str, key: Column) -> Column:
         return F.concat(F.lit(letter), key.cast("string"))

@@ -1,38 +1,84 @@
-"""Writers: partitioned upserts of facts, seeds, catalog entries and saved queries.
+"""Writers: partitioned upserts of facts, seeds, metadata, catalog entries, saved queries and stored aggregates.
 
-Parquet has no in-place update. An upsert writes the touched partitions of the merged table beside the
-old ones, reads them back, and overwrites those partitions only (dynamic mode), so no job reads files it
-is replacing and an interrupted job leaves either the old partitions or a finished staging copy."""
+Parquet has no in-place update. An upsert stores the staged rows once, writes the touched partitions of the merged
+table beside the old ones, reads them back, and overwrites those partitions only (dynamic mode), so no job reads
+files it is replacing. Spark replaces the partitions one after the other when the job commits; a job that ends
+before leaves the old ones, one that ends in between leaves some new ones. The finished copy stays until all are
+replaced, and ``resume`` completes the work from it, so a second try is harmless; then it is removed."""
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cubelattice.operators.ingest import classify, last_wins, merged
+from cubelattice.sources.warehouse import NotFoundError, by_range
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def replace_partitions(df: DataFrame, path: str, key: str, staging: str) -> None:
     """Overwrite the partitions of ``df``; others stay."""
-    spark, copy = df.sparkSession, f"{staging.rstrip('/')}/{uuid.uuid4().hex}"
+    copy = f"{staging.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.partitionBy(key).parquet(copy)
-    spark.read.schema(df.schema).parquet(copy).repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    resume(df.sparkSession, copy, path, key, df.schema)
+
+
+def resume(spark: SparkSession, copy: str, path: str, key: str, schema: StructType) -> None:
+    """Put a finished copy in place of the partitions it holds, and remove it."""
+    rows = spark.read.schema(schema).parquet(copy)
+    by_range(rows, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+    _remove(spark, copy)
 
 
 def upsert_facts(spark: SparkSession, path: str, staged: DataFrame, staging: str) -> dict[str, int]:
     """Upsert staged facts by key; the last staged row of a key wins. Returns inserted, updated, unchanged."""
-    staged = last_wins(staged)
+    copy = f"{staging.rstrip('/')}/{uuid.uuid4().hex}"
+    rows = last_wins(staged)
+    rows.write.parquet(copy)  # the source is read once, so counts and rows agree
+    staged = spark.read.schema(rows.schema).parquet(copy)
     touched = [r[0] for r in staged.select("matrix_id").distinct().collect()]  # partitions of one ingest run
     target = spark.read.parquet(path).filter(F.col("matrix_id").isin(touched))
     target = target.select("matrix_id", "natural_key", "territory_id", "time_period_id", "unit_id", "value", "value_status", "class_ids")
     actions = dict(classify(target, staged).groupBy("action").count().collect())
     if actions.get("insert", 0) + actions.get("update", 0):
         replace_partitions(merged(target, staged), path, "matrix_id", staging)
+    _remove(spark, copy)
     return {k: actions.get(k, 0) for k in ("insert", "update", "unchanged")}
 
 
+def replace_matrix(path: str, staging: str, matrix: DataFrame, dimensions: DataFrame, options: DataFrame) -> None:
+    """A matrix's metadata, dimensions and options take the place of what is stored of them; all have matrix_id."""
+    for name, rows in (("matrices", matrix), ("dimensions", dimensions), ("options", options)):
+        replace_partitions(rows, f"{path}/{name}", "matrix_id", staging)
+
+
+def seeded(old: DataFrame, new: DataFrame, key: str = "code", force: bool = False) -> DataFrame:
+    """The territory table after a seed: an upsert, or with ``force`` the seed alone (``missing_from`` tells what goes)."""
+    return new.select(*old.columns) if force else upsert_rows(old, new, key)
+
+
+def refresh(spark: SparkSession, path: str, views: dict[str, DataFrame]) -> None:
+    """Store aggregates anew, each as a new version beside the old one; a reader of ``stored`` sees whole versions."""
+    for name, df in views.items():
+        version = uuid.uuid4().hex
+        df.write.parquet(f"{path}/{name}/v-{version}")
+        spark.createDataFrame([(version, time.time())], "version string, at double").coalesce(1).write.mode("append").parquet(f"{path}/{name}/versions")
+
+
+def stored(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The latest stored version of an aggregate."""
+    version = spark.read.parquet(f"{path}/{name}/versions").orderBy(F.desc("at")).first()["version"]
+    return spark.read.parquet(f"{path}/{name}/v-{version}")
+
+
 def upsert_rows(old: DataFrame, new: DataFrame, key: str, replace: list[str] | None = None) -> DataFrame:
     """A small table after an upsert by ``key``: new rows are added; of known rows the columns of ``replace``
     (all by default) take the new values, others are preserved."""
@@ -84,6 +130,16 @@ class SavedQueries:
     def add(self, row: tuple) -> None:
         self._write(self.frame().unionByName(self.spark.createDataFrame([row], self.schema)))
 
+    def executed(self, query_id: int) -> int:
+        """Count one more execution; the number so far. The table has a column execution_count."""
+        now = self.frame()
+        rows = now.withColumn("execution_count", F.when(F.col("query_id") == query_id, F.coalesce("execution_count", F.lit(0)) + 1).otherwise(F.col("execution_count")).cast(now.schema["execution_count"].dataType))
+        found = rows.filter(F.col("query_id") == query_id).first()
+        if found is None:
+            raise NotFoundError(f"no saved query {query_id}")
+        self._write(rows)
+        return found["execution_count"]
+
     def delete(self, query_id: int) -> bool:
         now = self.frame()
         if now.filter(F.col("query_id") == query_id).isEmpty():

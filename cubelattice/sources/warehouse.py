@@ -1,7 +1,7 @@
 """The cube's star schema as lazy DataFrames, from Parquet or from any frames of the same columns.
 
 statistics: matrix_id, natural_key, territory_id?, time_period_id, unit_id?, value?, value_status?, class_ids
-territories: territory_id, code, name, level, parent_id?, path
+territories: territory_id, code, name, level, parent_id?, path, siruta_code?
 time_periods: time_period_id, year, quarter?, month?, periodicity, period_start, period_end, label_ro, label_en
 The small catalog tables have the columns of ``catalog_rows``.
 
@@ -13,6 +13,7 @@ anti join over the bridge (tests hold both against each other).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,18 @@ TABLES = ("statistics", "territories", "time_periods", *STATIC)
 LEVELS = ("NATIONAL", "NUTS1", "NUTS2", "NUTS3", "LAU")
 
 
+def by_range(df: DataFrame, key: str) -> DataFrame:
+    """Rows in ranges of partition key, period and territory, as far as the frame has them; sorted inside."""
+    order = [c for c in (key, "time_period_id", "territory_id", "natural_key") if c in df.columns]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The frame with its lineage cut in the session's checkpoint folder, where it has one; else as it is."""
+    spark = df.sparkSession
+    return df.checkpoint() if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() else df
+
+
 class NotFoundError(LookupError):
     """A matrix, territory or other entity that a query names does not exist."""
 
@@ -46,14 +59,20 @@ class Warehouse:
         return cls(spark, {t: lambda t=t: spark.read.parquet(f"{path}/{t}") for t in TABLES})
 
     def save(self, path: str) -> None:
-        """Facts go into one folder per matrix, sorted so that row groups skip by period and territory."""
+        """Facts go into one folder per matrix, in files by ranges of matrix, period and territory: a large matrix is
+        sorted by many tasks, and row groups skip by period and territory. Small tables are one file."""
         for name in self._tables:
             df = getattr(self, name)
             if name == "statistics":
-                df.repartition("matrix_id").sortWithinPartitions("matrix_id", "time_period_id", "territory_id").write.partitionBy("matrix_id").parquet(f"{path}/{name}")
+                by_range(df, "matrix_id").write.partitionBy("matrix_id").parquet(f"{path}/{name}")
             else:
                 df.coalesce(1).write.parquet(f"{path}/{name}")
 
+    def row_counts(self) -> DataFrame:
+        """(table_name, row_count) of every table."""
+        counts = [getattr(self, name).agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name in self._tables]
+        return reduce(DataFrame.unionByName, counts)
+
     @property
     def bridge(self) -> DataFrame:
         """(matrix_id, natural_key, value_id)."""
@@ -66,6 +85,12 @@ class Warehouse:
             raise NotFoundError(f"no matrix {code}")
         return row[0]
 
+    def path_of(self, territory_id: int) -> str:
+        row = self.territories.filter(F.col("territory_id") == territory_id).select("path").first()
+        if row is None:
+            raise NotFoundError(f"no territory {territory_id}")
+        return row[0]
+
     def facts(self, code: str) -> DataFrame:
         return self.statistics.filter(F.col("matrix_id") == self.matrix_id(code))
 

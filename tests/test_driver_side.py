@@ -51,6 +51,24 @@ def test_counts_queries_and_estimates():
     assert c.county_pairs(counties, [c.Option(20, "x", 10)]) == [(counties[0], [c.Option(20, "x", 10)])]
 
 
+def test_whole_matrix_selection_names_and_pairs():
+    times = c.Dimension("TEMPORAL", [c.Option(n, f"Anul {1990 + n}") for n in range(5)] + [c.Option(9, "Total")])
+    kinds = c.Dimension("CLASSIFICATION", [c.Option(20, "A"), c.Option(21, "TOTAL general"), c.Option(22, "total")])
+    plain = c.Dimension("CLASSIFICATION", [c.Option(30, "x"), c.Option(31, "y")])
+    ids = lambda found: [[o.ident for o in axis] for axis in found]
+    assert ids(c.select_whole([times, kinds, plain], (1991, 1992), True)) == [[1, 2], [21], [30]]
+    assert ids(c.select_whole([times, kinds, plain], (2050, 2051))) == [[0], [20, 21, 22], [30, 31]]
+    assert c.display_name("national") == "NAT-ALL-national" and c.display_name("county", None, (2000, 2004)) == "COUNTIES-2000-2004-county"
+    assert c.display_name("uat", "CJ", (2020, 2020)) == "CJ-2020-uat" and c.display_name("uat") == "NAT-ALL-uat"
+    counties = [c.Option(n, f"county {n}") for n in range(3)]
+    places = [c.Option(100 * n + k, "place", n) for n in (0, 2) for k in range(40)] + [c.Option(999, "lost", 77)]
+    chunks = c.plan_pairs(["TEMPORAL", "TERRITORIAL", "TERRITORIAL"], [list(range(30)), counties, places], 1, 2, 400)
+    assert all(c.cell_count(x) <= 400 and len(x[1]) == 1 and len(x[2]) == 40 for x in chunks)
+    assert sorted((x[1][0].ident, t) for x in chunks for t in x[0]) == [(n, t) for n in (0, 2) for t in range(30)]
+    tight = c.plan_pairs(["TEMPORAL", "TERRITORIAL", "TERRITORIAL"], [[1], counties, places], 1, 2, 25)
+    assert all(c.cell_count(x) <= 25 for x in tight) and sum(map(c.cell_count, tight)) == 80
+
+
 @given(s.one_of(s.none(), s.text(), s.integers(), s.floats(allow_nan=False)), s.integers())
 def test_cursor_round_trip(value, ident):
     assert paging.decode_cursor(paging.encode_cursor(value, ident)) == {"sortValue": value, "id": ident, "direction": "forward"}

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cubelattice.operators import analytics, ingest, statistics
+from cubelattice.operators import analytics, catalog, ingest, statistics, views
 from cubelattice.sources import landing, sinks
 from cubelattice.sources.overlay import cube
 from cubelattice.sources.warehouse import NotFoundError, Warehouse
@@ -78,6 +78,98 @@ def test_saved_queries(spark, tmp_path):
     store.add((2, "b"))
     assert store.delete(1) and not store.delete(1)
     assert [r["name"] for r in store.frame().collect()] == ["b"]
+    counted = sinks.SavedQueries(spark, str(tmp_path / "counted"), "query_id int, execution_count int")
+    counted.add((1, None))
+    counted.add((2, 5))
+    assert [counted.executed(1), counted.executed(1), counted.executed(2)] == [1, 2, 6]
+    with pytest.raises(NotFoundError):
+        counted.executed(3)
+
+
+def test_unknown_entities_raise(spark):
+    wh = cube(spark, SF)
+    for ask in (lambda: catalog.descendants(wh, -1), lambda: catalog.by_territory(wh, -1), lambda: statistics.saved(wh, -1), lambda: catalog.matrix_detail(wh, "NOPE"), lambda: catalog.matrix_dimension(wh, "LIN101A", 9), lambda: catalog.class_value(wh, "SEGMENT", 1)):
+        with pytest.raises(NotFoundError):
+            ask()
+
+
+def test_descendants_are_in_order_of_depth_and_name(spark):
+    rows = [(r["depth"], r["name"]) for r in catalog.descendants(cube(spark, SF), 1, 3).collect()]
+    assert rows == sorted(rows) and len({d for d, _ in rows}) == 4
+
+
+def test_facts_are_written_in_ranges_and_ranked_in_buckets(spark, tmp_path):
+    """A large matrix goes to many files, and no window sees all facts of a year."""
+    schema = "matrix_id int, natural_key string, territory_id int, time_period_id int, unit_id int, value double, value_status string, class_ids array<int>"
+    facts = spark.range(40_000).selectExpr("1 as matrix_id", "md5(cast(id as string)) as natural_key", "cast(id % 500 as int) as territory_id", "cast(19980000 + id % 7 as int) as time_period_id", "1 as unit_id", "cast(if(id % 3 = 0, 5, id % 1000) as double) as value", "cast(null as string) as value_status", "array(1) as class_ids")
+    facts = spark.createDataFrame(facts.collect(), schema)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}  # files follow sizes
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    Warehouse(spark, {"statistics": facts}).save(str(tmp_path / "w"))
+    for k in small:
+        spark.conf.unset(k)
+    assert len(list((tmp_path / "w" / "statistics" / "matrix_id=1").glob("*.parquet"))) > 3
+    rows = facts.selectExpr("natural_key", "'T' as territory_code", "if(value > 990, null, value) as value")
+    for descending in (True, False):
+        got = {r["natural_key"]: (r["rank"], r["percentile"], r["quartile"]) for r in analytics.ranked_rows(rows, descending).collect()}
+        held = sorted(((r["value"] is None, (-1 if descending else 1) * (r["value"] or 0), r["natural_key"]) for r in rows.collect()))
+        first, n = {}, len(held)
+        for k, (none, value, key) in enumerate(held):
+            at = first.setdefault((none, value), k)
+            want = (k + 1, int(at / (n - 1) * 10_000 + 0.5) / 100, k // (n // 4) + 1)
+            assert got[key] == want
+    plan = analytics.ranked_rows(rows)._jdf.queryExecution().executedPlan().toString()
+    numbering = [x.split("\n")[0] for x in plan.split("Window [")[1:] if "row_number()" in x.split("\n")[0] or "rank(" in x.split("\n")[0]]
+    assert numbering and all("bucket#" in x and "cut#" in x for x in numbering)
+
+
+def test_wide_pivots_are_refused(spark, monkeypatch):
+    wh = cube(spark, SF)
+    monkeypatch.setattr(analytics, "HEADERS", 3)
+    with pytest.raises(ValueError, match="columns"):
+        analytics.pivot(wh, "LIN101A", "time", "territory")
+    assert analytics.cells(wh, "LIN101A", "time", "territory").count() > 3
+
+
+def test_an_interrupted_replacement_is_completed(spark, tmp_path):
+    rows = lambda *x: spark.createDataFrame(list(x), "matrix_id int, v int")
+    path, staging = str(tmp_path / "t"), str(tmp_path / "s")
+    rows((1, 1), (2, 2)).write.partitionBy("matrix_id").parquet(path)
+    rows((1, 7)).write.partitionBy("matrix_id").parquet(f"{staging}/left")  # a finished copy, not put in place
+    sinks.resume(spark, f"{staging}/left", path, "matrix_id", rows().schema)
+    assert {tuple(r) for r in spark.read.parquet(path).select("matrix_id", "v").collect()} == {(1, 7), (2, 2)} and not (tmp_path / "s" / "left").exists()
+    meta = str(tmp_path / "m")
+    for names in (("a", "b"), ("c",)):
+        sinks.replace_matrix(meta, staging, spark.createDataFrame([(1, "M")], "matrix_id int, code string"), spark.createDataFrame([(1, n) for n in names], "matrix_id int, label string"), rows((1, 5)))
+    assert [r["label"] for r in spark.read.parquet(f"{meta}/dimensions").collect()] == ["c"]
+
+
+def test_seeds_and_stored_views(spark, stored, tmp_path):
+    old = spark.createDataFrame([("A", "a"), ("B", "b")], "code string, name string")
+    new = spark.createDataFrame([("B", "bb"), ("C", "c")], "code string, name string")
+    assert {tuple(r) for r in sinks.seeded(old, new).collect()} == {("A", "a"), ("B", "bb"), ("C", "c")}
+    assert {tuple(r) for r in sinks.seeded(old, new, force=True).collect()} == {("B", "bb"), ("C", "c")}
+    wh = Warehouse.read(spark, stored)
+    for _ in range(2):
+        sinks.refresh(spark, str(tmp_path / "views"), views.stored_views(wh))
+    for name, df in views.stored_views(wh).items():
+        assert collected(sinks.stored(spark, str(tmp_path / "views"), name)) == collected(df)
+
+
+def test_landed_contexts_lists_and_whole_seed(spark, tmp_path):
+    body = [{"level": 0, "parentCode": "", "context": {"name": " Top ", "code": "1", "childrenUrl": "context"}}, {"level": 1, "parentCode": "1", "context": {"name": "Leaf", "code": "10", "childrenUrl": "matrix"}}]
+    (tmp_path / "c.json").write_text(json.dumps(body))
+    rows = landing.context_paths(landing.contexts(landing.json_files(spark, str(tmp_path / "c.json"), landing.CONTEXT_JSON)))
+    assert sorted(tuple(r) for r in rows.select("code", "level", "name", "children_type", "path").collect()) == [("1", 0, "Top", "context", "1"), ("10", 1, "Leaf", "matrix", "1.10")]
+    (tmp_path / "l.json").write_text(json.dumps([{"name": " A ", "code": "X1"}, {"name": "none", "code": ""}]))
+    assert [tuple(r) for r in landing.matrix_list(landing.json_files(spark, str(tmp_path / "l.json"), landing.MATRIX_LIST_JSON)).collect()] == [("X1", "A")]
+    static = spark.createDataFrame([("RO", "NATIONAL", None), ("AB", "NUTS3", "RO")], "code string, level string, parent_code string")
+    places = spark.createDataFrame([("1017", "1017", "LAU", "AB", "1"), ("1018", "1018", "LAU", "AB", "0")], "code string, siruta_code string, level string, parent_code string, urban string")
+    extra = spark.createDataFrame([("EXTRA", "EXTRA")], "code string, level string")
+    known = spark.createDataFrame([(1, "RO", None), (5, "old", "1017")], "id int, code string, siruta_code string")
+    got = {r["code"]: (r["id"], r["source"]) for r in landing.whole_seed(static, places, extra, known).collect()}
+    assert got == {"RO": (1, "STATIC"), "1017": (5, "SIRUTA"), "1018": (6, "SIRUTA"), "AB": (7, "STATIC"), "EXTRA": (8, "SOURCE")}
 
 
 def test_catalog_upsert_preserves_other_columns(spark):
