@@ -11,8 +11,8 @@ A query's beam widens until its worst member is below the threshold (a beam over
 all of it, by one matrix product). For every block and shard an audit compares evenly spaced queries with brute
 force, a query's own class left out on both sides: the links found and, since there may be few, whether the
 nearest other class is found. More queries are audited until ``LINKS`` links are seen or ``AUDITS`` queries are
-taken; the beam doubles until both shares reach ``RECALL`` (a beam as wide as the shard ends it). The audits' sums
-are in the column ``recall``: links found by the first beams that passed, over the links there are (1 without any).
+taken; the beam doubles until ``RECALL`` of the links and ``NEAREST`` of the nearest are found (a beam as wide as the
+shard ends it; beams widen beyond it for a query that has many links). The audits' sums are in the column ``recall``: links found by the first beams that passed, over the links there are (1 without any).
 
 Links are verified by cosine in double precision, over vectors scaled by a power of two so that no square over- or
 underflows. A task passes on a number of links per query and a spanning forest, never the pairs; components of the
@@ -46,7 +46,7 @@ SHARD = 8192
 QUERIES = 16_384
 DEGREE = 12
 BEAM = 48
-RECALL = 0.99
+RECALL, NEAREST = 0.99, 0.9
 AUDIT, AUDITS, LINKS = 64, 1024, 64
 STRIDE = 4  # beam members expanded at once
 
@@ -277,7 +277,7 @@ class Shard:
             place, value = self.graph.nearest(unit, beam)
             value[(place < 0) | (self.rep[place] == rep[sample][:, None])] = -2
             met = (value.max(1) >= closest - 1e-5).mean()
-            if found >= RECALL * truth and met >= RECALL:
+            if found >= RECALL * truth and met >= NEAREST:
                 return beam, truth, found
             beam *= 2
 
