@@ -3,7 +3,8 @@
 Fingerprints that differ in at most 4 of 64 bits differ in at most 4 of their 8 bytes, so they share at
 least 4 (position, byte) entries: the guaranteed minimum. Postings of single bytes would be as long as
 the corpus, so the index holds the triples of byte positions of a Turán system: of the 20 triples, at
-least one lies inside any 4 positions. A posting list is dealt to one task, which tallies the equal
+least one lies inside any 4 positions. Beyond ``SHORT_KEYS`` fingerprints it holds all 70 sets of 4 positions,
+so that the lists of unlike texts stay short as the corpus grows; no link is lost either way. A posting list is dealt to one task, which tallies the equal
 bytes of each pair in it, retains pairs with 4 or more, verifies the differing bits, and passes on a
 spanning forest of the links (never the pairs). Posting lists over ``BLOCK`` entries are cut into
 blocks, and every pair of blocks becomes a list of its own, so no task holds an unbounded list and no
@@ -12,7 +13,8 @@ pair is lost. Connected components of the forests give the groups.
 ``drop_near_duplicates`` looks for a shingle similarity (shared over all distinct shingles) of 0.8 or more
 instead of a few bits. It takes five-word shingles, without repeats, and fingerprints of four 64-bit words;
 at similarity 0.8 about 39 of 256 bits differ (deviation 6). The index then holds pairs of positions: the 32
-positions form ``CLASSES`` classes and every pair inside a class is a key. Texts that share a list are tallied:
+positions form ``CLASSES`` classes and every pair inside a class is a key (beyond ``SHORT_WIDE_KEYS`` fingerprints
+the 64 triples of ``SPARSE`` are, so that lists do not grow with the corpus). Texts that share a list are tallied:
 ``WIDE_SHARED`` equal bytes and at most ``WIDE_BITS`` differing bits make them candidates (at 0.8 there are 8.6
 equal bytes in the mean; two unlike texts have one or two). Candidates form coarse groups; the distinct texts of a
 coarse group then meet in one task (or, beyond ``BLOCK_BYTES`` of text or ``BLOCK_TEXTS`` texts, in one task per
@@ -73,7 +75,12 @@ def _pairs() -> list[tuple[int, int]]:
 
 
 TRIPLES = _triples()
+FOURS = list(combinations(range(8), 4))
 PAIRS = _pairs()
+#: Of 32 positions, each with others at two pairs of distances.
+SPARSE = [tuple(sorted((p + d) % 32 for d in (0, *step))) for step in ((1, 9), (5, 18)) for p in range(32)]
+#: Distinct fingerprints up to which the shorter keys are taken: a list of unlike ones then has 16 entries in the mean.
+SHORT_KEYS, SHORT_WIDE_KEYS = 1 << 28, 1 << 20
 WIDE = 4
 WIDE_BITS = 60
 WIDE_SHARED = 4
@@ -242,15 +249,18 @@ def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.nd
 
 
 def links(fps: DataFrame, width: int = 1, bits: int = BITS, keys: list[tuple[int, ...]] | None = None) -> DataFrame:
-    """(fp0, .., rep) of distinct fingerprints -> (a, b) edges between representatives that span all links
-    of pairs that share a list; one 64-bit word at up to 4 bits by default, then no link is lost."""
-    keys, names = keys or TRIPLES, [f"fp{k}" for k in range(width)]
+    """(fp0, .., rep) of distinct fingerprints, a stored table -> (a, b) edges between representatives that span all
+    links of pairs that share a list; one 64-bit word at up to 4 bits by default, then no link is lost."""
+    names = [f"fp{k}" for k in range(width)]
+    if keys is None:
+        many = fps.count()
+        keys = (TRIPLES if many <= SHORT_KEYS else FOURS) if width == 1 else (PAIRS if many <= SHORT_WIDE_KEYS else SPARSE)
     shared = WIDE_SHARED if width > 1 else 8 - bits
     rows = fps.filter("rep is not null").select("rep", *names)
     byte = [F.shiftrightunsigned(f"fp{p // 8}", 8 * (p % 8)).bitwiseAND(F.lit(255)) for p in range(8 * width)]
 
     def key(n: int, places: tuple[int, ...]):
-        found = F.lit(n << 24).cast("long")
+        found = F.lit(n << 8 * len(places)).cast("long")
         for k, p in enumerate(places):
             found = found.bitwiseOR(F.shiftleft(byte[p], 8 * k))
         return found
@@ -506,7 +516,7 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
         rows = written(profiles(df, id_col, text_col, WIDE_SHINGLE))
         fps = rows.select("id", *names)
         distinct = distinct_of(fps, WIDE)
-        coarse = components(links(distinct, WIDE, WIDE_BITS, PAIRS))
+        coarse = components(links(distinct, WIDE, WIDE_BITS))
         found = components(verified(df, distinct, coarse, id_col, text_col))
         first = written(grouped(fps, distinct, found).filter("id is not null").select("id", "component"))
         found = components(first.toDF("a", "b").union(missed(df, rows, first, id_col, text_col)))

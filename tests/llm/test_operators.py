@@ -201,6 +201,7 @@ def brute_components(nodes, linked):
 def test_turan_triples():
     from itertools import combinations
 
+    assert len(simhash.FOURS) == 70 and len(set(simhash.SPARSE)) == 64 and all(len(set(t)) == 3 for t in simhash.SPARSE)
     assert len(simhash.TRIPLES) == 20 and all(any(set(t) <= set(q) for t in simhash.TRIPLES) for q in combinations(range(8), 4))
 
 
@@ -213,8 +214,10 @@ def test_simhash(spark, docs):
     assert {r["doc_id"]: r["component_id"] for r in rows} == brute_components(ids, pairs)
 
 
-def test_simhash_links_across_blocks_of_long_lists(spark, monkeypatch):
+@pytest.mark.parametrize("short", [simhash.SHORT_KEYS, 10])
+def test_simhash_links_across_blocks_of_long_lists(spark, monkeypatch, short):
     monkeypatch.setattr(simhash, "BLOCK", 40)
+    monkeypatch.setattr(simhash, "SHORT_KEYS", short)
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 62, 6).astype(np.int64)
     fps = sorted({int(b ^ np.bitwise_or.reduce(np.left_shift(np.int64(1), rng.choice(62, int(rng.integers(0, 6)), replace=False)), initial=np.int64(0))) for b in base for _ in range(120)})
@@ -252,8 +255,10 @@ def test_near_copies_go_and_clean_texts_stay(spark):
     assert len(got - {k for k, _ in rows}) <= 0.03 * len(copies)
 
 
-def test_no_link_at_the_least_similarity_is_lost(spark):
+@pytest.mark.parametrize("short", [simhash.SHORT_WIDE_KEYS, 10])
+def test_no_link_at_the_least_similarity_is_lost(spark, monkeypatch, short):
     """Pairs at 0.8 or little more, short and long: the groups are those of all pairs by shingle sets."""
+    monkeypatch.setattr(simhash, "SHORT_WIDE_KEYS", short)
     rng = np.random.default_rng(11)
     words, rows = np.array([f"w{k}" for k in range(4000)]), []
     for n in range(400):
