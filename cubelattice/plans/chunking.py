@@ -56,6 +56,25 @@ def select(dimensions: list[Dimension], years: tuple[int, int] | None = None, to
     return out
 
 
+def select_first(dimensions: list[Dimension], years: tuple[int, int] | None = None, territories: bool = False, county: int | None = None) -> list[list[Option]]:
+    """Options per dimension of a simple request: years in range (labels without a year stay), the first option of
+    every other dimension. With ``territories`` all territorial options are taken; with ``county`` that county
+    alone, and of localities (options with a parent among the territories) its own."""
+    counties = {o.ident for d in dimensions if d.kind == "TERRITORIAL" for o in d.options}
+    out = []
+    for d in dimensions:
+        options = d.options
+        if d.kind == "TEMPORAL":
+            options = [o for o in options if years is None or (y := first_year(o.label)) is None or years[0] <= y <= years[1]]
+        elif d.kind != "TERRITORIAL" or not (territories or county is not None):
+            options = options[:1]
+        elif county is not None:
+            local = any(o.parent in counties for o in options)
+            options = [o for o in options if (o.parent == county if local else o.ident == county)]
+        out.append(options)
+    return out
+
+
 def select_whole(dimensions: list[Dimension], years: tuple[int, int], totals: bool = False) -> list[list[Option]]:
     """Options per dimension of one request for a whole matrix: years in range (labels without a year go; the first
     option where none is left), the one total of a classification (its first option where none is called so)."""

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
+# Open states, seconds of a lease, tries, and words of errors that no retry mends.
 ACTIVE = ("PENDING", "PLANNING", "RUNNING")
 LEASE = 300.0
 RETRIES = 3

@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+# Seconds between requests, and tries.
 INTERVAL = 0.75
 RETRIES = 3
 

@@ -58,6 +58,11 @@ def test_whole_matrix_selection_names_and_pairs():
     ids = lambda found: [[o.ident for o in axis] for axis in found]
     assert ids(c.select_whole([times, kinds, plain], (1991, 1992), True)) == [[1, 2], [21], [30]]
     assert ids(c.select_whole([times, kinds, plain], (2050, 2051))) == [[0], [20, 21, 22], [30, 31]]
+    counties = c.Dimension("TERRITORIAL", [c.Option(50, "Alba"), c.Option(51, "Arad")])
+    places = c.Dimension("TERRITORIAL", [c.Option(60, "a", 50), c.Option(61, "b", 51), c.Option(62, "c", 51)])
+    assert ids(c.select_first([times, kinds, counties], (1991, 1991))) == [[1, 9], [20], [50]]
+    assert ids(c.select_first([kinds, counties], territories=True)) == [[20], [50, 51]]
+    assert ids(c.select_first([times, counties, places], (1994, 1999), county=51)) == [[4, 9], [51], [61, 62]]
     assert c.display_name("national") == "NAT-ALL-national" and c.display_name("county", None, (2000, 2004)) == "COUNTIES-2000-2004-county"
     assert c.display_name("uat", "CJ", (2020, 2020)) == "CJ-2020-uat" and c.display_name("uat") == "NAT-ALL-uat"
     counties = [c.Option(n, f"county {n}") for n in range(3)]

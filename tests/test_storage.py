@@ -56,6 +56,13 @@ def test_upsert_counts_and_leaves_other_matrices_alone(spark, stored, tmp_path):
     assert again["insert"] == again["update"] == 0
 
 
+def test_lines_are_parsed_with_and_without_header(spark):
+    rows = [(1, 1, 0, "Ani, Valoare"), (1, 1, 1, "  "), (1, 1, 2, " Anul 2020 , 5 "), (1, 2, 0, "Ani, Valoare"), (1, 2, 1, "")]
+    lines = spark.createDataFrame(rows, "matrix_id int, response int, line_no int, line string")
+    assert [r["cells"] for r in ingest.parse_lines(lines).collect()] == [["Anul 2020", "5"]]
+    assert sorted(r["cells"] for r in ingest.parse_lines(lines, keep_header=True, trim=False).collect()) == [[" Anul 2020 ", "5 "], ["Ani", "Valoare"], ["Ani", "Valoare"]]
+
+
 def test_stream_ingests_landed_lines(spark, stored, tmp_path):
     kept = Warehouse.read(spark, stored)
     path, landed = str(tmp_path / "facts"), str(tmp_path / "landing")
