@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 #: Folders of the intermediate tables that this process has written and not removed yet.
 _TABLES: list[str] = []
 
@@ -45,23 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def _tidy(df: DataFrame) -> DataFrame:
-    """The same rows; the shuffle files of a job over them go when it ends, not at some later collection on the
-    driver. Spark takes the setting when a frame is made, so frames of the caller keep theirs."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, "false")
-    conf.set(CLEANUP, "true")
-    try:
-        return df.select("*")
-    finally:
-        conf.set(CLEANUP, before)
-
-
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder. It stays until ``intermediate`` or ``release``
-    removes it; the shuffles that made it are removed at once."""
+    removes it."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    _tidy(df).write.parquet(path)
+    df.write.parquet(path)
     _TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
