@@ -43,12 +43,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a Parquet table in the shared folder. It stays until ``intermediate`` or ``release``
-    removes it."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _TABLES.append(path)
+def new_folder(spark: SparkSession, kind: str = "tables") -> str:
+    """A path in the shared folder, to be removed with the intermediate tables."""
+    _TABLES.append(f"{shared_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}")
+    return _TABLES[-1]
+
+
+def written(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder, with a folder per value of ``by``. It stays until
+    ``intermediate``, ``supersede`` or ``release`` removes it."""
+    path = new_folder(df.sparkSession)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -62,6 +67,11 @@ def release(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) ->
     _TABLES[since:] = [p for p in _TABLES[since:] if p in keep]
 
 
+def supersede(spark: SparkSession) -> None:
+    """Remove the table written before the last one, which takes its place."""
+    release(spark, len(_TABLES) - 2, (_TABLES[-1],))
+
+
 @contextmanager
 def intermediate(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A scope for tables that only its inside needs. It gives a function that writes a frame to a table which

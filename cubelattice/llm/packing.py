@@ -11,7 +11,8 @@ dealing costs a fraction of a sequence each.
 
 The ids are those of the ``tokenizers`` file; they are computed by the ``tiktoken`` library over the same
 ranks, which gives the same ids several times faster (tests compare both), where the file's ids follow
-its merge order, else by ``tokenizers`` itself. Null and empty texts have the end id alone. Rows that
+its merge order (a text with about a million blanks in a row, which its splitter cannot read, goes through operator 9's automaton),
+else by ``tokenizers`` itself. Null and empty texts have the end id alone. Rows that
 repeat an identifier are packed separately. A text's ids must fit in memory, however long it is. An empty table
 gives an empty result; other columns, whatever their names, take no part.
 """
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.bpe import SPLIT, byte_letters
+from cubelattice.llm.bpe import SPLIT, automaton, byte_letters
 from cubelattice.llm.common import table, written
 
 SIZE = 1024
@@ -55,7 +56,14 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     special = {x["content"]: x["id"] for x in spec["added_tokens"]}
     ranks = {bytes(letters[c] for c in w): n for w, n in vocab.items() if w not in special}
     fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: fast.encode(text, allowed_special="all")
+
+    def encode(text: str) -> list[int]:
+        try:
+            return fast.encode(text, allowed_special="all")
+        except ValueError:  # a run of white space on which the library's splitter runs out of stack
+            return automaton(path).encode(text)
+
+    return encode
 
 
 def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end: int = END) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cubelattice.llm import bpe, embedding, exact_dedup, language, licenses, lines, packing, scoring, sharding, simhash
+from cubelattice.llm import bpe, clustering, embedding, exact_dedup, language, licenses, lines, packing, prefix_trie, scoring, sharding, simhash, token_files
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +15,17 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_bpe": bpe.op9_bpe,
     "op10_language": language.op10_language,
+    "op11_token_files": token_files.op11_token_files,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_clusters": clustering.op13_clusters,
 }
 
-ORACLES = {"op1_exact_dedup": exact_dedup.ORACLE, "op4_sharding": sharding.ORACLE, "op7_lines": lines.ORACLE, "op8_licenses": licenses.ORACLE}
+ORACLES = {
+    "op1_exact_dedup": exact_dedup.ORACLE,
+    "op4_sharding": sharding.ORACLE,
+    "op7_lines": lines.ORACLE,
+    "op8_licenses": licenses.ORACLE,
+    "op11_token_files": token_files.op11_token_files,
+    "op12_prefix_trie": prefix_trie.ORACLE,
+    "op13_clusters": clustering.ORACLE,
+}

@@ -102,8 +102,8 @@ def op4_sharding(spark, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
-def _oracle(shards: int = SHARDS) -> str:
-    """Jumps as a recursive query over 128-bit numbers; checksums by folding a text's bytes, four bits a step."""
+def crc32_sql(body: str) -> str:
+    """The CRC-32 of hexadecimal bytes in DuckDB, by folding four bits a step."""
     steps = [0]
     for n in range(1, 16):  # the checksum's table of half bytes, by its rule
         x = n
@@ -111,12 +111,17 @@ def _oracle(shards: int = SHARDS) -> str:
             x = x >> 1 ^ (0xEDB88320 if x & 1 else 0)
         steps.append(x)
     half = lambda x, b: f"xor({x} >> 4, list_extract({steps}, (xor({x}, {b}) & 15) + 1))"
+    return f"""xor(list_reduce([4294967295] || list_transform(regexp_extract_all({body}, '..'), lambda b: ('0x' || b)::BIGINT),
+         lambda x, b: {half(half("x", "b"), "(b >> 4)")}), 4294967295)"""
+
+
+def _oracle(shards: int = SHARDS) -> str:
+    """Jumps as a recursive query over 128-bit numbers."""
     return f"""
 WITH RECURSIVE docs AS (
   SELECT row_number() OVER () AS r, doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS body FROM documents
 ), sums AS (
-  SELECT r, doc_id, size, xor(list_reduce([4294967295] || list_transform(regexp_extract_all(body, '..'), lambda b: ('0x' || b)::BIGINT),
-         lambda x, b: {half(half("x", "b"), "(b >> 4)")}), 4294967295) AS crc
+  SELECT r, doc_id, size, {crc32_sql("body")} AS crc
   FROM docs
 ), jumps AS (
   SELECT r, (coalesce(doc_id, -1)::HUGEINT + 18446744073709551616) % 18446744073709551616 AS state, 0::BIGINT AS at, 0::BIGINT AS "to" FROM docs
