@@ -39,8 +39,13 @@ TASKS = 4096
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
 
-@lru_cache(4)
 def encoder(path: str) -> Callable[[str], list[int]]:
+    return encoders(path)[0]
+
+
+@lru_cache(4)
+def encoders(path: str) -> tuple[Callable[[str], list[int]], Callable[[str], np.ndarray]]:
+    """Functions that give a text's ids as a list and as an array."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     letters, vocab = byte_letters(), spec["model"]["vocab"]
@@ -50,7 +55,7 @@ def encoder(path: str) -> Callable[[str], list[int]]:
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path)
-        return lambda text: whole.encode(text, add_special_tokens=False).ids
+        return lambda text: whole.encode(text, add_special_tokens=False).ids, lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, np.uint32)
     import tiktoken
 
     special = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -63,7 +68,13 @@ def encoder(path: str) -> Callable[[str], list[int]]:
         except ValueError:  # a run of white space on which the library's splitter runs out of stack
             return automaton(path).encode(text)
 
-    return encode
+    def encode_array(text: str) -> np.ndarray:
+        try:
+            return fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            return np.array(automaton(path).encode(text), np.uint32)
+
+    return encode, encode_array
 
 
 def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end: int = END) -> DataFrame:

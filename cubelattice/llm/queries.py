@@ -25,7 +25,6 @@ ORACLES = {
     "op4_sharding": sharding.ORACLE,
     "op7_lines": lines.ORACLE,
     "op8_licenses": licenses.ORACLE,
-    "op11_token_files": token_files.op11_token_files,
     "op12_prefix_trie": prefix_trie.ORACLE,
     "op13_clusters": clustering.ORACLE,
 }

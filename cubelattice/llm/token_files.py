@@ -20,7 +20,7 @@ shards as rows of one Parquet table (compressed by Zstandard), with identifiers,
 any store. Readers decode one shard at a time; a place counts from the start of the corpus, the sum of the shards
 before.
 
-Ids come from ``packing.encoder``. Null and empty texts have the end id alone. Repeated rows are documents of their
+Ids come from ``packing.encoders``. Null and empty texts have the end id alone. Repeated rows are documents of their
 own. A text's ids must fit in memory, however long it is; it is never cut among shards. Empty tables give empty files
 and results; other columns, whatever their names, take no part.
 """
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cubelattice.llm.common import new_folder, quoted, table
-from cubelattice.llm.packing import encoder
+from cubelattice.llm.packing import encoders
 
 MAGIC = b"WMX1"
 SHARD = 1 << 20
@@ -55,9 +55,11 @@ class WaveletMatrix:
     @classmethod
     def of(cls, ids: np.ndarray, lengths: np.ndarray) -> WaveletMatrix:
         planes = []
-        ids = ids.astype(np.uint32)
-        for bit in range(max(1, int(ids.max(initial=0)).bit_length()) - 1, -1, -1):
-            one = (ids >> np.uint32(bit) & np.uint32(1)).astype(bool)
+        bits = max(1, int(ids.max(initial=0)).bit_length())
+        kind = np.uint16 if bits <= 16 else np.uint32
+        ids = ids.astype(kind)
+        for bit in range(bits - 1, -1, -1):
+            one = (ids & kind(1 << bit)) != 0
             packed = np.packbits(one, bitorder="little")
             packed = np.concatenate([packed, np.zeros(-len(packed) % WORDS, np.uint8)])
             inside = np.bitwise_count(packed.reshape(-1, WORDS)).sum(1, dtype=np.uint32)
@@ -161,20 +163,21 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids, from the lowest plane up."""
-        out = np.zeros(self.size, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.size, kind)
         for bit, (zeros, _, packed) in enumerate(reversed(self.planes)):
-            one = np.unpackbits(packed, count=self.size, bitorder="little").astype(bool)
-            above = np.empty(self.size, np.uint32)
-            above[~one], above[one] = out[:zeros], out[zeros:] | np.uint32(1 << bit)
+            one = np.unpackbits(packed, count=self.size, bitorder="little").view(bool)
+            above = np.empty(self.size, kind)
+            above[~one], above[one] = out[:zeros], out[zeros:] | kind(1 << bit)
             out = above
-        return out
+        return out.astype(np.uint32)
 
 
 def write_token_files(df: DataFrame, path: str, vocab: str, id_col: str = "doc_id", text_col: str = "text", end: int = END, shard: int = SHARD, part: int = PART) -> None:
     """Encode the texts of all rows and write the shards to a folder; tasks take texts of about ``part`` bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocab)
+        encode, last = encoders(vocab)[1], np.array([end], np.uint32)
         idents, ids, held, file = [], [], 0, 0
 
         def out(at: int) -> pa.RecordBatch:
@@ -185,7 +188,7 @@ def write_token_files(df: DataFrame, path: str, vocab: str, id_col: str = "doc_i
         for batch in batches:
             for ident, text, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):  # noqa: B007
                 idents.append(ident)
-                ids.append(np.array([*encode(text.as_py() or ""), end], np.uint32))
+                ids.append(np.concatenate([encode(text.as_py() or ""), last]))
                 held += len(ids[-1])
                 if held >= shard:
                     yield out(at)
