@@ -13,7 +13,9 @@ training texts: in each of ``ROUNDS`` rounds every task takes its rows of that r
 batches, with noise classes drawn from the unigram distribution, and the tasks' parameters (with their sums of
 squared gradients, which set the step sizes) are averaged by tokens (the sums are taken on executors, so the driver reads one set of parameters). A task with few texts
 repeats them until it has taken ``LEAST_STEPS`` steps. Scoring normalises exactly: per batch of texts, the new
-contexts are multiplied with all targets, and the log of the summed exponentials is kept per context.
+contexts are multiplied with all targets, and the log of the summed exponentials is kept per context. These products
+always have ``LOOK`` rows (the last ones are filled up), so a context's sum does not depend on which others it meets; all
+other sums of a text are its own, in double precision, or of whole numbers (10^-12), so neither does its score.
 
 Bounds: the exact counts of the ``known`` most frequent tokens travel with the tasks (a token over 64 bytes is
 told by its SHA-512, so they are at most 65,536 x 65 bytes) with some 1.4 MB of parameters; all other tokens
@@ -56,6 +58,7 @@ LEAST_STEPS = 240
 RATE = 0.1
 FLUSH = 500_000
 SLICE = 1024
+LOOK = 256
 END = b""  # no token is empty
 
 
@@ -233,7 +236,8 @@ class Model:
     # scoring
 
     def ready(self) -> tuple:
-        """Context vectors through the matrix of each place, targets, and the log of each context's sum (none yet)."""
+        """Context vectors through the matrix of each place, targets by column, biases, the log of each context's sum
+        (none yet), and targets by row."""
         if self._ready is None:
             p = self.parameters
             self._ready = (
@@ -241,12 +245,13 @@ class Model:
                 np.ascontiguousarray(p["target"].T.astype(np.float32)),
                 p["bias"].astype(np.float32),
                 np.full((self.classes + 1) ** BEFORE, np.nan, np.float32),
+                p["target"].astype(np.float32),
             )
         return self._ready
 
     def log10(self, kinds: list[np.ndarray]) -> np.ndarray:
         """Of each text: the sum of log10 P(class | classes before)."""
-        through, target, bias, norm = self.ready()
+        through, target, bias, norm, wanted = self.ready()
         a, place = _padded(kinds, self.classes)
         out = np.empty(len(place))
         for at in range(0, len(place), 1 << 16):
@@ -256,9 +261,9 @@ class Model:
             for c in before:
                 context = context * (self.classes + 1) + c
             fresh = np.unique(context[np.isnan(norm[context])])
-            for n in range(0, len(fresh), 256):
-                part = fresh[n : n + 256]
-                vectors, rest = np.zeros((len(part), WIDTH), np.float32), part
+            for n in range(0, len(fresh), LOOK):
+                part = fresh[n : n + LOOK]
+                vectors, rest = np.zeros((LOOK, WIDTH), np.float32), np.resize(part, LOOK)
                 for m in reversed(through):
                     vectors += m[rest % (self.classes + 1)]
                     rest = rest // (self.classes + 1)
@@ -266,11 +271,13 @@ class Model:
                 scores += bias
                 most = scores.max(1, keepdims=True)
                 scores -= most
-                norm[part] = np.log(np.exp(scores, out=scores).sum(1)) + most[:, 0]
+                norm[part] = (np.log(np.exp(scores, out=scores).sum(1)) + most[:, 0])[: len(part)]
             vectors = sum(m[c] for m, c in zip(through, before, strict=True))
-            out[at : at + len(own)] = np.einsum("nd,nd->n", vectors, target.T[a[own]]) + bias[a[own]] - norm[context]
+            vectors *= wanted[a[own]]
+            out[at : at + len(own)] = vectors.sum(1) + bias[a[own]].astype(np.float64) - norm[context]
         sizes = np.fromiter(map(len, kinds), np.int64, len(kinds))
-        return np.add.reduceat(out, np.cumsum(sizes) - sizes) / np.log(10) if len(kinds) else np.empty(0)
+        ends = np.cumsum(sizes).tolist()
+        return np.array([out[b - n : b].sum() for b, n in zip(ends, sizes.tolist(), strict=True)]) / np.log(10)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -395,7 +402,9 @@ def score(df: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id"
     local = texts.mapInArrow(run, "id long, n long, k long, logs double, own double, rare array<binary>")
     local = written(local.withColumn("row", F.monotonically_increasing_id()))
     met = local.select("row", F.explode("rare").alias("token")).join(counts, "token")
-    sums = met.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("more"), F.count("*").alias("met"))
+    # in whole steps, so the sum does not depend on the order in which tokens arrive
+    steps = F.sum(F.log10(F.col("c") + 1.0).cast("decimal(20,12)"))
+    sums = met.groupBy("row").agg(steps.cast("double").alias("more"), F.count("*").alias("met"))
     joined = local.drop("rare").join(sums, "row", "left").withColumns({"more": F.coalesce("more", F.lit(0.0)), "met": F.coalesce("met", F.lit(0))})
     base = float(np.log10(model.total + model.distinct + 1.0))
     return joined.select(
