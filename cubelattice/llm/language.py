@@ -5,15 +5,18 @@ present in both (a blended spectrum of presences), over the n-grams of the landm
 come from ``landmarks`` texts per language; one-versus-rest kernel ridge regression on a bounded sample
 of ``sample`` labelled texts per language gives one weight vector per language. A batch of texts becomes
 a 0/1 matrix, then kernel values with every landmark, then one decision value per language: two matrix
-products. Whole texts are read, in blocks.
-
-The sample is taken by a hash of identifier and text, with a rate per language from counts over all training
-rows, each different row once; the driver reads at most 4 x ``SAMPLE`` rows per language, of at most ``LANGS``
-languages (the most frequent ones; all rows are still scored), and the first ``SAMPLE_CHARS`` characters of a
-sampled text. The model (landmark n-grams and weights, some hundred kilobytes) travels with the tasks.
-
-A null text or one without a letter is ``und`` with score 0, and so is every text if no training row has
-a language and a letter. The score is the softmax share of the best decision value. Ties go to the
+products. The first one counts, so its results are whole numbers, and the second one always has ``ROWS`` rows (the last
+ones are filled up), so a text's result does not depend on the texts beside it. Whole texts are read, in blocks.
+
+All languages are learned. The sample is taken by a hash of identifier and text, with a rate per language from counts
+over all training rows, each different row once, and cut at ``SAMPLE`` rows and an even share of ``SAMPLE_BYTES`` bytes
+per language; beyond ``LANDMARKS_ALL`` / ``LANDMARKS`` languages each has fewer landmarks, but one at least. Sampled
+texts are whole ones of at most ``LONGEST`` bytes; of a language that has none, its shortest text is taken. So the driver
+reads at most ``SAMPLE_BYTES`` and one text per language. The model (landmark n-grams, presences and weights) travels with
+the tasks: a megabyte for four languages, and in proportion to landmarks times their different n-grams beyond.
+
+A null text or one without a letter (Unicode category L) is ``und`` with score 0, and so is every text if no training
+row has a language and a letter. The score is the softmax share of the best decision value. Ties go to the
 language that sorts first. Texts are predicted from all their bytes, in blocks, however long. Empty tables give
 empty results; repeated rows, and rows with null or repeated identifiers, get equal results for equal texts; the
 columns lang, source and doc_id are read for training only, and other columns, whatever their names, take no part.
@@ -21,26 +24,29 @@ columns lang, source and doc_id are read for training only, and other columns, w
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import quoted, table
+from cubelattice.llm.common import quoted, table, written
 
 ORDERS = (1, 2, 3)
 LANDMARKS = 24
+LANDMARKS_ALL = 480
 SAMPLE = 160
-SAMPLE_CHARS = 1 << 16
-LANGS = 1000
+SAMPLE_BYTES = 32 << 20
+LONGEST = 1 << 16
+#: Languages up to which their counts are broadcast to the rows.
+LANGS_SENT = 100_000
 RIDGE = 1e-2
 SHARPNESS = 6.0
 BLOCK = 1 << 20
 ROWS = 128
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 #: A stage that filters by language rejects a text of which no language has this share.
 SHARE = 0.5
@@ -65,14 +71,15 @@ class StringKernel:
         self.codes = [np.unique(np.concatenate([grams(b, n) for b in bodies])) for n in ORDERS]
         self.starts = np.cumsum([0, *map(len, self.codes)])
         self.lookup: list[np.ndarray] | None = None
-        self.landmark = self.normalised(self.presence(landmarks))
+        self.present = np.packbits(np.concatenate([self.presence(landmarks[at : at + ROWS]).astype(bool) for at in range(0, len(landmarks), ROWS)]), axis=1)
+        self.landmark: np.ndarray | None = None
 
     @staticmethod
     def body(text: str) -> np.ndarray:
         return np.frombuffer(text.lower().encode(), np.uint8)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"lookup": None}
+        return self.__dict__ | {"lookup": None, "landmark": None}
 
     def presence(self, texts: list[str]) -> np.ndarray:
         if self.lookup is None:
@@ -90,16 +97,25 @@ class StringKernel:
                     row[places[grams(part, n)]] = 1
         return seen[:, :-1]
 
-    def normalised(self, seen: np.ndarray) -> np.ndarray:
-        out = np.empty_like(seen)
+    def _compared(self, seen: np.ndarray) -> np.ndarray:
+        """Presence vectors x landmarks. Counts of shared n-grams are whole numbers that single precision holds."""
+        if self.landmark is None:
+            self.landmark = np.unpackbits(self.present, axis=1, count=int(self.starts[-1])).astype(np.float32)
+        out = np.zeros((len(seen), len(self.landmark)))
         for a, b in zip(self.starts, self.starts[1:], strict=False):
-            part = seen[:, a:b]
-            out[:, a:b] = part / np.sqrt(np.maximum(part.sum(1, keepdims=True), 1) * len(ORDERS))
+            mine, other = seen[:, a:b], self.landmark[:, a:b]
+            sizes = np.maximum(mine.sum(1, dtype=np.float64), 1)[:, None] * np.maximum(other.sum(1, dtype=np.float64), 1)[None, :]
+            out += (mine @ other.T) / np.sqrt(sizes) / len(ORDERS)
         return out
 
     def values(self, texts: list[str]) -> np.ndarray:
         """texts x landmarks."""
-        return self.normalised(self.presence(texts)) @ self.landmark.T
+        return self._compared(self.presence(texts))
+
+    def gram(self) -> np.ndarray:
+        """landmarks x landmarks."""
+        own = self.starts[-1]
+        return np.concatenate([self._compared(np.unpackbits(self.present[at : at + ROWS], axis=1, count=int(own)).astype(np.float32)) for at in range(0, len(self.present), ROWS)])
 
 
 class Classifier:
@@ -107,28 +123,34 @@ class Classifier:
 
     def __init__(self, texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE):
         self.langs = sorted(set(langs))
-        chosen = [x for lang in self.langs for x in [t for t, of in zip(texts, langs, strict=True) if of == lang][:landmarks]]
+        each = max(1, min(landmarks, LANDMARKS_ALL // max(1, len(self.langs))))
+        taken: dict[str, list[str]] = {}
+        for t, of in zip(texts, langs, strict=True):
+            if len(taken.setdefault(of, [])) < each:
+                taken[of].append(t)
+        chosen = [x for lang in self.langs for x in taken[lang]]
         if not chosen:
             return
         self.kernel = StringKernel(chosen)
-        gram = self.kernel.landmark @ self.kernel.landmark.T
-        values, vectors = np.linalg.eigh(gram.astype(np.float64))
+        values, vectors = np.linalg.eigh(self.kernel.gram())
         good = values > 1e-6 * values.max()
         whiten = vectors[:, good] / np.sqrt(values[good])
-        x = np.concatenate([self.kernel.values(texts[at : at + ROWS]) for at in range(0, len(texts), ROWS)]).astype(np.float64) @ whiten
+        x = np.concatenate([self.kernel.values(texts[at : at + ROWS]) for at in range(0, len(texts), ROWS)]) @ whiten
         y = np.where(np.array(langs)[:, None] == np.array(self.langs)[None, :], 1.0, -1.0)
         # rows of a language weigh the same in sum, whatever its share of the sample
         share = 1 / np.sqrt((y > 0).sum(0))[(y > 0).argmax(1)][:, None]
         x1 = np.c_[x, np.ones(len(x))] * share
         weights = np.linalg.solve(x1.T @ x1 + ridge * np.eye(x1.shape[1]), x1.T @ (y * share))
-        self.weights, self.bias = (whiten @ weights[:-1]).astype(np.float32), weights[-1]
+        self.weights, self.bias = whiten @ weights[:-1], weights[-1]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         out, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
         rows = [n for n, x in enumerate(texts) if x and LETTER.search(x)] if self.langs else []
         for at in range(0, len(rows), ROWS):
             part = rows[at : at + ROWS]
-            decision = self.kernel.values([texts[n] for n in part]) @ self.weights + self.bias
+            values = np.zeros((ROWS, len(self.weights)))
+            values[: len(part)] = self.kernel.values([texts[n] for n in part])
+            decision = (values @ self.weights + self.bias)[: len(part)]
             share = np.exp(SHARPNESS * (decision - decision.max(1, keepdims=True)))
             best = decision.argmax(1)
             for n, k, s in zip(part, best.tolist(), (1 / share.sum(1)).tolist(), strict=True):
@@ -144,26 +166,26 @@ class Unlearned:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Classifier:
-    """Learn from rows with a text and a language."""
-    lang, text = quoted(lang_col), quoted(text_col).cast("string")
-    rows = labelled.select(quoted(id_col).alias("id"), text.alias("text"), lang.alias("lang")).filter("lang is not null and text is not null")
-    counts = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGS).collect())
-    if not counts:
+    """Learn from rows with a text that has a letter and a language."""
+    lang, text = quoted(lang_col).cast("string"), quoted(text_col).cast("string")
+    rows = labelled.select(quoted(id_col).cast("string").alias("id"), text.alias("text"), lang.alias("lang")).filter("lang is not null and text is not null").filter(F.col("text").rlike(r"\p{L}"))
+    rows = rows.withColumn("size", F.octet_length("text"))
+    fits = F.col("size") <= LONGEST
+    # a row per language: how many of its rows fit, and the shortest text of a language where none does
+    known = written(rows.groupBy("lang").agg(F.count_if(fits).alias("n"), F.min("size").alias("least")))
+    many = known.count()
+    if not many:
         return Classifier([], [])
-    rows = rows.withColumn("at", F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)))
-    limit: Column = F.lit(0)
-    for name, n in counts.items():
-        limit = F.when(F.col("lang") == name, int(min(1.0, 2 * sample / n) * (1 << 30))).otherwise(limit)
-    drawn = rows.filter(F.col("at") < limit).select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "at").distinct()
-    found = drawn.orderBy("at", "lang", "text").limit(4 * sample * len(counts)).collect()
-    found = sorted({(r[0], r[1]): r for r in found}.values(), key=lambda r: (r[2], r[0], r[1]))
-    texts, langs, taken = [], [], dict.fromkeys(counts, 0)
-    for lang, text, _ in found:
-        if taken[lang] < sample and LETTER.search(text):
-            taken[lang] += 1
-            texts.append(text)
-            langs.append(lang)
-    return Classifier(texts, langs)
+    few = F.broadcast if many <= LANGS_SENT else (lambda df: df)
+    short = rows.filter(fits).join(few(known.select("lang", "n")), "lang")
+    at = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30))
+    drawn = short.withColumn("at", at).filter(F.col("at") < F.least(F.lit(1.0), 2 * sample / F.col("n")) * (1 << 30)).select("lang", "text", "size", "at").distinct()
+    own = Window.partitionBy("lang").orderBy("at", "text")
+    drawn = drawn.withColumns({"nth": F.row_number().over(own), "sum": F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+    taken = drawn.filter((F.col("nth") <= sample) & ((F.col("nth") == 1) | (F.col("sum") <= max(1, SAMPLE_BYTES // many)))).select("lang", "text", "at")
+    long = rows.filter(~fits).join(few(known.filter("n = 0").select("lang", "least")), "lang").filter("size = least").groupBy("lang").agg(F.min("text").alias("text"))
+    found = sorted(taken.union(long.select("lang", "text", F.lit(0).cast("long"))).collect(), key=lambda r: (r[2], r[0], r[1]))
+    return Classifier([r["text"] for r in found], [r["lang"] for r in found])
 
 
 def identify(df: DataFrame, model: Classifier | Unlearned, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -682,4 +682,4 @@ def test_sample_is_not_all_rows_without_identifier(spark, monkeypatch):
     monkeypatch.setattr(kind, "collect", lambda self, f=kind.collect: taken.append(f(self)) or taken[-1])
     many = spark.range(30_000).selectExpr("cast(null as long) as doc_id", "concat('text ', id, repeat('x', 100000 * int(id % 5000 = 0))) as text", "'en' as lang")
     language.fit(many, sample=30)
-    assert 30 <= len(taken[-1]) <= 120 and max(len(r["text"]) for r in taken[-1]) <= language.SAMPLE_CHARS
+    assert 30 <= len(taken[-1]) <= 120 and max(len(r["text"]) for r in taken[-1]) <= language.LONGEST
