@@ -5,8 +5,8 @@ moves into the new one. No ring table exists: the jumps are computed from the ke
 congruential generator, for a whole Arrow batch at once.
 
 Slots number each shard's rows from 0 in order of the key (then size, then checksum). Rows are range
-partitioned by key (then size, then checksum, so rows that repeat a key or have none can still be split);
-each task counts its own rows per shard in one pass, and the counts of earlier partitions are added.
+partitioned by key (then size, then checksum, then the row's number, so rows that repeat a key and text or have
+none can still be split); each task counts its own rows per shard in one pass, and the counts of earlier partitions are added.
 
 A null text has no bytes; a null key takes the jumps of the constant -1 and sorts first. Rows that
 repeat a key go to one shard and get a slot each. Texts, however long, are only measured: sizes and
@@ -72,7 +72,8 @@ def shard_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """Identifier, size, text_crc32, law, shard, slot and grown_shard (the shard with one shard more)."""
     body = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
     rows = df.select(F.col(id_col).cast("long").alias("id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("crc"))
-    rows = rows.repartitionByRange("id", "size", "crc").sortWithinPartitions("id", "size", "crc")
+    order = ["id", "size", "crc", "row"]
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).drop("row")
     rows = rows.select("*", F.spark_partition_id().alias("part"), jump_shard(F.col("id"), shards).alias("shard"), jump_shard(F.col("id"), shards + 1).alias("grown"))
     numbered = written(rows.mapInArrow(_number, "id long, size long, crc long, part int, shard int, grown int, place long"))
     counts = numbered.groupBy("shard", "part").count()
@@ -93,7 +94,8 @@ def shard_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
 
 def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", shards: int = SHARDS, folder: str = "shard") -> None:
     """Write the rows, all columns, as one Parquet folder per shard, named after ``folder``, which must be no column."""
-    if folder in df.columns:
+    cased = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    if any(c == folder or not cased and c.lower() == folder.lower() for c in df.columns):  # as Spark compares names
         raise ValueError(f"the rows have a column {folder}; name another folder")
     df.withColumn(folder, jump_shard(F.col(id_col), shards)).write.partitionBy(folder).parquet(path)
 
