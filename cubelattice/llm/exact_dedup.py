@@ -24,10 +24,10 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import lower_ascii, quoted, table, task_dir
+from cubelattice.llm.common import lower_ascii, quoted, table, task_dir, written
 
 FOLD_BYTES = 48 << 20
 TRIE_BYTES = 160 << 20
@@ -236,15 +236,22 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
-    """The input's rows that own their text, all columns; rows without identifier stay. Rows are told by identifier
-    and text, and of rows that repeat both one stays."""
-    lost = exact_duplicates(df, id_col, text_col, keep).filter(f"not kept and `{id_col}` is not null").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_text"))
+    """The input's rows that own their text, all columns; rows without identifier stay, and meet nowhere. Rows are told by
+    identifier and text, and of rows that repeat both one stays: the first one that each task has goes on, and of these
+    the first. Rows that repeat nothing are not aggregated."""
+    key = quoted(id_col)
+    found = written(exact_duplicates(df.filter(key.isNotNull()), id_col, text_col, keep).select(key.alias("_id"), F.col("text_sha256").alias("_text"), "kept"))
+    keys = ["_id", "_text"]
+    # one row of those that repeat identifier and text: aggregated before and after the shuffle
+    repeated = written(found.filter("kept").groupBy(*keys).count().filter("count > 1").select(*keys))
+    lost = found.filter("not kept").select(*keys).union(repeated).distinct()
     own = F.struct(*[quoted(c) for c in df.columns]).alias("_row")
-    rows = df.select(own, F.col(f"`{id_col}`").cast("long").alias("_id"), F.sha2(F.encode(lower_ascii(F.col(text_col)), "UTF-8"), 256).alias("_text"))
-    left = rows.join(lost.distinct().hint("merge"), ["_id", "_text"], "left_anti")
-    # the merge join has dealt the rows by these columns, so the window shuffles nothing
-    nth = F.row_number().over(Window.partitionBy("_id", "_text").orderBy(F.lit(0)))
-    return left.withColumn("_nth", nth).filter("_nth = 1 or _id is null").select("_row.*")
+    rows = df.select(own, key.cast("long").alias("_id"), F.sha2(F.encode(lower_ascii(F.col(text_col)), "UTF-8"), 256).alias("_text"))
+    left = rows.filter("_id is not null").join(lost.hint("merge"), keys, "left_anti").select("_row")
+    left = left.unionByName(rows.filter("_id is null").select("_row"))
+    if not repeated.isEmpty():
+        left = left.unionByName(rows.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.first("_row").alias("_row")).select("_row"))
+    return left.select("_row.*")
 
 
 def op1_exact_dedup(spark, sf_dir: str) -> DataFrame:
