@@ -24,7 +24,8 @@ this way loses, an exact one finds (``missed``): of n shingles in one order for
 share one among their first n - ceil(0.8 n) + 1. Texts of different groups that share such a shingle are compared
 by bounds that no pair at 0.8 breaks (sizes, place of the shingle, parities and counts of shingles per class), and
 what is left is verified like the others, without ``WIDE_BITS``. The order puts shingles that are frequent in a
-sample last; it decides the cost, never the result.
+sample last, and rows that meet in lists over ``LONG`` rows nevertheless get prefixes in the order of exact counts, so
+that a family of texts just below 0.8 breaks the bounds; orders decide the cost, never the result.
 
 Words are runs of anything but space and the ASCII controls 9-13; A-Z is lower-cased; shingles repeat.
 A text of fewer words than a shingle is one shingle; a text without words (null, empty, blank) has
@@ -93,6 +94,9 @@ BLOCK_TEXTS = 512
 SAMPLED = 16
 COMMON = 1 << 16
 COUNTS = 256
+#: Rows of a prefix shingle up to which its list is compared where the postings meet.
+LONG = 64
+POSTING = "key long, kind int, rep long, component long, other long, n int, pos int, parity long"
 #: Odd constants that turn one hash into further ones.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -409,11 +413,8 @@ def profiles(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (list, side, rep, component, n, pos, parity) sorted by list -> pairs of different components that may
-    be alike. The bounds hold at the first shingle that two prefixes share, so each alike pair passes there."""
-    few, many = SIMILAR
+    be alike."""
     for (lists, side, rep, component, n, pos, parity), _ in _whole_lists(batches):
-        n, pos, parity = n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64)
-        left_over = n - pos
         starts = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1]])
         ends = np.r_[starts[1:], len(lists)]
         # most shingles stand in one group only
@@ -430,19 +431,10 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left = own[side[s:e] <= 1]
             right = left if side[s] == 0 else own[side[s:e] == 2]
             for at in range(0, len(left), 128):
-                x, y = left[at : at + 128][:, None], right[None, :]
-                both = n[x] + n[y]
-                # shared >= few / (few + many) of both; so at most (many - few) / (few + many) of both differ
-                found = (component[x] != component[y]) & (np.minimum(n[x], n[y]) * many >= np.maximum(n[x], n[y]) * few)
-                found &= np.minimum(left_over[x], left_over[y]) * (few + many) >= both * few
-                found &= np.bitwise_count(parity[x] ^ parity[y]).astype(np.int64) * (few + many) <= both * (many - few)
-                if side[s] == 0:
-                    found &= x < y
-                i, j = found.nonzero()
-                if len(i):
-                    a, b = rep[x[i, 0]], rep[y[0, j]]
-                    out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-                    held += len(i)
+                pairs = _may_be_alike(left[at : at + 128], right[at:] if side[s] == 0 else right, side[s] == 0, rep, component, n, pos, parity)
+                if len(pairs):
+                    out.append(pairs)
+                    held += len(pairs)
                     if held > FOREST:
                         yield drain(out)
                         out, held = [], 0
@@ -460,22 +452,178 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([c.filter(pa.array(kept)) for c in batch.columns[:2]], names=["a", "b"])
 
 
-def candidates(rows: DataFrame, first: DataFrame) -> DataFrame:
+def _post(long_over: int):
+    """Rows (rep, component, n, parity, prefix) -> postings (key, kind, rep, component, other, n, pos, parity). A key
+    that over ``long_over`` rows of a batch have is posted once for all of them (kind 0, with the smallest and the largest
+    component in place of one), so a key that a third of all rows have sends few postings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prefix = batch.column(4)
+            sizes = prefix.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = prefix.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            rep, component, n, parity = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            keys, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
+            many = counts > long_over
+            own = np.flatnonzero(~many[inverse])
+            at = row[own]
+            lost = np.flatnonzero(many[inverse])
+            lost = lost[np.argsort(inverse[lost], kind="stable")]
+            starts = np.flatnonzero(np.r_[True, inverse[lost][1:] != inverse[lost][:-1]]) if len(lost) else np.empty(0, np.int64)
+            held = component[row[lost]]
+            low, high = (f.reduceat(held, starts) if len(starts) else held for f in (np.minimum, np.maximum))
+            none = np.zeros(len(starts), np.int64)
+            columns = [
+                (np.concatenate([flat[own], flat[lost[starts]]]), pa.int64()),
+                (np.concatenate([np.ones(len(own), np.int64), none]), pa.int32()),
+                (np.concatenate([rep[at], none]), pa.int64()),
+                (np.concatenate([component[at], low]), pa.int64()),
+                (np.concatenate([component[at], high]), pa.int64()),
+                (np.concatenate([n[at], none]), pa.int32()),
+                (np.concatenate([pos[own], none]), pa.int32()),
+                (np.concatenate([parity[at], none]), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64), k, safe=False) for c, k in columns], names=["key", "kind", "rep", "component", "other", "n", "pos", "parity"])
+
+    return run
+
+
+def _short_lists(long_over: int):
+    """Postings sorted by key -> (a, b, null) pairs of the lists of at most ``long_over`` rows, and (null, null, key) of
+    longer ones that hold rows of different components. No more than ``long_over`` rows of a list are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[np.ndarray] = []
+        long: list[int] = []
+        waiting: tuple[int, int, int] | None = None  # a long list so far: key, smallest and largest component
+        held: list[np.ndarray] | None = None
+
+        def drain() -> pa.RecordBatch:
+            pairs = np.unique(np.concatenate([*out, np.empty((0, 2), np.int64)]), axis=0)
+            found = pa.RecordBatch.from_arrays([pa.array([*pairs[:, 0].tolist(), *[None] * len(long)], pa.int64()), pa.array([*pairs[:, 1].tolist(), *[None] * len(long)], pa.int64()), pa.array([*[None] * len(pairs), *long], pa.int64())], names=["a", "b", "key"])
+            out.clear()
+            long.clear()
+            return found
+
+        def whole(columns: list[np.ndarray]) -> None:
+            key, kind, rep, component, other, n, pos, parity = columns
+            starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            sizes = np.diff(np.r_[starts, len(key)])
+            mixed = np.minimum.reduceat(component, starts) < np.maximum.reduceat(other, starts)
+            over = (sizes > long_over) | (np.minimum.reduceat(kind, starts) == 0)
+            long.extend(key[starts[mixed & over]].tolist())
+            for s, size in zip(starts[mixed & ~over].tolist(), sizes[mixed & ~over].tolist(), strict=True):
+                own = np.arange(s, s + size)
+                pairs = _may_be_alike(own, own, True, rep, component, n, pos, parity)
+                if len(pairs):
+                    out.append(pairs)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if waiting is not None:
+                more = int(np.searchsorted(columns[0], waiting[0], "right"))
+                if more:
+                    waiting = (waiting[0], min(waiting[1], int(columns[3][:more].min())), max(waiting[2], int(columns[4][:more].max())))
+                    columns = [c[more:] for c in columns]
+                if not len(columns[0]):
+                    continue
+                if waiting[1] < waiting[2]:
+                    long.append(waiting[0])
+                waiting = None
+            if held is not None:
+                columns = [np.concatenate(x) for x in zip(held, columns, strict=True)]
+            cut = int(np.searchsorted(columns[0], columns[0][-1], "left"))
+            if cut:
+                whole([c[:cut] for c in columns])
+            held = [c[cut:] for c in columns]
+            if len(held[0]) > long_over:
+                waiting, held = (int(held[0][0]), int(held[3].min()), int(held[4].max())), None
+            if sum(map(len, out)) > FOREST:
+                yield drain()
+        if held is not None:
+            whole(held)
+        if waiting is not None and waiting[1] < waiting[2]:
+            long.append(waiting[0])
+        yield drain()
+
+    return run
+
+
+def _may_be_alike(left: np.ndarray, right: np.ndarray, same: bool, rep: np.ndarray, component: np.ndarray, n: np.ndarray, pos: np.ndarray, parity: np.ndarray) -> np.ndarray:
+    """The pairs (smaller and larger rep) of rows of different components that the bounds leave. They hold at the first
+    shingle that two prefixes share, so each alike pair passes there."""
+    few, many = SIMILAR
+    out = [np.empty((0, 2), np.int64)]
+    n, pos, parity = n.astype(np.int64), pos.astype(np.int64), parity.view(np.uint64)
+    left_over = n - pos
+    for at in range(0, len(left), 128):
+        x, y = left[at : at + 128][:, None], right[None, :]
+        both = n[x] + n[y]
+        # shared >= few / (few + many) of both; so at most (many - few) / (few + many) of both differ
+        found = (component[x] != component[y]) & (np.minimum(n[x], n[y]) * many >= np.maximum(n[x], n[y]) * few)
+        found &= np.minimum(left_over[x], left_over[y]) * (few + many) >= both * few
+        found &= np.bitwise_count(parity[x] ^ parity[y]).astype(np.int64) * (few + many) <= both * (many - few)
+        if same:
+            found &= x < y
+        i, j = found.nonzero()
+        if len(i):
+            a, b = rep[x[i, 0]], rep[y[0, j]]
+            out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
+    return np.concatenate(out)
+
+
+def counted_prefixes(df: DataFrame, hot: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(rep, component, n, parity) of some rows -> the same with ``prefix``, in the order of how many of these rows have
+    a shingle: exact counts, a stored table that is joined to the shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                grams = np.unique(hashes(batch.column(4)[row].as_py(), WIDE_SHINGLE)).view(np.int64)
+                same = pa.array(np.full(len(grams), row))
+                yield pa.RecordBatch.from_arrays([*(c.take(same) for c in batch.columns[:4]), pa.array(grams)], names=["rep", "component", "n", "parity", "h"])
+
+    texts = df.select(quoted(id_col).cast("long").alias("rep"), quoted(text_col).cast("string").alias("text"))
+    shingles = written(hot.hint("merge").join(texts, "rep").select("rep", "component", "n", "parity", "text").mapInArrow(run, "rep long, component long, n int, parity long, h long"))
+    counts = written(shingles.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1"))
+    placed = shingles.join(counts, "h", "left").select("rep", "component", "n", "parity", F.struct(F.coalesce("c", F.lit(1)).alias("c"), "h").alias("x"))
+    sets = placed.groupBy("rep", "component", "n", "parity").agg(F.sort_array(F.collect_list("x")).alias("x"))  # a row's own shingles
+    first = F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]).cast("int") + 1
+    return sets.select("rep", "component", "n", "parity", F.slice("x.h", F.lit(1), first).alias("prefix"))
+
+
+def candidates(df: DataFrame, rows: DataFrame, first: DataFrame, id_col: str, text_col: str, long_over: int = LONG) -> DataFrame:
     """Profiles and (id, component) of every row -> pairs (a, b) of identifiers in different components, among them
-    all whose texts are alike."""
+    all whose texts are alike.
+
+    Postings go through one shuffle, and short lists give their pairs there. Two alike rows whose first common shingle
+    has a long list are both among the rows that have such a shingle in their prefix; for those alone prefixes are made
+    anew in the order of their exact counts, which puts what a family of texts shares behind what is a text's own."""
     own = rows.filter("id is not null and n > 0").select("id", "n", "parity", "counts", "prefix")
     placed = written(own.join(first.hint("merge"), "id").withColumnRenamed("id", "rep"))
-    posted = placed.select(F.posexplode("prefix").alias("pos", "key"), "rep", "component", "n", "parity")
-    pairs = deal(posted, F.lit(1), BLOCK, "rep", "component", "n", "pos", "parity").mapInArrow(_candidates, "a long, b long").distinct()
+    posted = placed.select("rep", "component", "n", "parity", "prefix").mapInArrow(_post(long_over), POSTING)
+    found = written(posted.repartition("key").sortWithinPartitions("key", "kind").mapInArrow(_short_lists(long_over), "a long, b long, key long"))
+    pairs = found.filter("key is null").select("a", "b")
+    long = written(found.filter("key is not null").select("key").distinct())
+    if not long.isEmpty():
+        hot = placed.select("rep", "component", "n", "parity", F.explode("prefix").alias("key")).join(long, "key", "left_semi")
+        hot = written(hot.select("rep", "component", "n", "parity").distinct())
+        again = counted_prefixes(df, hot, id_col, text_col).select(F.posexplode("prefix").alias("pos", "key"), "rep", "component", "n", "parity")
+        pairs = pairs.union(deal(written(again), F.lit(1), BLOCK, "rep", "component", "n", "pos", "parity").mapInArrow(_candidates, "a long, b long"))
+    pairs = pairs.distinct()
     of = placed.select("rep", "n", "counts")
     pairs = pairs.join(of.toDF("a", "n", "counts").hint("merge"), "a").join(of.toDF("b", "m", "others").hint("merge"), "b")
     return pairs.select("a", "b", "n", "m", "counts", "others").mapInArrow(_near, "a long, b long")
 
 
-def missed(df: DataFrame, rows: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def missed(df: DataFrame, rows: DataFrame, first: DataFrame, id_col: str, text_col: str, long_over: int = LONG) -> DataFrame:
     """(a, b) edges that span the links of alike texts in different components of ``first`` (id, component)."""
     nodes = rows.filter("id is not null").select(F.col("id").alias("rep"), *[f"fp{k}" for k in range(WIDE)])
-    coarse = components(candidates(rows, first))
+    coarse = components(candidates(df, rows, first, id_col, text_col, long_over))
     return verified(df, nodes, coarse, id_col, text_col, 64 * WIDE)
 
 
@@ -501,7 +649,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_over: int = LONG) -> DataFrame:
     """One row of each group of similar texts stays: the one with the smallest identifier. Rows without
     identifier stay. Texts are always merge-joined, so the plan is the same at every size. Where identifiers repeat,
     rows are told by numbers in the order of the identifiers, so each row has a fate of its own."""
@@ -510,7 +658,7 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
         rows = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("row"), key.alias("id"), quoted(text_col).alias("text"))
         rows = rows.repartitionByRange("id").sortWithinPartitions("id")
         rows = written(rows.withColumn("id", F.when(F.col("id").isNotNull(), F.monotonically_increasing_id())))
-        return drop_near_duplicates(rows, "id", "text").select("row.*")
+        return drop_near_duplicates(rows, "id", "text", long_over).select("row.*")
     with intermediate(df.sparkSession) as keep:
         names = [f"fp{k}" for k in range(WIDE)]
         rows = written(profiles(df, id_col, text_col, WIDE_SHINGLE))
@@ -519,7 +667,7 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
         coarse = components(links(distinct, WIDE, WIDE_BITS))
         found = components(verified(df, distinct, coarse, id_col, text_col))
         first = written(grouped(fps, distinct, found).filter("id is not null").select("id", "component"))
-        found = components(first.toDF("a", "b").union(missed(df, rows, first, id_col, text_col)))
+        found = components(first.toDF("a", "b").union(missed(df, rows, first, id_col, text_col, long_over)))
         lost = keep(found.filter("component != node").select(F.col("node").alias("lost")).distinct())
     rows = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("row"), key.cast("long").alias("id"))
     return rows.join(lost.hint("merge"), F.col("id") == F.col("lost"), "left_anti").select("row.*")
