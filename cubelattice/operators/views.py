@@ -69,11 +69,16 @@ def v_task_summary(wh: Warehouse) -> DataFrame:
 
 
 def v_failed_chunks(wh: Warehouse, now: str) -> DataFrame:
-    """Failed chunks by time of their next try, those without one first; whether it has come."""
+    """Failed chunks by time of their next try, those without one first; whether it has come. Chunks are numbered inside
+    the day of their next try (those without one inside a class of their number), and earlier days are added."""
     rows = wh.chunks.filter(F.col("status").isin("FAILED", "EXHAUSTED")).join(wh.matrices.select("matrix_id", "matrix_code"), "matrix_id")
     due = F.col("next_retry_at").isNull() | (F.to_timestamp("next_retry_at") <= F.to_timestamp(F.lit(now)))
-    by = Window.orderBy(F.asc_nulls_first("next_retry_at"), "chunk_id")  # the queue's failures, a small table
-    return rows.select("chunk_id", "matrix_code", "chunk_hash", "retry_count", "error_message", (due & (F.col("status") == "FAILED")).alias("ready_to_retry"), F.row_number().over(by).alias("place"))
+    rows = rows.withColumns({"day": F.coalesce(F.substring("next_retry_at", 1, 10), F.lit("")), "part": F.when(F.col("next_retry_at").isNull(), F.floor(F.col("chunk_id") / 100_000)).otherwise(0)})
+    sizes = rows.groupBy("day", "part").agg(F.count("*").alias("n"))  # a row per day, and per 100,000 chunks without one
+    before = sizes.select("day", "part", F.coalesce(F.sum("n").over(Window.orderBy("day", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("day", "part").orderBy(F.asc_nulls_first("next_retry_at"), "chunk_id"))
+    placed = rows.withColumn("inside", inside).join(before, ["day", "part"])
+    return placed.select("chunk_id", "matrix_code", "chunk_hash", "retry_count", "error_message", (due & (F.col("status") == "FAILED")).alias("ready_to_retry"), (F.col("inside") + F.col("before")).cast("int").alias("place"))
 
 
 def v_matrix_sync_status(wh: Warehouse) -> DataFrame:
@@ -113,7 +118,7 @@ def status_counts(wh: Warehouse) -> DataFrame:
 def next_task(wh: Warehouse, now: str) -> DataFrame:
     """The task that a worker would claim: highest priority, then oldest, among pending and expired ones."""
     open_ = (F.col("status") == "PENDING") | (F.col("status").isin("PLANNING", "RUNNING") & (F.to_timestamp("locked_until") < F.to_timestamp(F.lit(now))))
-    return wh.tasks.filter(open_).orderBy(F.desc("priority"), "created_at").limit(1).select("task_id", "matrix_id", "status", "priority")
+    return wh.tasks.filter(open_).orderBy(F.desc("priority"), "created_at", "task_id").limit(1).select("task_id", "matrix_id", "status", "priority")
 
 
 def mv_national(wh: Warehouse) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cubelattice.functions.labels import MONTHS_EN, MONTHS_RO
+from cubelattice.plans.derived_sql import DERIVED, HELPERS
 from cubelattice.sources.catalog_rows import CLASS_VALUES, STATIC
 
 _KINDS = {"int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE", "array<string>": "VARCHAR[]", "array<int>": "INTEGER[]"}
@@ -22,7 +23,8 @@ def _static(name: str) -> str:
     rows, schema = STATIC[name]
     columns = [c.split(" ") for c in schema.split(", ")]
     values = ", ".join("(" + ", ".join(_literal(x, k) for x, (_, k) in zip(r, columns, strict=True)) + ")" for r in rows)
-    return f"{name}({', '.join(c for c, _ in columns)}) AS (VALUES {values})"
+    derived = f" UNION ALL {DERIVED[name]}" if name in DERIVED else ""
+    return f"{name}({', '.join(c for c, _ in columns)}) AS (VALUES {values}{derived})"
 
 
 def _class_case(kind: str, column: str) -> str:
@@ -97,4 +99,4 @@ _STATISTICS = ",\n".join(
 
 def over_cube(query: str) -> str:
     """The query with the cube's tables in front of it."""
-    return "WITH " + ",\n".join([_TERRITORIES, _PERIODS, *map(_static, STATIC), _STATISTICS]) + "\n" + query
+    return "WITH " + ",\n".join([_TERRITORIES, _PERIODS, HELPERS, *map(_static, STATIC), _STATISTICS]) + "\n" + query

@@ -41,14 +41,14 @@ _EITHER = "CASE WHEN coalesce({0}_en, '') <> '' THEN {0}_en ELSE {0}_ro END"
 _SYNCED = "SELECT matrix_code, sync_status, last_sync_at FROM matrices LEFT JOIN (SELECT matrix_id, max(created_at) AS last_sync_at FROM tasks WHERE status = 'COMPLETED' GROUP BY 1) USING (matrix_id) WHERE matrix_id IN (SELECT matrix_id FROM statistics)"
 
 PAIRS = {
-    "contexts_page": (lambda wh: cat.contexts_page(wh, 2, ("Comenzi", 1010)), "SELECT context_id, code, name_ro, path FROM contexts WHERE (name_ro, context_id) > ('Comenzi', 1010) ORDER BY name_ro, context_id LIMIT 3"),
+    "contexts_page": (lambda wh: cat.contexts_page(wh, 5, ("Linii de comandă", 1020)), "SELECT context_id, code, name_ro, path FROM contexts WHERE (name_ro, context_id) > ('Linii de comandă', 1020) ORDER BY name_ro, context_id LIMIT 6"),
     "contexts_tree": (lambda wh: cat.contexts_tree(wh), "SELECT CAST(row_number() OVER (ORDER BY string_split(path, '.')) AS INTEGER) AS place, repeat('  ', level) || '[' || code || '] ' || name_ro AS line FROM contexts"),
-    "matrices_context": (lambda wh: cat.matrices(wh, context_id=1010), _matrices("m.context_id = 1010")),
+    "matrices_context": (lambda wh: cat.matrices(wh, context_id=101), _matrices("m.context_id = 101")),
     "matrices_page_update": (
-        lambda wh: cat.matrices_page(wh, 3, "lastUpdate", True, ("2024-03-15", 1)),
-        f"SELECT matrix_id, matrix_code, sort_value FROM (SELECT *, CAST({_UPDATE} AS VARCHAR) AS sort_value FROM matrices) WHERE sort_value < '2024-03-15' OR (sort_value = '2024-03-15' AND matrix_id > 1) ORDER BY sort_value DESC NULLS LAST, matrix_id LIMIT 4",
+        lambda wh: cat.matrices_page(wh, 20, "lastUpdate", True, ("2024-03-15", 1)),
+        f"SELECT matrix_id, matrix_code, sort_value FROM (SELECT *, CAST({_UPDATE} AS VARCHAR) AS sort_value FROM matrices) WHERE sort_value < '2024-03-15' OR (sort_value = '2024-03-15' AND matrix_id > 1) ORDER BY sort_value DESC NULLS LAST, matrix_id LIMIT 21",
     ),
-    "matrices_offset": (lambda wh: cat.matrices_page(wh, 2, offset=3), "SELECT matrix_id, matrix_code, name_ro AS sort_value FROM matrices ORDER BY name_ro, matrix_id LIMIT 3 OFFSET 3"),
+    "matrices_offset": (lambda wh: cat.matrices_page(wh, 20, offset=5), "SELECT matrix_id, matrix_code, name_ro AS sort_value FROM matrices ORDER BY name_ro, matrix_id LIMIT 21 OFFSET 5"),
     "matrix_detail": (lambda wh: cat.matrix_detail(wh, "ORD101A"), _DETAIL.format(name="m.name_ro", context="c.name_ro", update=_UPDATE, label="label_ro", code="ORD101A")),
     "matrix_detail_en": (lambda wh: cat.matrix_detail(wh, "LIN101A", "en"), _DETAIL.format(name=_EITHER.format("m.name"), context=_EITHER.format("c.name"), update=_UPDATE, label=_EITHER.format("label"), code="LIN101A")),
     "matrix_dimension": (lambda wh: cat.matrix_dimension(wh, "LIN101A", 0), f", {_OPTIONS} SELECT 'Retur' AS label_ro, dimension_type, option_code, option_name FROM taken WHERE dim_index = 0"),
@@ -57,7 +57,7 @@ PAIRS = {
     "pending_domains": (lambda wh: cat.domains(wh), "SELECT left(matrix_code, 3) AS domain, count(*) AS matrix_count FROM matrices WHERE sync_status = 'PENDING' GROUP BY 1"),
     "dimension_labels": (lambda wh: cat.dimension_labels(wh), "SELECT label_ro, label_en, count(*) AS matrix_count FROM dimensions WHERE dimension_type = 'TERRITORIAL' GROUP BY 1, 2"),
     "dimensions_search": (lambda wh: cat.search_dimensions(wh, "judete"), "SELECT matrix_code, name_ro FROM matrices m WHERE EXISTS (SELECT 1 FROM dimensions d WHERE d.matrix_id = m.matrix_id AND contains(lower(label_ro), 'judete'))"),
-    "catalog_search": (lambda wh: cat.find(wh, "COM"), "SELECT 'context' AS kind, code, name_ro FROM contexts WHERE contains(lower(code), 'com') OR contains(lower(name_ro), 'com') UNION ALL SELECT 'matrix', matrix_code, name_ro FROM matrices WHERE contains(lower(matrix_code), 'com') OR contains(lower(name_ro), 'com')"),
+    "catalog_search": (lambda wh: cat.find(wh, "Economy"), "SELECT 'context' AS kind, code, name_ro FROM contexts WHERE contains(lower(code), 'economy') OR contains(lower(name_ro), 'economy') UNION ALL SELECT 'matrix', matrix_code, name_ro FROM matrices WHERE contains(lower(matrix_code), 'economy') OR contains(lower(name_ro), 'economy')"),
     "refresh_selection": (lambda wh: cat.to_refresh(wh, NOW, older_than_days=30), f"{_SYNCED} AND sync_status IN ('SYNCED', 'STALE') AND CAST(last_sync_at AS TIMESTAMP) < TIMESTAMP '{NOW}' - INTERVAL 30 DAY"),
     "refresh_selection_stale": (lambda wh: cat.to_refresh(wh, NOW, True), f"{_SYNCED} AND sync_status = 'STALE'"),
     "territories_siruta": (lambda wh: cat.territories(wh, siruta="12"), "SELECT code, name, level, path FROM territories WHERE siruta_code = '12'"),
@@ -66,21 +66,21 @@ PAIRS = {
         lambda wh: cat.available_data(wh, 105, "LIN101A", 2),
         "SELECT matrix_code, name_ro, count(*) AS fact_count, count(DISTINCT time_period_id) AS period_count, min(year) AS min_year, max(year) AS max_year FROM statistics JOIN time_periods USING (time_period_id) JOIN matrices USING (matrix_id) WHERE territory_id = 105 GROUP BY 1, 2 HAVING matrix_code > 'LIN101A' ORDER BY matrix_code LIMIT 3",
     ),
-    "class_values_roots": (lambda wh: cat.class_values(wh, "EVENT_TYPE", roots_only=True), f"SELECT code, name_ro, sort_order FROM {_TREE} WHERE type_code = 'EVENT_TYPE' AND parent_id IS NULL"),
-    "class_values_below": (lambda wh: cat.class_values(wh, "SEGMENT", parent_id=11, level=1), f"SELECT code, name_ro, sort_order FROM {_TREE} WHERE type_code = 'SEGMENT' AND parent_id = 11 AND level = 1"),
-    "class_values_plain": (lambda wh: cat.class_values(wh, "SEGMENT", "constructii"), "SELECT code, name_ro, sort_order FROM class_values WHERE code = 'BUILDING'"),
-    "class_value": (lambda wh: cat.class_value(wh, "EVENT_TYPE", 31), f"SELECT CASE WHEN value_id = 31 THEN 'value' ELSE 'child' END AS kind, value_id, code, name_ro, parent_id, level, sort_order FROM {_TREE} WHERE type_code = 'EVENT_TYPE' AND (value_id = 31 OR parent_id = 31)"),
-    "class_value_flat": (lambda wh: cat.class_value(wh, "SEGMENT", 11), f"SELECT 'value' AS kind, value_id, code, name_ro, parent_id, level, sort_order FROM {_TREE} WHERE value_id = 11"),
+    "class_values_roots": (lambda wh: cat.class_values(wh, "PART_NAME", roots_only=True), f"SELECT code, name_ro, sort_order FROM {_TREE} WHERE type_code = 'PART_NAME' AND parent_id IS NULL"),
+    "class_values_below": (lambda wh: cat.class_values(wh, "PART_NAME", parent_id=1001, level=2), f"SELECT code, name_ro, sort_order FROM {_TREE} WHERE type_code = 'PART_NAME' AND parent_id = 1001 AND level = 2"),
+    "class_values_plain": (lambda wh: cat.class_values(wh, "PART_NAME", "  Gèar "), "SELECT code, name_ro, sort_order FROM class_values WHERE type_code = 'PART_NAME' AND contains(upper(name_ro), 'GEAR')"),
+    "class_value": (lambda wh: cat.class_value(wh, "PART_NAME", 1000), f"SELECT CASE WHEN value_id = 1000 THEN 'value' ELSE 'child' END AS kind, value_id, code, name_ro, parent_id, level, sort_order FROM {_TREE} WHERE type_code = 'PART_NAME' AND (value_id = 1000 OR parent_id = 1000)"),
+    "class_value_flat": (lambda wh: cat.class_value(wh, "PRIORITY", 2000), f"SELECT 'value' AS kind, value_id, code, name_ro, parent_id, level, sort_order FROM {_TREE} WHERE value_id = 2000"),
     "table_row_counts": (lambda wh: wh.row_counts().filter("table_name IN ('statistics', 'territories', 'units')"), "SELECT 'statistics' AS table_name, count(*) AS row_count FROM statistics UNION ALL SELECT 'territories', count(*) FROM territories UNION ALL SELECT 'units', count(*) FROM units"),
     "contexts_list_en": (lambda wh: cat.contexts(wh, "en"), f"SELECT code, {EN}, level, path, children_type FROM contexts"),
-    "contexts_filtered": (lambda wh: cat.contexts(wh, level=2, path_prefix="1.10"), "SELECT code, name_ro AS name, level, path, children_type FROM contexts WHERE level = 2 AND starts_with(path, '1.10')"),
-    "context_ancestors": (lambda wh: cat.context_ancestors(wh, "1.10.1010"), "SELECT code, name_ro, level, path FROM contexts WHERE starts_with('1.10.1010', path || '.')"),
-    "context_children": (lambda wh: cat.context_children(wh, 1010).unionByName(cat.context_children(wh, 10)), "SELECT code, name_ro, 'context' AS kind FROM contexts WHERE parent_id IN (10, 1010) UNION ALL SELECT matrix_code, name_ro, 'matrix' FROM matrices WHERE context_id IN (10, 1010)"),
+    "contexts_filtered": (lambda wh: cat.contexts(wh, level=1, path_prefix="3.10"), "SELECT code, name_ro AS name, level, path, children_type FROM contexts WHERE level = 1 AND starts_with(path, '3.10')"),
+    "context_ancestors": (lambda wh: cat.context_ancestors(wh, "3.102"), "SELECT code, name_ro, level, path FROM contexts WHERE starts_with('3.102', path || '.')"),
+    "context_children": (lambda wh: cat.context_children(wh, 3).unionByName(cat.context_children(wh, 102)), "SELECT code, name_ro, 'context' AS kind FROM contexts WHERE parent_id IN (3, 102) UNION ALL SELECT matrix_code, name_ro, 'matrix' FROM matrices WHERE context_id IN (3, 102)"),
     "matrices_list": (lambda wh: cat.matrices(wh), _matrices("true")),
-    "matrices_search_en": (lambda wh: cat.matrices(wh, "en", search="ORDER"), _matrices("contains(lower(coalesce(m.name_en, m.name_ro)), 'order') OR contains(lower(matrix_code), 'order')", "CASE WHEN coalesce(m.name_en, '') <> '' THEN m.name_en ELSE m.name_ro END AS name")),
-    "matrices_filtered": (lambda wh: cat.matrices(wh, context_path="1.10", periodicity="ANNUAL", has_uat=False, has_county=True), _matrices("starts_with(c.path, '1.10') AND list_contains(periodicity, 'ANNUAL') AND NOT has_uat AND has_county")),
+    "matrices_search_en": (lambda wh: cat.matrices(wh, "en", search="Brand 2"), _matrices("contains(lower(coalesce(m.name_en, m.name_ro)), 'brand 2') OR contains(lower(matrix_code), 'brand 2')", "CASE WHEN coalesce(m.name_en, '') <> '' THEN m.name_en ELSE m.name_ro END AS name")),
+    "matrices_filtered": (lambda wh: cat.matrices(wh, context_path="3", periodicity="MONTHLY", has_uat=False, has_county=True), _matrices("starts_with(c.path, '3') AND list_contains(periodicity, 'MONTHLY') AND NOT has_uat AND has_county")),
     "matrices_status": (lambda wh: cat.matrices(wh, status="PENDING"), _matrices("sync_status = 'PENDING'")),
-    "matrix_dimensions": (lambda wh: cat.dimensions(wh, "LIN101A", "en"), "SELECT dim_index, CASE WHEN coalesce(label_en, '') <> '' THEN label_en ELSE label_ro END AS label, dimension_type, type_code, option_count FROM dimensions WHERE matrix_id = 3"),
+    "matrix_dimensions": (lambda wh: cat.dimensions(wh, "PRD304", "en"), "SELECT dim_index, CASE WHEN coalesce(label_en, '') <> '' THEN label_en ELSE label_ro END AS label, dimension_type, type_code, option_count FROM dimensions WHERE matrix_id = 1304"),
     "matrix_options": (lambda wh: cat.dimension_options(wh, "LIN101A"), f", {_OPTIONS} SELECT * FROM taken"),
     "breakdowns_samples": (lambda wh: cat.option_samples(wh, "LIN101A"), f", {_OPTIONS} SELECT *, row_number() OVER (PARTITION BY dim_index ORDER BY option_code) AS place FROM taken QUALIFY place <= 5"),
     "territories_level": (lambda wh: cat.territories(wh, level="NUTS3"), "SELECT code, name, level, path FROM territories WHERE level = 'NUTS3'"),
@@ -98,15 +98,15 @@ PAIRS = {
     "time_periods_of_matrix": (lambda wh: cat.time_periods(wh, matrix="EVT101A"), _periods("time_period_id IN (SELECT time_period_id FROM statistics WHERE matrix_id = 4)")),
     "time_periods_unknown_matrix": (lambda wh: cat.time_periods(wh, "ANNUAL", matrix="NOPE"), _periods("periodicity = 'ANNUAL'")),
     "class_types": (lambda wh: cat.class_types(wh), "SELECT type_code, name_ro, is_hierarchical, (SELECT count(*) FROM class_values v WHERE v.type_code = t.type_code) AS value_count FROM class_types t"),
-    "class_types_search": (lambda wh: cat.class_types(wh, "eve", True), "SELECT type_code, name_ro, is_hierarchical, (SELECT count(*) FROM class_values v WHERE v.type_code = t.type_code) AS value_count FROM class_types t WHERE (contains(lower(name_ro), 'eve') OR contains(lower(type_code), 'eve')) AND is_hierarchical"),
-    "class_values": (lambda wh: cat.class_values(wh, "SEGMENT", "uil"), "SELECT code, name_ro, sort_order FROM class_values WHERE type_code = 'SEGMENT' AND (contains(lower(name_ro), 'uil') OR contains(lower(code), 'uil'))"),
+    "class_types_search": (lambda wh: cat.class_types(wh, "produse", True), "SELECT type_code, name_ro, is_hierarchical, (SELECT count(*) FROM class_values v WHERE v.type_code = t.type_code) AS value_count FROM class_types t WHERE (contains(lower(name_ro), 'produse') OR contains(lower(type_code), 'produse')) AND is_hierarchical"),
+    "class_values": (lambda wh: cat.class_values(wh, "PART_NAME", "RIN"), "SELECT code, name_ro, sort_order FROM class_values WHERE type_code = 'PART_NAME' AND (contains(lower(name_ro), 'rin') OR contains(lower(code), 'rin'))"),
     "topics": (lambda wh: cat.topics(wh, "en"), f"SELECT category, slug, {EN}, (SELECT count(DISTINCT matrix_id) FROM tag_links l WHERE l.tag_id = t.tag_id) AS matrix_count FROM tags t"),
     "topics_category": (lambda wh: cat.topics(wh, category="topic"), "SELECT category, slug, name_ro AS name, (SELECT count(DISTINCT matrix_id) FROM tag_links l WHERE l.tag_id = t.tag_id) AS matrix_count FROM tags t WHERE category = 'topic'"),
     "by_territory": (lambda wh: cat.by_territory(wh, 11), _by_territory("territory_id = 11")),
     "by_territory_subtree": (lambda wh: cat.by_territory(wh, 11, True), _by_territory("path = 'W.M1.R1' OR starts_with(path, 'W.M1.R1.')")),
     "by_territory_level": (lambda wh: cat.by_territory(wh, 1, True, "NUTS2"), _by_territory("level = 'NUTS2'")),
     "by_time_range": (lambda wh: cat.by_time_range(wh, 2000, 2024), "SELECT matrix_code, year_from, year_to, greatest(0, least(year_to, 2024) - greatest(year_from, 2000) + 1) AS coverage_years FROM matrices WHERE year_from IS NOT NULL AND least(year_to, 2024) >= greatest(year_from, 2000)"),
-    "by_time_range_periodicity": (lambda wh: cat.by_time_range(wh, 1990, 1996, "QUARTERLY"), "SELECT matrix_code, year_from, year_to, 2 AS coverage_years FROM matrices WHERE matrix_code = 'LIN101A'"),
+    "by_time_range_periodicity": (lambda wh: cat.by_time_range(wh, 1990, 1996, "MONTHLY"), "SELECT matrix_code, year_from, year_to, least(year_to, 1996) - year_from + 1 AS coverage_years FROM matrices WHERE year_from <= 1996 AND list_contains(periodicity, 'MONTHLY')"),
     "by_breakdowns": (
         lambda wh: cat.by_breakdowns(wh, territory=True, low=3, high=4),
         "SELECT matrix_code, count(*) AS dimension_count, string_agg(DISTINCT dimension_type, ',' ORDER BY dimension_type) AS kinds FROM matrices JOIN dimensions d USING (matrix_id) GROUP BY 1 HAVING bool_or(dimension_type = 'TERRITORIAL') AND count(*) BETWEEN 3 AND 4",
@@ -116,8 +116,8 @@ PAIRS = {
         "SELECT matrix_code, count(*) AS dimension_count, string_agg(DISTINCT dimension_type, ',' ORDER BY dimension_type) AS kinds FROM matrices JOIN dimensions d USING (matrix_id) GROUP BY 1 HAVING NOT bool_or(dimension_type = 'TERRITORIAL')",
     ),
     "by_breakdowns_type": (
-        lambda wh: cat.by_breakdowns(wh, type_code="ORDER_STATUS"),
-        "SELECT matrix_code, count(*) AS dimension_count, string_agg(DISTINCT dimension_type, ',' ORDER BY dimension_type) AS kinds FROM matrices JOIN dimensions d USING (matrix_id) GROUP BY 1 HAVING bool_or(type_code = 'ORDER_STATUS')",
+        lambda wh: cat.by_breakdowns(wh, type_code="PART_NAME"),
+        "SELECT matrix_code, count(*) AS dimension_count, string_agg(DISTINCT dimension_type, ',' ORDER BY dimension_type) AS kinds FROM matrices JOIN dimensions d USING (matrix_id) GROUP BY 1 HAVING bool_or(type_code = 'PART_NAME')",
     ),
     "tag_matrices": (lambda wh: cat.tag_matrices(wh, "quality"), "SELECT DISTINCT matrix_code, matrices.name_ro, sync_status FROM tag_links JOIN tags USING (tag_id) JOIN matrices USING (matrix_id) WHERE slug = 'quality'"),
     "tags_related": (

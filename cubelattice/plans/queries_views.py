@@ -16,7 +16,7 @@ PAIRS = {
         lambda wh: v.v_sync_checkpoints(wh, NOW),
         f"SELECT chunk_id, matrix_code, chunk_hash, status, cells_returned, error_message, retry_count, next_retry_at, coalesce(CAST(next_retry_at AS TIMESTAMP) > TIMESTAMP '{NOW}', false) AS is_waiting FROM chunks JOIN matrices USING (matrix_id)",
     ),
-    "sync_tasks_page": (lambda wh: v.tasks_page(wh, 3, 2), "SELECT task_id, matrix_id, status, created_at FROM tasks ORDER BY created_at DESC, task_id DESC LIMIT 3 OFFSET 2"),
+    "sync_tasks_page": (lambda wh: v.tasks_page(wh, 20, 3), "SELECT task_id, matrix_id, status, created_at FROM tasks ORDER BY created_at DESC, task_id DESC LIMIT 20 OFFSET 3"),
     "sync_tasks_by_status": (lambda wh: v.tasks_by_status(wh), "SELECT CASE status WHEN 'RUNNING' THEN 1 WHEN 'PENDING' THEN 2 ELSE 3 END AS status_rank, status, count(*) AS task_count, min(created_at) AS oldest, max(created_at) AS newest FROM tasks GROUP BY status"),
     "v_matrices": (lambda wh: v.v_matrices(wh), "SELECT matrix_code, m.name_ro, m.name_en, c.code AS context_code, c.path AS context_path, periodicity[1] AS first_periodicity, year_from, year_to, has_uat, has_county, sync_status FROM matrices m LEFT JOIN contexts c USING (context_id)"),
     "v_territories": (lambda wh: v.v_territories(wh), "SELECT t.code, t.name, upper(t.name) AS name_normalized, t.level, t.path, p.code AS parent_code, p.name AS parent_name FROM territories t LEFT JOIN territories p ON p.territory_id = t.parent_id"),
@@ -46,7 +46,7 @@ PAIRS = {
         lambda wh: v.status_counts(wh),
         "SELECT count(*) AS total, count(*) FILTER (matrix_id IN (SELECT matrix_id FROM statistics)) AS with_data, " + ", ".join(f"count(*) FILTER (sync_status = '{k}') AS {k.lower()}" for k in ("PENDING", "SYNCING", "SYNCED", "FAILED", "STALE")) + " FROM matrices",
     ),
-    "queue_next_task": (lambda wh: v.next_task(wh, NOW), f"SELECT task_id, matrix_id, status, priority FROM tasks WHERE status = 'PENDING' OR (status IN ('PLANNING', 'RUNNING') AND CAST(locked_until AS TIMESTAMP) < TIMESTAMP '{NOW}') ORDER BY priority DESC, created_at LIMIT 1"),
+    "queue_next_task": (lambda wh: v.next_task(wh, NOW), f"SELECT task_id, matrix_id, status, priority FROM tasks WHERE status = 'PENDING' OR (status IN ('PLANNING', 'RUNNING') AND CAST(locked_until AS TIMESTAMP) < TIMESTAMP '{NOW}') ORDER BY priority DESC, created_at, task_id LIMIT 1"),
     "mv_national_timeseries": (
         lambda wh: v.mv_national(wh),
         f"SELECT matrix_id, year, periodicity, count(*) AS fact_count, {_SUM} AS sum_value, round({_SUM} / count(value), 4) AS avg_value, min(value) AS min_value, max(value) AS max_value, count(*) FILTER (value IS NULL) AS null_count FROM statistics JOIN time_periods USING (time_period_id) LEFT JOIN territories USING (territory_id) WHERE level = 'NATIONAL' OR territory_id IS NULL GROUP BY 1, 2, 3",

@@ -1,7 +1,5 @@
-"""Small static tables of the sample cube: catalog, tags, indicators, saved queries, sync queue.
-
-Every row here is metadata of a fixed number of entries; facts, territories and periods come from the
-driver's tables (``overlay``)."""
+"""Fixed rows of the sample cube's catalog tables. Facts, territories, periods (``overlay``) and most of the catalog
+(``derived``) come from the driver's tables."""
 
 from __future__ import annotations
 
@@ -48,6 +46,7 @@ UNITS_SCHEMA = "unit_id int, code string, name_ro string, name_en string, symbol
 CONTEXTS = [
     (1, "1", "Economie", "Economy", 0, None, "1", "context"),
     (2, "2", "Statistică tehnică", "", 0, None, "2", "context"),
+    (3, "3", "Produse", "Products", 0, None, "3", "context"),
     (10, "10", "Comerț", "Trade", 1, 1, "1.10", "context"),
     (1010, "1010", "Comenzi", "Orders", 2, 10, "1.10.1010", "matrix"),
     (1020, "1020", "Linii de comandă", None, 2, 10, "1.10.1020", "matrix"),
