@@ -28,6 +28,12 @@ def normalize_label(x: Column, dash_to_space: bool = False) -> Column:
     return F.trim(F.regexp_replace(F.translate(up, "-", " ") if dash_to_space else up, r"\s+", " "))
 
 
+def blind(x: Column) -> Column:
+    """The text under a collation that does not see case and marks, for any letter: comparisons, joins and groups of such
+    texts, and searches in them, are blind to both. The text itself stays as it is."""
+    return F.collate(x, "UNICODE_CI_AI")
+
+
 def code_from_label(x: Column) -> Column:
     """A generated code: normalised, spaces as underscores, letters, digits and underscores only, 50 at most."""
     return F.substring(F.regexp_replace(F.translate(normalize_label(x), " ", "_"), "[^0-9A-Z_]", ""), 1, 50)

@@ -1,7 +1,7 @@
 """Comparisons, trends, rankings, distributions, roll-ups, correlation, pivots and indicators.
 
 Comparison, trends, rankings, distribution and aggregation take all classification values unless
-``totals_only`` is set. Windows without a partition see one matrix and year only."""
+``totals_only`` is set."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from cubelattice.functions.expr import is_descendant, js_round, strength
 from cubelattice.operators import filters as flt
+from cubelattice.operators.selection import quantiles
+from cubelattice.sources.scratch import stored
 from cubelattice.sources.warehouse import Warehouse
 
 EXACT = "decimal(38,6)"
@@ -32,20 +34,13 @@ def compare(wh: Warehouse, code: str, territory_ids: list[int], year: int | None
     if not 2 <= len(territory_ids) <= 10:
         raise ValueError("2 to 10 territories are compared")
     rows = annual(wh, code, value_id).filter(F.col("territory_id").isin(territory_ids))
-    everything = Window.partitionBy()
-    rows = rows.filter(F.col("year") == year) if year is not None else rows.withColumn("latest", F.max("year").over(everything)).filter("year = latest")
-    exact = F.sum(F.col("value").cast(EXACT)).over(everything).cast("double")
-    return rows.select(
-        "natural_key",
-        "territory_code",
-        "year",
-        "value",
-        F.row_number().over(Window.orderBy(F.desc_nulls_last("value"), "natural_key")).alias("rank"),
-        F.min("value").over(everything).alias("min_value"),
-        F.max("value").over(everything).alias("max_value"),
-        F.round(exact / F.count("value").over(everything), 4).alias("avg_value"),
-        (F.max("value").over(everything) - F.min("value").over(everything)).alias("range_value"),
-    )
+    if year is None:
+        year = rows.agg(F.max("year")).first()[0]
+    rows = rows.filter(F.col("year") == F.lit(year))
+    exact = F.sum(F.col("value").cast(EXACT)).cast("double")
+    over_all = rows.agg(F.min("value").alias("min_value"), F.max("value").alias("max_value"), F.round(exact / F.nullif(F.count("value"), F.lit(0)), 4).alias("avg_value"), (F.max("value") - F.min("value")).alias("range_value"))
+    ranked = ranked_rows(rows.select("natural_key", "territory_code", "value")).crossJoin(F.broadcast(over_all))  # one row
+    return ranked.select("natural_key", "territory_code", F.lit(year).cast("int").alias("year"), "value", F.col("rank").cast("int").alias("rank"), "min_value", "max_value", "avg_value", "range_value")
 
 
 def trends(wh: Warehouse, code: str, territory_id: int | None = None, year_from: int | None = None, year_to: int | None = None, value_id: int | None = None, level: str | None = None) -> DataFrame:
@@ -134,32 +129,53 @@ def ranked_rows(rows: DataFrame, descending: bool = True) -> DataFrame:
 
 
 def distribution(wh: Warehouse, code: str, year: int, level: str | None = None, value_id: int | None = None) -> DataFrame:
-    """Counts, mean, sample deviation, range and exact percentiles of a year's values (whose distinct values meet in
-    one task, with their counts)."""
+    """Counts, mean, sample deviation, range and exact percentiles of a year's values."""
     rows = annual(wh, code, value_id).filter(F.col("year") == year)
     if level is not None:
         rows = rows.filter(F.col("level") == level)
-    found = rows.agg(
+    one = F.lit(1).alias("one")
+    found = _distributions(rows.select(one, "value"), ["one"])
+    whole = {c: F.coalesce(c, F.lit(0)) for c in ("total", "n", "null_count")}  # of no rows, too
+    return wh.spark.range(1).select(one).join(found, "one", "left").withColumns(whole).drop("one")
+
+
+def distributions(wh: Warehouse) -> DataFrame:
+    """``distribution`` of every matrix, year and level in one pass."""
+    periods = wh.time_periods.filter("periodicity = 'ANNUAL'").select("time_period_id", "year")
+    rows = wh.statistics.join(periods, "time_period_id").join(wh.territories.select("territory_id", "level"), "territory_id")
+    return _distributions(rows.select("matrix_id", "year", "level", "value"), ["matrix_id", "year", "level"])
+
+
+def _cents(x: Column) -> Column:
+    """Two digits of a number that is whole in millionths but for what sums and interpolation have lost."""
+    return js_round(js_round(x, 6), 2)
+
+
+def _distributions(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The numbers of each group of keys (none of them null); percentiles by distributed selection."""
+    rows = stored(rows)
+    found = rows.groupBy(*keys).agg(
         F.count("*").alias("total"),
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("deviation"),
         F.min("value").alias("lowest"),
         F.max("value").alias("highest"),
-        F.percentile("value", F.array(*map(F.lit, (0.1, 0.25, 0.5, 0.75, 0.9)))).alias("p"),
     )
     p = [F.get("p", F.lit(k)) for k in range(5)]
+    found = found.join(quantiles(rows, keys, [0.1, 0.25, 0.5, 0.75, 0.9]), keys, "left")
     return found.select(
+        *keys,
         "total",
         "n",
         (F.col("total") - F.col("n")).alias("null_count"),
-        js_round(F.col("mean")).alias("mean"),
-        js_round(F.col("deviation")).alias("deviation"),
-        js_round(F.col("lowest")).alias("min_value"),
-        js_round(F.col("highest")).alias("max_value"),
-        js_round(F.col("highest") - F.col("lowest")).alias("range_value"),
-        *[js_round(v).alias(name) for v, name in zip(p, ("p10", "p25", "median", "p75", "p90"), strict=True)],
-        js_round(p[3] - p[1]).alias("iqr"),
+        _cents(F.col("mean")).alias("mean"),
+        _cents(F.col("deviation")).alias("deviation"),
+        _cents(F.col("lowest")).alias("min_value"),
+        _cents(F.col("highest")).alias("max_value"),
+        _cents(F.col("highest") - F.col("lowest")).alias("range_value"),
+        *[_cents(v).alias(name) for v, name in zip(p, ("p10", "p25", "median", "p75", "p90"), strict=True)],
+        _cents(p[3] - p[1]).alias("iqr"),
     )
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cubelattice.functions.expr import natural_key, normalize_label
-from cubelattice.sources.warehouse import Warehouse, settled
+from cubelattice.functions.expr import natural_key
+from cubelattice.operators.matching import match_labels
+from cubelattice.sources.warehouse import Warehouse
 
 
 def parse_lines(lines: DataFrame, keep_header: bool = False, trim: bool = True) -> DataFrame:
@@ -29,12 +30,11 @@ def parse_value(cell: Column) -> tuple[Column, Column]:
 
 def options(wh: Warehouse, code: str) -> DataFrame:
     """(dim_index, offset, label, kind, member_id): what each dimension's labels stand for."""
-    # one pass over the facts; members are as many as the catalog has entries
-    own = settled(wh.facts(code).agg(F.collect_set("territory_id").alias("places"), F.collect_set("time_period_id").alias("periods")))
-    used = lambda members, key: own.select(F.explode(members).alias(key))
+    own = wh.facts(code)
+    used = lambda key: own.select(key).distinct()
     kinds = {
-        "TERRITORIAL": used("places", "territory_id").join(wh.territories, "territory_id").select(F.col("name").alias("label"), F.col("territory_id").alias("member_id"), F.lit(None).cast("string").alias("t")),
-        "TEMPORAL": used("periods", "time_period_id").join(wh.time_periods, "time_period_id").select(F.col("label_ro").alias("label"), F.col("time_period_id").alias("member_id"), F.lit(None).cast("string").alias("t")),
+        "TERRITORIAL": used("territory_id").join(wh.territories, "territory_id").select(F.col("name").alias("label"), F.col("territory_id").alias("member_id"), F.lit(None).cast("string").alias("t")),
+        "TEMPORAL": used("time_period_id").join(wh.time_periods, "time_period_id").select(F.col("label_ro").alias("label"), F.col("time_period_id").alias("member_id"), F.lit(None).cast("string").alias("t")),
         "CLASSIFICATION": wh.class_values.select(F.col("name_ro").alias("label"), F.col("value_id").alias("member_id"), F.col("type_code").alias("t")),
     }
     dims = wh.dimensions.join(wh.matrices.filter(F.col("matrix_code") == code).select("matrix_id"), "matrix_id").select("dim_index", "dimension_type", "type_code")
@@ -46,26 +46,6 @@ def options(wh: Warehouse, code: str) -> DataFrame:
     return found.withColumn("offset", place)
 
 
-OPTIONS = 200_000
-
-
-def match_labels(cells: DataFrame, opts: DataFrame) -> DataFrame:
-    """(dim_index, label) pairs of the rows -> (dim_index, cell, kind, member_id, ambiguous).
-
-    Only distinct pairs are matched, and pairs and options are stored before. Equal normalised labels come first;
-    for the rest, an option inside the label or the label inside an option, the first in option order; an empty
-    label matches nothing. ``ambiguous`` counts the options that fitted. Up to ``OPTIONS`` options are broadcast to
-    the rest, however few dimensions it has; more are joined by dimension."""
-    wanted = settled(cells.select("dim_index", "cell").distinct().withColumn("n", normalize_label(F.col("cell"))).filter("n != ''"))
-    opts = settled(opts.select(F.col("dim_index").alias("d"), "offset", "kind", "member_id", normalize_label(F.col("label")).alias("o")))
-    exact = settled(wanted.join(opts, (F.col("dim_index") == F.col("d")) & (F.col("n") == F.col("o"))))
-    rest = wanted.join(exact.select("dim_index", "cell"), ["dim_index", "cell"], "left_anti")
-    few = F.broadcast(opts) if opts.count() <= OPTIONS else opts
-    loose = rest.join(few, (F.col("dim_index") == F.col("d")) & (F.col("n").contains(F.col("o")) | F.col("o").contains(F.col("n"))))
-    both = exact.unionByName(loose)
-    return settled(both.groupBy("dim_index", "cell").agg(F.min_by(F.struct("kind", "member_id"), "offset").alias("m"), F.count("*").alias("ambiguous")).select("dim_index", "cell", "m.kind", "m.member_id", "ambiguous"))
-
-
 def resolve(parsed: DataFrame, opts: DataFrame, unit_id: int) -> DataFrame:
     """Parsed rows -> staged facts with response, line_no and error (null where the row is good)."""
     labels = parsed.select("matrix_id", "response", "line_no", F.element_at("cells", -1).alias("last"), F.posexplode(F.slice("cells", F.lit(1), F.size("cells") - 1)).alias("dim_index", "cell"))
@@ -95,40 +75,24 @@ def last_wins(staged: DataFrame) -> DataFrame:
     return picked.select("matrix_id", "natural_key", *[f"r.{c}" for c in columns])
 
 
-def classify(target: DataFrame, staged: DataFrame) -> DataFrame:
-    """Keyed rows of both with ``action``: insert, update (value or status differ), unchanged, keep (not staged)."""
-    t = target.select("matrix_id", "natural_key", F.col("value").alias("old_value"), F.col("value_status").alias("old_status"), F.lit(True).alias("in_target"))
-    s = staged.select("matrix_id", "natural_key", "value", "value_status", F.lit(True).alias("in_stage"))
+KEYS = ["matrix_id", "natural_key"]
+
+
+def classify(target: DataFrame, staged: DataFrame, keys: list[str] = KEYS) -> DataFrame:
+    """Keyed rows of both with ``action``: insert, update (value or status differ), unchanged, keep (not staged). The
+    natural key alone suffices where it is made of the matrix, too."""
+    t = target.select(*keys, F.col("value").alias("old_value"), F.col("value_status").alias("old_status"), F.lit(True).alias("in_target"))
+    s = staged.select(*keys, "value", "value_status", F.lit(True).alias("in_stage"))
     same = F.col("value").eqNullSafe(F.col("old_value")) & F.col("value_status").eqNullSafe(F.col("old_status"))
     action = F.when(F.col("in_target").isNull(), "insert").when(F.col("in_stage").isNull(), "keep").when(same, "unchanged").otherwise("update")
-    return t.join(s, ["matrix_id", "natural_key"], "full").select("matrix_id", "natural_key", action.alias("action"), "old_value", "value")
+    return t.join(s, keys, "full").select(*keys, action.alias("action"), "old_value", "value")
 
 
-def merged(target: DataFrame, staged: DataFrame) -> DataFrame:
+def merged(target: DataFrame, staged: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """The target after the upsert: staged values and statuses win, new rows are added."""
-    columns = ["territory_id", "time_period_id", "unit_id", "value", "value_status", "class_ids"]
-    t = target.select("matrix_id", "natural_key", F.struct(*columns).alias("t"))
-    s = staged.select("matrix_id", "natural_key", F.struct(*columns).alias("s"))
-    both = t.join(s, ["matrix_id", "natural_key"], "full")
+    columns = [c for c in ("matrix_id", "territory_id", "time_period_id", "unit_id", "value", "value_status", "class_ids") if c not in keys]
+    t = target.select(*keys, F.struct(*columns).alias("t"))
+    s = staged.select(*keys, F.struct(*columns).alias("s"))
+    both = t.join(s, keys, "full")
     row = F.when(F.col("s").isNull(), F.col("t")).when(F.col("t").isNull(), F.col("s")).otherwise(F.col("t").withField("value", F.col("s.value")).withField("value_status", F.col("s.value_status")))
-    return both.select("matrix_id", "natural_key", row.alias("r")).select("matrix_id", "natural_key", *[f"r.{c}" for c in columns])
-
-
-def write_lines(wh: Warehouse, code: str) -> DataFrame:
-    """A matrix's facts as the lines of one CSV response, header first; for round trips."""
-    dims = wh.dimensions.join(wh.matrices.filter(F.col("matrix_code") == code).select("matrix_id"), "matrix_id").filter("dimension_type != 'UNIT_OF_MEASURE'").orderBy("dim_index").collect()
-    facts = wh.facts(code).join(wh.territories.select("territory_id", F.col("name").alias("territory")), "territory_id", "left").join(wh.time_periods.select("time_period_id", F.col("label_ro").alias("period")), "time_period_id")
-    cells = []
-    for d in dims:
-        if d["dimension_type"] == "CLASSIFICATION":
-            names = wh.class_values.filter(F.col("type_code") == d["type_code"]).select("value_id", F.col("name_ro").alias(f"d{d['dim_index']}")).collect()
-            named = F.lit(None).cast("string")
-            for r in names:
-                named = F.when(F.array_contains("class_ids", r[0]), r[1]).otherwise(named)
-            cells.append(named)
-        else:
-            cells.append(F.col("territory" if d["dimension_type"] == "TERRITORIAL" else "period"))
-    value = F.coalesce(F.col("value").cast("decimal(20,2)").cast("string"), F.when(F.col("value_status") == "missing", ":").otherwise(""))
-    lines = facts.select("matrix_id", F.lit(1).alias("response"), (F.xxhash64("natural_key").bitwiseAND(F.lit((1 << 62) - 1)) + 1).alias("line_no"), F.concat_ws(", ", *cells, value).alias("line"))
-    header = wh.spark.createDataFrame([(dims[0]["matrix_id"], 1, 0, "antet, Valoare"), (dims[0]["matrix_id"], 1, 7, "  ")], lines.schema)
-    return lines.unionByName(header)
+    return both.select(*keys, row.alias("r")).select("matrix_id" if "matrix_id" in keys else "r.matrix_id", "natural_key", *[f"r.{c}" for c in columns if c != "matrix_id"])

@@ -36,10 +36,14 @@ def _rankings(where: str, order: str, page: str = "") -> str:
       {js(f"percent_rank() OVER (ORDER BY value {order} NULLS LAST) * 100")} AS percentile, ntile(4) OVER (ORDER BY value {order} NULLS LAST, natural_key) AS quartile FROM annual_facts WHERE {where}) {page}""")
 
 
-def _distribution(where: str) -> str:
+def cents(x: str) -> str:
+    return js(js(x, 6))
+
+
+def _distribution(where: str, keys: str = "") -> str:
     p = lambda q: f"quantile_cont(value, {q})"
-    return _with(f"""SELECT count(*) AS total, count(value) AS n, count(*) - count(value) AS null_count, {js("avg(value)")} AS mean, {js("stddev_samp(value)")} AS deviation, {js("min(value)")} AS min_value, {js("max(value)")} AS max_value,
-      {js("max(value) - min(value)")} AS range_value, {js(p(0.1))} AS p10, {js(p(0.25))} AS p25, {js(p(0.5))} AS median, {js(p(0.75))} AS p75, {js(p(0.9))} AS p90, {js(f"{p(0.75)} - {p(0.25)}")} AS iqr FROM annual_facts WHERE {where}""")
+    return _with(f"""SELECT {keys} count(*) AS total, count(value) AS n, count(*) - count(value) AS null_count, {cents("avg(value)")} AS mean, {cents("stddev_samp(value)")} AS deviation, {cents("min(value)")} AS min_value, {cents("max(value)")} AS max_value,
+      {cents("max(value) - min(value)")} AS range_value, {cents(p(0.1))} AS p10, {cents(p(0.25))} AS p25, {cents(p(0.5))} AS median, {cents(p(0.75))} AS p75, {cents(p(0.9))} AS p90, {cents(f"{p(0.75)} - {p(0.25)}")} AS iqr FROM annual_facts WHERE {where} {"GROUP BY " + keys.rstrip(", ") if keys else ""}""")
 
 
 def _aggregate(function: str, where: str = "list_contains(class_ids, 1)") -> str:
@@ -90,6 +94,8 @@ PAIRS = {
     "rankings_lau": (lambda wh: an.rankings(wh, "ORD101A", 2000, "LAU"), _rankings("matrix_id = 1 AND year = 2000 AND level = 'LAU'", "DESC")),
     "rankings_page": (lambda wh: an.rankings(wh, "ORD101A", 1998, "NUTS3", 1, after_rank=10, limit=5), _rankings("matrix_id = 1 AND year = 1998 AND level = 'NUTS3' AND list_contains(class_ids, 1)", "DESC", "WHERE rank > 10 ORDER BY rank LIMIT 5")),
     "distribution": (lambda wh: an.distribution(wh, "ORD101A", 1998, "LAU"), _distribution("matrix_id = 1 AND year = 1998 AND level = 'LAU'")),
+    "distribution_every": (lambda wh: an.distributions(wh), _distribution("true", "matrix_id, year, level, ")),
+    "distribution_none": (lambda wh: an.distribution(wh, "ORD101A", 1900), _distribution("matrix_id = 1 AND year = 1900")),
     "distribution_nulls": (lambda wh: an.distribution(wh, "NUL101A", 1999), _distribution("matrix_id = 5 AND year = 1999")),
     "distribution_single": (lambda wh: an.distribution(wh, "ORD101A", 1998, "NATIONAL", 1), _distribution("matrix_id = 1 AND year = 1998 AND level = 'NATIONAL' AND list_contains(class_ids, 1)")),
     "aggregate_sum": (lambda wh: an.aggregate(wh, "ORD101A", 1998, 3, "sum", 1), _aggregate("CAST(sum(CAST(value AS DECIMAL(38,6))) AS DOUBLE)")),

@@ -1,4 +1,4 @@
-"""Label, ingest and planner queries, each with its oracle over the cube's tables."""
+"""Ingest queries, each with its oracle over the cube's tables."""
 
 from __future__ import annotations
 
@@ -7,42 +7,7 @@ from pyspark.sql import functions as F
 from cubelattice.functions import expr, labels
 from cubelattice.operators import ingest as ing
 from cubelattice.operators import resolve as res
-from cubelattice.plans.chunking import Dimension, Option, chunk_rows
-from cubelattice.sources.landing import MATRIX_JSON
-
-TIME_LABELS = [
-    ("Anul 2023", 2023, None, None, "ANNUAL"),
-    (" anul 1990 ", 1990, None, None, "ANNUAL"),
-    ("2030", 2030, None, None, "ANNUAL"),
-    ("2020-2024", 2020, None, None, "ANNUAL"),
-    ("2018–2022", 2018, None, None, "ANNUAL"),
-    ("Anii 2015-2020", 2020, None, None, "ANNUAL"),
-    ("Trimestrul IV 2024", 2024, 4, None, "QUARTERLY"),
-    ("trimestrul I 2001", 2001, 1, None, "QUARTERLY"),
-    ("Trimestrul iv 2024", None, None, None, None),
-    ("T3 2022", 2022, 3, None, "QUARTERLY"),
-    ("T5 2022", None, None, None, None),
-    ("Luna Mai 2020", 2020, None, 5, "MONTHLY"),
-    ("luna DECEMBRIE 1999", 1999, None, 12, "MONTHLY"),
-    ("Luna Brumar 1999", None, None, None, None),
-    ("Sep 2010", 2010, None, 9, "MONTHLY"),
-    ("Abc 2010", None, None, None, None),
-    ("Ianuarie", None, None, None, None),
-    ("Total", None, None, None, None),
-    ("", None, None, None, None),
-    ("text", None, None, None, None),
-]
-TERRITORY_LABELS = [
-    ("TOTAL", "RO"), ("Nivel National", "RO"), ("MACROREGIUNEA DOI", "RO2"), ("Regiunea NORD-VEST", "RO11"), ("Regiunea SUD-VEST OLTENIA", "RO41"), ("Regiunea VEST", "RO42"), ("Bucuresti - Ilfov", "RO32"),
-    ("Judetul Cluj", "CJ"), ("Bistrița-Năsăud", "BN"), ("Municipiul București", "B"), ("Bucuresti (incl. SAI)", "B"), ("38731 Ripiceni", "38731"), ("Extra-regiuni", "EXTRA"), ("Alba, Arad", None), ("Nowhere", None), ("Călărași", "CL"),
-]
-DIMENSION_LABELS = [
-    ("Judete", ["Total"], "TERRITORIAL", None), ("Macroregiuni, regiuni de dezvoltare si judete", ["Total"], "TERRITORIAL", None), ("Sexe", ["Total", "Masculin"], "CLASSIFICATION", "SEX"), ("Medii de rezidență", ["Urban"], "CLASSIFICATION", "RESIDENCE"),
-    ("Perioade", ["Anul 1990", "Anul 1991"], "TEMPORAL", None), ("Ani", ["1990"], "TEMPORAL", None), ("Luni", ["Luna Mai 2020"], "TEMPORAL", None), ("UM: Numar persoane", ["Numar"], "UNIT_OF_MEASURE", None), ("Unitate de masura", ["x"], "UNIT_OF_MEASURE", None),
-    ("Grupe de vârstă", ["0-4 ani"], "CLASSIFICATION", "AGE_GROUP"), ("CAEN Rev.2", ["A"], "CLASSIFICATION", "ECONOMIC_ACTIVITY"), ("Coduri", ["01011"], "CLASSIFICATION", None), ("Coduri scurte", ["0101"], "TEMPORAL", None), ("Altceva", ["a", "b", "c", "d", "e", "Anul 2000"], "CLASSIFICATION", None),
-]
-NAMES = [("  Bistrița\t Năsăud ", "BISTRITA NASAUD", "BISTRITA_NASAUD"), ("Şoseaua ţării", "SOSEAUA TARII", "SOSEAUA_TARII"), (None, "", ""), ("été - 2%", "ETE - 2%", "ETE_-_2"), ("ă" * 60, "A" * 60, "A" * 50)]
-
+from cubelattice.sources.overlay import csv_lines
 
 def _sql(x) -> str:
     return "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
@@ -57,24 +22,11 @@ def _labels(wh, rows: list[tuple], schema: str):
     return wh.spark.createDataFrame(rows, schema)
 
 
-def _time(wh):
-    parsed = labels.parse_time_label(F.col("label"))
-    return _labels(wh, [(r[0],) for r in TIME_LABELS], "label string").select("label", parsed.alias("p")).select("label", "p.year", "p.quarter", "p.month", "p.periodicity")
-
-
 def _round_trip(wh, code: str = "LIN101A", unit: int = 3):
-    parsed = ing.parse_lines(ing.write_lines(wh, code))
+    parsed = ing.parse_lines(csv_lines(wh, code))
     return ing.resolve(parsed, ing.options(wh, code), unit)
 
 
-_MARKS = [("12.5", 12.5, None), ("-3", -3.0, None), (":", None, "missing"), ("-", None, "no_data"), ("*", None, "confidential"), ("<0.5", None, "below_threshold"), ("", None, None), ("abc", None, None), ("1e3", 1000.0, None)]
-
-
-def _marks(wh):
-    value, status = ing.parse_value(F.col("cell"))
-    return _labels(wh, [(m[0],) for m in _MARKS], "cell string").select("cell", value.alias("value"), status.alias("value_status"))
-
-
 def _dedupe(wh):
     staged = _round_trip(wh)
     later = staged.filter("territory_id % 2 = 1").withColumns({"response": F.lit(2), "value": F.col("value") + 1})
@@ -88,44 +40,24 @@ def _upsert_stage(wh):
     return changed.unionByName(fresh)
 
 
-_LOOSE = [("Anul 1998 (provizoriu)", "ASIA regiune", 1, "TEMPORAL 19980000, TERRITORIAL 12"), ("1997", "Macro 1", 1, "TEMPORAL 19970000, TERRITORIAL 3"), ("???", "", 0, "")]
-
-
 def _loose(wh):
-    cells = _labels(wh, [(2, r[0]) for r in _LOOSE] + [(1, r[1]) for r in _LOOSE], "dim_index int, cell string")
-    return ing.match_labels(cells, ing.options(wh, "LIN101A")).select("dim_index", "cell", "kind", "member_id")
-
+    """Options of a matrix in other words: longer, shorter, in lower case, and labels of none."""
+    opts = ing.options(wh, "LIN101A")
+    label = F.col("label")
+    cells = opts.select("dim_index", F.explode(F.array(F.concat(label, F.lit(" (provizoriu)")), F.concat(F.lit("~ "), F.lower(label)), F.substring(label, -4, 4), F.concat(F.lit("?"), F.col("member_id").cast("string")))).alias("cell"))
+    return ing.match_labels(cells, opts).select("dim_index", "cell", "kind", "member_id", "ambiguous")
 
-_LOOSE_ROWS = [(2, "Anul 1998 (provizoriu)", "TEMPORAL", 19980000), (1, "ASIA regiune", "TERRITORIAL", 12), (2, "1997", "TEMPORAL", 19970000), (1, "Macro 1", "TERRITORIAL", 3)]
 
-_PLAN_DIMS = [
-    Dimension("TEMPORAL", [Option(n, f"Anul {1990 + n}") for n in range(30)]),
-    Dimension("TERRITORIAL", [Option(100 + n, f"Judet {n}") for n in range(43)]),
-    Dimension("CLASSIFICATION", [Option(1000 + n, f"Clasa {n}") for n in range(120)]),
-    Dimension("UNIT_OF_MEASURE", [Option(5000, "UM: Numar")]),
-]
-
-#: label, English label, code, symbol, name_ro, name_en, name_normalized
-UNIT_LABELS = [
-    ("UM: Numar persoane", None, "PERSONS", "pers.", "Numar persoane", "Persons", "NUMAR PERSOANE"),
-    ("um:  Lei / kg", None, "LEI__KG", "lei/kg", "Lei / kg", "Lei per kilogram", "LEI / KG"),
-    ("Mii tone", "Thousand tons", "THOUSAND_TONS", "mii t", "Mii tone", "Thousand tons", "MII TONE"),
-    ("UM: Găini ouătoare", None, "GAINI_OUATOARE", None, "Găini ouătoare", "Găini ouătoare", "GAINI OUATOARE"),
-    ("%", None, "PERCENT", "%", "%", "Percent", "%"),
-]
-
-
-def _units(wh):
-    return res.units(_labels(wh, [u[:2] for u in UNIT_LABELS] + [("UM: ", None), ("  ", None)], "label string, label_en string"))
-
-
-def _unit_table(wh):
-    known = wh.units.select("unit_id", "code", "symbol", "name_ro", "name_en", F.array(F.concat(F.lit("UM: "), "name_ro")).alias("patterns"))
-    found = res.find_or_create_units(known, _labels(wh, [("UM: Lei", None), ("Lei", None), ("UM: Ore", None), ("ore", None), ("UM: Bucăți", None)], "label string, label_en string"))
-    return found.select("unit_id", "code", "symbol", F.array_join("patterns", "|").alias("patterns"))
-
-
-_UNIT_TABLE = [(1, "LEI", "lei", "UM: Lei|Lei"), (2, "NUMBER", "nr.", "UM: Număr"), (3, "BUCATI", "buc.", "UM: Bucăți"), (4, "ORE", "ore", "UM: Ore|ore")]
+_OPTIONS = """own AS (
+    SELECT dim_index, 'TERRITORIAL' AS kind, name AS label, territory_id AS member_id FROM (SELECT DISTINCT territory_id FROM f3) JOIN territories USING (territory_id) JOIN dimensions ON matrix_id = 3 AND dimension_type = 'TERRITORIAL'
+    UNION ALL SELECT dim_index, 'TEMPORAL', time_periods.label_ro, time_period_id FROM (SELECT DISTINCT time_period_id FROM f3) JOIN time_periods USING (time_period_id) JOIN dimensions ON matrix_id = 3 AND dimension_type = 'TEMPORAL'
+    UNION ALL SELECT dim_index, 'CLASSIFICATION', v.name_ro, value_id FROM class_values v JOIN dimensions d ON d.matrix_id = 3 AND d.dimension_type = 'CLASSIFICATION' AND d.type_code = v.type_code),
+  plain AS (SELECT *, trim(upper(strip_accents(label))) AS o FROM own)"""
+_LOOSE = f""", {_OPTIONS}, cells AS (
+    SELECT DISTINCT dim_index, unnest([label || ' (provizoriu)', '~ ' || lower(label), right(label, 4), '?' || member_id]) AS cell FROM own),
+  normal AS (SELECT *, trim(upper(strip_accents(cell))) AS n FROM cells WHERE trim(cell) <> ''),
+  met AS (SELECT c.dim_index, c.cell, p.kind, p.member_id, c.n = p.o AS same, bool_or(c.n = p.o) OVER (PARTITION BY c.dim_index, c.cell) AS any_same FROM normal c JOIN plain p ON p.dim_index = c.dim_index AND (contains(c.n, p.o) OR contains(p.o, c.n)))
+  SELECT dim_index, cell, arg_min(kind, member_id) AS kind, min(member_id) AS member_id, count(*) AS ambiguous FROM met WHERE same OR NOT any_same GROUP BY 1, 2"""
 
 
 def _found_periods(wh):
@@ -138,101 +70,28 @@ _PERIODS = f"""SELECT label, year, CAST(quarter AS INTEGER) AS quarter, CAST(mon
   ('Anul 1998', 1998, NULL, NULL, 'ANNUAL', 19980000), ('1998', 1998, NULL, NULL, 'ANNUAL', 19980000), ('Anul 2050', 2050, NULL, NULL, 'ANNUAL', {_NEW} + 1), ('2050-2055', 2050, NULL, NULL, 'ANNUAL', {_NEW} + 1),
   ('Luna Mai 2050', 2050, NULL, 5, 'MONTHLY', {_NEW} + 2), ('Mai 2050', 2050, NULL, 5, 'MONTHLY', {_NEW} + 2), ('Total', NULL, NULL, NULL, NULL, NULL), ('Trimestrul II 1996', 1996, 2, NULL, 'QUARTERLY', 19960200)) AS v(label, year, quarter, month, periodicity, id)"""
 
-_PLACES = [("TOTAL", "RO"), ("1234 Satul Nou", "C7"), ("54321 Nicaieri", None), ("Judetul Cluj", "CJ"), ("Nowhere", None)]
-
-
-def _places(wh):
-    rows = [(1, "RO", None), (2, "CJ", None), (3, "C7", "1234"), (4, "54320", None)]
-    known = _labels(wh, rows, "territory_id int, code string, siruta_code string")
-    return res.territories(known, _labels(wh, [(p[0],) for p in _PLACES] + [("54320 Dupa cod", )], "label string"))
-
-
-def _class_values(wh):
-    known = wh.class_values.select("value_id", "type_code", "code", expr.content_hash(F.col("name_ro")).alias("content_hash"), F.col("code").alias("path"), F.lit(None).cast("int").alias("parent_id"), F.lit(0).alias("level"), "name_ro", "sort_order")
-    rows = [("SEGMENT", "  constructii", None, 0, 9), ("SEGMENT", "Aviație", "Total", 1, 7), ("SEGMENT", "AVIATIE ", "Total", 1, 8), ("SEGMENT", "Avioane mici", "Aviatie", 2, 9), ("EVENT_TYPE", "Aviație", None, 0, 7)]
-    found = res.class_values(known, _labels(wh, rows, "type_code string, label string, parent_label string, level int, sort_order int"))
-    return found.filter(F.col("value_id") > 36).select("value_id", "type_code", "code", "path", "parent_id", "level", "name_ro")
-
-
-_CLASS_VALUES = [(37, "EVENT_TYPE", "AVIATIE", "AVIATIE", None, 0, "Aviație"), (38, "SEGMENT", "AVIATIE", "TOTAL.AVIATIE", 11, 1, "Aviație"), (39, "SEGMENT", "AVIOANE_MICI", "AVIATIE.AVIOANE_MICI", 38, 2, "Avioane mici")]
-
-
-def _mapped(wh):
-    labels = _labels(wh, [("Anul 1998", None), ("anul  1998", None), ("Anul 1997", ""), ("Luna Brumar 1999", None)], "label string, hint string")
-    found = res.periods(wh.time_periods, labels.select("label")).select("label", F.col("time_period_id").alias("target"))
-    rows = res.mapped(labels, wh.label_mappings, found, "TIME_PERIOD", "no period", "2024-02-01 00:00:00")
-    return res.remembered(wh.label_mappings, rows).drop("context_hint")
-
-
-_MAPPED = [
-    ("ANUL 1998", "Anul 1998", "TIME_PERIOD", "19980000", "EXACT", None, "2024-02-01 00:00:00"),
-    ("ANUL 1997", "Anul 1997", "TIME_PERIOD", "19970000", "PATTERN", None, "2024-02-01 00:00:00"),
-    ("LUNA BRUMAR 1999", "Luna Brumar 1999", "TIME_PERIOD", None, None, "no period", "2024-02-01 00:00:00"),
-    ("ATLANTIDA", "Atlantida", "TERRITORY", None, None, "no territory", "2024-01-03 08:00:01"),
-]
-
-_RESPONSES = {
-    "ro": """{"matrixName": "Populatia", "periodicitati": ["Anuala", "Trimestriala"], "surseDeDate": [{"nume": "Ancheta"}, {"nume": "Registru"}], "ultimaActualizare": "01-02-2024",
-      "dimensionsMap": [{"dimCode": 7, "label": "Sexe", "options": [{"label": "Total", "nomItemId": 1, "offset": 1}, {"label": "Masculin", "nomItemId": 2, "offset": 2, "parentId": 1}]},
-        {"dimCode": 8, "label": "Coduri", "options": [{"label": "Alba", "nomItemId": 3, "offset": 1}]}, {"dimCode": 9, "label": "Perioade", "options": [{"label": "Anul 1990", "nomItemId": 4, "offset": 1}, {"label": "Anul 2024", "nomItemId": 5, "offset": 2}]},
-        {"dimCode": 6, "label": "UM: Numar persoane", "options": [{"label": "Numar persoane", "nomItemId": 6, "offset": 1}]}], "details": {"nomJud": 2, "nomLoc": 0, "matSiruta": 1, "matTime": 3, "matRegJ": 0}}""",
-    "en": """{"matrixName": "Population", "surseDeDate": [{"nume": "Survey"}], "dimensionsMap": [{"dimCode": 9, "label": "Periods", "options": []}, {"dimCode": 7, "label": "Sexes", "options": []}]}""",
-}
-
-
-def _metadata(wh):
-    read = lambda lang: _labels(wh, [("POP101A", _RESPONSES[lang])], "code string, body string").select("code", F.from_json("body", MATRIX_JSON).alias("r")).select("code", "r.*")
-    dims = F.array_join(F.transform("dimensions", lambda d: F.concat_ws(":", d["dim_index"].cast("string"), d["label_ro"], F.coalesce(d["label_en"], F.lit("-")), d["dimension_type"], d["option_count"].cast("string"), d["is_hierarchical"].cast("string"))), "; ")
-    sources = F.array_join(F.transform("sources", lambda x: F.concat_ws("/", x["name"], x["name_en"])), ",")
-    return res.metadata(read("ro"), read("en")).select("code", "name_ro", "name_en", F.array_join("periodicity", ",").alias("periodicities"), "year_from", "year_to", "has_uat", "has_county", "has_siruta", "last_update", sources.alias("sources"), dims.alias("dimensions"))
-
-
-_METADATA = """SELECT 'POP101A' AS code, 'Populatia' AS name_ro, 'Population' AS name_en, 'ANNUAL,QUARTERLY' AS periodicities, 1990 AS year_from, 2024 AS year_to, false AS has_uat, true AS has_county, true AS has_siruta, '01-02-2024' AS last_update,
-  'Ancheta/Survey,Registru' AS sources, '0:Sexe:Sexes:CLASSIFICATION:2:true; 1:Coduri:-:TERRITORIAL:1:false; 2:Perioade:Periods:TEMPORAL:2:false; 3:UM: Numar persoane:-:UNIT_OF_MEASURE:1:false' AS dimensions"""
-
-
 def _counties(wh):
     side = lambda level: wh.territories.filter(F.col("level").isin(*level)).select(F.col("code").alias("id"), "path")
     return res.counties_of(side(["LAU"]), side(["NUTS3", "NUTS2"]))
 
 
-_PLAN = """SELECT CAST(n AS INTEGER) AS chunk_no, substr(md5('v2|X|' || query), 1, 16) AS chunk_hash, CAST(5 * 43 * 120 AS BIGINT) AS cells, query FROM (
-  SELECT n, array_to_string(range(5 * n, 5 * n + 5), ',') || ':' || array_to_string(range(100, 143), ',') || ':' || array_to_string(range(1000, 1120), ',') || ':5000' AS query FROM range(6) AS t(n))"""
-
 PAIRS = {
-    "resolve_units": (_units, _values([u[:1] + u[2:] for u in UNIT_LABELS], "label, code, symbol, name_ro, name_en, name_normalized", ["VARCHAR"] * 6)),
-    "find_or_create_units": (_unit_table, _values(_UNIT_TABLE, "unit_id, code, symbol, patterns", ["INTEGER", "VARCHAR", "VARCHAR", "VARCHAR"])),
     "find_or_create_periods": (_found_periods, _PERIODS),
     "new_period_rows": (
         lambda wh: res.period_rows(_found_periods(wh)).filter("year = 2050").select(F.col("period_start").cast("string"), F.col("period_end").cast("string"), "label_ro", "label_en"),
         _values([("2050-01-01", "2050-12-31", "Anul 2050", "Year 2050"), ("2050-05-01", "2050-05-31", "Luna Mai 2050", "Month May 2050")], "period_start, period_end, label_ro, label_en", ["VARCHAR"] * 4),
     ),
-    "find_territories": (_places, _values([(x, {"RO": 1, "CJ": 2, "C7": 3, None: None}[c], c) for x, c in _PLACES] + [("54320 Dupa cod", 4, "54320")], "label, territory_id, code", ["VARCHAR", "INTEGER", "VARCHAR"])),
-    "find_or_create_class_values": (_class_values, _values(_CLASS_VALUES, "value_id, type_code, code, path, parent_id, level, name_ro", ["INTEGER", "VARCHAR", "VARCHAR", "VARCHAR", "INTEGER", "INTEGER", "VARCHAR"])),
-    "map_labels": (_mapped, _values(_MAPPED, "label_normalized, label_original, context_type, target, method, reason, created_at", ["VARCHAR"] * 7)),
-    "build_metadata": (_metadata, _METADATA),
     "counties_of_localities": (_counties, "SELECT l.code AS locality, p.code AS county FROM territories l JOIN territories p ON p.territory_id = l.parent_id WHERE l.level = 'LAU'"),
     "class_type_fallback": (
         lambda wh: wh.dimensions.filter("dimension_type = 'CLASSIFICATION'").join(wh.matrices.select("matrix_id", "matrix_code"), "matrix_id").select("matrix_code", "dim_index", labels.infer_class_type(F.col("label_ro"), F.concat("matrix_code", F.lit("_DIM"), "dim_index")).alias("type_code")),
         "SELECT matrix_code, dim_index, matrix_code || '_DIM' || dim_index AS type_code FROM dimensions JOIN matrices USING (matrix_id) WHERE dimension_type = 'CLASSIFICATION'",
     ),
-    "parse_time_labels": (_time, _values(TIME_LABELS, "label, year, quarter, month, periodicity", ["VARCHAR", "INTEGER", "INTEGER", "INTEGER", "VARCHAR"])),
     "parse_time_labels_round_trip": (
         lambda wh: wh.time_periods.select("time_period_id", labels.parse_time_label(F.col("label_ro")).alias("p")).select("time_period_id", "p.year", "p.quarter", "p.month", "p.periodicity"),
         "SELECT time_period_id, year, quarter, month, periodicity FROM time_periods",
     ),
-    "resolve_territory_labels": (lambda wh: _labels(wh, [(r[0],) for r in TERRITORY_LABELS], "label string").select("label", labels.resolve_territory(F.col("label")).alias("code")), _values(TERRITORY_LABELS, "label, code", ["VARCHAR", "VARCHAR"])),
-    "infer_dimension_types": (
-        lambda wh: _labels(wh, [(r[0], r[1]) for r in DIMENSION_LABELS], "label string, options array<string>").select("label", labels.infer_dimension_type(F.col("label"), F.col("options")).alias("kind"), labels.infer_class_type(F.col("label")).alias("type_code")),
-        _values([(r[0], r[2], r[3]) for r in DIMENSION_LABELS], "label, kind, type_code", ["VARCHAR"] * 3),
-    ),
-    "normalize_labels": (
-        lambda wh: _labels(wh, [(n[0],) for n in NAMES], "label string").select("label", expr.normalize_label(F.col("label")).alias("normalized"), expr.code_from_label(F.col("label")).alias("code")),
-        _values([(n[0], n[1], n[2].replace("-", "")) for n in NAMES], "label, normalized, code", ["VARCHAR"] * 3),
-    ),
     "content_hashes": (lambda wh: wh.territories.select("code", expr.content_hash(F.col("name")).alias("hash")), "SELECT code, sha256(upper(trim(name))) AS hash FROM territories"),
-    "parse_value_marks": (_marks, _values([(m[0], m[1] if m[1] is None else str(m[1]), m[2]) for m in _MARKS], "cell, value, value_status", ["VARCHAR", "DOUBLE", "VARCHAR"])),
-    "match_labels": (_loose, _values(_LOOSE_ROWS, "dim_index, cell, kind, member_id", ["INTEGER", "VARCHAR", "VARCHAR", "INTEGER"])),
+    "match_labels": (_loose, _LOOSE),
     "ingest_round_trip": (lambda wh: ing.last_wins(_round_trip(wh)).select("natural_key", "territory_id", "time_period_id", "value"), "SELECT natural_key, territory_id, time_period_id, value FROM statistics WHERE matrix_id = 3"),
     "ingest_errors": (lambda wh: _round_trip(wh).groupBy("error").agg(F.count("*").alias("n")), "SELECT CAST(NULL AS VARCHAR) AS error, count(*) AS n FROM statistics WHERE matrix_id = 3"),
     "ingest_last_wins": (_dedupe, "SELECT natural_key, CASE WHEN territory_id % 2 = 1 THEN value + 1 ELSE value END AS value FROM statistics WHERE matrix_id = 3"),
@@ -247,5 +106,4 @@ PAIRS = {
         """SELECT natural_key, territory_id, CASE WHEN territory_id < 120 AND territory_id % 2 = 0 THEN value + 1 ELSE value END AS value, value_status FROM statistics WHERE matrix_id = 5
            UNION ALL SELECT 'new-' || natural_key, territory_id, value, value_status FROM statistics WHERE matrix_id = 5 AND territory_id = 110""",
     ),
-    "chunk_plan": (lambda wh: wh.spark.createDataFrame(chunk_rows("X", _PLAN_DIMS), "chunk_no int, chunk_hash string, cells long, query string"), _PLAN),
 }

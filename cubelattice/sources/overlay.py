@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cubelattice.functions.expr import natural_key
 from cubelattice.functions.labels import period_label_en, period_label_ro
 from cubelattice.sources.catalog_rows import CLASS_VALUES, STATIC
+from cubelattice.sources.derived import DERIVED
 from cubelattice.sources.warehouse import Warehouse
 
 MONEY = "decimal(18,2)"
@@ -22,7 +23,12 @@ MONEY = "decimal(18,2)"
 
 def cube(spark: SparkSession, sf_dir: str) -> Warehouse:
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    tables = {name: lambda rows=rows, schema=schema: inline(spark, rows, schema) for name, (rows, schema) in STATIC.items()}
+
+    def catalog(name: str) -> DataFrame:
+        fixed = inline(spark, *STATIC[name])
+        return fixed.union(DERIVED[name](read).select(*fixed.columns)) if name in DERIVED else fixed
+
+    tables = {name: lambda name=name: catalog(name) for name in STATIC}
     return Warehouse(spark, tables | {"territories": lambda: territories(read), "time_periods": lambda: time_periods(read), "statistics": lambda: statistics(read)})
 
 
@@ -183,3 +189,19 @@ def statistics(read) -> DataFrame:
     gaps = gaps.select((F.col("n_nationkey") + 100).alias("territory_id"), year_id(y).alias("time_period_id"), F.array().cast("array<int>").alias("class_ids"), "value", ((F.col("n_nationkey") + 100 + y) % 7 == 0).alias("gap"))
     fifth = _fact(gaps, 5, 1, F.when(~F.col("gap"), F.col("value")), F.when(F.col("gap"), "missing"))
     return reduce(DataFrame.unionByName, [first, second, third, fourth, fifth])
+
+
+def csv_lines(wh: Warehouse, code: str) -> DataFrame:
+    """A matrix's facts as the lines of one CSV response of the source, header first."""
+    own = wh.dimensions.join(wh.matrices.filter(F.col("matrix_code") == code).select("matrix_id"), "matrix_id").filter("dimension_type != 'UNIT_OF_MEASURE'")
+    facts = wh.facts(code).join(wh.territories.select("territory_id", F.col("name").alias("territory")), "territory_id", "left").join(wh.time_periods.select("time_period_id", F.col("label_ro").alias("period")), "time_period_id")
+    values = wh.class_values.select("value_id", "type_code", F.col("name_ro").alias("value_name"))
+    cells = facts.join(own.select("matrix_id", "dim_index", "dimension_type", "type_code"), "matrix_id")
+    named = cells.withColumn("value_id", F.explode_outer(F.when(F.col("dimension_type") == "CLASSIFICATION", F.col("class_ids")).otherwise(F.array(F.lit(None).cast("int")))))
+    named = named.join(values, ["value_id", "type_code"], "left")
+    cell = F.when(F.col("dimension_type") == "TERRITORIAL", F.col("territory")).when(F.col("dimension_type") == "TEMPORAL", F.col("period")).otherwise(F.col("value_name"))
+    rows = named.withColumn("cell", cell).groupBy("matrix_id", "natural_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("cell").isNotNull(), F.struct("dim_index", "cell")))), lambda c: c["cell"]), ", ").alias("cells"), F.first("value").alias("value"), F.first("value_status").alias("value_status"))
+    shown = F.coalesce(F.col("value").cast("decimal(20,2)").cast("string"), F.when(F.col("value_status") == "missing", ":").otherwise(""))
+    lines = rows.select("matrix_id", F.lit(1).alias("response"), (F.xxhash64("natural_key").bitwiseAND(F.lit((1 << 62) - 1)) + 1).alias("line_no"), F.concat_ws(", ", "cells", shown).alias("line"))
+    head = inline(wh.spark, [(wh.matrix_id(code), 1, 0, "antet, Valoare"), (wh.matrix_id(code), 1, 7, "  ")], "matrix_id int, response int, line_no bigint, line string")
+    return lines.unionByName(head)

@@ -30,12 +30,6 @@ def by_range(df: DataFrame, key: str) -> DataFrame:
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The frame with its lineage cut in the session's checkpoint folder, where it has one; else as it is."""
-    spark = df.sparkSession
-    return df.checkpoint() if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() else df
-
-
 class NotFoundError(LookupError):
     """A matrix, territory or other entity that a query names does not exist."""
 

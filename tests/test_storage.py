@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cubelattice.operators import analytics, catalog, ingest, statistics, views
 from cubelattice.sources import landing, sinks
-from cubelattice.sources.overlay import cube
+from cubelattice.sources.overlay import csv_lines, cube
 from cubelattice.sources.warehouse import NotFoundError, Warehouse
 from cubelattice.streaming.ingest import ingest_stream
 
@@ -68,7 +68,7 @@ def test_stream_ingests_landed_lines(spark, stored, tmp_path):
     path, landed = str(tmp_path / "facts"), str(tmp_path / "landing")
     kept.statistics.filter("matrix_id = 3").limit(0).withColumn("matrix_id", F.lit(3)).write.parquet(path)
     spark.createDataFrame([(9, "k", 1, 1, 1, 1.0, None, [1])], "matrix_id int, natural_key string, territory_id int, time_period_id int, unit_id int, value double, value_status string, class_ids array<int>").write.mode("overwrite").partitionBy("matrix_id").parquet(path)
-    ingest.write_lines(kept, "LIN101A").write.json(landed)
+    csv_lines(kept, "LIN101A").write.json(landed)
     options = ingest.options(kept, "LIN101A")
     for _ in range(2):  # a second run finds nothing new
         query = ingest_stream(spark, landed, path, options, 3, str(tmp_path / "staging"), str(tmp_path / "checkpoint"))
