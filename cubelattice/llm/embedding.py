@@ -2,22 +2,23 @@
 
 Vectors are compared inside a label only. Equal vectors of a label are one class with a multiplicity. Classes are
 dealt into shards of at most about ``SHARD``; each shard's hierarchical navigable small-world graph is built once
-and stored, with its vectors, in the shared folder. Classes of a label are also dealt into blocks of about
-``QUERIES``; a task holds the vectors of one block, and the graphs of all shards of the label pass by one after
+and stored, with its vectors, in the shared folder. Classes of a label are also dealt into ``WIDE`` blocks, of
+``QUERIES`` to 4 x ``QUERIES``; a task holds the vectors of one block, and the graphs of all shards of the label pass by one after
 the other, so every class queries every shard while a task holds one block and one graph, whatever the label's
 share of the rows. Graphs search in single precision.
 
 A query's beam widens until its worst member is below the threshold (a beam over an eighth of the shard takes in
 all of it, by one matrix product). For every block and shard an audit compares evenly spaced queries with brute
 force, a query's own class left out on both sides: the links found and, since there may be few, whether the
-nearest other class is found. More queries are audited until ``LINKS`` links are seen or ``AUDITS`` queries are
+nearest other class is found (the latter alone is the evidence where a block sees no links). More queries are audited until ``LINKS`` links are seen or ``AUDITS`` queries are
 taken; the beam doubles until ``RECALL`` of the links and ``NEAREST`` of the nearest are found (a beam as wide as the
 shard ends it; beams widen beyond it for a query that has many links). The audits' sums are in the column ``recall``: links found by the first beams that passed, over the links there are (1 without any).
 
 Links are verified by cosine in double precision, over vectors scaled by a power of two so that no square over- or
 underflows. A task passes on a number of links per query and a spanning forest, never the pairs; components of the
 forests give the groups. One shard per label makes the cost n log n; beyond that every shard is still queried, so
-it grows with classes times shards, and graphs are copied once per block.
+it grows with classes times shards, and graphs (a class's vector in double precision and its 24 links) are copied once per
+block: of 100 million classes of 128 numbers in one label some 1,500 copies of 112 GB.
 
 Vectors that are null, zero, or hold null or non-finite components, and vectors without label, link with
 nothing and are their own component. Vectors of unlike lengths do not link. Null identifiers: such rows
@@ -43,7 +44,7 @@ from cubelattice.llm.simhash import Forest
 
 COSINE = 0.98
 SHARD = 8192
-QUERIES = 16_384
+QUERIES, WIDE = 16_384, 64
 DEGREE = 12
 BEAM = 48
 RECALL, NEAREST = 0.99, 0.9
@@ -239,6 +240,16 @@ class Shard:
         self.norm = np.sqrt(np.einsum("nd,nd->n", vectors, vectors))
         self.graph = SmallWorld(vectors / self.norm[:, None])
 
+    def __getstate__(self) -> dict:
+        """Without the unit vectors, which the vectors give again."""
+        graph = SmallWorld.__new__(SmallWorld)
+        graph.__dict__.update(self.graph.__dict__, unit=None)
+        return self.__dict__ | {"graph": graph}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.graph.unit = (self.vectors / self.norm[:, None]).astype(np.float32)
+
     def cosine(self, queries: np.ndarray) -> np.ndarray:
         return (queries @ self.vectors.T) / (np.sqrt(np.einsum("nd,nd->n", queries, queries))[:, None] * self.norm[None, :])
 
@@ -388,7 +399,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         classes = rows.filter("digest is not null").groupBy("label", "dim", "digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("body").alias("body"))
         # classes go by numbers of their own, stored with them: identifiers may be null or repeat
         classes = written(classes.withColumn("node", F.monotonically_increasing_id()))
-        sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"), F.ceil(F.count("*") / queries).cast("int").alias("blocks"))
+        sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"), F.ceil(F.count("*") / F.least(F.greatest(F.count("*") / WIDE, F.lit(queries)), F.lit(4 * queries))).cast("int").alias("blocks"))
         dealt = classes.join(written(sizes), ["label", "dim"])
         part = F.pmod(F.xxhash64("node"), "shards").cast("int")
         block = F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int")
