@@ -4,24 +4,26 @@ Parquet has no in-place update. An upsert stores the staged rows once, writes th
 table beside the old ones, reads them back, and overwrites those partitions only (dynamic mode), so no job reads
 files it is replacing. Spark replaces the partitions one after the other when the job commits; a job that ends
 before leaves the old ones, one that ends in between leaves some new ones. The finished copy stays until all are
-replaced, and ``resume`` completes the work from it, so a second try is harmless; then it is removed."""
+replaced, and ``resume`` completes the work from it, so a second try is harmless; then it is removed.
+``facts.FactStore`` upserts several matrices in one commit; a matrix's metadata, stored aggregates and saved queries are
+snapshots (``snapshots``), too, whose old versions are removed."""
 
 from __future__ import annotations
 
-import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cubelattice.operators.ingest import classify, last_wins, merged
+from cubelattice.sources.scratch import remove
+from cubelattice.sources.snapshots import ConflictError, Snapshots
 from cubelattice.sources.warehouse import NotFoundError, by_range
 
-
-def _remove(spark: SparkSession, path: str) -> None:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+#: Versions that stay, for readers that have begun.
+KEPT = 2
 
 
 def replace_partitions(df: DataFrame, path: str, key: str, staging: str) -> None:
@@ -35,7 +37,7 @@ def resume(spark: SparkSession, copy: str, path: str, key: str, schema: StructTy
     """Put a finished copy in place of the partitions it holds, and remove it."""
     rows = spark.read.schema(schema).parquet(copy)
     by_range(rows, key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
-    _remove(spark, copy)
+    remove(spark, copy)
 
 
 def upsert_facts(spark: SparkSession, path: str, staged: DataFrame, staging: str) -> dict[str, int]:
@@ -50,14 +52,18 @@ def upsert_facts(spark: SparkSession, path: str, staged: DataFrame, staging: str
     actions = dict(classify(target, staged).groupBy("action").count().collect())
     if actions.get("insert", 0) + actions.get("update", 0):
         replace_partitions(merged(target, staged), path, "matrix_id", staging)
-    _remove(spark, copy)
+    remove(spark, copy)
     return {k: actions.get(k, 0) for k in ("insert", "update", "unchanged")}
 
 
-def replace_matrix(path: str, staging: str, matrix: DataFrame, dimensions: DataFrame, options: DataFrame) -> None:
-    """A matrix's metadata, dimensions and options take the place of what is stored of them; all have matrix_id."""
-    for name, rows in (("matrices", matrix), ("dimensions", dimensions), ("options", options)):
-        replace_partitions(rows, f"{path}/{name}", "matrix_id", staging)
+def replace_matrix(store: Snapshots, matrix: DataFrame, dimensions: DataFrame, options: DataFrame) -> int:
+    """A matrix's metadata, dimensions and options take the place of what is stored of them, in one commit; all have
+    matrix_id. The new version."""
+    own = [r[0] for r in matrix.select("matrix_id").distinct().collect()]  # one matrix, or a few
+    with store.begin() as tx:
+        for name, rows in (("matrices", matrix), ("dimensions", dimensions), ("options", options)):
+            tx.write(name, rows, "matrix_id", replace=own)
+    return tx.version
 
 
 def seeded(old: DataFrame, new: DataFrame, key: str = "code", force: bool = False) -> DataFrame:
@@ -65,18 +71,19 @@ def seeded(old: DataFrame, new: DataFrame, key: str = "code", force: bool = Fals
     return new.select(*old.columns) if force else upsert_rows(old, new, key)
 
 
-def refresh(spark: SparkSession, path: str, views: dict[str, DataFrame]) -> None:
-    """Store aggregates anew, each as a new version beside the old one; a reader of ``stored`` sees whole versions."""
-    for name, df in views.items():
-        version = uuid.uuid4().hex
-        df.write.parquet(f"{path}/{name}/v-{version}")
-        spark.createDataFrame([(version, time.time())], "version string, at double").coalesce(1).write.mode("append").parquet(f"{path}/{name}/versions")
+def refresh(spark: SparkSession, path: str, views: dict[str, DataFrame]) -> int:
+    """Store aggregates anew, all in one commit; the new version. Older ones but the last are removed."""
+    store = Snapshots(spark, path)
+    with store.begin() as tx:
+        for name, df in views.items():
+            tx.write(name, df)
+    store.expire(KEPT)
+    return tx.version
 
 
 def stored(spark: SparkSession, path: str, name: str) -> DataFrame:
     """The latest stored version of an aggregate."""
-    version = spark.read.parquet(f"{path}/{name}/versions").orderBy(F.desc("at")).first()["version"]
-    return spark.read.parquet(f"{path}/{name}/v-{version}")
+    return Snapshots(spark, path).read(name)
 
 
 def upsert_rows(old: DataFrame, new: DataFrame, key: str, replace: list[str] | None = None) -> DataFrame:
@@ -104,45 +111,52 @@ def missing_from(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 class SavedQueries:
-    """Stored filters: a small table that one driver reads, changes and rewrites as a new version."""
+    """Stored filters: a small table, of which each change is a version. Two drivers that change it at once take turns."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
-
-    def _versions(self) -> list[int]:
-        try:
-            rows = self.spark.read.text(f"{self.path}/versions").collect()
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return []
-        return sorted(int(r[0]) for r in rows)
+        self.spark, self.schema, self.store = spark, schema, Snapshots(spark, path)
 
     def frame(self) -> DataFrame:
-        found = self._versions()
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{found[-1]}") if found else self.spark.createDataFrame([], self.schema)
-
-    def _write(self, df: DataFrame) -> None:
-        n = (self._versions() or [0])[-1] + 1
-        df.coalesce(1).write.parquet(f"{self.path}/v{n}")
-        self.spark.createDataFrame([(str(n),)], "v string").coalesce(1).write.mode("append").text(f"{self.path}/versions")
+        try:
+            return self.store.read("saved")
+        except LookupError:
+            return self.spark.createDataFrame([], self.schema)
+
+    def _change(self, change: Callable[[DataFrame], DataFrame | None]) -> None:
+        """Write what a change makes of the table; again from its new state where another driver was first. A change that
+        gives nothing leaves it."""
+        while True:
+            try:
+                with self.store.begin() as tx:
+                    rows = change(self.frame())
+                    if rows is not None:
+                        tx.write("saved", rows.coalesce(1))
+            except ConflictError:
+                continue
+            self.store.expire(KEPT)
+            return
 
     def add(self, row: tuple) -> None:
-        self._write(self.frame().unionByName(self.spark.createDataFrame([row], self.schema)))
+        self._change(lambda now: now.unionByName(self.spark.createDataFrame([row], self.schema)))
 
     def executed(self, query_id: int) -> int:
         """Count one more execution; the number so far. The table has a column execution_count."""
-        now = self.frame()
-        rows = now.withColumn("execution_count", F.when(F.col("query_id") == query_id, F.coalesce("execution_count", F.lit(0)) + 1).otherwise(F.col("execution_count")).cast(now.schema["execution_count"].dataType))
-        found = rows.filter(F.col("query_id") == query_id).first()
-        if found is None:
-            raise NotFoundError(f"no saved query {query_id}")
-        self._write(rows)
-        return found["execution_count"]
+        own = F.col("query_id") == query_id
+
+        def counted(now: DataFrame) -> DataFrame:
+            if now.filter(own).isEmpty():
+                raise NotFoundError(f"no saved query {query_id}")
+            return now.withColumn("execution_count", F.when(own, F.coalesce("execution_count", F.lit(0)) + 1).otherwise(F.col("execution_count")).cast(now.schema["execution_count"].dataType))
+
+        self._change(counted)
+        return self.frame().filter(own).first()["execution_count"]
 
     def delete(self, query_id: int) -> bool:
-        now = self.frame()
-        if now.filter(F.col("query_id") == query_id).isEmpty():
-            return False
-        self._write(now.filter(F.col("query_id") != query_id))
-        return True
+        gone = []
+
+        def rest(now: DataFrame) -> DataFrame | None:
+            gone.append(not now.filter(F.col("query_id") == query_id).isEmpty())
+            return now.filter(F.col("query_id") != query_id) if gone[-1] else None
+
+        self._change(rest)
+        return gone[-1]

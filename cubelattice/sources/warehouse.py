@@ -13,13 +13,17 @@ anti join over the bridge (tests hold both against each other).
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cubelattice.sources.catalog_rows import STATIC
+from cubelattice.sources.scratch import remove
 
+#: Small tables that are written at a time.
+SIDE_BY_SIDE = 4
 TABLES = ("statistics", "territories", "time_periods", *STATIC)
 LEVELS = ("NATIONAL", "NUTS1", "NUTS2", "NUTS3", "LAU")
 
@@ -54,13 +58,20 @@ class Warehouse:
 
     def save(self, path: str) -> None:
         """Facts go into one folder per matrix, in files by ranges of matrix, period and territory: a large matrix is
-        sorted by many tasks, and row groups skip by period and territory. Small tables are one file."""
-        for name in self._tables:
-            df = getattr(self, name)
-            if name == "statistics":
-                by_range(df, "matrix_id").write.partitionBy("matrix_id").parquet(f"{path}/{name}")
-            else:
-                df.coalesce(1).write.parquet(f"{path}/{name}")
+        sorted by many tasks, and row groups skip by period and territory. Ranges are found over a plain copy, so facts are
+        computed once. Small tables are one file each, and written side by side."""
+        small = [name for name in self._tables if name != "statistics"]
+        for name in small:
+            getattr(self, name)
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            done = [pool.submit(lambda name=name: getattr(self, name).coalesce(1).write.parquet(f"{path}/{name}")) for name in small]
+            for one in done:
+                one.result()
+        if "statistics" in self._tables:
+            self.statistics.write.parquet(f"{path}/_copy")
+            copy = self.spark.read.schema(self.statistics.schema).parquet(f"{path}/_copy")
+            by_range(copy, "matrix_id").write.partitionBy("matrix_id").parquet(f"{path}/statistics")
+            remove(self.spark, f"{path}/_copy")
 
     def row_counts(self) -> DataFrame:
         """(table_name, row_count) of every table."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cubelattice.operators import analytics, catalog, ingest, statistics, views
 from cubelattice.sources import landing, sinks
 from cubelattice.sources.overlay import csv_lines, cube
+from cubelattice.sources.snapshots import Snapshots
 from cubelattice.sources.warehouse import NotFoundError, Warehouse
 from cubelattice.streaming.ingest import ingest_stream
 
@@ -146,10 +147,15 @@ def test_an_interrupted_replacement_is_completed(spark, tmp_path):
     rows((1, 7)).write.partitionBy("matrix_id").parquet(f"{staging}/left")  # a finished copy, not put in place
     sinks.resume(spark, f"{staging}/left", path, "matrix_id", rows().schema)
     assert {tuple(r) for r in spark.read.parquet(path).select("matrix_id", "v").collect()} == {(1, 7), (2, 2)} and not (tmp_path / "s" / "left").exists()
-    meta = str(tmp_path / "m")
+
+
+def test_metadata_is_replaced_in_one_commit(spark, tmp_path):
+    rows = lambda *x: spark.createDataFrame(list(x), "matrix_id int, v int")
+    store = Snapshots(spark, str(tmp_path / "m"))
     for names in (("a", "b"), ("c",)):
-        sinks.replace_matrix(meta, staging, spark.createDataFrame([(1, "M")], "matrix_id int, code string"), spark.createDataFrame([(1, n) for n in names], "matrix_id int, label string"), rows((1, 5)))
-    assert [r["label"] for r in spark.read.parquet(f"{meta}/dimensions").collect()] == ["c"]
+        sinks.replace_matrix(store, spark.createDataFrame([(1, "M")], "matrix_id int, code string"), spark.createDataFrame([(1, n) for n in names], "matrix_id int, label string"), rows(*[(1, 5)] * (len(names) - 1)))
+    assert [r["label"] for r in store.read("dimensions").collect()] == ["c"] and store.read("options").count() == 0
+    assert sorted(r["label"] for r in store.read("dimensions", 1).collect()) == ["a", "b"] and store.read("options", 1).count() == 1
 
 
 def test_seeds_and_stored_views(spark, stored, tmp_path):
@@ -158,8 +164,9 @@ def test_seeds_and_stored_views(spark, stored, tmp_path):
     assert {tuple(r) for r in sinks.seeded(old, new).collect()} == {("A", "a"), ("B", "bb"), ("C", "c")}
     assert {tuple(r) for r in sinks.seeded(old, new, force=True).collect()} == {("B", "bb"), ("C", "c")}
     wh = Warehouse.read(spark, stored)
-    for _ in range(2):
+    for _ in range(4):
         sinks.refresh(spark, str(tmp_path / "views"), views.stored_views(wh))
+    assert len(list((tmp_path / "views" / "data" / "mv_matrix_stats").iterdir())) == sinks.KEPT  # old versions go
     for name, df in views.stored_views(wh).items():
         assert collected(sinks.stored(spark, str(tmp_path / "views"), name)) == collected(df)
 
