@@ -3,8 +3,9 @@
 A line (trimmed of spaces, tabs and returns; blank lines take no part) is boilerplate when it stands on
 ``sites`` or more distinct sites, here the documents' sources. Exact copies of a text count once, with the
 smallest of their sites: copies are left to exact deduplication, so a text is not emptied because it was
-copied. Each line hash gets a HyperLogLog sketch of its sites by aggregation: sketches are built per task
-and merged, so a line in a third of all rows crosses the shuffle once per task. Estimates clearly away from
+copied. For that every line of every different text crosses one shuffle, dealt by line and text. Then each line
+hash gets a HyperLogLog sketch of its sites by aggregation: sketches are built per task and merged, so in this second
+shuffle a line in a third of all rows is one sketch per task. Estimates clearly away from
 the threshold decide at once; lines near it get an exact distinct count of their sites. The margin is over
 six standard errors of the sketch, so decisions are those of exact counts. Boilerplate lines are then cut
 from every document that has them.
