@@ -92,3 +92,38 @@ def intermediate(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFram
 def task_dir() -> str | None:
     """A folder for a task's private files: the first of Spark's local folders, else Python's default."""
     return next((d for d in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if os.path.isdir(d)), None)
+
+
+#: Bits of a filter: 16 per identifier, within these bounds (128 kilobytes to 16 megabytes).
+FILTER_BITS = (1 << 20, 1 << 27)
+
+
+class IdFilter:
+    """A bitmap of hashed identifiers, which is broadcast: its size has a bound, whatever the number of identifiers. Rows that
+    it does not know are certainly without one of them, so they need not be shuffled to learn that; beyond some ten million
+    identifiers it knows ever more rows, and less is spared."""
+
+    def __init__(self, ids: DataFrame, name: str):
+        """``ids`` is a stored table with a column of whole numbers."""
+        many = ids.count()
+        self.bits = min(max(1 << (16 * many).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+        at = self._at(quoted(name))
+        # dealt by slot first, so a slot's bitmap is made once
+        dealt = ids.select((at / 32_768).cast("int").alias("_slot"), (at % 32_768).alias("_bit")).repartition("_slot")
+        self.table = written(dealt.groupBy("_slot").agg(F.bitmap_construct_agg("_bit").alias("_bits")))
+
+    def _at(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key.cast("long")), F.lit(self.bits))
+
+    def mark(self, rows: DataFrame, name: str, flag: str = "_known") -> DataFrame:
+        """The rows with a flag that is false only where the identifier is none of the filter's."""
+        at = self._at(quoted(name))
+        bit = (at % 32_768).cast("int")
+        joined = rows.withColumn("_slot", (at / 32_768).cast("int")).join(F.broadcast(self.table), "_slot", "left")  # at most 16 megabytes
+        byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        known = F.coalesce(F.getbit(byte, bit % 8) == 1, F.lit(False))
+        return joined.withColumn(flag, known).drop("_slot", "_bits")
+
+    def keep(self, rows: DataFrame, name: str) -> DataFrame:
+        """The rows that may have one of the filter's identifiers."""
+        return self.mark(rows, name).filter("_known").drop("_known")

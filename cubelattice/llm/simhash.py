@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.llm.common import intermediate, quoted, table, written
+from cubelattice.llm.common import IdFilter, intermediate, quoted, table, written
 from cubelattice.llm.components import components
 
 BITS = 4
@@ -96,6 +96,8 @@ COMMON = 1 << 16
 COUNTS = 256
 #: Rows of a prefix shingle up to which its list is compared where the postings meet.
 LONG = 64
+#: Numbers of rows that have a shingle are told apart up to this one.
+MOST_COUNTED = 1 << 16
 POSTING = "key long, kind int, rep long, component long, other long, n int, pos int, parity long"
 #: Odd constants that turn one hash into further ones.
 MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
@@ -355,7 +357,7 @@ def verified(df: DataFrame, distinct: DataFrame, coarse: DataFrame, id_col: str,
     names = [f"fp{k}" for k in range(WIDE)]
     nodes = written(coarse.join(distinct, coarse["node"] == distinct["rep"]).select(F.col("component").alias("key"), "rep", *names))
     texts = df.select(quoted(id_col).cast("long").alias("rep"), F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("text"))
-    members = written(nodes.hint("merge").join(texts, "rep"))
+    members = written(nodes.hint("merge").join(IdFilter(nodes, "rep").keep(texts, "rep"), "rep"))
     dealt = deal(members, F.greatest(F.octet_length("text") + 64, F.lit(BLOCK_BYTES // BLOCK_TEXTS)), BLOCK_BYTES, "rep", *names, "text")
     return dealt.mapInArrow(_verify(bits, WIDE_SHINGLE), "a long, b long").filter("a != b")
 
@@ -576,24 +578,69 @@ def _may_be_alike(left: np.ndarray, right: np.ndarray, same: bool, rep: np.ndarr
     return np.concatenate(out)
 
 
+def _repeated(most: int):
+    """Rows (h, rep) sorted by h -> (rep, h, c) of those whose h more than one row has, with their number, ``most`` at
+    most; no more than ``most`` rows of an h are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        many: int | None = None  # an h that over ``most`` rows have
+
+        def out(h: np.ndarray, rep: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(rep), pa.array(h), pa.array(c.astype(np.int64))], names=["rep", "h", "c"])
+
+        def whole(h: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            c = np.repeat(sizes := np.diff(np.r_[starts, len(h)]), sizes)
+            return out(h[c > 1], rep[c > 1], np.minimum(c[c > 1], most))
+
+        for batch in batches:
+            h, rep = (c.to_numpy() for c in batch.columns)
+            if many is not None and len(h):
+                n = int(np.searchsorted(h, many, "right"))
+                if n:
+                    yield out(h[:n], rep[:n], np.full(n, most))
+                    h, rep = h[n:], rep[n:]
+                if len(h):
+                    many = None
+            if not len(h):
+                continue
+            h, rep = np.concatenate([held[0], h]), np.concatenate([held[1], rep])
+            cut = int(np.searchsorted(h, h[-1], "left"))
+            if cut:
+                yield whole(h[:cut], rep[:cut])
+            held = [h[cut:], rep[cut:]]
+            if len(held[0]) >= most:
+                many = int(held[0][0])
+                yield out(*held, np.full(len(held[0]), most))
+                held = [h[:0], rep[:0]]
+        if len(held[0]):
+            yield whole(*held)
+
+    return run
+
+
 def counted_prefixes(df: DataFrame, hot: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(rep, component, n, parity) of some rows -> the same with ``prefix``, in the order of how many of these rows have
-    a shingle: exact counts, a stored table that is joined to the shingles."""
+    """(rep, component, n, parity) of some rows, a stored table -> (rep, component, n, parity, pos, key): what of their
+    prefixes other rows have, in the order of how many of these rows have a shingle (up to ``MOST_COUNTED``). A row's
+    own shingles come first in that order; they can meet nobody and are not gathered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                grams = np.unique(hashes(batch.column(4)[row].as_py(), WIDE_SHINGLE)).view(np.int64)
-                same = pa.array(np.full(len(grams), row))
-                yield pa.RecordBatch.from_arrays([*(c.take(same) for c in batch.columns[:4]), pa.array(grams)], names=["rep", "component", "n", "parity", "h"])
+                grams = np.unique(hashes(batch.column(1)[row].as_py(), WIDE_SHINGLE)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(grams), batch.column(0).take(pa.array(np.full(len(grams), row)))], names=["h", "rep"])
 
     texts = df.select(quoted(id_col).cast("long").alias("rep"), quoted(text_col).cast("string").alias("text"))
-    shingles = written(hot.hint("merge").join(texts, "rep").select("rep", "component", "n", "parity", "text").mapInArrow(run, "rep long, component long, n int, parity long, h long"))
-    counts = written(shingles.groupBy("h").agg(F.count("*").alias("c")).filter("c > 1"))
-    placed = shingles.join(counts, "h", "left").select("rep", "component", "n", "parity", F.struct(F.coalesce("c", F.lit(1)).alias("c"), "h").alias("x"))
-    sets = placed.groupBy("rep", "component", "n", "parity").agg(F.sort_array(F.collect_list("x")).alias("x"))  # a row's own shingles
+    own = hot.select("rep").hint("merge").join(IdFilter(hot, "rep").keep(texts, "rep"), "rep").select("rep", "text")
+    shingles = own.mapInArrow(run, "h long, rep long").repartition("h").sortWithinPartitions("h")
+    shared = shingles.mapInArrow(_repeated(MOST_COUNTED), "rep long, h long, c long")
+    sets = shared.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("x"))  # a row's own shingles
+    joined = sets.join(hot, "rep")
+    alone = F.col("n") - F.size("x")
     first = F.col("n") - F.ceil(F.col("n") * SIMILAR[0] / SIMILAR[1]).cast("int") + 1
-    return sets.select("rep", "component", "n", "parity", F.slice("x.h", F.lit(1), first).alias("prefix"))
+    prefix = F.slice("x.h", F.lit(1), F.greatest(first - alone, F.lit(0)))
+    return joined.select("rep", "component", "n", "parity", alone.alias("alone"), F.posexplode(prefix).alias("at", "key")).select("rep", "component", "n", "parity", (F.col("alone") + F.col("at")).alias("pos"), "key")
 
 
 def candidates(df: DataFrame, rows: DataFrame, first: DataFrame, id_col: str, text_col: str, long_over: int = LONG) -> DataFrame:
@@ -612,7 +659,7 @@ def candidates(df: DataFrame, rows: DataFrame, first: DataFrame, id_col: str, te
     if not long.isEmpty():
         hot = placed.select("rep", "component", "n", "parity", F.explode("prefix").alias("key")).join(long, "key", "left_semi")
         hot = written(hot.select("rep", "component", "n", "parity").distinct())
-        again = counted_prefixes(df, hot, id_col, text_col).select(F.posexplode("prefix").alias("pos", "key"), "rep", "component", "n", "parity")
+        again = counted_prefixes(df, hot, id_col, text_col)
         pairs = pairs.union(deal(written(again), F.lit(1), BLOCK, "rep", "component", "n", "pos", "parity").mapInArrow(_candidates, "a long, b long"))
     pairs = pairs.distinct()
     of = placed.select("rep", "n", "counts")
@@ -651,8 +698,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_over: int = LONG) -> DataFrame:
     """One row of each group of similar texts stays: the one with the smallest identifier. Rows without
-    identifier stay. Texts are always merge-joined, so the plan is the same at every size. Where identifiers repeat,
-    rows are told by numbers in the order of the identifiers, so each row has a fate of its own."""
+    identifier stay. Texts that may be asked for (``IdFilter``) are always merge-joined, so the plan is the same at every
+    size. Where identifiers repeat, rows are told by numbers in the order of the identifiers, so each row has a fate of
+    its own."""
     key = quoted(id_col)
     if not df.filter(key.isNotNull()).groupBy(key.alias("id")).count().filter("count > 1").isEmpty():
         rows = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("row"), key.alias("id"), quoted(text_col).alias("text"))
@@ -670,7 +718,9 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
         found = components(first.toDF("a", "b").union(missed(df, rows, first, id_col, text_col, long_over)))
         lost = keep(found.filter("component != node").select(F.col("node").alias("lost")).distinct())
     rows = df.select(F.struct(*[quoted(c) for c in df.columns]).alias("row"), key.cast("long").alias("id"))
-    return rows.join(lost.hint("merge"), F.col("id") == F.col("lost"), "left_anti").select("row.*")
+    rows = IdFilter(lost, "lost").mark(rows, "id")
+    kept = rows.filter("_known").join(lost.hint("merge"), F.col("id") == F.col("lost"), "left_anti")
+    return rows.filter("not _known").select("row.*").unionByName(kept.select("row.*"))
 
 
 def op3_simhash(spark, sf_dir: str) -> DataFrame:

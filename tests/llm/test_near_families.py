@@ -95,3 +95,27 @@ def test_lists_over_the_limit_are_told_by_their_key():
         batches = [pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[at : at + size], strict=True), kinds, strict=True)], names=names) for at in range(0, len(rows), size)]
         got = [tuple(r.values()) for b in simhash._short_lists(4)(iter(batches)) for r in b.to_pylist()]
         assert sorted(got, key=repr) == sorted([(0, 1, None), (0, 2, None), (1, 2, None), (None, None, 3), (None, None, 4)], key=repr)
+
+
+@pytest.mark.parametrize("many", [0, 1, 5000])
+def test_a_filter_knows_all_its_identifiers(spark, many):
+    from cubelattice.llm.common import IdFilter
+
+    ids = written(spark.range(many).selectExpr("id * 7 - 100 as x"))
+    rows = spark.range(-200, 36_000).selectExpr("id", "id as _slot0").unionByName(spark.createDataFrame([(None, 1)], "id long, _slot0 long"))
+    known = {r["id"] for r in IdFilter(ids, "x").keep(rows, "id").collect()}
+    assert {7 * k - 100 for k in range(many)} <= known and len(known) <= many + 0.1 * 36_000
+
+
+def test_counts_of_repeated_hashes():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    h = np.sort(rng.integers(0, 40, 300))
+    h = np.sort(np.concatenate([h, np.full(90, 7), [1000, 1001]]))
+    rep = np.arange(len(h))
+    sizes = {int(k): int((h == k).sum()) for k in set(h.tolist())}
+    for step in (1, 7, 50, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(h[a : a + step]), pa.array(rep[a : a + step])], names=["h", "rep"]) for a in range(0, len(h), step)]
+        got = sorted(tuple(r.values()) for b in simhash._repeated(20)(iter(batches)) for r in b.to_pylist())
+        assert got == [(int(r), int(k), min(sizes[int(k)], 20)) for r, k in zip(rep, h, strict=True) if sizes[int(k)] > 1]
