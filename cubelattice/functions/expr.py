@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters with marks and the plain letters that decomposition leaves; upper case.
-MARKED = "ĂÂÎȘŞȚŢÁÀÄÃÅÉÈÊËÍÌÏÓÒÔÖÕŐÚÙÛÜŰÇÑÝ"
-PLAIN = "AAISSTTAAAAAEEEEIIIOOOOOOUUUUUCNY"
+
+def _marked() -> dict[str, str]:
+    """Letters with marks, by Unicode's canonical decomposition, and the letters that are left without the marks."""
+    found = {}
+    for c in map(chr, range(0xC0, 0x2000)):
+        plain = "".join(x for x in unicodedata.normalize("NFD", c) if not 0x300 <= ord(x) <= 0x36F)
+        if len(plain) == 1 and plain != c and c.upper() == c:  # labels are in upper case before
+            found[c] = plain
+    return found
+
+
+MARKED = _marked()
 
 
 def js_round(x: Column, digits: int = 2) -> Column:
@@ -23,7 +34,7 @@ def pick_locale(ro: Column, en: Column, locale: str) -> Column:
 
 def normalize_label(x: Column, dash_to_space: bool = False) -> Column:
     """Upper case without marks, runs of white space as one space, trimmed; null becomes empty."""
-    up = F.translate(F.upper(F.coalesce(x, F.lit(""))), MARKED, PLAIN)
+    up = F.translate(F.upper(F.coalesce(x, F.lit(""))), "".join(MARKED), "".join(MARKED.values()))
     up = F.regexp_replace(up, r"[̀-ͯ]", "")
     return F.trim(F.regexp_replace(F.translate(up, "-", " ") if dash_to_space else up, r"\s+", " "))
 

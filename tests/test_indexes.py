@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cubelattice.functions.expr import blind
+from cubelattice.functions.expr import blind, normalize_label
 from cubelattice.operators import bitmaps, filters, intervals, objects
 from cubelattice.sources.overlay import cube
 from cubelattice.sources.warehouse import NotFoundError, Warehouse
@@ -102,3 +102,12 @@ def test_case_and_marks_are_not_seen(spark):
     words = spark.createDataFrame([("Élan",), ("elan",), ("ÈLÂN",), ("elań",), ("plan",)], "w string")
     assert words.groupBy(blind(F.col("w"))).count().count() == 2
     assert words.filter(F.contains(blind(F.col("w")), blind(F.lit("LÄN")))).count() == 5
+
+
+def test_labels_lose_all_marks(spark):
+    import unicodedata
+
+    letters = [c for c in map(chr, range(0xC0, 0x2000)) if c.isalpha() and len(c.upper()) == 1 and len("".join(x for x in unicodedata.normalize("NFD", c) if not 0x300 <= ord(x) <= 0x36F)) == 1]
+    rows = spark.createDataFrame([(c,) for c in [*letters, "é Å"]], "c string").select("c", F.upper("c").alias("up"), normalize_label(F.col("c")).alias("n")).collect()
+    for r in rows:
+        assert r["n"] == "".join(x for x in unicodedata.normalize("NFD", r["up"]) if not 0x300 <= ord(x) <= 0x36F), r
