@@ -31,10 +31,12 @@ def contained(needles: DataFrame, hays: DataFrame, q: int = Q) -> DataFrame:
     sizes = sorted(r[0] for r in own.select("size").distinct().collect())  # q lengths at most
     if not sizes:
         return needles.select("needle").crossJoin(hays.select("hay")).limit(0)
+    each = own.select("dim", "needle", F.explode(grams(F.col("text"), F.col("size"))).alias("gram"))
     asked = F.array_distinct(F.flatten(F.array(*[grams(F.col("text"), n) for n in sizes])))
-    asked = stored(hays.select("dim", "hay", F.explode(asked).alias("gram")))
+    # of the hays' q-grams those that some needle has
+    asked = stored(hays.select("dim", "hay", F.explode(asked).alias("gram")).join(stored(each.select("dim", "gram").distinct()), ["dim", "gram"], "left_semi"))
     often = asked.groupBy("dim", "gram").agg(F.count("*").alias("often"))
-    each = own.select("dim", "needle", F.explode(grams(F.col("text"), F.col("size"))).alias("gram")).join(often, ["dim", "gram"], "left")
+    each = each.join(often, ["dim", "gram"], "left")
     rarest = each.groupBy("dim", "needle").agg(F.min_by("gram", F.struct("often", "gram")).alias("gram"), F.count_if(F.col("often").isNull()).alias("lacking"))
     posted = stored(rarest.filter("lacking = 0").select("dim", "gram", "needle"))
     met = asked.join(posted, ["dim", "gram"]).select("needle", "hay")

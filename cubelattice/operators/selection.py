@@ -16,16 +16,21 @@ CUTS = 64
 SMALL = 4096
 
 
-def ranked_values(rows: DataFrame, wanted: DataFrame, small: int = SMALL, cuts: int = CUTS) -> DataFrame:
-    """(g, value) and (g, goal), both stored -> (g, goal, value): the value at each rank from 0 in the order of a group's
-    values."""
-    rows = rows.select("g", F.lit(0).cast("long").alias("part"), "value")
-    asked = wanted.select("g", F.lit(0).cast("long").alias("part"), F.col("goal").alias("rank"), "goal")
-    found: DataFrame | None = None
-    key = ["g", "part"]
+KEY = ["g", "part"]
+
+
+def _sizes(rows: DataFrame, cuts: int) -> DataFrame:
+    """(g, part, n, bounds) of every group, stored."""
     shares = [k / cuts for k in range(cuts + 1)]
+    return stored(rows.groupBy(*KEY).agg(F.count("*").alias("n"), F.approx_percentile("value", shares, 100 * cuts).alias("bounds")))
+
+
+def ranked_values(rows: DataFrame, wanted: DataFrame, sizes: DataFrame, small: int = SMALL, cuts: int = CUTS) -> DataFrame:
+    """(g, part, value), stored, their ``_sizes``, and (g, part, rank, goal) -> (g, goal, value): the value at each rank
+    from 0 in the order of a group's values. All parts are 0 at first."""
+    asked, key = wanted, KEY
+    found: DataFrame | None = None
     while True:
-        sizes = stored(rows.groupBy(*key).agg(F.count("*").alias("n"), F.approx_percentile("value", shares, 100 * cuts).alias("bounds")))
         few = rows.join(sizes.filter(F.col("n") <= small).select(*key), key, "left_semi")
         order = F.row_number().over(Window.partitionBy(*key).orderBy("value")) - 1  # at most ``small`` rows
         done = few.withColumn("rank", order.cast("long")).join(asked, [*key, "rank"]).select("g", "goal", "value")
@@ -45,20 +50,21 @@ def ranked_values(rows: DataFrame, wanted: DataFrame, small: int = SMALL, cuts:
         part = (F.col("part") * (2 * cuts + 3) + F.col("bucket") + 1).alias("part")
         rows = stored(cut.join(inner.select(*key, "bucket").distinct(), [*key, "bucket"], "left_semi").select("g", part, "value"))
         asked = stored(inner.select("g", part, "rank", "goal"))
+        sizes = _sizes(rows, cuts)
 
 
 def quantiles(rows: DataFrame, keys: list[str], shares: list[float], small: int = SMALL, cuts: int = CUTS) -> DataFrame:
-    """Rows with ``keys`` and a value -> keys, and ``p``: the interpolated quantiles at the shares, of the values that
-    are not null; groups without one have no row."""
-    own = stored(rows.filter("value is not null").select(F.struct(*keys).alias("g"), "value"))
-    sizes = own.groupBy("g").agg(F.count("*").alias("n"))
+    """Rows with ``keys`` and a value, a stored table -> keys, and ``p``: the interpolated quantiles at the shares, of the
+    values that are not null; groups without one have no row."""
+    own = rows.filter("value is not null").select(F.struct(*keys).alias("g"), F.lit(0).cast("long").alias("part"), "value")
+    sizes = _sizes(own, cuts)
     place = lambda p: (F.col("n") - 1) * F.lit(p)
-    spots = F.array(*[F.struct(F.lit(k).alias("k"), F.floor(place(p)).alias("low"), F.ceil(place(p)).alias("high"), (place(p) - F.floor(place(p))).alias("share")) for k, p in enumerate(shares)])
-    spots = stored(sizes.select("g", F.explode(spots).alias("s")).select("g", "s.*"))
-    goals = spots.select("g", F.col("low").alias("goal")).union(spots.select("g", "high")).distinct()
-    values = stored(ranked_values(own, goals, small, cuts))
-    low, high = values.select("g", F.col("goal").alias("low"), F.col("value").alias("a")), values.select("g", F.col("goal").alias("high"), F.col("value").alias("b"))
-    joined = spots.join(low, ["g", "low"]).join(high, ["g", "high"])
-    value = F.col("a") * (1 - F.col("share")) + F.col("b") * F.col("share")
-    found = joined.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("k", value.alias("v")))).alias("s"))  # a few shares
+    # a quantile is a weighted sum of the values at two ranks
+    end = lambda k, goal, weight: F.struct(F.lit(k).alias("k"), goal.alias("goal"), weight.alias("weight"))
+    spots = [x for k, p in enumerate(shares) for rest in [place(p) - F.floor(place(p))] for x in (end(k, F.floor(place(p)), 1 - rest), end(k, F.ceil(place(p)), rest))]
+    spots = sizes.select("g", "part", F.explode(F.array(*spots)).alias("s")).select("g", "part", "s.*")
+    goals = spots.select("g", "part", F.col("goal").alias("rank"), "goal").distinct()
+    values = ranked_values(own, goals, sizes, small, cuts)
+    each = spots.join(values, ["g", "goal"]).groupBy("g", "k").agg(F.sum(F.col("value") * F.col("weight")).alias("v"))
+    found = each.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("k", "v"))).alias("s"))  # a few shares
     return found.select(*[F.col(f"g.{c}") for c in keys], F.col("s.v").alias("p"))

@@ -184,7 +184,7 @@ def test_quantiles_of_many_groups(spark, small, cuts):
     data = [(k, 1, v) for k, vs in groups.items() for v in vs] + [("normal", 1, None), ("nulls", 1, None)]
     shares = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     df = spark.createDataFrame(data, "a string, b int, value double").repartition(5)
-    got = {r["a"]: r["p"] for r in selection.quantiles(df, ["a", "b"], shares, small, cuts).collect()}
+    got = {r["a"]: r["p"] for r in selection.quantiles(scratch.stored(df), ["a", "b"], shares, small, cuts).collect()}
     want = {r["a"]: r["p"] for r in df.filter("value is not null").groupBy("a").agg(F.percentile("value", F.array(*map(F.lit, shares))).alias("p")).collect()}
     assert set(got) == set(want) == set(groups)
     assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
@@ -192,8 +192,9 @@ def test_quantiles_of_many_groups(spark, small, cuts):
 
 def test_no_window_or_buffer_holds_a_group(spark):
     df = spark.range(60_000).selectExpr("1 as a", "cast(hash(id) as double) as value")
-    groups = scratch.stored(df.selectExpr("struct(a) as g", "value"))
-    found = selection.ranked_values(groups, scratch.stored(spark.createDataFrame([(30_000,)], "goal long").selectExpr("struct(1 as a) as g", "goal")), small=2000)
+    groups = scratch.stored(df.selectExpr("struct(a) as g", "0L as part", "value"))
+    wanted = spark.createDataFrame([(30_000,)], "goal long").selectExpr("struct(1 as a) as g", "0L as part", "goal as rank", "goal")
+    found = selection.ranked_values(groups, wanted, selection._sizes(groups, selection.CUTS), small=2000)
     assert found.first()["value"] == sorted(r["value"] for r in df.collect())[30_000]
     assert "ObjectHashAggregate(keys=[], functions=[percentile" not in plan(found)
 
