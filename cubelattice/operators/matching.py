@@ -17,21 +17,21 @@ from cubelattice.sources.scratch import stored
 Q = 3
 
 
-def grams(text: Column, size: Column | int) -> Column:
-    """The different substrings of a length; none of a shorter text."""
-    size = F.lit(size) if isinstance(size, int) else size
-    last = F.length(text) - size + 1
-    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda at: F.substr(text, at, size)))).otherwise(F.array().cast("array<string>"))
+def grams(text: Column, size: int) -> Column:
+    """The different substrings of a length, by overlapping matches; none of a shorter text."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
 
 
 def contained(needles: DataFrame, hays: DataFrame, q: int = Q) -> DataFrame:
     """(dim, needle, text) and (dim, hay, text), both stored -> the pairs (needle, hay) of a dimension where the needle's text
     stands in the hay's. Empty needles stand nowhere."""
-    own = needles.filter("text != ''").withColumn("size", F.least(F.length("text"), F.lit(q)))
+    longest = hays.agg(F.max(F.length("text"))).first()[0] or 0  # a longer needle stands in none
+    own = needles.filter((F.col("text") != "") & (F.length("text") <= longest)).withColumn("size", F.least(F.length("text"), F.lit(q)))
     sizes = sorted(r[0] for r in own.select("size").distinct().collect())  # q lengths at most
     if not sizes:
-        return needles.select("needle").crossJoin(hays.select("hay")).limit(0)
-    each = own.select("dim", "needle", F.explode(grams(F.col("text"), F.col("size"))).alias("gram"))
+        return needles.sparkSession.createDataFrame([], "needle long, hay long")
+    posted = F.coalesce(*[F.when(F.col("size") == n, grams(F.col("text"), n)) for n in sizes])
+    each = own.select("dim", "needle", F.explode(posted).alias("gram"))
     asked = F.array_distinct(F.flatten(F.array(*[grams(F.col("text"), n) for n in sizes])))
     # of the hays' q-grams those that some needle has
     asked = stored(hays.select("dim", "hay", F.explode(asked).alias("gram")).join(stored(each.select("dim", "gram").distinct()), ["dim", "gram"], "left_semi"))
