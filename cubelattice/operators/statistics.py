@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cubelattice.functions.expr import is_descendant, iso_period, js_round, percent
+from cubelattice.functions.expr import is_descendant, iso_period, percent
 from cubelattice.operators import filters as flt
 from cubelattice.sources.warehouse import NotFoundError, Warehouse
 
