@@ -114,8 +114,10 @@ def total_id(kind: str) -> Column:
 
 
 def _spread(df: DataFrame, matrix: int, unit: int, amount: Column) -> DataFrame:
-    """Rows (territories, periods, classes: arrays; the measure) -> facts, one per cell."""
-    cells = df.select(F.explode_outer("territories").alias("territory_id"), "periods", "classes", "amount")
+    """Rows (territories, periods, classes: arrays; the measure) -> facts, one per cell. Rows without territories have none:
+    Spark loses the columns beside the explosion of an array that is a constant."""
+    place = F.explode_outer("territories") if "territories" in df.columns else F.lit(None).cast("int")
+    cells = df.select(place.alias("territory_id"), "periods", "classes", "amount")
     cells = cells.select("territory_id", F.explode("periods").alias("time_period_id"), "classes", "amount")
     cells = cells.select("territory_id", "time_period_id", F.explode("classes").alias("class_ids"), "amount")
     if matrix == 1:  # localities have totals only, and no months
@@ -178,7 +180,6 @@ def statistics(read) -> DataFrame:
 
     events = read("events").select(F.year("ts").alias("y"), F.month("ts").alias("m"), "event_type", F.col("value").cast(MONEY).alias("amount"))
     events = events.groupBy("y", "m", "event_type").agg(F.sum("amount").alias("amount")).select(
-        F.array().cast("array<int>").alias("territories"),
         F.array(month_id(y, m)).alias("periods"),
         F.array(F.array(total_id("EVENT_TYPE")), F.array(class_id("EVENT_TYPE", F.col("event_type")))).alias("classes"),
         "amount",
