@@ -8,6 +8,8 @@ from cubelattice.functions import expr, labels
 from cubelattice.operators import ingest as ing
 from cubelattice.operators import resolve as res
 from cubelattice.sources.overlay import csv_lines
+from cubelattice.sources.scratch import stored
+
 
 def _sql(x) -> str:
     return "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
@@ -23,12 +25,13 @@ def _labels(wh, rows: list[tuple], schema: str):
 
 
 def _round_trip(wh, code: str = "LIN101A", unit: int = 3):
-    parsed = ing.parse_lines(csv_lines(wh, code))
-    return ing.resolve(parsed, ing.options(wh, code), unit)
+    own = wh.only(code)
+    parsed = stored(ing.parse_lines(csv_lines(own, code)))
+    return ing.resolve(parsed, ing.options(own, code), unit)
 
 
 def _dedupe(wh):
-    staged = _round_trip(wh)
+    staged = stored(_round_trip(wh))
     later = staged.filter("territory_id % 2 = 1").withColumns({"response": F.lit(2), "value": F.col("value") + 1})
     return ing.last_wins(staged.unionByName(later)).select("natural_key", "value")
 

@@ -170,7 +170,8 @@ def statistics(read) -> DataFrame:
     lines = read("lineitem").select("l_suppkey", F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m"), "l_returnflag", F.col("l_quantity").cast(MONEY).alias("quantity"))
     lines = lines.groupBy("l_suppkey", "y", "m", "l_returnflag").agg(F.sum("quantity").alias("amount"))
     supplier = read("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
-    shipped = lines.join(supplier, "l_suppkey").join(nation, "n_nationkey").select(
+    shipped = lines.join(supplier, "l_suppkey").join(nation, "n_nationkey").groupBy("n_nationkey", "r", "y", "m", "l_returnflag").agg(F.sum("amount").alias("amount"))
+    shipped = shipped.select(
         F.array(*chain).alias("territories"),
         F.array(year_id(y), quarter_id(y, m)).alias("periods"),
         F.array(F.array(total_id("RETURN_FLAG")), F.array(class_id("RETURN_FLAG", F.col("l_returnflag")))).alias("classes"),

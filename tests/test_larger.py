@@ -1,11 +1,24 @@
 """Queries whose plans are others over larger tables."""
 
+import pytest
+
+from cubelattice.operators import matching
 from cubelattice.plans import registry
 from tests.parity import duck, same
 
+SMALL = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.1"
 
 
 def test_facts_by_level_over_larger_tables(spark):
     name = "by_territory_level"
     assert same(registry.QUERIES[name](spark, LARGER), duck(LARGER), registry.ORACLES[name]) == 3
+
+
+@pytest.mark.parametrize("name", ["ingest_errors", "ingest_last_wins", "ingest_round_trip"])
+def test_source_tables_are_read_once(spark, monkeypatch, name):
+    read, stored = [], matching.stored
+    monkeypatch.setattr(matching, "stored", lambda df: read.extend(df.inputFiles()) or stored(df))
+    found = registry.QUERIES[name](spark, SMALL)
+    assert read and not [f for f in [*read, *found.inputFiles()] if f.endswith("lineitem.parquet")]
+    assert same(found, duck(SMALL), registry.ORACLES[name]) > 0
