@@ -45,7 +45,7 @@ def _upsert_stage(wh):
 
 def _loose(wh):
     """Options of a matrix in other words: longer, shorter, in lower case, and labels of none."""
-    opts = ing.options(wh, "LIN101A")
+    opts = stored(ing.options(wh.only("LIN101A"), "LIN101A"))
     label = F.col("label")
     cells = opts.select("dim_index", F.explode(F.array(F.concat(label, F.lit(" (provizoriu)")), F.concat(F.lit("~ "), F.lower(label)), F.substring(label, -4, 4), F.concat(F.lit("?"), F.col("member_id").cast("string")))).alias("cell"))
     return ing.match_labels(cells, opts).select("dim_index", "cell", "kind", "member_id", "ambiguous")

@@ -15,7 +15,7 @@ def test_facts_by_level_over_larger_tables(spark):
     assert same(registry.QUERIES[name](spark, LARGER), duck(LARGER), registry.ORACLES[name]) == 3
 
 
-@pytest.mark.parametrize("name", ["ingest_errors", "ingest_last_wins", "ingest_round_trip"])
+@pytest.mark.parametrize("name", ["ingest_errors", "ingest_last_wins", "ingest_round_trip", "match_labels"])
 def test_source_tables_are_read_once(spark, monkeypatch, name):
     read, stored = [], matching.stored
     monkeypatch.setattr(matching, "stored", lambda df: read.extend(df.inputFiles()) or stored(df))
