@@ -136,11 +136,19 @@ def mv_nuts2(wh: Warehouse) -> DataFrame:
 
 
 def mv_matrix_stats(wh: Warehouse) -> DataFrame:
-    """Distinct members per matrix; a matrix without facts is padded to one null row, so its null count is 1."""
-    rows = wh.matrices.select("matrix_id", "matrix_code").join(wh.statistics, "matrix_id", "left").join(wh.time_periods.select("time_period_id", "year"), "time_period_id", "left")
-    return rows.groupBy("matrix_code").agg(
-        F.count("natural_key").alias("fact_count"), F.countDistinct("territory_id").alias("territory_count"), F.countDistinct("time_period_id").alias("period_count"), F.min("year").alias("min_year"), F.max("year").alias("max_year"), F.count_if(F.col("value").isNull()).alias("null_count")
+    """Distinct members per matrix; a matrix without facts has one null row, so its null count is 1. Facts are aggregated by
+    period and by territory in one pass before anything is joined, so no task gets a matrix's facts."""
+    sets = wh.statistics.groupingSets([["matrix_id", "time_period_id"], ["matrix_id", "territory_id"]], "matrix_id", "time_period_id", "territory_id")
+    by_period = F.grouping("territory_id") == 1
+    cells = sets.agg(F.count("natural_key").alias("n"), F.count_if(F.col("value").isNull()).alias("nulls"), by_period.alias("by_period"))
+    of = lambda c: F.sum(F.when(F.col("by_period"), F.col(c))).alias(c)
+    periods = cells.groupBy("matrix_id", "time_period_id").agg(of("n"), of("nulls"), F.count("territory_id").alias("places"))
+    found = periods.join(wh.time_periods.select("time_period_id", "year"), "time_period_id", "left").groupBy("matrix_id").agg(
+        F.sum("n").alias("fact_count"), F.sum("places").alias("territory_count"), F.count("time_period_id").alias("period_count"), F.min("year").alias("min_year"), F.max("year").alias("max_year"), F.sum("nulls").alias("nulls")
     )
+    whole = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    rows = wh.matrices.select("matrix_id", "matrix_code").join(found, "matrix_id", "left")
+    return rows.select("matrix_code", whole("fact_count"), whole("territory_count"), whole("period_count"), "min_year", "max_year", F.coalesce("nulls", F.lit(1)).alias("null_count"))
 
 
 def stored_views(wh: Warehouse) -> dict[str, DataFrame]:
