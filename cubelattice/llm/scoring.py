@@ -14,7 +14,7 @@ batches, with noise classes drawn from the unigram distribution, and the tasks'
 squared gradients, which set the step sizes) are averaged by tokens (the sums are taken on executors, so the driver reads one set of parameters). A task with few texts
 repeats them until it has taken ``LEAST_STEPS`` steps. Scoring normalises exactly: per batch of texts, the new
 contexts are multiplied with all targets, and the log of the summed exponentials is kept per context. These products
-always have ``LOOK`` rows (the last ones are filled up), so a context's sum does not depend on which others it meets; all
+are exact (their factors are rounded to 23 bits), so a context's sum depends neither on which others it meets nor on its row; all
 other sums of a text are its own, in double precision, or of whole numbers (10^-12), so neither does its score.
 
 Bounds: the exact counts of the ``known`` most frequent tokens travel with the tasks (a token over 64 bytes is
@@ -83,10 +83,10 @@ def bucket(token: bytes) -> int:
 
 def buckets(words: list[bytes]) -> np.ndarray:
     """``bucket`` of tokens that are not empty."""
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-    flat = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-    lone = np.diff(ends, prepend=0) == 1
-    return (flat[ends - 1] * 7 + np.where(lone, 0, flat[ends - 2]) * 31) % BUCKETS
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    ends = np.cumsum(sizes)
+    flat = np.frombuffer(b"".join(words), np.uint8)
+    return (flat.take(ends - 1).astype(np.int64) * 7 + np.where(sizes == 1, 0, flat.take(ends - 2)) * np.int64(31)) % BUCKETS
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -128,6 +128,8 @@ class Model:
         self.mass, self.total, self.distinct = mass, total, distinct  # mass of a bucket: sum of (c + 1) over its tokens
         unigram = np.concatenate([[known[w] for w in head], seen]) + 0.5
         self.noise = unigram / unigram.sum()
+        self.shares = np.cumsum(self.noise) / self.noise.sum()
+        self.logs = np.log(NOISE * self.noise).astype(np.float32)
         draw = np.random.default_rng(7)
         self.parameters = {
             "context": draw.normal(0, 0.3, (self.classes + 1, WIDTH)),  # the last one: before the text
@@ -174,32 +176,36 @@ class Model:
 
     def step(self, p: dict, sums: dict, before: np.ndarray, target: np.ndarray, draw: np.random.Generator) -> None:
         """One step of noise-contrastive estimation: every position against its own class and drawn classes."""
-        drawn = draw.choice(self.classes, DRAWN, p=self.noise)
-        logs = np.log(NOISE * self.noise).astype(np.float32)
-        inputs = [p["context"][c] for c in before]
-        wanted, unwanted = p["target"][target], p["target"][drawn]
-        shift = p["bias"] - logs
-        predicted = sum(x @ m for x, m in zip(inputs, p["through"], strict=True))
-        own = 1 - _sigmoid(np.einsum("nd,nd->n", predicted, wanted) + shift[target])
-        other = _sigmoid(predicted @ unwanted.T + shift[drawn]) * np.float32(-NOISE / DRAWN)
-        back = own[:, None] * wanted + other @ unwanted
-        pulled = [(target, own[:, None] * predicted), (drawn, other.T @ predicted)]
-        grads = {
-            "context": _gathered([(c, back @ m.T) for c, m in zip(before, p["through"], strict=True)], self.classes + 1),
-            "through": np.stack([x.T @ back for x in inputs]),
-            "target": _gathered(pulled, self.classes),
-            "bias": np.bincount(target, own, self.classes) + np.bincount(drawn, other.sum(0), self.classes),
+        drawn = self.shares.searchsorted(draw.random(DRAWN), side="right")
+        through = p["through"].reshape(-1, WIDTH)
+        inputs = p["context"].take(before, axis=0).reshape(len(target), -1)  # the vectors of all places side by side
+        wanted, unwanted = p["target"].take(target, axis=0), p["target"].take(drawn, axis=0)
+        shift = p["bias"] - self.logs
+        predicted = inputs @ through
+        own = 1 - _sigmoid(np.einsum("nd,nd->n", predicted, wanted) + shift.take(target))
+        other = _sigmoid(predicted @ unwanted.T + shift.take(drawn)) * np.float32(-NOISE / DRAWN)
+        wanted *= own[:, None]
+        wanted += other @ unwanted
+        back = wanted
+        pulled = np.concatenate([own[:, None] * predicted, other.T @ predicted])
+        every = slice(None)
+        grads = {  # of the rows that occur; the others stay as they are
+            "context": _gathered(before.ravel(), (back @ through.T).reshape(-1, WIDTH)),
+            "through": (every, (inputs.T @ back).reshape(p["through"].shape)),
+            "target": _gathered(np.concatenate([target, drawn]), pulled),
+            "bias": (every, np.bincount(target, own, self.classes) + np.bincount(drawn, other.sum(0), self.classes)),
         }
-        for k, g in grads.items():
+        for k, (at, g) in grads.items():
             g = g.astype(np.float32, copy=False)
             g *= np.float32(1 / len(target))
             size = g * g
-            sums[k] += size
-            np.sqrt(sums[k], out=size)
+            size += sums[k][at]
+            sums[k][at] = size
+            np.sqrt(size, out=size)
             size += np.float32(1e-6)
-            np.divide(g, size, out=g)
+            g /= size
             g *= np.float32(RATE)
-            p[k] += g
+            p[k][at] += g
 
     def train(self, batches: Iterator[pa.RecordBatch], seed: int) -> tuple[np.ndarray, int]:
         """Parameters and squares after all texts, as one array, and the number of tokens."""
@@ -213,8 +219,9 @@ class Model:
             a, place = _padded(parts, self.classes)
             place = draw.permutation(place)
             cuts = np.array_split(place, -(-len(place) // BATCH))
+            a, back = a.astype(np.intp), np.arange(1, BEFORE + 1)
             for at in cuts:
-                self.step(p, sums, [a[at - k] for k in range(1, BEFORE + 1)], a[at], draw)
+                self.step(p, sums, a.take(at[:, None] - back), a.take(at), draw)
             return len(cuts)
 
         for batch in batches:
@@ -236,24 +243,27 @@ class Model:
     # scoring
 
     def ready(self) -> tuple:
-        """Context vectors through the matrix of each place, targets by column, biases, the log of each context's sum
-        (none yet), and targets by row."""
+        """Context vectors through the matrix of each place and targets by column, as whole numbers of steps; both again in
+        single precision, targets by row; biases; the log of each context's sum (none yet)."""
         if self._ready is None:
             p = self.parameters
+            through, target = _stepped([p["context"] @ m for m in p["through"]], BEFORE), _stepped([p["target"]], 1)[0]
             self._ready = (
-                [(p["context"] @ m).astype(np.float32) for m in p["through"]],
-                np.ascontiguousarray(p["target"].T.astype(np.float32)),
+                through,
+                np.ascontiguousarray(target.T),
+                [x.astype(np.float32) for x in through],
+                target.astype(np.float32),
                 p["bias"].astype(np.float32),
                 np.full((self.classes + 1) ** BEFORE, np.nan, np.float32),
-                p["target"].astype(np.float32),
             )
         return self._ready
 
     def log10(self, kinds: list[np.ndarray]) -> np.ndarray:
         """Of each text: the sum of log10 P(class | classes before)."""
-        through, target, bias, norm, wanted = self.ready()
+        through, target, short, wanted, bias, norm = self.ready()
         a, place = _padded(kinds, self.classes)
         out = np.empty(len(place))
+        wide, scores = np.empty((LOOK, self.classes)), np.empty((LOOK, self.classes), np.float32)
         for at in range(0, len(place), 1 << 16):
             own = place[at : at + (1 << 16)]
             before = [a[own - k] for k in range(1, BEFORE + 1)]
@@ -263,23 +273,31 @@ class Model:
             fresh = np.unique(context[np.isnan(norm[context])])
             for n in range(0, len(fresh), LOOK):
                 part = fresh[n : n + LOOK]
-                vectors, rest = np.zeros((LOOK, WIDTH), np.float32), np.resize(part, LOOK)
+                vectors, rest = np.zeros((LOOK, WIDTH)), np.resize(part, LOOK)
                 for m in reversed(through):
-                    vectors += m[rest % (self.classes + 1)]
+                    vectors += m.take(rest % (self.classes + 1), axis=0)
                     rest = rest // (self.classes + 1)
-                scores = vectors @ target
-                scores += bias
+                np.matmul(vectors, target, out=wide)
+                np.add(wide, bias, out=scores, casting="same_kind")
                 most = scores.max(1, keepdims=True)
                 scores -= most
                 norm[part] = (np.log(np.exp(scores, out=scores).sum(1)) + most[:, 0])[: len(part)]
-            vectors = sum(m[c] for m, c in zip(through, before, strict=True))
-            vectors *= wanted[a[own]]
+            vectors = sum(m.take(c, axis=0) for m, c in zip(short, before, strict=True))
+            vectors *= wanted.take(a[own], axis=0)
             out[at : at + len(own)] = vectors.sum(1) + bias[a[own]].astype(np.float64) - norm[context]
         sizes = np.fromiter(map(len, kinds), np.int64, len(kinds))
         ends = np.cumsum(sizes).tolist()
         return np.array([out[b - n : b].sum() for b, n in zip(ends, sizes.tolist(), strict=True)]) / np.log(10)
 
 
+def _stepped(parts: list[np.ndarray], added: int) -> list[np.ndarray]:
+    """Numbers as multiples of one power of two, such that sums of ``added`` of them have at most 23 bits: a product of two such
+    vectors of ``WIDTH`` numbers is exact in double precision, in whatever order and place it is summed."""
+    most = added * max(float(np.abs(x).max()) for x in parts)
+    step = 2.0 ** (math.frexp(most)[1] - 23)
+    return [np.rint(x / step) * step for x in parts]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     x = np.exp(np.minimum(-x, 30))
     x += 1
@@ -295,15 +313,12 @@ def _padded(kinds: list[np.ndarray], start: int) -> tuple[np.ndarray, np.ndarray
     return a, place
 
 
-def _gathered(parts: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
-    """Sums of the rows of each class."""
-    kinds, rows = np.concatenate([c for c, _ in parts]).astype(np.int16), np.concatenate([g for _, g in parts])
-    order = np.argsort(kinds, kind="stable")
-    kinds = kinds[order]
-    starts = np.flatnonzero(np.r_[True, kinds[1:] != kinds[:-1]])
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[kinds[starts]] = np.add.reduceat(rows[order], starts, axis=0)
-    return out
+def _gathered(kinds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The classes that occur, and the sums of their rows."""
+    order = np.argsort(kinds.astype(np.int16), kind="stable")
+    kinds = kinds.take(order)
+    starts = np.flatnonzero(np.diff(kinds, prepend=-1))
+    return kinds.take(starts), np.add.reduceat(rows.take(order, axis=0), starts, axis=0)
 
 
 def fit(training: DataFrame, text_col: str = "text", head: int = HEAD, known: int = KNOWN) -> tuple[Model, DataFrame]:
