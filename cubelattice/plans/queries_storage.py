@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from cubelattice.functions.expr import blind, normalize_label
 from cubelattice.operators import intervals, objects, rollups
 from cubelattice.operators.bitmaps import BitmapIndex, write_grouped, write_index
-from cubelattice.operators.matching import match_labels
+from cubelattice.operators.matching import match_labels, near_options
 from cubelattice.plans.queries_analytics import ANNUAL
 from cubelattice.plans.queries_views import PAIRS as VIEWS
 from cubelattice.sources.facts import FactStore
-from cubelattice.sources.scratch import new_folder
+from cubelattice.sources.scratch import new_folder, stored
 from cubelattice.sources.warehouse import Warehouse
 
 
@@ -82,9 +82,9 @@ def names_in_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     part = read("part")
     names = [part.select(F.col("p_name").alias("label")), part.select(F.substring_index("p_name", " ", -1)), part.select("p_type"), part.select("p_brand"), read("nation").select("n_name"), read("region").select("r_name"), read("customer").select("c_mktsegment")]
-    names = reduce(DataFrame.union, names).distinct().select(F.lit(1).alias("dim_index"), F.col("label").alias("offset"), F.lit("NAME").alias("kind"), F.col("label").alias("member_id"), "label")
+    names = stored(reduce(DataFrame.union, names).distinct().select(F.lit(1).alias("dim_index"), F.col("label").alias("offset"), F.lit("NAME").alias("kind"), F.col("label").alias("member_id"), "label"))
     lines = read("documents").select(F.lit(1).alias("dim_index"), F.explode(F.split("text", "\n")).alias("cell"))
-    return match_labels(lines, names).select(F.md5(F.col("cell").cast("binary")).alias("line_md5"), F.col("member_id").alias("name"), "ambiguous")
+    return match_labels(near_options(lines, names), names).select(F.md5(F.col("cell").cast("binary")).alias("line_md5"), F.col("member_id").alias("name"), "ambiguous")
 
 
 _PLAIN = r"trim(regexp_replace(upper(strip_accents(replace({0}, 'ß', 'SS'))), '\s+', ' ', 'g'))"
